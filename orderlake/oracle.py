@@ -328,4 +328,7 @@ def sql_for(select: str) -> str:
     if not order:
         return select.strip()
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n]}\n)" for n in order)
-    return f"WITH {ctes}\n{select.strip()}"
+    body = select.strip()
+    if body[:4].upper() == "WITH":
+        return f"WITH {ctes},\n{body[4:].lstrip()}"
+    return f"WITH {ctes}\n{body}"
