@@ -1,0 +1,30 @@
+from orderlake.operators import resolve_top_category
+
+EDGES = "cat_id string, child string, parent string"
+
+
+def test_documented_category_closure(spark):
+    edges = spark.createDataFrame(
+        [("1", "chocolate", "Sweet"), ("2", "candy", "Sweet"), ("3", "crisp", "salt"),
+         ("4", "chip", "salt"), ("5", "Sweet", "all"), ("6", "salt", "all")], EDGES)
+    got = {r.category_name: (r.cat_id, r.top_category)
+           for r in resolve_top_category(edges).collect()}
+    assert got == {"chocolate": (1, "Sweet"), "candy": (2, "Sweet"), "crisp": (3, "salt"),
+                   "chip": (4, "salt"), "Sweet": (5, "Sweet"), "salt": (6, "salt")}
+
+
+def test_parent_without_own_row_falls_back_to_the_child(spark):
+    # a parent name is only recognised when it is itself a category row
+    edges = spark.createDataFrame([("3", "crisp", "salt"), ("5", "Sweet", "all")], EDGES)
+    got = {r.category_name: r.top_category for r in resolve_top_category(edges).collect()}
+    assert got == {"crisp": "crisp", "Sweet": "Sweet"}
+
+
+def test_one_hop_only_and_no_row_multiplication(spark):
+    edges = spark.createDataFrame(
+        [("1", "dark", "chocolate"), ("2", "chocolate", "Sweet"), ("3", "Sweet", "all"),
+         ("4", "Sweet", "all")], EDGES)            # repeated name on the parent side
+    out = resolve_top_category(edges)
+    assert out.count() == 4
+    got = {(r.cat_id, r.category_name): r.top_category for r in out.collect()}
+    assert got[(1, "dark")] == "chocolate"         # grandparent not followed

@@ -1,0 +1,52 @@
+import datetime as dt
+
+from orderlake import constants as K
+from orderlake.operators import (
+    calendar_spine, date_bounds, fill_daily_rates, latest_value_per_series)
+
+D = dt.date
+
+
+def typed(spark, data):
+    return spark.createDataFrame(data, "rate_date date, currency string, rate_to_usd double")
+
+
+def test_spine_is_days_times_series(spark):
+    t = typed(spark, [(D(2020, 1, 1), "USD", 1.0), (D(2020, 1, 10), "YEN", 0.01)])
+    sp = calendar_spine(t, "rate_date", "currency")
+    assert sp.count() == 10 * 2
+    b = date_bounds(t, "rate_date").first()
+    assert (b.min_date, b.max_date) == (D(2020, 1, 1), D(2020, 1, 10))
+
+
+def test_forward_fill_labels_and_no_look_ahead(spark):
+    t = typed(spark, [(D(2019, 1, 1), "USD", 1.0), (D(2019, 1, 4), "USD", 2.0),
+                      (D(2019, 1, 2), "YEN", 0.5)])
+    out = {(r.rate_date, r.currency): (r.rate_to_usd, r._fx_fill_method)
+           for r in fill_daily_rates(t).collect()}
+    assert len(out) == 8
+    assert out[(D(2019, 1, 1), "YEN")] == (None, K.FILL_NONE)        # leading gap
+    assert out[(D(2019, 1, 2), "USD")] == (1.0, K.FILL_ACTUAL)       # date known (YEN)
+    assert out[(D(2019, 1, 3), "USD")] == (1.0, K.FILL_FORWARD)
+    assert out[(D(2019, 1, 4), "USD")] == (2.0, K.FILL_ACTUAL)
+    assert out[(D(2019, 1, 4), "YEN")] == (0.5, K.FILL_ACTUAL)       # date-level label
+    per = {(r.rate_date, r.currency): r._fx_fill_method
+           for r in fill_daily_rates(t, per_series=True).collect()}
+    assert per[(D(2019, 1, 2), "USD")] == K.FILL_FORWARD
+    assert per[(D(2019, 1, 4), "YEN")] == K.FILL_FORWARD
+
+
+def test_342_day_gap_is_filled_with_last_rate(spark):
+    t = typed(spark, [(D(2019, 1, 20), "USD", 1.5), (D(2019, 12, 28), "USD", 1.7)])
+    out = fill_daily_rates(t)
+    assert out.count() == 343
+    filled = out.filter("_fx_fill_method = 'forward_filled'")
+    assert filled.count() == 341
+    assert {r.rate_to_usd for r in filled.collect()} == {1.5}
+
+
+def test_latest_value_ignores_trailing_null(spark):
+    rows = [(D(2020, 1, 1), "USD", 1.0), (D(2020, 1, 2), "USD", 1.2),
+            (D(2020, 1, 3), "USD", None), (D(2020, 1, 1), "YEN", None)]
+    got = {r.currency: r.latest_rate for r in latest_value_per_series(typed(spark, rows)).collect()}
+    assert got == {"USD": 1.2}
