@@ -11,13 +11,12 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from orderlake.plans import pipeline  # noqa: E402
-from orderlake.session import build_session  # noqa: E402
+from orderlake.session import build_session, work_root  # noqa: E402
 from orderlake.sinks import TableStore  # noqa: E402
 from orderlake.sources import fixtures  # noqa: E402
 
@@ -30,9 +29,7 @@ def main() -> None:
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
              "spark.sql.files.maxPartitionBytes": str(64 << 20)}
     spark = build_session(f"local[{cpus}]", max(8, 2 * cpus), "orderlake-bench", extra)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="orderlake-bench-"))
-    root = spark.conf.get("spark.checkpoint.dir")
+    root = work_root(spark)   # spark.checkpoint.dir, or a local folder if unset
     times: dict[str, float] = {}
 
     # warm-up: JVM class loading and file listing, not timed

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -38,15 +37,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 16,
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and checkpoints.
 
-    On a cluster this is ``spark.checkpoint.dir`` as configured by the
-    cluster (a shared file system every executor can read).  Only when it is
-    unset, as in local tests, a fresh local folder is created and registered.
+    On a cluster this is ``spark.checkpoint.dir`` as configured for the
+    cluster (a shared file system every executor can read).  Only when no
+    checkpoint folder is configured at all, as in local tests, a fresh local
+    folder is registered with ``SparkContext.setCheckpointDir``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="orderlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd-checkpoints"))
+        root = spark.sparkContext.getCheckpointDir()
+    if not root:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orderlake-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

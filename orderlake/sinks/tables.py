@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from orderlake import constants as K
+from orderlake.sources.literals import literal_frame
 
 AUDIT_SCHEMA = StructType([
     StructField("run_id", StringType(), True),
@@ -134,7 +135,7 @@ class AuditLog:
                              table, int(rows), status, notes, now))
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.records, AUDIT_SCHEMA)
+        return literal_frame(spark, self.records, AUDIT_SCHEMA)
 
     def flush(self, store: TableStore, layer: str = "audit",
               table: str = "pipeline_run_log") -> int:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.sources.literals import literal_frame
 from orderlake.sources.schemas import CATEGORY_SCHEMA
 
 # Fixed values of the test fixture: product types mapped to leaf categories
@@ -83,14 +84,14 @@ def raw_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _leaf_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LEAF_CATEGORIES, CATEGORY_SCHEMA)
+    return literal_frame(spark, LEAF_CATEGORIES, CATEGORY_SCHEMA)
 
 
 def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category edges for the product types that occur in ``part``."""
     used = table(spark, sf_dir, "part").select("p_type").distinct()
     leaves = _leaf_frame(spark).join(used, F.col("child") == F.col("p_type"), "left_semi")
-    roots = spark.createDataFrame(ROOT_CATEGORIES, CATEGORY_SCHEMA)
+    roots = literal_frame(spark, ROOT_CATEGORIES, CATEGORY_SCHEMA)
     used_roots = roots.join(leaves.select(F.col("parent").alias("_p")),
                             F.col("child") == F.col("_p"), "left_semi")
     return leaves.unionByName(used_roots)

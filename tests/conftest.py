@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,10 +10,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from orderlake.session import build_session
+    from orderlake.session import build_session, work_root
     s = build_session("local[4]", 8, "orderlake-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="orderlake-tests-"))
+    work_root(s)          # registers a local checkpoint folder only if none is set
     yield s
     s.stop()
 
