@@ -50,14 +50,22 @@ class RunResult:
 def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | None = None,
         run_ts: Column | None = None, source_file: str = "raw_orders",
         null_gate_mode: str = "raise", as_of: str | None = None,
-        flag_missing_qty: bool = False) -> RunResult:
+        flag_missing_qty: bool = False, customer_buckets: int | None = None) -> RunResult:
+    """Run every layer.  ``customer_buckets`` (default: the shuffle width)
+    buckets the fact and the customer dimension on ``cust_key`` alike, so the
+    customer-keyed metrics read the fact without shuffling it; size it so one
+    bucket of the fact is ~0.5-1 GB."""
     store = store or TableStore(spark, f"{work_root(spark)}/tables")
+    n_buckets = customer_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_customer = (["cust_key"], n_buckets)
     run_ts = run_ts if run_ts is not None else run_timestamp()
     res = RunResult(run_id=str(uuid.uuid4()))
     audit = AuditLog(res.run_id)
 
-    def put(df: DataFrame, layer: str, table: str, stamp: bool = True) -> int:
-        n = store.write(df.withColumn("_updated_at", run_ts) if stamp else df, layer, table)
+    def put(df: DataFrame, layer: str, table: str, stamp: bool = True,
+            bucket_by: tuple | None = None) -> int:
+        n = store.write(df.withColumn("_updated_at", run_ts) if stamp else df, layer, table,
+                        bucket_by=bucket_by)
         res.counts[f"{layer}.{table}"] = n
         audit.record(layer.upper(), store.name(layer, table), n)
         return n
@@ -99,7 +107,8 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
                                            "order items", null_gate_mode)
 
     # ---- gold: star schema ----------------------------------------------
-    n = put(gold.dim_customer(rd("silver", "customer")), "gold", "dim_customer")
+    n = put(gold.dim_customer(rd("silver", "customer")), "gold", "dim_customer",
+            bucket_by=by_customer)
     check_row_count(n, 1, "customer dimension")
     n = put(gold.dim_product(rd("silver", "product"), rd("silver", "fx_rates")),
             "gold", "dim_product")
@@ -107,7 +116,7 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
     n = put(gold.dim_date(rd("silver", "order_items")), "gold", "dim_date")
     check_row_count(n, 1, "date dimension")
     n = put(gold.fact_orders(rd("silver", "order_items"), rd("gold", "dim_date")),
-            "gold", "fact_orders")
+            "gold", "fact_orders", bucket_by=by_customer)
     check_row_count(n, 1, "orders fact")
     res.gates["orders fact"] = check_nulls(
         rd("gold", "fact_orders"), ["order_id", "cust_key", "prod_key", "date_key",

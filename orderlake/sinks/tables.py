@@ -59,13 +59,23 @@ AUDIT_TABLE_DDL = """
 
 def write_table(df: DataFrame, table: str, location: str | None = None,
                 fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: Sequence[str] | None = None) -> int:
+                partition_by: Sequence[str] | None = None,
+                bucket_by: tuple[Sequence[str], int] | None = None) -> int:
     """Write ``df`` as ``table`` and return the number of rows written.
 
     Overwrite is idempotent: re-running a stage replaces its output.
+    ``bucket_by=(columns, n)`` hash-buckets the table; tables bucketed the same
+    way on a join or grouping key are joined and grouped without a shuffle.
+    The rows are first hash-partitioned into ``n`` parts with the same hash,
+    so every write task produces exactly one bucket file.
     """
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    if bucket_by:
+        cols, n = list(bucket_by[0]), int(bucket_by[1])
+        df = df.repartition(n, *cols)
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
+    if bucket_by:
+        writer = writer.bucketBy(n, cols[0], *cols[1:])
     if location:
         writer = writer.option("path", location)
     if partition_by:
@@ -109,10 +119,11 @@ class TableStore:
             f"COMMENT '{note}'")
 
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
-              partition_by: Sequence[str] | None = None) -> int:
+              partition_by: Sequence[str] | None = None,
+              bucket_by: tuple[Sequence[str], int] | None = None) -> int:
         self.ensure_schema(layer)
         return write_table(df, self.name(layer, table), self.location(layer, table),
-                           self.fmt, mode, partition_by)
+                           self.fmt, mode, partition_by, bucket_by)
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
