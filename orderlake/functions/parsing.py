@@ -25,8 +25,13 @@ def parse_iso_date(c: str | Column) -> Column:
 
 
 def parse_us_timestamp(c: str | Column) -> Column:
-    """``M/d/yyyy H:mm`` text -> TIMESTAMP (session time zone, pinned to UTC)."""
-    return F.try_to_timestamp(F.trim(as_col(c)), F.lit(K.US_TIMESTAMP))
+    """``M/d/yyyy H:mm`` text -> TIMESTAMP_NTZ (wall-clock time, no zone).
+
+    The text carries no zone, so the value is kept as written: parsing in the
+    session zone and casting back to NTZ in that same zone returns the wall
+    clock, whatever the session or process time zone is.
+    """
+    return F.try_to_timestamp(F.trim(as_col(c)), F.lit(K.US_TIMESTAMP)).cast("timestamp_ntz")
 
 
 def to_bigint(c: str | Column) -> Column:

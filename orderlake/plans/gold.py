@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions import date_key, day_name, is_weekend, month_name, price_at_rate
-from orderlake.operators import latest_value_per_series
+from orderlake.operators import broadcast_if_small, latest_value_per_series
 
 
 def dim_customer(customers: DataFrame) -> DataFrame:
@@ -37,9 +37,14 @@ def dim_date(order_items: DataFrame, date_col: str = "order_date") -> DataFrame:
                                is_weekend(d).alias("is_weekend")))
 
 
-def fact_orders(order_items: DataFrame, dates: DataFrame) -> DataFrame:
-    """Grain: one row per order line, with the date dimension's key."""
-    keys = dates.select("full_date", "date_key")
+def fact_orders(order_items: DataFrame, dates: DataFrame,
+                date_rows: int | None = None) -> DataFrame:
+    """Grain: one row per order line, with the date dimension's key.
+
+    The date dimension has one row per calendar day that occurs; with its
+    measured row count it is broadcast when small.
+    """
+    keys = broadcast_if_small(dates, date_rows).select("full_date", "date_key")
     return (order_items.join(keys, F.col("order_date") == F.col("full_date"), "left")
                        .select("order_id", F.col("cust_id").alias("cust_key"),
                                F.col("prod_id").alias("prod_key"), "date_key",

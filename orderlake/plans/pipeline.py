@@ -71,12 +71,19 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
         return n
 
     # ---- bronze: raw text after dedup and quarantine -------------------
+    # Each row keeps where it came from and when it was ingested; file feeds
+    # carry their path in ``_source_file`` already (sources.with_file_lineage).
+    def lineage(df: DataFrame, feed: str) -> DataFrame:
+        if "_source_file" not in df.columns:
+            df = df.withColumn("_source_file", F.lit(feed))
+        return df.withColumn("_ingested_at", run_ts)
+
     b = bronze.build(feeds, source_file, run_ts, flag_missing_qty)
-    put(b.customers, "bronze", "customer", stamp=False)
-    put(b.orders, "bronze", "orders", stamp=False)
-    put(b.products, "bronze", "product", stamp=False)
-    put(b.categories, "bronze", "cat_tree", stamp=False)
-    put(b.fx_rates, "bronze", "fx_rates", stamp=False)
+    put(lineage(b.customers, "customers"), "bronze", "customer", stamp=False)
+    put(lineage(b.orders, source_file), "bronze", "orders", stamp=False)
+    put(lineage(b.products, "products"), "bronze", "product", stamp=False)
+    put(lineage(b.categories, "categories"), "bronze", "cat_tree", stamp=False)
+    put(lineage(b.fx_rates, "fx_rates"), "bronze", "fx_rates", stamp=False)
     store.create_table("error_tables", "err_orders", ERROR_TABLE_DDL, "quarantined order rows")
     put(b.errors, "error_tables", "err_orders", stamp=False)
 
@@ -91,7 +98,7 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
     put(s_products, "silver", "product")
     put(s_fx, "silver", "fx_rates")
     items = silver.order_items(rd("silver", "orders"), rd("silver", "product"),
-                               rd("silver", "fx_rates"))
+                               rd("silver", "fx_rates"), res.counts["silver.fx_rates"])
     put(items, "silver", "order_items")
 
     res.gates["customers"] = check_nulls(rd("silver", "customer"),
@@ -113,9 +120,9 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
     n = put(gold.dim_product(rd("silver", "product"), rd("silver", "fx_rates")),
             "gold", "dim_product")
     check_row_count(n, 1, "product dimension")
-    n = put(gold.dim_date(rd("silver", "order_items")), "gold", "dim_date")
-    check_row_count(n, 1, "date dimension")
-    n = put(gold.fact_orders(rd("silver", "order_items"), rd("gold", "dim_date")),
+    n_dates = put(gold.dim_date(rd("silver", "order_items")), "gold", "dim_date")
+    check_row_count(n_dates, 1, "date dimension")
+    n = put(gold.fact_orders(rd("silver", "order_items"), rd("gold", "dim_date"), n_dates),
             "gold", "fact_orders", bucket_by=by_customer)
     check_row_count(n, 1, "orders fact")
     res.gates["orders fact"] = check_nulls(
