@@ -30,8 +30,11 @@ def classified_orders(raw: DataFrame, flag_missing_qty: bool = False) -> DataFra
 
 def clean_orders(classified: DataFrame) -> DataFrame:
     """Unflagged rows with exact duplicates collapsed.  Lines of one order
-    with different products are different rows and all stay."""
-    return dedup.exact_dedup(quality.clean_rows(classified))
+    with different products are different rows and all stay.  Lineage
+    columns (``_source_file``, ...) are not part of the comparison."""
+    clean = quality.clean_rows(classified)
+    data_cols = [c for c in clean.columns if not c.startswith("_")]
+    return dedup.exact_dedup(clean, data_cols)
 
 
 def quarantined_orders(classified: DataFrame, source_file: str,

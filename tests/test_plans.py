@@ -1,0 +1,55 @@
+"""Plan-shape checks for the scale-critical choices."""
+
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderlake.operators import broadcast_if_small
+from orderlake.plans import metrics
+from orderlake.sinks import TableStore
+
+
+def plan_of(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_broadcast_only_on_a_known_small_count(spark):
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = big.join(broadcast_if_small(small, 10), "k")
+        unknown = big.join(broadcast_if_small(small, None), "k")
+        too_big = big.join(broadcast_if_small(small, 10, max_rows=5), "k")
+        assert "BroadcastHashJoin" in plan_of(hinted)
+        assert "BroadcastHashJoin" not in plan_of(unknown)
+        assert "BroadcastHashJoin" not in plan_of(too_big)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_fact_is_aggregated_per_customer_without_shuffle(spark, tmp_root):
+    store = TableStore(spark, tmp_root, prefix="bkt_")
+    fact = spark.range(5000).select(
+        F.concat(F.lit("A-"), (F.col("id") % 700).cast("string")).alias("order_id"),
+        (F.col("id") % 97).alias("cust_key"), (F.col("id") % 13).alias("prod_key"),
+        F.lit(20200101).alias("date_key"), F.lit(1).alias("quantity"),
+        F.lit(1.5).cast("decimal(18,4)").alias("revenue_usd"))
+    cust = spark.range(97).select(F.col("id").alias("cust_key"), F.lit("R").alias("region"),
+                                  F.lit("t").alias("customer_type"),
+                                  F.lit(True).alias("is_active"))
+    store.write(fact, "gold", "fact", bucket_by=(["cust_key"], 8))
+    store.write(cust, "gold", "cust", bucket_by=(["cust_key"], 8))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = metrics.customer_value(store.read("gold", "fact"), store.read("gold", "cust"))
+        plan = plan_of(out)
+        assert "Exchange" not in plan           # bucketed on both sides: no shuffle at all
+        assert out.count() == 97
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
