@@ -11,15 +11,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv_source(spark: SparkSession, path: str, schema: StructType,
-                    keep_blanks: bool = True) -> DataFrame:
+                    keep_blanks: bool = True,
+                    corrupt_column: str | None = None) -> DataFrame:
+    """CSV feed under a declared schema.
+
+    ``corrupt_column`` adds a text column that receives the whole line of a
+    malformed record (wrong number of fields) instead of dropping it; the
+    record's other columns are NULL.  Such rows can then be quarantined.
+    """
+    if corrupt_column:
+        schema = StructType(schema.fields + [StructField(corrupt_column, StringType(), True)])
     reader = (spark.read.format("csv")
               .option("header", True)
               .option("enforceSchema", True)
               .option("mode", "PERMISSIVE"))
+    if corrupt_column:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if keep_blanks:
         # Leading/trailing blanks are data here (' Shipped', ' ').
         reader = (reader.option("ignoreLeadingWhiteSpace", False)

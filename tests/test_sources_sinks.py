@@ -28,6 +28,19 @@ def test_csv_positional_schema_keeps_blanks(spark, tmp_root):
                    ("A-2", None, "1/6/2020 0:00", "3", "0.1", "PAID")]
 
 
+def test_csv_malformed_record_is_kept_in_corrupt_column(spark, tmp_root):
+    d = local(tmp_root)
+    os.makedirs(d, exist_ok=True)
+    with open(f"{d}/orders.csv", "w") as f:
+        f.write("order_id,cust_id,order date,prod_id,quantity,status\n")
+        f.write("A-1,1,1/5/2020 0:00,2,3,PAID\n")
+        f.write("A-2,1,1/5/2020 0:00,2,3,PAID,extra,fields\n")
+    df = read_csv_source(spark, d, ORDERS_SCHEMA, corrupt_column="_corrupt_record").cache()
+    bad = [r for r in df.collect() if r._corrupt_record is not None]
+    assert df.count() == 2 and len(bad) == 1
+    assert bad[0]._corrupt_record.startswith("A-2,")
+
+
 def test_json_array_document_and_json_lines(spark, tmp_root):
     d = local(tmp_root)
     os.makedirs(f"{d}/array", exist_ok=True)
