@@ -102,11 +102,17 @@ def check_nulls(df: DataFrame, columns: Sequence[str], label: str,
     """
     row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
     counts = {c: int(row[c]) for c in columns}
+    if mode == "raise":
+        check_nulls_counts(counts, label)
+    return counts
+
+
+def check_nulls_counts(counts: dict[str, int], label: str) -> None:
+    """Raise when any of the given NULL counts is positive."""
     bad = {c: n for c, n in counts.items() if n}
-    if bad and mode == "raise":
+    if bad:
         detail = ", ".join(f"{c}={n}" for c, n in bad.items())
         raise QualityGateError(f"Null check failed in {label}: {detail}")
-    return counts
 
 
 def check_row_count(df_or_count: DataFrame | int, min_rows: int, label: str) -> int:

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.operators import check_nulls, check_row_count
+from orderlake.operators.quality import check_nulls_counts
 from orderlake.plans import bronze, gold, metrics, silver
 from orderlake.session import work_root
 from orderlake.sinks import AuditLog, TableStore, layer_row_counts
@@ -50,27 +52,48 @@ class RunResult:
 def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | None = None,
         run_ts: Column | None = None, source_file: str = "raw_orders",
         null_gate_mode: str = "raise", as_of: str | None = None,
-        flag_missing_qty: bool = False, customer_buckets: int | None = None) -> RunResult:
+        flag_missing_qty: bool = False, customer_buckets: int | None = None,
+        parallelism: int = 4) -> RunResult:
     """Run every layer.  ``customer_buckets`` (default: the shuffle width)
     buckets the fact and the customer dimension on ``cust_key`` alike, so the
     customer-keyed metrics read the fact without shuffling it; size it so one
-    bucket of the fact is ~0.5-1 GB."""
+    bucket of the fact is ~0.5-1 GB.  Independent tables of one layer are
+    written as concurrent jobs (``parallelism`` at a time); every write still
+    waits for the tables it reads."""
     store = store or TableStore(spark, f"{work_root(spark)}/tables")
     n_buckets = customer_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     by_customer = (["cust_key"], n_buckets)
     run_ts = run_ts if run_ts is not None else run_timestamp()
     res = RunResult(run_id=str(uuid.uuid4()))
     audit = AuditLog(res.run_id)
+    for layer in LAYOUT:
+        store.ensure_schema(layer)
+    store.create_table("error_tables", "err_orders", ERROR_TABLE_DDL, "quarantined order rows")
+    pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
+
+    def put_all(jobs: list[tuple]) -> None:
+        """Write independent tables concurrently; record counts in job order."""
+        def write(job):
+            df, layer, table, stamp, bucket_by = tuple(job) + (True, None)[len(job) - 3:]
+            df = df.withColumn("_updated_at", run_ts) if stamp else df
+            return store.write(df, layer, table, bucket_by=bucket_by)
+        counts = _wave(pool, [lambda j=j: write(j) for j in jobs])
+        for job, n in zip(jobs, counts):
+            layer, table = job[1], job[2]
+            res.counts[f"{layer}.{table}"] = n
+            audit.record(layer.upper(), store.name(layer, table), n)
+
+    def gates(checks: list[tuple]) -> None:
+        """Null gates (one aggregate job each), run together; the first failing
+        gate in list order is raised."""
+        found = _wave(pool, [lambda c=c: check_nulls(c[1], c[2], c[0], "report")
+                             for c in checks])
+        for (label, _, cols), counts in zip(checks, found):
+            res.gates[label] = counts
+        if null_gate_mode == "raise":
+            for (label, df, cols) in checks:
+                check_nulls_counts(res.gates[label], label)
 
-    def put(df: DataFrame, layer: str, table: str, stamp: bool = True,
-            bucket_by: tuple | None = None) -> int:
-        n = store.write(df.withColumn("_updated_at", run_ts) if stamp else df, layer, table,
-                        bucket_by=bucket_by)
-        res.counts[f"{layer}.{table}"] = n
-        audit.record(layer.upper(), store.name(layer, table), n)
-        return n
-
-    # ---- bronze: raw text after dedup and quarantine -------------------
     # Each row keeps where it came from and when it was ingested; file feeds
     # carry their path in ``_source_file`` already (sources.with_file_lineage).
     def lineage(df: DataFrame, feed: str) -> DataFrame:
@@ -78,62 +101,70 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
             df = df.withColumn("_source_file", F.lit(feed))
         return df.withColumn("_ingested_at", run_ts)
 
-    b = bronze.build(feeds, source_file, run_ts, flag_missing_qty)
-    put(lineage(b.customers, "customers"), "bronze", "customer", stamp=False)
-    put(lineage(b.orders, source_file), "bronze", "orders", stamp=False)
-    put(lineage(b.products, "products"), "bronze", "product", stamp=False)
-    put(lineage(b.categories, "categories"), "bronze", "cat_tree", stamp=False)
-    put(lineage(b.fx_rates, "fx_rates"), "bronze", "fx_rates", stamp=False)
-    store.create_table("error_tables", "err_orders", ERROR_TABLE_DDL, "quarantined order rows")
-    put(b.errors, "error_tables", "err_orders", stamp=False)
-
-    # ---- silver: typed and enriched, from the written bronze tables -----
-    rd = store.read
-    s_customers = silver.customers(rd("bronze", "customer"))
-    s_orders = silver.orders(rd("bronze", "orders"))
-    s_products = silver.products(rd("bronze", "product"), rd("bronze", "cat_tree"))
-    s_fx = silver.fx_rates(rd("bronze", "fx_rates"))
-    put(s_customers, "silver", "customer")
-    put(s_orders, "silver", "orders")
-    put(s_products, "silver", "product")
-    put(s_fx, "silver", "fx_rates")
-    items = silver.order_items(rd("silver", "orders"), rd("silver", "product"),
-                               rd("silver", "fx_rates"), res.counts["silver.fx_rates"])
-    put(items, "silver", "order_items")
-
-    res.gates["customers"] = check_nulls(rd("silver", "customer"),
-                                         ["cust_id", "created_at", "is_active"], "customers",
-                                         null_gate_mode)
-    res.gates["orders"] = check_nulls(rd("silver", "orders"),
-                                      ["order_id", "cust_id", "order_timestamp", "quantity"],
-                                      "orders", null_gate_mode)
-    res.gates["products"] = check_nulls(rd("silver", "product"),
-                                        ["prod_id", "price", "currency", "top_category"],
-                                        "products", null_gate_mode)
-    res.gates["order items"] = check_nulls(rd("silver", "order_items"), ["revenue_usd"],
-                                           "order items", null_gate_mode)
-
-    # ---- gold: star schema ----------------------------------------------
-    n = put(gold.dim_customer(rd("silver", "customer")), "gold", "dim_customer",
-            bucket_by=by_customer)
-    check_row_count(n, 1, "customer dimension")
-    n = put(gold.dim_product(rd("silver", "product"), rd("silver", "fx_rates")),
-            "gold", "dim_product")
-    check_row_count(n, 1, "product dimension")
-    n_dates = put(gold.dim_date(rd("silver", "order_items")), "gold", "dim_date")
-    check_row_count(n_dates, 1, "date dimension")
-    n = put(gold.fact_orders(rd("silver", "order_items"), rd("gold", "dim_date"), n_dates),
-            "gold", "fact_orders", bucket_by=by_customer)
-    check_row_count(n, 1, "orders fact")
-    res.gates["orders fact"] = check_nulls(
-        rd("gold", "fact_orders"), ["order_id", "cust_key", "prod_key", "date_key",
-                                    "revenue_usd"], "orders fact", null_gate_mode)
-
-    audit.flush(store)
+    try:
+        # ---- bronze: raw text after dedup and quarantine ---------------
+        b = bronze.build(feeds, source_file, run_ts, flag_missing_qty)
+        put_all([(lineage(b.customers, "customers"), "bronze", "customer", False),
+                 (lineage(b.orders, source_file), "bronze", "orders", False),
+                 (lineage(b.products, "products"), "bronze", "product", False),
+                 (lineage(b.categories, "categories"), "bronze", "cat_tree", False),
+                 (lineage(b.fx_rates, "fx_rates"), "bronze", "fx_rates", False),
+                 (b.errors, "error_tables", "err_orders", False)])
+
+        # ---- silver: typed and enriched, from the written bronze tables -
+        rd = store.read
+        put_all([(silver.customers(rd("bronze", "customer")), "silver", "customer"),
+                 (silver.orders(rd("bronze", "orders")), "silver", "orders"),
+                 (silver.products(rd("bronze", "product"), rd("bronze", "cat_tree")),
+                  "silver", "product"),
+                 (silver.fx_rates(rd("bronze", "fx_rates")), "silver", "fx_rates")])
+        items = silver.order_items(rd("silver", "orders"), rd("silver", "product"),
+                                   rd("silver", "fx_rates"), res.counts["silver.fx_rates"])
+        put_all([(items, "silver", "order_items")])
+        gates([("customers", rd("silver", "customer"), ["cust_id", "created_at", "is_active"]),
+               ("orders", rd("silver", "orders"),
+                ["order_id", "cust_id", "order_timestamp", "quantity"]),
+               ("products", rd("silver", "product"),
+                ["prod_id", "price", "currency", "top_category"]),
+               ("order items", rd("silver", "order_items"), ["revenue_usd"])])
+
+        # ---- gold: star schema ------------------------------------------
+        put_all([(gold.dim_customer(rd("silver", "customer")), "gold", "dim_customer", True,
+                  by_customer),
+                 (gold.dim_product(rd("silver", "product"), rd("silver", "fx_rates")),
+                  "gold", "dim_product"),
+                 (gold.dim_date(rd("silver", "order_items")), "gold", "dim_date")])
+        for table, label in LAYOUT["gold"][:3]:
+            check_row_count(res.counts[f"gold.{table}"], 1, label)
+        put_all([(gold.fact_orders(rd("silver", "order_items"), rd("gold", "dim_date"),
+                                   res.counts["gold.dim_date"]),
+                  "gold", "fact_orders", True, by_customer)])
+        check_row_count(res.counts["gold.fact_orders"], 1, "orders fact")
+        gates([("orders fact", rd("gold", "fact_orders"),
+                ["order_id", "cust_key", "prod_key", "date_key", "revenue_usd"])])
+    finally:
+        pool.shutdown(wait=True)
+        audit.flush(store)
     res.metrics = metric_frames(store, as_of)
     return res
 
 
+def _wave(pool: ThreadPoolExecutor, jobs: list) -> list:
+    """Run independent Spark actions concurrently (they share the executors);
+    return their results in order, re-raising the first failure."""
+    futures = [pool.submit(j) for j in jobs]
+    results, error = [], None
+    for f in futures:
+        try:
+            results.append(f.result())
+        except Exception as exc:  # noqa: BLE001 - surfaced below, after all finish
+            results.append(None)
+            error = error or exc
+    if error is not None:
+        raise error
+    return results
+
+
 def metric_frames(store: TableStore, as_of: str | None = None) -> dict[str, DataFrame]:
     """The metrics, lazily, over the written gold and error tables."""
     rd = store.read
