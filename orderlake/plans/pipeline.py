@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.operators import check_nulls, check_row_count
+from orderlake.operators import check_row_count
 from orderlake.operators.quality import check_nulls_counts
 from orderlake.plans import bronze, gold, metrics, silver
 from orderlake.session import work_root
@@ -54,15 +54,19 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
         null_gate_mode: str = "raise", as_of: str | None = None,
         flag_missing_qty: bool = False, customer_buckets: int | None = None,
         parallelism: int = 4) -> RunResult:
-    """Run every layer.  ``customer_buckets`` (default: the shuffle width)
-    buckets the fact and the customer dimension on ``cust_key`` alike, so the
-    customer-keyed metrics read the fact without shuffling it; size it so one
-    bucket of the fact is ~0.5-1 GB.  Independent tables of one layer are
+    """Run every layer.
+
+    ``customer_buckets=n`` (off by default) buckets the fact and the customer
+    dimension on ``cust_key`` alike, so the customer-keyed metrics read the
+    fact without shuffling it; size it so one bucket of the fact is
+    ~0.5-1 GB.  Use it only when no customer holds a large share of the
+    orders: a bucket is read by one task, so a heavy customer would become
+    one huge task, while the default shuffled plans combine its rows
+    map-side and AQE splits skewed join partitions.  Independent tables of one layer are
     written as concurrent jobs (``parallelism`` at a time); every write still
     waits for the tables it reads."""
     store = store or TableStore(spark, f"{work_root(spark)}/tables")
-    n_buckets = customer_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by_customer = (["cust_key"], n_buckets)
+    by_customer = (["cust_key"], customer_buckets) if customer_buckets else None
     run_ts = run_ts if run_ts is not None else run_timestamp()
     res = RunResult(run_id=str(uuid.uuid4()))
     audit = AuditLog(res.run_id)
@@ -71,28 +75,33 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
     store.create_table("error_tables", "err_orders", ERROR_TABLE_DDL, "quarantined order rows")
     pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
 
-    def put_all(jobs: list[tuple]) -> None:
-        """Write independent tables concurrently; record counts in job order."""
-        def write(job):
-            df, layer, table, stamp, bucket_by = tuple(job) + (True, None)[len(job) - 3:]
-            df = df.withColumn("_updated_at", run_ts) if stamp else df
-            return store.write(df, layer, table, bucket_by=bucket_by)
-        counts = _wave(pool, [lambda j=j: write(j) for j in jobs])
-        for job, n in zip(jobs, counts):
-            layer, table = job[1], job[2]
+    def put_all(jobs: list[dict]) -> None:
+        """Write independent tables concurrently; record counts in job order.
+
+        A job may name ``gate`` columns: their NULLs are counted by the write
+        job itself (no second scan) and the gate is applied after the write.
+        """
+        def write(job: dict):
+            df = job["df"].withColumn("_updated_at", run_ts) if job.get("stamp", True) \
+                else job["df"]
+            return store.write_observed(df, job["layer"], job["table"],
+                                        bucket_by=job.get("bucket_by"),
+                                        null_columns=job.get("gate", ()))
+        results = _wave(pool, [lambda j=j: write(j) for j in jobs])
+        for job, (n, nulls) in zip(jobs, results):
+            layer, table = job["layer"], job["table"]
             res.counts[f"{layer}.{table}"] = n
             audit.record(layer.upper(), store.name(layer, table), n)
-
-    def gates(checks: list[tuple]) -> None:
-        """Null gates (one aggregate job each), run together; the first failing
-        gate in list order is raised."""
-        found = _wave(pool, [lambda c=c: check_nulls(c[1], c[2], c[0], "report")
-                             for c in checks])
-        for (label, _, cols), counts in zip(checks, found):
-            res.gates[label] = counts
+            if job.get("gate"):
+                res.gates[job["label"]] = nulls
         if null_gate_mode == "raise":
-            for (label, df, cols) in checks:
-                check_nulls_counts(res.gates[label], label)
+            for job in jobs:
+                if job.get("gate"):
+                    check_nulls_counts(res.gates[job["label"]], job["label"])
+
+    def job(df, layer, table, stamp=True, bucket_by=None, gate=(), label=None) -> dict:
+        return {"df": df, "layer": layer, "table": table, "stamp": stamp,
+                "bucket_by": bucket_by, "gate": list(gate), "label": label or table}
 
     # Each row keeps where it came from and when it was ingested; file feeds
     # carry their path in ``_source_file`` already (sources.with_file_lineage).
@@ -104,44 +113,45 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
     try:
         # ---- bronze: raw text after dedup and quarantine ---------------
         b = bronze.build(feeds, source_file, run_ts, flag_missing_qty)
-        put_all([(lineage(b.customers, "customers"), "bronze", "customer", False),
-                 (lineage(b.orders, source_file), "bronze", "orders", False),
-                 (lineage(b.products, "products"), "bronze", "product", False),
-                 (lineage(b.categories, "categories"), "bronze", "cat_tree", False),
-                 (lineage(b.fx_rates, "fx_rates"), "bronze", "fx_rates", False),
-                 (b.errors, "error_tables", "err_orders", False)])
+        put_all([job(lineage(b.customers, "customers"), "bronze", "customer", False),
+                 job(lineage(b.orders, source_file), "bronze", "orders", False),
+                 job(lineage(b.products, "products"), "bronze", "product", False),
+                 job(lineage(b.categories, "categories"), "bronze", "cat_tree", False),
+                 job(lineage(b.fx_rates, "fx_rates"), "bronze", "fx_rates", False),
+                 job(b.errors, "error_tables", "err_orders", False)])
 
         # ---- silver: typed and enriched, from the written bronze tables -
+        # (null gates observed by the writes; a failing gate stops the run
+        # before any later layer reads the table)
         rd = store.read
-        put_all([(silver.customers(rd("bronze", "customer")), "silver", "customer"),
-                 (silver.orders(rd("bronze", "orders")), "silver", "orders"),
-                 (silver.products(rd("bronze", "product"), rd("bronze", "cat_tree")),
-                  "silver", "product"),
-                 (silver.fx_rates(rd("bronze", "fx_rates")), "silver", "fx_rates")])
+        put_all([job(silver.customers(rd("bronze", "customer")), "silver", "customer",
+                     gate=["cust_id", "created_at", "is_active"], label="customers"),
+                 job(silver.orders(rd("bronze", "orders")), "silver", "orders",
+                     gate=["order_id", "cust_id", "order_timestamp", "quantity"],
+                     label="orders"),
+                 job(silver.products(rd("bronze", "product"), rd("bronze", "cat_tree")),
+                     "silver", "product", gate=["prod_id", "price", "currency", "top_category"],
+                     label="products"),
+                 job(silver.fx_rates(rd("bronze", "fx_rates")), "silver", "fx_rates")])
         items = silver.order_items(rd("silver", "orders"), rd("silver", "product"),
                                    rd("silver", "fx_rates"), res.counts["silver.fx_rates"])
-        put_all([(items, "silver", "order_items")])
-        gates([("customers", rd("silver", "customer"), ["cust_id", "created_at", "is_active"]),
-               ("orders", rd("silver", "orders"),
-                ["order_id", "cust_id", "order_timestamp", "quantity"]),
-               ("products", rd("silver", "product"),
-                ["prod_id", "price", "currency", "top_category"]),
-               ("order items", rd("silver", "order_items"), ["revenue_usd"])])
+        put_all([job(items, "silver", "order_items", gate=["revenue_usd"],
+                     label="order items")])
 
         # ---- gold: star schema ------------------------------------------
-        put_all([(gold.dim_customer(rd("silver", "customer")), "gold", "dim_customer", True,
-                  by_customer),
-                 (gold.dim_product(rd("silver", "product"), rd("silver", "fx_rates")),
-                  "gold", "dim_product"),
-                 (gold.dim_date(rd("silver", "order_items")), "gold", "dim_date")])
+        put_all([job(gold.dim_customer(rd("silver", "customer")), "gold", "dim_customer",
+                     bucket_by=by_customer),
+                 job(gold.dim_product(rd("silver", "product"), rd("silver", "fx_rates")),
+                     "gold", "dim_product"),
+                 job(gold.dim_date(rd("silver", "order_items")), "gold", "dim_date")])
         for table, label in LAYOUT["gold"][:3]:
             check_row_count(res.counts[f"gold.{table}"], 1, label)
-        put_all([(gold.fact_orders(rd("silver", "order_items"), rd("gold", "dim_date"),
-                                   res.counts["gold.dim_date"]),
-                  "gold", "fact_orders", True, by_customer)])
+        put_all([job(gold.fact_orders(rd("silver", "order_items"), rd("gold", "dim_date"),
+                                      res.counts["gold.dim_date"]),
+                     "gold", "fact_orders", bucket_by=by_customer,
+                     gate=["order_id", "cust_key", "prod_key", "date_key", "revenue_usd"],
+                     label="orders fact")])
         check_row_count(res.counts["gold.fact_orders"], 1, "orders fact")
-        gates([("orders fact", rd("gold", "fact_orders"),
-                ["order_id", "cust_key", "prod_key", "date_key", "revenue_usd"])])
     finally:
         pool.shutdown(wait=True)
         audit.flush(store)

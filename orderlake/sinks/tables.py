@@ -67,13 +67,29 @@ def write_table(df: DataFrame, table: str, location: str | None = None,
     ``bucket_by=(columns, n)`` hash-buckets the table; tables bucketed the same
     way on a join or grouping key are joined and grouped without a shuffle.
     The rows are first hash-partitioned into ``n`` parts with the same hash,
-    so every write task produces exactly one bucket file.
+    so every write task produces exactly one bucket file.  Only for keys
+    without heavy hitters: a bucketed scan reads a bucket in one task, so a
+    key holding a large share of the rows would become one huge task.
     """
+    rows, _ = write_observed(df, table, location, fmt, mode, partition_by, bucket_by)
+    return rows
+
+
+def write_observed(df: DataFrame, table: str, location: str | None = None,
+                   fmt: str = "parquet", mode: str = "overwrite",
+                   partition_by: Sequence[str] | None = None,
+                   bucket_by: tuple[Sequence[str], int] | None = None,
+                   null_columns: Sequence[str] = ()) -> tuple[int, dict[str, int]]:
+    """Like ``write_table``, and also count NULLs of ``null_columns`` in the
+    same job: (rows written, {column: nulls})."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    metrics += [F.count_if(F.col(c).isNull()).alias(f"null_{i}")
+                for i, c in enumerate(null_columns)]
     if bucket_by:
         cols, n = list(bucket_by[0]), int(bucket_by[1])
         df = df.repartition(n, *cols)
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
+    writer = df.observe(obs, *metrics).write.format(fmt).mode(mode)
     if bucket_by:
         writer = writer.bucketBy(n, cols[0], *cols[1:])
     if location:
@@ -81,7 +97,9 @@ def write_table(df: DataFrame, table: str, location: str | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
-    return int(obs.get.get("rows", 0))
+    got = obs.get
+    nulls = {c: int(got.get(f"null_{i}", 0)) for i, c in enumerate(null_columns)}
+    return int(got.get("rows", 0)), nulls
 
 
 @dataclass
@@ -121,9 +139,15 @@ class TableStore:
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
               partition_by: Sequence[str] | None = None,
               bucket_by: tuple[Sequence[str], int] | None = None) -> int:
+        return self.write_observed(df, layer, table, mode, partition_by, bucket_by)[0]
+
+    def write_observed(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
+                       partition_by: Sequence[str] | None = None,
+                       bucket_by: tuple[Sequence[str], int] | None = None,
+                       null_columns: Sequence[str] = ()) -> tuple[int, dict[str, int]]:
         self.ensure_schema(layer)
-        return write_table(df, self.name(layer, table), self.location(layer, table),
-                           self.fmt, mode, partition_by, bucket_by)
+        return write_observed(df, self.name(layer, table), self.location(layer, table),
+                              self.fmt, mode, partition_by, bucket_by, null_columns)
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
