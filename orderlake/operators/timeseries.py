@@ -22,10 +22,14 @@ def date_bounds(df: DataFrame, date_col: str) -> DataFrame:
 
 
 def calendar_spine(df: DataFrame, date_col: str, series_col: str) -> DataFrame:
-    """Every day from the first to the last date of ``df``, for every series."""
-    lo = df.select(F.min(date_col)).scalar()
-    hi = df.select(F.max(date_col)).scalar()
-    days = F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY")))
+    """Every day from the first to the last date of ``df``, for every series.
+
+    The bounds are ONE scalar subquery (a global min/max aggregate, partial
+    per task); Spark runs it once and inlines the result.
+    """
+    bounds = df.select(F.struct(F.min(date_col).alias("lo"),
+                                F.max(date_col).alias("hi"))).scalar()
+    days = F.explode(F.sequence(bounds["lo"], bounds["hi"], F.expr("INTERVAL 1 DAY")))
     return (df.select(series_col).distinct()
               .select(days.alias(date_col), F.col(series_col)))
 
