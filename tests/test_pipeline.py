@@ -70,3 +70,6 @@ def test_null_gate_raises_on_missing_rates(spark):
     store = TableStore(spark, scratch_path(spark, "gate"), prefix="gate_")
     with pytest.raises(QualityGateError, match="customers: is_active=7"):
         pipeline.run(spark, fixtures.sources(spark, SF), store, null_gate_mode="raise")
+    log = {(r.layer, r.status) for r in store.read("audit", "pipeline_run_log").collect()}
+    assert ("RUN", "FAILED") in log and ("BRONZE", "SUCCESS") in log
+    assert not store.exists("gold", "fact_orders")         # stopped before gold

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orderlake.sinks import AuditLog, TableStore, layer_row_counts, write_table
 from orderlake.sources import (
-    FX_SCHEMA, ORDERS_SCHEMA, read_csv_source, read_json_source, read_table)
+    FX_SCHEMA, ORDERS_SCHEMA, read_csv_source, read_json_source, read_table, with_file_lineage)
 
 
 def local(path):
@@ -28,6 +28,17 @@ def test_csv_positional_schema_keeps_blanks(spark, tmp_root):
                    ("A-2", None, "1/6/2020 0:00", "3", "0.1", "PAID")]
 
 
+def test_file_lineage_columns(spark, tmp_root):
+    d = local(tmp_root)
+    os.makedirs(d, exist_ok=True)
+    with open(f"{d}/orders.csv", "w") as f:
+        f.write("order_id,cust_id,order date,prod_id,quantity,status\nA-1,1,1/5/2020 0:00,2,3,PAID\n")
+    ts = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    r = with_file_lineage(read_csv_source(spark, d, ORDERS_SCHEMA), ts).first()
+    assert r._source_file.endswith("/orders.csv")
+    assert str(r._ingested_at) == "2024-01-01 00:00:00"
+
+
 def test_csv_malformed_record_is_kept_in_corrupt_column(spark, tmp_root):
     d = local(tmp_root)
     os.makedirs(d, exist_ok=True)
