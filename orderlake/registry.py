@@ -19,7 +19,7 @@ from pyspark.sql.types import ArrayType, DecimalType
 
 from orderlake import constants as K
 from orderlake.functions import (
-    clean_lower, clean_upper, is_blank, money_avg, money, parse_iso_date, parse_us_date,
+    clean_lower, clean_upper, money_avg, money, parse_iso_date, parse_us_date,
     parse_us_timestamp, round_money, to_bigint, to_double_num, to_whole_int, yes_no_flag)
 from orderlake.operators import dedup, quality, timeseries
 from orderlake.operators.hierarchy import resolve_top_category
@@ -661,7 +661,3 @@ def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFr
     """Flagship: daily active customers by region, through every layer."""
     return QUERIES["metric_daily_active"](spark, sf_dir)
 
-
-# keep names importable for callers that want the raw helpers
-__all__ = ["QUERIES", "ORACLE", "Frames", "comparable", "entry", "is_blank",
-           "parse_us_date"]
