@@ -26,7 +26,7 @@ from orderlake.operators.hierarchy import resolve_top_category
 from orderlake.oracle import sql_for
 from orderlake.plans import bronze, gold, metrics, silver
 from orderlake.session import scratch_path
-from orderlake.sinks.tables import AUDIT_SCHEMA
+from orderlake.sinks.tables import AUDIT_SCHEMA, counts_frame
 from orderlake.sources import fixtures, readers, schemas
 
 AS_OF = "2002-01-01"          # fixed reference date for tenure
@@ -599,26 +599,14 @@ _GOLD_TABLES = [("dim_customer", "customer dimension"), ("dim_product", "product
 def _row_counts(fr: Frames) -> DataFrame:
     frames = {"dim_customer": fr.dim_customer, "dim_product": fr.dim_product,
               "dim_date": fr.dim_date, "fact_orders": fr.fact}
-    parts = [frames[t].agg(F.count(F.lit(1)).alias("row_count"))
-                      .select(F.lit(label).alias("label"), "row_count",
-                              F.lit(1).alias("min_rows"),
-                              (F.col("row_count") >= 1).alias("passed"))
-             for t, label in _GOLD_TABLES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    counts = counts_frame(fr.spark, [({"label": label}, frames[t]) for t, label in _GOLD_TABLES])
+    return counts.select("label", "row_count", F.lit(1).alias("min_rows"),
+                         (F.col("row_count") >= 1).alias("passed"))
 
 
 def _layer_counts(fr: Frames) -> DataFrame:
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
-               .select(F.lit(layer).alias("layer"), F.lit(f"{layer}.{t}").alias("table_name"),
-                       "row_count")
-             for layer, t, df in fr.layer_frames()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return counts_frame(fr.spark, [({"layer": layer, "table_name": f"{layer}.{t}"}, df)
+                                   for layer, t, df in fr.layer_frames()])
 
 
 _LAYER_SQL = {

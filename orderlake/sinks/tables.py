@@ -183,23 +183,29 @@ class AuditLog:
         return n
 
 
-def layer_row_counts(store: TableStore,
-                     layout: dict[str, Iterable[tuple[str, str]]]) -> DataFrame:
-    """Current row count of each table, as one frame (layer, table, label,
-    row_count).  A missing table is reported with a NULL count."""
+def counts_frame(spark: SparkSession,
+                 entries: Sequence[tuple[dict[str, str], DataFrame | None]]) -> DataFrame:
+    """One row per entry: its label columns and the row count of its frame
+    (NULL when the frame is missing).  Each count is a separate aggregate
+    branch of one union, so Spark runs them in a single job."""
     parts = []
-    for layer, tables in layout.items():
-        for table, label in tables:
-            head = [F.lit(layer).alias("layer"), F.lit(store.name(layer, table)).alias("table_name"),
-                    F.lit(label).alias("label")]
-            if store.exists(layer, table):
-                parts.append(store.read(layer, table)
-                             .agg(F.count(F.lit(1)).alias("row_count"))
-                             .select(*head, "row_count"))
-            else:
-                parts.append(store.spark.range(1).select(
-                    *head, F.lit(None).cast("bigint").alias("row_count")))
+    for labels, df in entries:
+        head = [F.lit(v).alias(k) for k, v in labels.items()]
+        if df is None:
+            parts.append(spark.range(1).select(*head, F.lit(None).cast("bigint").alias("row_count")))
+        else:
+            parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(*head, "row_count"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def layer_row_counts(store: TableStore,
+                     layout: dict[str, Iterable[tuple[str, str]]]) -> DataFrame:
+    """Current row count of each table, as one frame (layer, table_name, label,
+    row_count).  A missing table is reported with a NULL count."""
+    return counts_frame(store.spark, [
+        ({"layer": layer, "table_name": store.name(layer, table), "label": label},
+         store.read(layer, table) if store.exists(layer, table) else None)
+        for layer, tables in layout.items() for table, label in tables])
