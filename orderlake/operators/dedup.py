@@ -35,6 +35,8 @@ def keep_one_per_key(df: DataFrame, keys: Sequence[str],
         order = [order]
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     rest = [c for c in df.columns if c not in keys]
+    if not rest:                       # every column is a key: plain distinct
+        return df.dropDuplicates(keys)
     packed = F.struct(*[o.alias(f"_ord{i}") for i, o in enumerate(order_cols)],
                       *[F.col(c) for c in rest])
     pick = F.max(packed) if descending else F.min(packed)

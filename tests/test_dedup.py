@@ -73,3 +73,9 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert "Aggregate" in below
     assert out.filter("k = 0").first()["o"] == 19998
     assert out.count() == df.select("k").distinct().count()
+
+
+def test_all_columns_as_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "k string, v int")
+    assert keep_one_per_key(df, ["k", "v"], "v").count() == 2
+    assert exact_dedup(df, ["k", "v"]).count() == 2
