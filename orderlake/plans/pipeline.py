@@ -22,7 +22,7 @@ from orderlake.operators.quality import check_nulls_counts
 from orderlake.plans import bronze, gold, metrics, silver
 from orderlake.session import work_root
 from orderlake.sinks import AuditLog, TableStore, layer_row_counts
-from orderlake.sinks.tables import ERROR_TABLE_DDL
+from orderlake.sinks.tables import BRONZE_DDL, ERROR_TABLE_DDL
 
 LAYOUT = {
     "bronze": [("customer", "customers"), ("orders", "orders"), ("product", "products"),
@@ -36,6 +36,11 @@ LAYOUT = {
 }
 
 
+# Layers whose tables are declared up front (typed DDL with comments); the
+# others take the schema of the frame written to them.
+DECLARED_LAYERS = ("bronze", "error_tables")
+
+
 def run_timestamp(now: dt.datetime | None = None) -> Column:
     """One timestamp literal for every table of a run (UTC, naive)."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -73,6 +78,8 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
     audit = AuditLog(res.run_id)
     for layer in LAYOUT:
         store.ensure_schema(layer)
+    for table, (ddl, note) in BRONZE_DDL.items():
+        store.create_table("bronze", table, ddl, note)
     store.create_table("error_tables", "err_orders", ERROR_TABLE_DDL, "quarantined order rows")
     pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
 
@@ -87,7 +94,8 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
                 else job["df"]
             return store.write_observed(df, job["layer"], job["table"],
                                         bucket_by=job.get("bucket_by"),
-                                        null_columns=job.get("gate", ()))
+                                        null_columns=job.get("gate", ()),
+                                        keep_definition=job["layer"] in DECLARED_LAYERS)
         results = _wave(pool, [lambda j=j: write(j) for j in jobs])
         for job, (n, nulls) in zip(jobs, results):
             layer, table = job["layer"], job["table"]

@@ -34,7 +34,51 @@ AUDIT_SCHEMA = StructType([
     StructField("logged_at", StringType(), True),
 ])
 
-# Typed DDL of the tables whose schema is fixed up front.
+# Typed DDL of the tables whose schema is fixed up front: the bronze tables
+# (raw text as received plus lineage), the quarantine table and the audit log.
+_LINEAGE_DDL = """,
+    _source_file STRING COMMENT 'feed or file the row came from',
+    _ingested_at TIMESTAMP COMMENT 'run timestamp of the ingest'
+"""
+BRONZE_DDL = {
+    "customer": ("""
+    cust_id STRING COMMENT 'customer id as received',
+    created_at STRING COMMENT 'creation date text, M/d/yyyy',
+    country STRING COMMENT 'country',
+    region STRING COMMENT 'region name',
+    type STRING COMMENT 'customer segment',
+    zip STRING COMMENT 'postal code, text so leading zeros stay',
+    active STRING COMMENT 'y / n flag as received'""" + _LINEAGE_DDL,
+                 "newest snapshot per customer"),
+    "orders": ("""
+    order_id STRING COMMENT 'order id',
+    cust_id STRING COMMENT 'customer id as received',
+    order_date_raw STRING COMMENT 'order time text, M/d/yyyy H:mm',
+    prod_id STRING COMMENT 'product id as received',
+    quantity_raw STRING COMMENT 'quantity text as received',
+    status STRING COMMENT 'status as received'""" + _LINEAGE_DDL,
+               "order lines without exact copies and without quarantined rows"),
+    "product": ("""
+    prod_id STRING COMMENT 'product id as received',
+    cat_id STRING COMMENT 'category id as received',
+    prod_name STRING COMMENT 'product name',
+    price STRING COMMENT 'price text in the product currency',
+    currency STRING COMMENT 'currency code as received (any case)',
+    _currency_note STRING COMMENT 'set when the code is not upper case'""" + _LINEAGE_DDL,
+                "products as received"),
+    "cat_tree": ("""
+    cat_id STRING COMMENT 'category id',
+    child STRING COMMENT 'category name',
+    parent STRING COMMENT 'parent category name; all marks a root'""" + _LINEAGE_DDL,
+                 "category edges as received"),
+    "fx_rates": ("""
+    date STRING COMMENT 'rate date text, yyyy-MM-dd',
+    currency STRING COMMENT 'currency code as received',
+    conversion DOUBLE COMMENT 'rate to USD',
+    seq BIGINT COMMENT 'write sequence of the feed; the highest wins'""" + _LINEAGE_DDL,
+                 "last written rate per date and currency"),
+}
+
 ERROR_TABLE_DDL = """
     order_id STRING COMMENT 'order id as received',
     cust_id STRING COMMENT 'customer id as received',
@@ -102,6 +146,25 @@ def write_observed(df: DataFrame, table: str, location: str | None = None,
     return int(got.get("rows", 0)), nulls
 
 
+def insert_observed(df: DataFrame, table: str, mode: str = "overwrite",
+                    null_columns: Sequence[str] = ()) -> tuple[int, dict[str, int]]:
+    """Insert into an existing table (columns matched by name, cast to the
+    declared types), observing the row count and NULL counts."""
+    target = df.sparkSession.table(table).schema
+    missing = [f.name for f in target.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{table}: frame lacks declared columns {missing}")
+    df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    metrics += [F.count_if(F.col(c).isNull()).alias(f"null_{i}")
+                for i, c in enumerate(null_columns)]
+    df.observe(obs, *metrics).write.insertInto(table, overwrite=(mode == "overwrite"))
+    got = obs.get
+    nulls = {c: int(got.get(f"null_{i}", 0)) for i, c in enumerate(null_columns)}
+    return int(got.get("rows", 0)), nulls
+
+
 @dataclass
 class TableStore:
     """Per-layer databases under one root folder."""
@@ -144,9 +207,16 @@ class TableStore:
     def write_observed(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
                        partition_by: Sequence[str] | None = None,
                        bucket_by: tuple[Sequence[str], int] | None = None,
-                       null_columns: Sequence[str] = ()) -> tuple[int, dict[str, int]]:
+                       null_columns: Sequence[str] = (),
+                       keep_definition: bool = False) -> tuple[int, dict[str, int]]:
+        """Write and observe.  ``keep_definition=True`` writes into the
+        existing (DDL-declared) table by column name, keeping its declared
+        types and comments, instead of replacing the table."""
         self.ensure_schema(layer)
-        return write_observed(df, self.name(layer, table), self.location(layer, table),
+        name = self.name(layer, table)
+        if keep_definition and self.exists(layer, table):
+            return insert_observed(df, name, mode, null_columns)
+        return write_observed(df, name, self.location(layer, table),
                               self.fmt, mode, partition_by, bucket_by, null_columns)
 
     def read(self, layer: str, table: str) -> DataFrame:

@@ -73,3 +73,15 @@ def test_null_gate_raises_on_missing_rates(spark):
     log = {(r.layer, r.status) for r in store.read("audit", "pipeline_run_log").collect()}
     assert ("RUN", "FAILED") in log and ("BRONZE", "SUCCESS") in log
     assert not store.exists("gold", "fact_orders")         # stopped before gold
+
+
+def test_declared_tables_keep_types_and_comments(run, spark):
+    store, res = run
+    cols = {c.name: (c.dataType, c.description)
+            for c in spark.catalog.listColumns(store.name("bronze", "orders"))}
+    assert list(cols)[-2:] == ["_source_file", "_ingested_at"]
+    assert cols["_ingested_at"][0] == "timestamp"
+    assert cols["zip" if "zip" in cols else "status"][1]            # comment kept
+    err = {c.name: c.description for c in spark.catalog.listColumns(
+        store.name("error_tables", "err_orders"))}
+    assert err["_error_code"] == "quarantine reason code"
