@@ -55,7 +55,9 @@ def tag_quarantine(classified: DataFrame, source_file: str | Column,
                    run_ts: Column | None = None) -> DataFrame:
     """Quarantined rows with code, message, source file and run time."""
     src = F.lit(source_file) if isinstance(source_file, str) else source_file
-    base = [c for c in classified.columns if c not in (CODE, CLEAN)]
+    if "_source_file" in classified.columns:      # file scans carry their own path
+        src = F.col("_source_file")
+    base = [c for c in classified.columns if c not in (CODE, CLEAN, "_source_file")]
     out = (classified.filter(F.col(CODE).isNotNull())
                      .select(*base, F.col(CODE),
                              _message(F.col(CODE)).alias("_error_message"),

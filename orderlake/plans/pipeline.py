@@ -187,20 +187,22 @@ def _wave(pool: ThreadPoolExecutor, jobs: list) -> list:
     return results
 
 
-def metric_frames(store: TableStore, as_of: str | None = None) -> dict[str, DataFrame]:
-    """The metrics, lazily, over the written gold and error tables."""
+def metric_frames(store: TableStore, as_of: str | None = None,
+                  ordered: bool = False) -> dict[str, DataFrame]:
+    """The metrics, lazily, over the written gold and error tables
+    (``ordered=True``: in the presentation order of the original queries)."""
     rd = store.read
     fact, dates = rd("gold", "fact_orders"), rd("gold", "dim_date")
     cust, prod = rd("gold", "dim_customer"), rd("gold", "dim_product")
     sales = metrics.category_sales(fact, dates, prod)
     return {
-        "daily_active": metrics.daily_active_customers(fact, dates, cust),
-        "category_sales": sales,
+        "daily_active": metrics.daily_active_customers(fact, dates, cust, ordered),
+        "category_sales": metrics.category_sales(fact, dates, prod, ordered=ordered),
         "category_totals": metrics.category_totals(sales),
-        "top_products": metrics.top_products_by_region(fact, cust, prod),
-        "customer_value": metrics.customer_value(fact, cust),
-        "customer_tenure": metrics.customer_value(fact, cust, dates, as_of),
-        "order_audit": metrics.order_audit(fact, rd("error_tables", "err_orders")),
+        "top_products": metrics.top_products_by_region(fact, cust, prod, ordered=ordered),
+        "customer_value": metrics.customer_value(fact, cust, ordered=ordered),
+        "customer_tenure": metrics.customer_value(fact, cust, dates, as_of, ordered),
+        "order_audit": metrics.order_audit(fact, rd("error_tables", "err_orders"), ordered),
     }
 
 

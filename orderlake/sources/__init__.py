@@ -4,3 +4,4 @@ from orderlake.sources.readers import (  # noqa: F401
     read_csv_source, read_json_source, read_table, with_file_lineage, with_sequence)
 from orderlake.sources.schemas import (  # noqa: F401
     CATEGORY_SCHEMA, CUSTOMER_SCHEMA, FX_SCHEMA, ORDERS_SCHEMA, PRODUCT_SCHEMA)
+from orderlake.sources.files import read_feeds  # noqa: F401,E402

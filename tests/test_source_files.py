@@ -1,0 +1,140 @@
+"""Golden run on source files shaped like the original feeds (five files in
+one folder), through CSV / multi-line JSON scans and every layer."""
+
+import json
+import os
+from decimal import Decimal
+
+import pytest
+
+from orderlake import constants as K
+from orderlake.plans import pipeline
+from orderlake.sinks import TableStore
+from orderlake.sources import read_feeds
+
+CUSTOMERS = """cust_id,created_at,country,region,type,zip,active
+1,1/5/2019,US,AMERICA,Retail,02134,y
+1,6/1/2019,US,AMERICA,Retail,02134,n
+1,3/2/2019,US,AMERICA,Retail,02134,y
+2,2/1/2019,DE,EUROPE,Corporate,10115,n
+2,2/9/2019,DE,EUROPE,Corporate,10115,y
+2,1/1/2019,DE,EUROPE,Corporate,10115,n
+3,7/7/2019,JP,ASIA,Retail,00100,y
+3,7/1/2019,JP,ASIA,Retail,00100,n
+3,7/3/2019,JP,ASIA,Retail,00100,n
+4,1/1/2019,GB,EUROPE,Wholesale,04000,n
+4,1/2/2019,GB,EUROPE,Wholesale,04000,n
+4,1/3/2019,GB,EUROPE,Wholesale,04000,y
+"""
+ORDERS = """order_id,cust_id,order date,prod_id,quantity,status
+A-001,1,1/10/2020 9:15,1,2, Shipped
+A-002,2,1/28/2020 10:00,5,1,PAID
+A-002,2,1/28/2020 10:00,5,1,PAID
+A-005,3,2/3/2020 12:30,2,3,created
+A-005,3,2/3/2020 12:30,3,1,created
+A-009,4,2/20/2020 8:00,4,1,PAID
+A-009,4,2/20/2020 8:00,7,2,PAID
+A-009,4,2/20/2020 8:00,11,1,PAID
+A-013,1,3/1/2020 9:00,2,0.1,PAID
+A-014,2,3/2/2020 9:00,6,2.0, Shipped
+A-21,,3/3/2020 9:00,1,1,PAID
+A-22, ,3/3/2020 9:00,1,1,PAID
+"""
+PRODUCTS = """prod_id,cat_id,prod_name,price,currency
+1,1,dark bar,2.50,USD
+2,2,gummies,1.25,Yen
+3,1,milk bar,3.00,USD
+4,3,salted crisps,1.75,POUND
+5,4,corn chips,2.00,USD
+6,2,toffee,0.80,Yen
+7,3,sea salt crisps,1.95,POUND
+11,4,tortilla chips,2.20,USD
+"""
+CATEGORIES = """cat_id,child,parent
+1,chocolate,Sweet
+2,candy,Sweet
+3,crisp,salt
+4,chip,salt
+5,Sweet,all
+6,salt,all
+"""
+FX = [
+    {"date": "2020-01-01", "currency": "USD", "conversion": 1.0},
+    {"date": "2020-01-01", "currency": "YEN", "conversion": 0.0091},
+    {"date": "2020-01-01", "currency": "POUND", "conversion": 1.31},
+    {"date": "2020-01-28", "currency": "USD", "conversion": 1.0},
+    {"date": "2020-01-28", "currency": "YEN", "conversion": 0.0090},
+    {"date": "2020-01-28", "currency": "YEN", "conversion": 0.0092},
+    {"date": "2020-01-28", "currency": "POUND", "conversion": 1.30},
+    {"date": "2020-01-28", "currency": "POUND", "conversion": 1.32},
+    {"date": "2020-03-05", "currency": "USD", "conversion": 1.0},
+    {"date": "2020-03-05", "currency": "YEN", "conversion": 0.0093},
+    {"date": "2020-03-05", "currency": "POUND", "conversion": 1.29},
+]
+
+
+@pytest.fixture(scope="module")
+def result(spark):
+    from orderlake.session import scratch_path
+    root = scratch_path(spark, "files")
+    src = root.replace("file:", "") + "/src"
+    os.makedirs(src)
+    for name, text in [("customer.csv", CUSTOMERS), ("orders.csv", ORDERS),
+                       ("product.csv", PRODUCTS), ("prod_cat_tree.csv", CATEGORIES)]:
+        with open(f"{src}/{name}", "w") as f:
+            f.write(text)
+    with open(f"{src}/currency_conversion.json", "w") as f:
+        json.dump(FX, f, indent=2)
+    store = TableStore(spark, root + "/tables", prefix="files_")
+    res = pipeline.run(spark, read_feeds(spark, src), store, source_file=f"{src}/orders.csv",
+                       null_gate_mode="raise", as_of="2020-12-31")
+    return store, res
+
+
+def test_counts_and_quarantine(result):
+    store, res = result
+    c = res.counts
+    assert c["bronze.customer"] == 4
+    assert c["error_tables.err_orders"] == 3
+    assert c["bronze.orders"] == 8                          # 12 rows - 3 quarantined - 1 copy
+    assert c["bronze.fx_rates"] == 9                        # repeated 2020-01-28 entries collapsed
+    assert c["silver.fx_rates"] == 65 * 3                   # 2020-01-01 .. 2020-03-05
+    errs = {(r.order_id, r._error_code) for r in store.read("error_tables", "err_orders").collect()}
+    assert errs == {("A-21", K.NULL_CUST_ID), ("A-22", K.NULL_CUST_ID), ("A-013", K.INVALID_QTY)}
+    src = store.read("error_tables", "err_orders").first()._source_file
+    assert src.endswith("/orders.csv")
+
+
+def test_latest_snapshot_and_types(result, spark):
+    store, res = result
+    cust = {r.cust_id: r for r in store.read("silver", "customer").collect()}
+    assert {k: v.is_active for k, v in cust.items()} == {1: False, 2: True, 3: True, 4: True}
+    assert cust[4].zip == "04000" and cust[1].customer_type == "retail"
+    items = {(r.order_id, r.prod_id): r for r in store.read("silver", "order_items").collect()}
+    assert items[("A-014", 6)].quantity == 2                 # '2.0' is a whole number
+    assert items[("A-001", 1)].status == "shipped"
+
+
+def test_fx_last_write_and_gap_fill(result):
+    store, res = result
+    fx = {(r.rate_date.isoformat(), r.currency): (r.rate_to_usd, r._fx_fill_method)
+          for r in store.read("silver", "fx_rates").collect()}
+    assert fx[("2020-01-28", "YEN")] == (0.0092, K.FILL_ACTUAL)      # later row wins
+    assert fx[("2020-02-20", "POUND")] == (1.32, K.FILL_FORWARD)
+    items = {(r.order_id, r.prod_id): r for r in store.read("silver", "order_items").collect()}
+    assert items[("A-009", 4)].revenue_usd == Decimal("2.3100")      # 1.75 * 1 * 1.32
+
+
+def test_metrics(result):
+    store, res = result
+    m = pipeline.metric_frames(store, "2020-12-31", ordered=True)
+    audit = [tuple(r) for r in m["order_audit"].collect()]
+    multi = {r[1]: r[3] for r in audit if r[0] == K.MULTI_LINE_FLAG}
+    assert multi == {"A-005": [2, 3], "A-009": [4, 7, 11]}
+    assert len(audit) == 5
+    sales = m["category_sales"].collect()
+    assert {r.top_category for r in sales} == {"Sweet"}
+    tops = m["top_products"].collect()
+    assert all(r.revenue_rank <= 3 for r in tops)
+    value = {r.cust_key: r for r in m["customer_value"].collect()}
+    assert value[4].total_orders == 1 and value[4].total_units == 4
