@@ -21,6 +21,33 @@ BASE_CONF = {
 }
 
 
+def sizing_conf(input_bytes: int, total_cores: int,
+                target_partition_bytes: int = 256 << 20,
+                max_split_bytes: int = 256 << 20,
+                max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over ``input_bytes`` of source data.
+
+    Shuffle width: enough partitions that each holds ~``target_partition_bytes``
+    of the largest shuffle (about the input size here: the order lines are
+    shuffled once, with few columns), and at least 2x the cores so every core
+    has work; AQE then coalesces partitions that come out small and splits
+    skewed ones.  Scan splits stay at most ``max_split_bytes`` so a task's
+    input fits executor memory with room for the aggregation buffers.
+    The width is capped (``max_partitions``): map-output bookkeeping grows
+    with maps x reducers, so at 100 TB partitions grow to ~1 GB instead and
+    spill to disk as they must.
+    """
+    width = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    width = min(width, max(max_partitions, 2 * total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes":
+            str(4 * target_partition_bytes),
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 16,
                   app_name: str = "orderlake", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app_name)

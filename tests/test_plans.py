@@ -53,3 +53,13 @@ def test_bucketed_fact_is_aggregated_per_customer_without_shuffle(spark, tmp_roo
         assert out.count() == 97
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sizing_for_a_100tb_run():
+    from orderlake.session import sizing_conf
+    big = sizing_conf(100 << 40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"          # capped
+    mid = sizing_conf(1 << 40, 800)
+    assert mid["spark.sql.shuffle.partitions"] == str((1 << 40) // (256 << 20))  # 4096
+    small = sizing_conf(40 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
