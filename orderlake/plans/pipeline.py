@@ -1,9 +1,9 @@
 """End-to-end run: feeds -> bronze -> silver -> gold -> metrics.
 
 Each layer is written once and the next layer reads the written tables, so
-every table is computed by exactly one job, counts come from the write job
-itself, and a failure or lost executor only recomputes from the last layer.
-Gates run on written tables and scan only the checked columns.
+every table is computed by exactly one job, row counts and null gates come
+from the write job itself, and a failure or lost executor only recomputes
+from the last written layer.
 """
 
 from __future__ import annotations
@@ -60,7 +60,11 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
         null_gate_mode: str = "raise", as_of: str | None = None,
         flag_missing_qty: bool = False, customer_buckets: int | None = None,
         parallelism: int = 4) -> RunResult:
-    """Run every layer.
+    """Run every layer; return counts, gate results and the metric frames.
+
+    Independent tables of one layer are written as concurrent jobs
+    (``parallelism`` at a time); every write still waits for the tables it
+    reads.  ``null_gate_mode='report'`` records NULL counts without stopping.
 
     ``customer_buckets=n`` (off by default) buckets the fact and the customer
     dimension on ``cust_key`` alike, so the customer-keyed metrics read the
@@ -68,9 +72,8 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
     ~0.5-1 GB.  Use it only when no customer holds a large share of the
     orders: a bucket is read by one task, so a heavy customer would become
     one huge task, while the default shuffled plans combine its rows
-    map-side and AQE splits skewed join partitions.  Independent tables of one layer are
-    written as concurrent jobs (``parallelism`` at a time); every write still
-    waits for the tables it reads."""
+    map-side and AQE splits skewed join partitions.
+    """
     store = store or TableStore(spark, f"{work_root(spark)}/tables")
     by_customer = (["cust_key"], customer_buckets) if customer_buckets else None
     run_ts = run_ts if run_ts is not None else run_timestamp()
