@@ -8,4 +8,4 @@ from orderlake.operators.quality import (  # noqa: F401
     QualityGateError, check_nulls, check_row_count, classify_orders, null_profile,
     quarantine_counts, tag_quarantine)
 from orderlake.operators.timeseries import (  # noqa: F401
-    calendar_spine, date_bounds, fill_daily_rates, latest_value_per_series)
+    calendar_spine, date_bounds, fill_daily_rates, forward_fill, latest_value_per_series)

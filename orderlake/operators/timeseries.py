@@ -4,8 +4,9 @@ No bounds or date lists travel through the driver: the bounds are scalar
 subqueries planned by Spark, date membership is a join.
 
 Size note: the spine has (days in range) x (series) rows, bounded by the
-calendar, not by the number of input rows; the fill window is partitioned by
-series and each partition holds at most one row per day.
+calendar, not by the number of input rows; the forward fill is computed per
+(series, year) segment plus a carry over the per-segment summary, so no
+window partition holds more than one year of one series.
 """
 
 from __future__ import annotations
@@ -34,6 +35,37 @@ def calendar_spine(df: DataFrame, date_col: str, series_col: str) -> DataFrame:
               .select(days.alias(date_col), F.col(series_col)))
 
 
+def forward_fill(df: DataFrame, series_col: str, date_col: str, value_col: str,
+                 out_col: str | None = None) -> DataFrame:
+    """Last non-null ``value_col`` on or before each row's date, per series.
+
+    Computed in bounded pieces: first within (series, year) segments, then
+    each segment takes the last known value of the segments before it from a
+    per-segment summary (one row per series and year).  No window partition
+    ever holds more than one year of one series, however long the range, and
+    the carry step works on the small summary.
+    """
+    out_col = out_col or value_col
+    seg = F.year(F.col(date_col)).alias("_seg")
+    base = df.withColumn("_seg", seg)
+    in_seg = (Window.partitionBy(series_col, "_seg").orderBy(date_col)
+                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    filled = base.withColumn("_in_seg", F.last(value_col, ignorenulls=True).over(in_seg))
+    # last known value of every segment, then carried into the following ones
+    summary = (base.filter(F.col(value_col).isNotNull())
+                   .groupBy(series_col, "_seg")
+                   .agg(F.max_by(value_col, date_col).alias("_seg_last")))
+    before = (Window.partitionBy(series_col).orderBy("_seg")
+                    .rowsBetween(Window.unboundedPreceding, -1))
+    segments = (base.select(series_col, "_seg").distinct()
+                    .join(summary, [series_col, "_seg"], "left")
+                    .withColumn("_carry", F.last("_seg_last", ignorenulls=True).over(before))
+                    .select(series_col, "_seg", "_carry"))
+    return (filled.join(segments, [series_col, "_seg"], "left")
+                  .withColumn(out_col, F.coalesce(F.col("_in_seg"), F.col("_carry")))
+                  .drop("_seg", "_in_seg", "_carry"))
+
+
 def fill_daily_rates(typed: DataFrame, date_col: str = "rate_date",
                      series_col: str = "currency", value_col: str = "rate_to_usd",
                      method_col: str = "_fx_fill_method",
@@ -54,10 +86,8 @@ def fill_daily_rates(typed: DataFrame, date_col: str = "rate_date",
     if not per_series:
         dates = typed.select(date_col).distinct().withColumn("_actual", F.lit(True))
         joined = joined.join(dates, date_col, "left")
-    w = (Window.partitionBy(series_col).orderBy(date_col)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = F.last(value_col, ignorenulls=True).over(w)
-    return (joined.select(date_col, series_col, filled.alias(value_col),
+    filled = forward_fill(joined, series_col, date_col, value_col)
+    return (filled.select(date_col, series_col, value_col,
                           F.coalesce(F.col("_actual"), F.lit(False)).alias("_actual"))
                   .withColumn(method_col,
                               F.when(F.col(value_col).isNull(), F.lit(K.FILL_NONE))

@@ -42,7 +42,8 @@ def test_keep_one_per_key_matches_brute_force(spark, rows, descending, parts):
     assert sorted(map(tuple, again.collect()), key=lambda r: r[0]) == got   # idempotent
 
 
-fx_st = st.lists(st.tuples(st.integers(0, 20), st.sampled_from(["USD", "YEN"]),
+fx_st = st.lists(st.tuples(st.one_of(st.integers(0, 20), st.integers(300, 1200)),
+                           st.sampled_from(["USD", "YEN"]),
                            st.floats(0.01, 5, allow_nan=False)),
                  min_size=1, max_size=15, unique_by=lambda t: (t[0], t[1]))
 
@@ -50,7 +51,7 @@ fx_st = st.lists(st.tuples(st.integers(0, 20), st.sampled_from(["USD", "YEN"]),
 @SETTINGS
 @given(rows=fx_st)
 def test_forward_fill_matches_brute_force(spark, rows):
-    base = dt.date(2020, 1, 1)
+    base = dt.date(2019, 12, 20)          # ranges cross one to four year boundaries
     data = [(base + dt.timedelta(days=d), c, r) for d, c, r in rows]
     out = {(r.rate_date, r.currency): (r.rate_to_usd, r._fx_fill_method)
            for r in fill_daily_rates(spark.createDataFrame(

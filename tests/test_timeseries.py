@@ -50,3 +50,15 @@ def test_latest_value_ignores_trailing_null(spark):
             (D(2020, 1, 3), "USD", None), (D(2020, 1, 1), "YEN", None)]
     got = {r.currency: r.latest_rate for r in latest_value_per_series(typed(spark, rows)).collect()}
     assert got == {"USD": 1.2}
+
+
+def test_fill_carries_across_an_empty_year(spark):
+    t = typed(spark, [(D(2018, 12, 30), "USD", 1.1), (D(2020, 3, 1), "USD", 1.4),
+                      (D(2020, 3, 1), "YEN", 0.2)])
+    out = {(r.rate_date, r.currency): (r.rate_to_usd, r._fx_fill_method)
+           for r in fill_daily_rates(t).collect()}
+    assert out[(D(2019, 7, 1), "USD")] == (1.1, K.FILL_FORWARD)      # via the 2019 carry
+    assert out[(D(2020, 2, 29), "USD")] == (1.1, K.FILL_FORWARD)
+    assert out[(D(2020, 3, 1), "USD")] == (1.4, K.FILL_ACTUAL)
+    assert out[(D(2020, 2, 29), "YEN")] == (None, K.FILL_NONE)
+    assert len(out) == 2 * ((D(2020, 3, 1) - D(2018, 12, 30)).days + 1)
