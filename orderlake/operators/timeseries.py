@@ -22,21 +22,32 @@ def date_bounds(df: DataFrame, date_col: str) -> DataFrame:
     return df.agg(F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date"))
 
 
-def calendar_spine(df: DataFrame, date_col: str, series_col: str) -> DataFrame:
-    """Every day from the first to the last date of ``df``, for every series.
+def _bounds(df: DataFrame, date_col: str):
+    """First and last date of ``df`` as ONE scalar subquery (a global min/max
+    aggregate, partial per task); Spark runs it once and inlines the result."""
+    b = df.select(F.struct(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))).scalar()
+    return b["lo"], b["hi"]
 
-    The bounds are ONE scalar subquery (a global min/max aggregate, partial
-    per task); Spark runs it once and inlines the result.
-    """
-    bounds = df.select(F.struct(F.min(date_col).alias("lo"),
-                                F.max(date_col).alias("hi"))).scalar()
-    days = F.explode(F.sequence(bounds["lo"], bounds["hi"], F.expr("INTERVAL 1 DAY")))
+
+def calendar_spine(df: DataFrame, date_col: str, series_col: str) -> DataFrame:
+    """Every day from the first to the last date of ``df``, for every series."""
+    lo, hi = _bounds(df, date_col)
+    days = F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY")))
     return (df.select(series_col).distinct()
               .select(days.alias(date_col), F.col(series_col)))
 
 
+def calendar_years(df: DataFrame, date_col: str, series_col: str) -> DataFrame:
+    """Every (series, year) of the spine, as ``_seg``: one row per series and year."""
+    lo, hi = _bounds(df, date_col)
+    return (df.select(series_col).distinct()
+              .select(F.col(series_col),
+                      F.explode(F.sequence(F.year(lo), F.year(hi))).alias("_seg")))
+
+
 def forward_fill(df: DataFrame, series_col: str, date_col: str, value_col: str,
-                 out_col: str | None = None) -> DataFrame:
+                 out_col: str | None = None, known: DataFrame | None = None,
+                 segments: DataFrame | None = None) -> DataFrame:
     """Last non-null ``value_col`` on or before each row's date, per series.
 
     Computed in bounded pieces: first within (series, year) segments, then
@@ -44,24 +55,29 @@ def forward_fill(df: DataFrame, series_col: str, date_col: str, value_col: str,
     per-segment summary (one row per series and year).  No window partition
     ever holds more than one year of one series, however long the range, and
     the carry step works on the small summary.
+
+    ``known`` (series, date, value rows) and ``segments`` (series, ``_seg``
+    = year, one row per segment of ``df``) default to being derived from
+    ``df``; callers that have them cheaper pass them in.
     """
     out_col = out_col or value_col
-    seg = F.year(F.col(date_col)).alias("_seg")
-    base = df.withColumn("_seg", seg)
+    base = df.withColumn("_seg", F.year(F.col(date_col)))
     in_seg = (Window.partitionBy(series_col, "_seg").orderBy(date_col)
                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     filled = base.withColumn("_in_seg", F.last(value_col, ignorenulls=True).over(in_seg))
-    # last known value of every segment, then carried into the following ones
-    summary = (base.filter(F.col(value_col).isNotNull())
-                   .groupBy(series_col, "_seg")
-                   .agg(F.max_by(value_col, date_col).alias("_seg_last")))
+    if known is None:
+        known = df.select(series_col, date_col, value_col)
+    if segments is None:
+        segments = base.select(series_col, "_seg").distinct()
+    summary = (known.filter(F.col(value_col).isNotNull())
+                    .groupBy(series_col, F.year(F.col(date_col)).alias("_seg"))
+                    .agg(F.max_by(value_col, date_col).alias("_seg_last")))
     before = (Window.partitionBy(series_col).orderBy("_seg")
                     .rowsBetween(Window.unboundedPreceding, -1))
-    segments = (base.select(series_col, "_seg").distinct()
-                    .join(summary, [series_col, "_seg"], "left")
-                    .withColumn("_carry", F.last("_seg_last", ignorenulls=True).over(before))
-                    .select(series_col, "_seg", "_carry"))
-    return (filled.join(segments, [series_col, "_seg"], "left")
+    carry = (segments.join(summary, [series_col, "_seg"], "left")
+                     .withColumn("_carry", F.last("_seg_last", ignorenulls=True).over(before))
+                     .select(series_col, "_seg", "_carry"))
+    return (filled.join(carry, [series_col, "_seg"], "left")
                   .withColumn(out_col, F.coalesce(F.col("_in_seg"), F.col("_carry")))
                   .drop("_seg", "_in_seg", "_carry"))
 
@@ -86,7 +102,9 @@ def fill_daily_rates(typed: DataFrame, date_col: str = "rate_date",
     if not per_series:
         dates = typed.select(date_col).distinct().withColumn("_actual", F.lit(True))
         joined = joined.join(dates, date_col, "left")
-    filled = forward_fill(joined, series_col, date_col, value_col)
+    filled = forward_fill(joined, series_col, date_col, value_col,
+                          known=typed.select(series_col, date_col, value_col),
+                          segments=calendar_years(typed, date_col, series_col))
     return (filled.select(date_col, series_col, value_col,
                           F.coalesce(F.col("_actual"), F.lit(False)).alias("_actual"))
                   .withColumn(method_col,
