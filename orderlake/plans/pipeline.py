@@ -9,8 +9,9 @@ from the last written layer.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,9 +63,13 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
         parallelism: int = 4) -> RunResult:
     """Run every layer; return counts, gate results and the metric frames.
 
-    Independent tables of one layer are written as concurrent jobs
-    (``parallelism`` at a time); every write still waits for the tables it
-    reads.  ``null_gate_mode='report'`` records NULL counts without stopping.
+    Each table is written as soon as the tables it reads are written, up to
+    ``parallelism`` writes at a time (concurrent Spark jobs share the
+    executors).  A table never waits for unrelated tables of its layer: the
+    FX calendar is filled while the order lines are still being cleaned.
+    ``null_gate_mode='report'`` records NULL counts without stopping; with
+    ``'raise'`` a failing gate stops the run before any table that reads the
+    gated one is built, and no further write starts.
 
     ``customer_buckets=n`` (off by default) buckets the fact and the customer
     dimension on ``cust_key`` alike, so the customer-keyed metrics read the
@@ -84,36 +89,36 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
     for table, (ddl, note) in BRONZE_DDL.items():
         store.create_table("bronze", table, ddl, note)
     store.create_table("error_tables", "err_orders", ERROR_TABLE_DDL, "quarantined order rows")
-    pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
+    writes = _Writes(parallelism)
+    rd = store.read
 
-    def put_all(jobs: list[dict]) -> None:
-        """Write independent tables concurrently; record counts in job order.
+    def put(layer: str, table: str, build, needs=(), stamp=True, bucket_by=None,
+            gate=(), label=None, min_rows=None) -> None:
+        """Write ``build()`` once every table in ``needs`` is written.
 
-        A job may name ``gate`` columns: their NULLs are counted by the write
-        job itself (no second scan) and the gate is applied after the write.
+        ``gate`` columns have their NULLs counted by the write job itself (no
+        second scan); the gate and the ``min_rows`` check are applied right
+        after the write, before any table reading this one starts.
         """
-        def write(job: dict):
-            df = job["df"].withColumn("_updated_at", run_ts) if job.get("stamp", True) \
-                else job["df"]
-            return store.write_observed(df, job["layer"], job["table"],
-                                        bucket_by=job.get("bucket_by"),
-                                        null_columns=job.get("gate", ()),
-                                        keep_definition=job["layer"] in DECLARED_LAYERS)
-        results = _wave(pool, [lambda j=j: write(j) for j in jobs])
-        for job, (n, nulls) in zip(jobs, results):
-            layer, table = job["layer"], job["table"]
+        label = label or table
+
+        def write():
+            df = build()
+            if stamp:
+                df = df.withColumn("_updated_at", run_ts)
+            n, nulls = store.write_observed(df, layer, table, bucket_by=bucket_by,
+                                            null_columns=gate,
+                                            keep_definition=layer in DECLARED_LAYERS)
             res.counts[f"{layer}.{table}"] = n
             audit.record(layer.upper(), store.name(layer, table), n)
-            if job.get("gate"):
-                res.gates[job["label"]] = nulls
-        if null_gate_mode == "raise":
-            for job in jobs:
-                if job.get("gate"):
-                    check_nulls_counts(res.gates[job["label"]], job["label"])
-
-    def job(df, layer, table, stamp=True, bucket_by=None, gate=(), label=None) -> dict:
-        return {"df": df, "layer": layer, "table": table, "stamp": stamp,
-                "bucket_by": bucket_by, "gate": list(gate), "label": label or table}
+            if gate:
+                res.gates[label] = nulls
+                if null_gate_mode == "raise":
+                    check_nulls_counts(nulls, label)
+            if min_rows is not None:
+                check_row_count(n, min_rows, label)
+            return n
+        writes.add(f"{layer}.{table}", write, needs)
 
     # Each row keeps where it came from and when it was ingested; file feeds
     # carry their path in ``_source_file`` already (sources.with_file_lineage).
@@ -125,69 +130,112 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
     try:
         # ---- bronze: raw text after dedup and quarantine ---------------
         b = bronze.build(feeds, source_file, run_ts, flag_missing_qty)
-        put_all([job(lineage(b.customers, "customers"), "bronze", "customer", False),
-                 job(lineage(b.orders, source_file), "bronze", "orders", False),
-                 job(lineage(b.products, "products"), "bronze", "product", False),
-                 job(lineage(b.categories, "categories"), "bronze", "cat_tree", False),
-                 job(lineage(b.fx_rates, "fx_rates"), "bronze", "fx_rates", False),
-                 job(b.errors, "error_tables", "err_orders", False)])
+        put("bronze", "customer", lambda: lineage(b.customers, "customers"), stamp=False)
+        put("bronze", "orders", lambda: lineage(b.orders, source_file), stamp=False)
+        put("bronze", "product", lambda: lineage(b.products, "products"), stamp=False)
+        put("bronze", "cat_tree", lambda: lineage(b.categories, "categories"), stamp=False)
+        put("bronze", "fx_rates", lambda: lineage(b.fx_rates, "fx_rates"), stamp=False)
+        put("error_tables", "err_orders", lambda: b.errors, stamp=False)
 
         # ---- silver: typed and enriched, from the written bronze tables -
-        # (null gates observed by the writes; a failing gate stops the run
-        # before any later layer reads the table)
-        rd = store.read
-        put_all([job(silver.customers(rd("bronze", "customer")), "silver", "customer",
-                     gate=["cust_id", "created_at", "is_active"], label="customers"),
-                 job(silver.orders(rd("bronze", "orders")), "silver", "orders",
-                     gate=["order_id", "cust_id", "order_timestamp", "quantity"],
-                     label="orders"),
-                 job(silver.products(rd("bronze", "product"), rd("bronze", "cat_tree")),
-                     "silver", "product", gate=["prod_id", "price", "currency", "top_category"],
-                     label="products"),
-                 job(silver.fx_rates(rd("bronze", "fx_rates")), "silver", "fx_rates")])
-        items = silver.order_items(rd("silver", "orders"), rd("silver", "product"),
-                                   rd("silver", "fx_rates"), res.counts["silver.fx_rates"])
-        put_all([job(items, "silver", "order_items", gate=["revenue_usd"],
-                     label="order items")])
+        put("silver", "customer", lambda: silver.customers(rd("bronze", "customer")),
+            needs=["bronze.customer"], gate=["cust_id", "created_at", "is_active"],
+            label="customers")
+        put("silver", "orders", lambda: silver.orders(rd("bronze", "orders")),
+            needs=["bronze.orders"],
+            gate=["order_id", "cust_id", "order_timestamp", "quantity"], label="orders")
+        put("silver", "product",
+            lambda: silver.products(rd("bronze", "product"), rd("bronze", "cat_tree")),
+            needs=["bronze.product", "bronze.cat_tree"],
+            gate=["prod_id", "price", "currency", "top_category"], label="products")
+        put("silver", "fx_rates", lambda: silver.fx_rates(rd("bronze", "fx_rates")),
+            needs=["bronze.fx_rates"])
+        put("silver", "order_items",
+            lambda: silver.order_items(rd("silver", "orders"), rd("silver", "product"),
+                                       rd("silver", "fx_rates"), res.counts["silver.fx_rates"]),
+            needs=["silver.orders", "silver.product", "silver.fx_rates"],
+            gate=["revenue_usd"], label="order items")
 
         # ---- gold: star schema ------------------------------------------
-        put_all([job(gold.dim_customer(rd("silver", "customer")), "gold", "dim_customer",
-                     bucket_by=by_customer),
-                 job(gold.dim_product(rd("silver", "product"), rd("silver", "fx_rates")),
-                     "gold", "dim_product"),
-                 job(gold.dim_date(rd("silver", "order_items")), "gold", "dim_date")])
-        for table, label in LAYOUT["gold"][:3]:
-            check_row_count(res.counts[f"gold.{table}"], 1, label)
-        put_all([job(gold.fact_orders(rd("silver", "order_items"), rd("gold", "dim_date"),
-                                      res.counts["gold.dim_date"]),
-                     "gold", "fact_orders", bucket_by=by_customer,
-                     gate=["order_id", "cust_key", "prod_key", "date_key", "revenue_usd"],
-                     label="orders fact")])
-        check_row_count(res.counts["gold.fact_orders"], 1, "orders fact")
+        labels = dict(LAYOUT["gold"])
+        put("gold", "dim_customer", lambda: gold.dim_customer(rd("silver", "customer")),
+            needs=["silver.customer"], bucket_by=by_customer,
+            label=labels["dim_customer"], min_rows=1)
+        put("gold", "dim_product",
+            lambda: gold.dim_product(rd("silver", "product"), rd("silver", "fx_rates")),
+            needs=["silver.product", "silver.fx_rates"],
+            label=labels["dim_product"], min_rows=1)
+        put("gold", "dim_date", lambda: gold.dim_date(rd("silver", "order_items")),
+            needs=["silver.order_items"], label=labels["dim_date"], min_rows=1)
+        # The fact waits for every dimension: an empty one stops the run first.
+        put("gold", "fact_orders",
+            lambda: gold.fact_orders(rd("silver", "order_items"), rd("gold", "dim_date"),
+                                     res.counts["gold.dim_date"]),
+            needs=["silver.order_items", "gold.dim_customer", "gold.dim_product",
+                   "gold.dim_date"],
+            bucket_by=by_customer,
+            gate=["order_id", "cust_key", "prod_key", "date_key", "revenue_usd"],
+            label=labels["fact_orders"], min_rows=1)
+        writes.wait()
     except Exception as exc:
         audit.record("RUN", K.PIPELINE_NAME, 0, "FAILED", f"{type(exc).__name__}: {exc}"[:500])
         raise
     finally:
-        pool.shutdown(wait=True)
+        writes.close()
         audit.flush(store)
     res.metrics = metric_frames(store, as_of)
     return res
 
 
-def _wave(pool: ThreadPoolExecutor, jobs: list) -> list:
-    """Run independent Spark actions concurrently (they share the executors);
-    return their results in order, re-raising the first failure."""
-    futures = [pool.submit(j) for j in jobs]
-    results, error = [], None
-    for f in futures:
-        try:
-            results.append(f.result())
-        except Exception as exc:  # noqa: BLE001 - surfaced below, after all finish
-            results.append(None)
-            error = error or exc
-    if error is not None:
-        raise error
-    return results
+class _RunStopped(RuntimeError):
+    """A write that was not started because an earlier one failed."""
+
+
+class _Writes:
+    """Table writes, each started once the writes it depends on succeeded.
+
+    Every write has its own thread, which first waits for its dependencies
+    (outside the limit) and then takes one of ``parallelism`` slots for the
+    Spark job.  After the first failure no new write starts; ``wait`` then
+    re-raises that failure.
+    """
+
+    def __init__(self, parallelism: int):
+        self.pool = ThreadPoolExecutor(max_workers=32)
+        self.slots = threading.BoundedSemaphore(max(1, parallelism))
+        self.stop = threading.Event()
+        self.futures: dict[str, Future] = {}
+
+    def add(self, key: str, write, needs=()) -> None:
+        deps = [self.futures[n] for n in needs]   # declared before use
+
+        def task():
+            for d in deps:
+                d.result()                        # a failed dependency fails this write
+            with self.slots:
+                if self.stop.is_set():
+                    raise _RunStopped(key)
+                try:
+                    return write()
+                except BaseException:
+                    self.stop.set()
+                    raise
+        self.futures[key] = self.pool.submit(task)
+
+    def wait(self) -> None:
+        """Wait for every write; raise the first real failure (in declaration
+        order), not the writes it prevented."""
+        error = None
+        for f in self.futures.values():
+            exc = f.exception()
+            if exc is not None and not isinstance(exc, _RunStopped) and error is None:
+                error = exc
+        if error is not None:
+            raise error
+
+    def close(self) -> None:
+        self.stop.set()                           # nothing new after an error
+        self.pool.shutdown(wait=True)
 
 
 def metric_frames(store: TableStore, as_of: str | None = None,
