@@ -32,8 +32,28 @@ ROOT_CATEGORIES = [
 ]
 
 
+# Columns the feeds read from each driver table, with their stored types.
+# A declared read schema spares Spark a schema-inference job per read (it
+# opens a file footer on an executor) and states the contract the feeds rely
+# on: a table whose column types differ fails at the scan, not later.
+SOURCE_COLUMNS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+              "o_orderdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING, p_type STRING, p_retailprice DOUBLE",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; declared columns only when ``name`` has a contract."""
+    reader = spark.read
+    if name in SOURCE_COLUMNS:
+        reader = reader.schema(SOURCE_COLUMNS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
