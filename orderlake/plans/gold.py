@@ -16,10 +16,18 @@ def dim_customer(customers: DataFrame) -> DataFrame:
         "customer_type", "zip", "is_active", "created_at")
 
 
-def dim_product(products: DataFrame, fx_rates: DataFrame) -> DataFrame:
-    """Products with a display price in USD at the latest known rate."""
-    latest = latest_value_per_series(fx_rates, "currency", "rate_date", "rate_to_usd",
-                                     "latest_rate")
+def dim_product(products: DataFrame, fx_rates: DataFrame,
+                fx_rows: int | None = None) -> DataFrame:
+    """Products with a display price in USD at the latest known rate.
+
+    The latest rates have one row per currency, never more rows than the FX
+    table: with the FX table's measured row count ``fx_rows`` they are
+    broadcast when small, so the products are never shuffled onto the few
+    currency keys.
+    """
+    latest = broadcast_if_small(
+        latest_value_per_series(fx_rates, "currency", "rate_date", "rate_to_usd",
+                                "latest_rate"), fx_rows)
     return (products.join(latest, "currency", "left")
                     .select(F.col("prod_id").alias("prod_key"), "prod_id", "prod_name",
                             "category_name", "top_category",

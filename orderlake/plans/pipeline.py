@@ -162,7 +162,8 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
             needs=["silver.customer"], bucket_by=by_customer,
             label=labels["dim_customer"], min_rows=1)
         put("gold", "dim_product",
-            lambda: gold.dim_product(rd("silver", "product"), rd("silver", "fx_rates")),
+            lambda: gold.dim_product(rd("silver", "product"), rd("silver", "fx_rates"),
+                                    res.counts["silver.fx_rates"]),
             needs=["silver.product", "silver.fx_rates"],
             label=labels["dim_product"], min_rows=1)
         put("gold", "dim_date", lambda: gold.dim_date(rd("silver", "order_items")),

@@ -63,3 +63,27 @@ def test_sizing_for_a_100tb_run():
     assert mid["spark.sql.shuffle.partitions"] == str((1 << 40) // (256 << 20))  # 4096
     small = sizing_conf(40 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_product_dimension_broadcasts_latest_rates_on_a_known_fx_count(spark):
+    from orderlake.plans import gold
+    products = spark.range(200).select(
+        F.col("id").alias("prod_id"), F.lit("p").alias("prod_name"),
+        F.lit("c").alias("category_name"), F.lit("t").alias("top_category"),
+        F.lit(2.5).alias("price"),
+        F.when(F.col("id") % 2 == 0, "USD").otherwise("YEN").alias("currency"))
+    fx = spark.range(20).select(
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 2).cast("int"))
+         .alias("rate_date"),
+        F.when(F.col("id") % 2 == 0, "USD").otherwise("YEN").alias("currency"),
+        (F.col("id") / 10).alias("rate_to_usd"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counted = gold.dim_product(products, fx, fx_rows=20)
+        unknown = gold.dim_product(products, fx)
+        assert "BroadcastHashJoin" in plan_of(counted)   # products stay where they are
+        assert "BroadcastHashJoin" not in plan_of(unknown)
+        got = {r.prod_key: float(r.price_usd) for r in counted.collect()}
+        assert got[0] == 2.5 * 1.8 and got[1] == 2.5 * 1.9
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
