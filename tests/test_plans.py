@@ -87,3 +87,26 @@ def test_product_dimension_broadcasts_latest_rates_on_a_known_fx_count(spark):
         assert got[0] == 2.5 * 1.8 and got[1] == 2.5 * 1.9
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_products_broadcast_the_category_tree_on_a_known_edge_count(spark):
+    from orderlake.plans import silver
+    raw = spark.range(300).select(
+        F.col("id").cast("string").alias("prod_id"),
+        (F.col("id") % 2 + 1).cast("string").alias("cat_id"),
+        F.lit("p").alias("prod_name"), F.lit("1.50").alias("price"),
+        F.lit("usd").alias("currency"))
+    edges = spark.createDataFrame(
+        [("1", "Cakes", "Sweet"), ("2", "Chips", "Salt"), ("3", "Sweet", "all")],
+        "cat_id string, child string, parent string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counted = silver.products(raw, edges, category_rows=3)
+        unknown = silver.products(raw, edges)
+        assert "BroadcastHashJoin" in plan_of(counted)
+        assert "BroadcastHashJoin" not in plan_of(unknown)
+        tops = {r.prod_id: r.top_category for r in counted.collect()}
+        # "Salt" has no edge of its own, so "Chips" keeps its own name (H15)
+        assert tops[0] == "Sweet" and tops[1] == "Chips"
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
