@@ -82,6 +82,14 @@ def main() -> None:
                                               store.read("silver", "product"),
                                               store.read("silver", "fx_rates"),
                                               res.counts["silver.fx_rates"])))
+    print(summary("silver products (category tree size-checked broadcast)",
+                  pipeline.silver.products(store.read("bronze", "product"),
+                                           store.read("bronze", "cat_tree"),
+                                           res.counts["bronze.cat_tree"])))
+    print(summary("dim_product (latest rates size-checked broadcast)",
+                  pipeline.gold.dim_product(store.read("silver", "product"),
+                                            store.read("silver", "fx_rates"),
+                                            res.counts["silver.fx_rates"])))
     spark.stop()
 
 
