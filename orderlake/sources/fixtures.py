@@ -64,26 +64,30 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivered twice.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    od = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     k = F.col("o_orderkey")
+    # Order-level text is formatted once per order, before the join, not
+    # once per line.
+    od = table(spark, sf_dir, "orders").select(
+        k,
+        F.concat(F.lit("A-"), k.cast("string")).alias("order_id"),
+        F.when(k % 97 == 0, F.lit(None).cast("string"))
+         .when(k % 97 == 1, F.lit(" "))
+         .otherwise(F.col("o_custkey").cast("string")).alias("cust_id"),
+        F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("order_date_raw"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(" Shipped"))
+         .when(F.col("o_orderstatus") == "O", F.lit("PAID"))
+         .otherwise(F.lit("created ")).alias("status"))
     lines = li.join(od, li.l_orderkey == od.o_orderkey)
     copies = F.explode(F.sequence(F.lit(1), F.when(k % 53 == 0, 2).otherwise(1)))
     return (lines
             .select("*", copies.alias("_copy"))
             .select(
-                F.concat(F.lit("A-"), k.cast("string")).alias("order_id"),
-                F.when(k % 97 == 0, F.lit(None).cast("string"))
-                 .when(k % 97 == 1, F.lit(" "))
-                 .otherwise(F.col("o_custkey").cast("string")).alias("cust_id"),
-                F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("order_date_raw"),
+                "order_id", "cust_id", "order_date_raw",
                 F.col("l_partkey").cast("string").alias("prod_id"),
                 F.when(k % 89 == 0, F.lit("0.1"))
                  .otherwise(F.col("l_quantity").cast("bigint").cast("string"))
                  .alias("quantity_raw"),
-                F.when(F.col("o_orderstatus") == "F", F.lit(" Shipped"))
-                 .when(F.col("o_orderstatus") == "O", F.lit("PAID"))
-                 .otherwise(F.lit("created ")).alias("status")))
+                "status"))
 
 
 def raw_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
