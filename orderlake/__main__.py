@@ -12,7 +12,7 @@ import argparse
 import uuid
 
 from orderlake.plans import pipeline
-from orderlake.session import build_session, work_root
+from orderlake.session import apply_sizing, build_session, input_bytes, work_root
 from orderlake.sinks import TableStore
 from orderlake.sources import fixtures
 from orderlake.sources.files import read_feeds
@@ -24,14 +24,18 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--sources", help="folder with the five source files")
     src.add_argument("--sf-dir", help="folder with the driver's parquet tables")
     ap.add_argument("--out", help="root folder for the tables")
-    ap.add_argument("--master", default="local[*]")
-    ap.add_argument("--shuffle-partitions", type=int, default=16)
+    ap.add_argument("--master", help="default: the launcher's master (spark-submit)")
+    ap.add_argument("--shuffle-partitions", type=int,
+                    help="default: sized from the input (~256 MB per partition)")
     ap.add_argument("--null-gates", choices=["raise", "report"], default="raise")
     ap.add_argument("--as-of", help="tenure reference date (default: today)")
     ap.add_argument("--rows", type=int, default=20, help="rows of each metric to show")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master, args.shuffle_partitions, "orderlake")
+    spark = build_session(args.master, args.shuffle_partitions or 16, "orderlake")
+    if args.shuffle_partitions is None:
+        sized = apply_sizing(spark, input_bytes(spark, [args.sources or args.sf_dir]))
+        print(f"shuffle partitions: {sized['spark.sql.shuffle.partitions']}")
     out = args.out or f"{work_root(spark)}/tables-{uuid.uuid4().hex[:8]}"
     store = TableStore(spark, out)
     if args.sources:

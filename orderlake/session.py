@@ -48,9 +48,13 @@ def sizing_conf(input_bytes: int, total_cores: int,
     }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 16,
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 16,
                   app_name: str = "orderlake", extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app_name)
+    """A session with ``BASE_CONF``.  ``master=None`` keeps the master chosen by
+    the launcher (``spark-submit --master ...`` on a cluster)."""
+    b = SparkSession.builder.appName(app_name)
+    if master:
+        b = b.master(master)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -61,6 +65,28 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 16,
     return spark
 
 
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files below ``paths``, from file-system metadata
+    (a listing on the driver; no data is read)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def apply_sizing(spark: SparkSession, n_bytes: int, total_cores: int | None = None) -> dict:
+    """Set the runtime shuffle and scan sizing for ``n_bytes`` of input on
+    ``total_cores`` (default: the session's default parallelism, i.e. all
+    executor cores); returns the settings applied."""
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    conf = sizing_conf(n_bytes, cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and checkpoints.
 

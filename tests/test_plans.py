@@ -110,3 +110,21 @@ def test_products_broadcast_the_category_tree_on_a_known_edge_count(spark):
         assert tops[0] == "Sweet" and tops[1] == "Chips"
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sizing_applied_from_the_input_size(spark):
+    import os
+    from orderlake.session import apply_sizing, input_bytes
+    folder = "/root/testdata/sf0.001"
+    on_disk = sum(os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder))
+    assert input_bytes(spark, [folder]) == on_disk
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"]
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        got = apply_sizing(spark, 5 << 40, total_cores=400)      # 5 TB on 400 cores
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "20480" == \
+            got["spark.sql.shuffle.partitions"]
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 << 20)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
