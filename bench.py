@@ -66,6 +66,7 @@ def main() -> None:
         "cpus": cpus,
         "cold_total": round(sum(cold.values()), 3),
         "cold_pipeline_build": round(cold["pipeline_build"], 3),
+        "table_writes": res.seconds,
     }))
     spark.stop()
 

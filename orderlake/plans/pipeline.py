@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+import time
 import uuid
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -54,6 +55,7 @@ class RunResult:
     counts: dict = field(default_factory=dict)
     gates: dict = field(default_factory=dict)
     metrics: dict = field(default_factory=dict)
+    seconds: dict = field(default_factory=dict)     # wall time of each table write
 
 
 def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | None = None,
@@ -103,6 +105,7 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
         label = label or table
 
         def write():
+            started = time.perf_counter()
             df = build()
             if stamp:
                 df = df.withColumn("_updated_at", run_ts)
@@ -110,6 +113,7 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
                                             null_columns=gate,
                                             keep_definition=layer in DECLARED_LAYERS)
             res.counts[f"{layer}.{table}"] = n
+            res.seconds[f"{layer}.{table}"] = round(time.perf_counter() - started, 3)
             audit.record(layer.upper(), store.name(layer, table), n)
             if gate:
                 res.gates[label] = nulls

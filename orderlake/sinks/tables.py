@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from orderlake import constants as K
 from orderlake.sources.literals import literal_frame
@@ -255,20 +255,31 @@ class AuditLog:
 
 def counts_frame(spark: SparkSession,
                  entries: Sequence[tuple[dict[str, str], DataFrame | None]]) -> DataFrame:
-    """One row per entry: its label columns and the row count of its frame
-    (NULL when the frame is missing).  Each count is a separate aggregate
-    branch of one union, so Spark runs them in a single job."""
-    parts = []
-    for labels, df in entries:
-        head = [F.lit(v).alias(k) for k, v in labels.items()]
-        if df is None:
-            parts.append(spark.range(1).select(*head, F.lit(None).cast("bigint").alias("row_count")))
-        else:
-            parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(*head, "row_count"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """One row per entry, in entry order: its label columns and the row count
+    of its frame (NULL when the frame is missing, 0 when it is empty).
+
+    All frames feed ONE aggregate: each contributes only its entry number, so
+    no data column is read (a Parquet table answers from its footers), rows
+    are counted per input partition, and a single small exchange combines the
+    counts.  Both sides of the final join have one row per entry at most.
+    """
+    names = list(entries[0][0])
+    schema = StructType([StructField("_entry", LongType(), False),
+                         *[StructField(n, StringType(), True) for n in names],
+                         StructField("_present", BooleanType(), False)])
+    labels = literal_frame(spark, [(i, *[lab[n] for n in names], df is not None)
+                                   for i, (lab, df) in enumerate(entries)], schema)
+    present = [(i, df) for i, (_, df) in enumerate(entries) if df is not None]
+    if present:
+        tagged = present[0][1].select(F.lit(present[0][0]).cast("bigint").alias("_entry"))
+        for i, df in present[1:]:
+            tagged = tagged.union(df.select(F.lit(i).cast("bigint").alias("_entry")))
+        counted = tagged.groupBy("_entry").agg(F.count(F.lit(1)).alias("_n"))
+        labels = labels.join(F.broadcast(counted), "_entry", "left")
+        n = F.when(F.col("_present"), F.coalesce(F.col("_n"), F.lit(0)))
+    else:
+        n = F.lit(None)
+    return labels.select(*names, n.cast("bigint").alias("row_count"))
 
 
 def layer_row_counts(store: TableStore,
