@@ -185,6 +185,7 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
         writes.wait()
         # counts in declaration order (writes finish in any order)
         res.counts = {k: res.counts[k] for k in writes.futures if k in res.counts}
+        res.seconds = {k: res.seconds[k] for k in writes.futures if k in res.seconds}
     except Exception as exc:
         audit.record("RUN", K.PIPELINE_NAME, 0, "FAILED", f"{type(exc).__name__}: {exc}"[:500])
         raise
