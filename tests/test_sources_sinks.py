@@ -101,3 +101,23 @@ def test_typed_ddl_with_comments(spark, tmp_root):
     store.create_table("audit", "log", "a STRING, n BIGINT", "again")   # IF NOT EXISTS
     cols = {c.name: c.description for c in spark.catalog.listColumns("ddl_audit.log")}
     assert cols == {"a": "first", "n": None}
+
+
+def test_literal_frame_keeps_text_types_and_empty_sets(spark):
+    import datetime as dt
+
+    from pyspark.sql.types import (BooleanType, DateType, DoubleType, LongType, StringType,
+                                   StructField, StructType)
+
+    from orderlake.sources.literals import literal_frame
+    schema = StructType([StructField("s", StringType()), StructField("n", LongType()),
+                         StructField("x", DoubleType()), StructField("b", BooleanType()),
+                         StructField("d", DateType())])
+    rows = [('quote " apostrophe \' backslash \\ newline\n', 2**40, 1.5, True,
+             dt.date(2020, 2, 29)),
+            (None, None, None, None, None)]
+    df = literal_frame(spark, rows, schema)
+    assert df.schema == schema
+    assert [tuple(r) for r in df.collect()] == rows
+    empty = literal_frame(spark, [], schema)
+    assert empty.schema == schema and empty.count() == 0
