@@ -85,3 +85,31 @@ def test_declared_tables_keep_types_and_comments(run, spark):
     err = {c.name: c.description for c in spark.catalog.listColumns(
         store.name("error_tables", "err_orders"))}
     assert err["_error_code"] == "quarantine reason code"
+
+
+def test_bucketed_run_matches_and_reads_the_fact_without_a_shuffle(run, spark):
+    import contextlib
+    import io
+
+    from orderlake.plans import metrics
+    from orderlake.session import scratch_path
+    plain_store, _ = run          # (an earlier test re-ran into it: build the frame fresh)
+    store = TableStore(spark, scratch_path(spark, "bkt"), prefix="bkte2e_")
+    res = pipeline.run(spark, fixtures.sources(spark, SF), store, null_gate_mode="report",
+                       as_of="2002-01-01", customer_buckets=4)
+    assert res.counts["gold.fact_orders"] == 5810
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+    plain = pipeline.metric_frames(plain_store, "2002-01-01")["customer_value"]
+    assert rows(res.metrics["customer_value"]) == rows(plain)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = metrics.customer_value(store.read("gold", "fact_orders"),
+                                     store.read("gold", "dim_customer"))
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            out.explain()
+        assert "Exchange" not in buf.getvalue()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
