@@ -157,7 +157,8 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
             needs=["bronze.fx_rates"])
         put("silver", "order_items",
             lambda: silver.order_items(rd("silver", "orders"), rd("silver", "product"),
-                                       rd("silver", "fx_rates"), res.counts["silver.fx_rates"]),
+                                       rd("silver", "fx_rates"), res.counts["silver.fx_rates"],
+                                       res.counts["silver.product"]),
             needs=["silver.orders", "silver.product", "silver.fx_rates"],
             gate=["revenue_usd"], label="order items")
 

@@ -128,3 +128,30 @@ def test_sizing_applied_from_the_input_size(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_order_lines_stay_put_when_the_catalog_count_is_small(spark):
+    from orderlake.plans import silver
+    orders = spark.range(500).select(
+        F.concat(F.lit("A-"), F.col("id").cast("string")).alias("order_id"),
+        F.col("id").alias("cust_id"), (F.col("id") % 9).alias("prod_id"),
+        F.lit(None).cast("timestamp").alias("order_timestamp"),
+        F.lit("2020-01-02").cast("date").alias("order_date"),
+        F.lit(2).alias("quantity"), F.lit("paid").alias("status"))
+    products = spark.range(9).select(
+        F.col("id").alias("prod_id"), F.lit(1).alias("cat_id"), F.lit("p").alias("prod_name"),
+        F.lit(2.5).alias("price"), F.lit("USD").alias("currency"),
+        F.lit("c").alias("category_name"), F.lit("t").alias("top_category"))
+    fx = spark.range(1).select(F.lit("2020-01-02").cast("date").alias("rate_date"),
+                               F.lit("USD").alias("currency"), F.lit(1.0).alias("rate_to_usd"),
+                               F.lit("actual").alias("_fx_fill_method"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counted = silver.order_items(orders, products, fx, fx_rows=1, product_rows=9)
+        unknown = silver.order_items(orders, products, fx, fx_rows=1)
+        assert "SortMergeJoin" not in plan_of(counted)     # no shuffle of order lines
+        assert "SortMergeJoin" in plan_of(unknown)
+        assert counted.count() == 500
+        assert {float(r.revenue_usd) for r in counted.select("revenue_usd").collect()} == {5.0}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -77,11 +77,12 @@ def main() -> None:
     print(summary("last_write_wins (bronze FX)", fr.bronze.fx_rates))
     print(summary("fill_daily_rates (silver FX)",
                   pipeline.silver.fx_rates(store.read("bronze", "fx_rates"))))
-    print(summary("order_items (from written silver tables, FX size-checked broadcast)",
+    print(summary("order_items (from written silver tables, FX and catalog size-checked broadcasts)",
                   pipeline.silver.order_items(store.read("silver", "orders"),
                                               store.read("silver", "product"),
                                               store.read("silver", "fx_rates"),
-                                              res.counts["silver.fx_rates"])))
+                                              res.counts["silver.fx_rates"],
+                                              res.counts["silver.product"])))
     print(summary("silver products (category tree size-checked broadcast)",
                   pipeline.silver.products(store.read("bronze", "product"),
                                            store.read("bronze", "cat_tree"),
