@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import constants as K
-from orderlake.operators import check_row_count
+from orderlake.operators import broadcast_if_small, check_row_count
 from orderlake.operators.quality import check_nulls_counts
 from orderlake.plans import bronze, gold, metrics, silver
 from orderlake.session import work_root
@@ -193,7 +193,7 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
     finally:
         writes.close()
         audit.flush(store)
-    res.metrics = metric_frames(store, as_of)
+    res.metrics = metric_frames(store, as_of, counts=res.counts)
     return res
 
 
@@ -249,12 +249,21 @@ class _Writes:
 
 
 def metric_frames(store: TableStore, as_of: str | None = None,
-                  ordered: bool = False) -> dict[str, DataFrame]:
+                  ordered: bool = False, counts: dict | None = None) -> dict[str, DataFrame]:
     """The metrics, lazily, over the written gold and error tables
-    (``ordered=True``: in the presentation order of the original queries)."""
+    (``ordered=True``: in the presentation order of the original queries).
+
+    ``counts`` (the row counts of a run, ``RunResult.counts``) lets the
+    dimensions be broadcast on their measured size; without them the
+    optimizer and AQE decide from file sizes and run-time statistics.
+    """
     rd = store.read
-    fact, dates = rd("gold", "fact_orders"), rd("gold", "dim_date")
-    cust, prod = rd("gold", "dim_customer"), rd("gold", "dim_product")
+    counts = counts or {}
+
+    def dim(table: str) -> DataFrame:
+        return broadcast_if_small(rd("gold", table), counts.get(f"gold.{table}"))
+    fact, dates = rd("gold", "fact_orders"), dim("dim_date")
+    cust, prod = dim("dim_customer"), dim("dim_product")
     sales = metrics.category_sales(fact, dates, prod)
     return {
         "daily_active": metrics.daily_active_customers(fact, dates, cust, ordered),
