@@ -29,17 +29,20 @@ def _bounds(df: DataFrame, date_col: str):
     return b["lo"], b["hi"]
 
 
-def calendar_spine(df: DataFrame, date_col: str, series_col: str) -> DataFrame:
-    """Every day from the first to the last date of ``df``, for every series."""
-    lo, hi = _bounds(df, date_col)
+def calendar_spine(df: DataFrame, date_col: str, series_col: str,
+                   bounds=None) -> DataFrame:
+    """Every day from the first to the last date of ``df``, for every series
+    (``bounds``: the (first, last) pair of ``_bounds`` when already built)."""
+    lo, hi = bounds or _bounds(df, date_col)
     days = F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY")))
     return (df.select(series_col).distinct()
               .select(days.alias(date_col), F.col(series_col)))
 
 
-def calendar_years(df: DataFrame, date_col: str, series_col: str) -> DataFrame:
+def calendar_years(df: DataFrame, date_col: str, series_col: str,
+                   bounds=None) -> DataFrame:
     """Every (series, year) of the spine, as ``_seg``: one row per series and year."""
-    lo, hi = _bounds(df, date_col)
+    lo, hi = bounds or _bounds(df, date_col)
     return (df.select(series_col).distinct()
               .select(F.col(series_col),
                       F.explode(F.sequence(F.year(lo), F.year(hi))).alias("_seg")))
@@ -97,14 +100,15 @@ def fill_daily_rates(typed: DataFrame, date_col: str = "rate_date",
     known = typed.select(date_col, series_col, value_col)
     if per_series:
         known = known.withColumn("_actual", F.lit(True))
-    spine = calendar_spine(typed, date_col, series_col)
+    bounds = _bounds(typed, date_col)            # one subquery for spine and segments
+    spine = calendar_spine(typed, date_col, series_col, bounds)
     joined = spine.join(known, [date_col, series_col], "left")
     if not per_series:
         dates = typed.select(date_col).distinct().withColumn("_actual", F.lit(True))
         joined = joined.join(dates, date_col, "left")
     filled = forward_fill(joined, series_col, date_col, value_col,
                           known=typed.select(series_col, date_col, value_col),
-                          segments=calendar_years(typed, date_col, series_col))
+                          segments=calendar_years(typed, date_col, series_col, bounds))
     return (filled.select(date_col, series_col, value_col,
                           F.coalesce(F.col("_actual"), F.lit(False)).alias("_actual"))
                   .withColumn(method_col,
