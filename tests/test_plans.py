@@ -3,7 +3,6 @@
 import contextlib
 import io
 
-import pytest
 from pyspark.sql import functions as F
 
 from orderlake.operators import broadcast_if_small
