@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderlake.session import scratch_path
 
 # ASCII white space as the contracts define it; Python's bytes.split() and
 # bytes.lower() use exactly this class and A-Z.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +49,16 @@ def discard(df: DataFrame | None) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` over batches of at most ``BATCH_ROWS`` rows, which is what a
+    worker and the JVM beside it hold of the texts at a time."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(fn, schema)
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The texts of an Arrow column as UTF-8 bytes (None for null)."""
     if isinstance(column, pa.ChunkedArray):

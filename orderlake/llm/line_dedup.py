@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import materialize, utf8
+from orderlake.llm.common import map_batches, materialize, utf8
 
 MIN_WORDS = 50
 RARE = 32
@@ -125,8 +125,8 @@ def line_table(docs: DataFrame, least: int) -> DataFrame:
                  pa.array(runs, many)],
                 names=["doc", "tid", "lines", "words", "alone", "runs"])
 
-    return docs.mapInArrow(run, "doc long, tid string, lines array<long>, words array<int>, "
-                                "alone array<long>, runs array<long>")
+    return map_batches(docs, run, "doc long, tid string, lines array<long>, words array<int>, "
+                                  "alone array<long>, runs array<long>")
 
 
 def deletions(docs: DataFrame, least: int = MIN_WORDS, rare: int = RARE,
@@ -161,8 +161,8 @@ def deletions(docs: DataFrame, least: int = MIN_WORDS, rare: int = RARE,
                             pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))
             yield pa.RecordBatch.from_arrays([pa.array(at["tid"]), flat], names=["tid", "blocks"])
 
-    blocks = pairs.join(later, "tid").join(earlier, "earlier").select("tid", "a", "b", "w") \
-        .mapInArrow(align, "tid string, blocks array<struct<first: int, end: int>>") \
+    both = pairs.join(later, "tid").join(earlier, "earlier").select("tid", "a", "b", "w")
+    blocks = map_batches(both, align, "tid string, blocks array<struct<first: int, end: int>>") \
         .where(F.size("blocks") > 0) \
         .groupBy("tid").agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks"))
     total = F.aggregate("words", F.lit(0).cast("long"), lambda s, x: s + x)
@@ -221,7 +221,7 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, rare: int = RARE,
     schema = type(schema)(list(schema.fields))
     for name, kind in zip(ADDED, ("string", "long", "long", "long")):
         schema = schema.add(name, kind)
-    return ready.mapInArrow(run, schema)
+    return map_batches(ready, run, schema)
 
 
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

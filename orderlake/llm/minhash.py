@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import discard, materialize, utf8
+from orderlake.llm.common import discard, map_batches, materialize, utf8
 
 SHINGLE = 5
 BANDS, ROWS = 36, 5
@@ -44,7 +44,7 @@ SEED = 20240229
 #: Pairs whose 180 coordinates agree on less than this share are not checked on
 #: full sets; at a similarity of 0.75 that is six standard deviations off.
 ESTIMATE = 0.55
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 FIRST, LATER = 1, 4        # pivots of a bucket in the first round; factor of later rounds
 
 _STATE: dict[str, object] = {}
@@ -140,10 +140,10 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, key_col: str | Non
                 names=["doc_id", "key", "n_shingles", "digest", "bands", "sig"])
 
     key = F.lit(None).cast("string") if key_col is None else F.col(key_col)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col),
-                       key.alias("key")).mapInArrow(
-        run, "doc_id long, key string, n_shingles long, digest binary, bands array<long>, "
-             "sig binary")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col),
+                       key.alias("key"))
+    return map_batches(slim, run, "doc_id long, key string, n_shingles long, digest binary, "
+                                  "bands array<long>, sig binary")
 
 
 def _sets(docs: DataFrame, text_col: str) -> DataFrame:
@@ -164,7 +164,7 @@ def _sets(docs: DataFrame, text_col: str) -> DataFrame:
                 [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())],
                 names=["digest", "shingles"])
 
-    return docs.select(text_col).mapInArrow(run, "digest binary, shingles binary")
+    return map_batches(docs.select(text_col), run, "digest binary, shingles binary")
 
 
 def _wide(raw: bytes) -> np.ndarray:
@@ -202,9 +202,10 @@ def _linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -
 
     sized = pairs.join(side("a", nodes, "n", "sig"), "a").join(side("b", nodes, "n", "sig"), "b") \
         .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    likely = sized.select("a", "b", "sig_a", "sig_b").mapInArrow(near, "a binary, b binary")
-    return likely.join(side("a", sets, "shingles"), "a").join(side("b", sets, "shingles"), "b") \
-        .select("a", "b", "shingles_a", "shingles_b").mapInArrow(check, "a binary, b binary")
+    likely = map_batches(sized.select("a", "b", "sig_a", "sig_b"), near, "a binary, b binary")
+    whole = likely.join(side("a", sets, "shingles"), "a").join(side("b", sets, "shingles"), "b")
+    return map_batches(whole.select("a", "b", "shingles_a", "shingles_b"), check,
+                       "a binary, b binary")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import materialize, rank_in_group
+from orderlake.llm.common import map_batches, materialize, rank_in_group
 
 CACHE_WORDS = 300_000      # words whose ids a worker remembers before it starts afresh
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -78,18 +78,13 @@ class WordEncoder:
                 at = cut
 
     def _learn(self, new: set[str]) -> None:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.stems) > CACHE_WORDS:
-            self.stems.clear()
         split: dict[str, tuple[str, ...]] = {}
         for w in new:
             low = w if "Σ" in w else w.lower()
             # a closing mark after letters is a token of its own
             split[w] = (low[:-1], low[-1]) if low[-1:] in {".", ","} and low[:-1].isalpha() \
                 else (low,)
-        todo = {s for parts in split.values() for s in parts} - self.stems.keys()
-        todo.discard("")
+        todo = {s for parts in split.values() for s in parts if s and s not in self.stems}
         self._letters([s for s in todo if s.isalpha()])
         self._plain([s for s in todo if not s.isalpha()])
         self.stems[""] = b""
@@ -97,18 +92,17 @@ class WordEncoder:
             self.words[w] = b"".join([self.stems[s] for s in parts])
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.replace("\n", " ").split(" ") if text else []
-            try:
+        for at in range(0, len(texts), 200):           # new words are encoded together
+            bags = [t.replace("\n", " ").split(" ") if t else [] for t in texts[at:at + 200]]
+            some = set().union(*bags)
+            new = {w for w in some if w not in self.words}
+            if len(self.words) + len(new) > CACHE_WORDS:
+                self.words.clear()
+                self.stems.clear()
+                new = some
+            self._learn(new)
+            for words in bags:
                 yield b"".join(map(self.words.__getitem__, words))
-            except KeyError:
-                for i in range(0, len(words), CACHE_WORDS):
-                    self._learn(set(words[i:i + CACHE_WORDS]) - self.words.keys())
-                try:
-                    yield b"".join(map(self.words.__getitem__, words))
-                except KeyError:        # more distinct words than the cache holds
-                    yield b"".join(np.array(self.tok.encode(w, add_special_tokens=False).ids,
-                                            "<u4").tobytes() for w in words)
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096,
@@ -133,7 +127,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096,
                 [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int32(), *[pa.int64()] * 3))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, PIECES)
+    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col)), run, PIECES)
 
 
 def pack_plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, ...]]:
@@ -239,4 +233,4 @@ def best_fit_pack(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
                 names=[*names, "sequence_id", "offset"])
 
     schema = pieces.select(*names).schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.mapInArrow(run, schema)
+    return map_batches(ranked, run, schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import utf8
+from orderlake.llm.common import map_batches, utf8
 
 # The measures, as columns that measure() adds under this prefix.
 PREFIX = "_ql_"
@@ -94,7 +94,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     schema = type(schema)(list(schema.fields))
     for n in names:
         schema = schema.add(n, "long")
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def _m(name: str) -> Column:
