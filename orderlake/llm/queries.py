@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import line_dedup, minhash, mixing, packing, quality
+from orderlake.llm import (ann_forest, html_extract, line_dedup, minhash, mixing, packing,
+                           preference, quality, secrets, toxicity)
 from orderlake.llm.common import materialize, table
 
 CAPACITY = 4096
@@ -42,12 +43,84 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", F.col("_hx_text").alias("text"),
+                      F.length("_hx_text").cast("long").alias("n_chars"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~toxicity.held_out()))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", toxicity.held_out().alias("held_out"),
+                      F.col("_tx_score").alias("score"),
+                      (F.col("_tx_score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_forest.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op10_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k and 2k + 1 are the chosen and the rejected one of pair k."""
+    talks = preference.conversations(table(spark, sf_dir, "conversations")) \
+        .withColumn("pair_id", F.floor(F.col("conv_id") / 2))
+    out = preference.preference_pairs(talks.where("pmod(conv_id, 2) = 0"),
+                                      talks.where("pmod(conv_id, 2) = 1"), "pair_id")
+    return out.withColumn("chosen_spans", preference.listed("chosen_spans")) \
+        .withColumn("rejected_spans", preference.listed("rejected_spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op2_best_fit_packing, op3_quality_rules,
-                            op4_minhash_dedup, op8_source_mixing)}
-ORACLE: dict[str, str] = {}
+    f.__name__: f for f in (
+        op1_line_dedup, op2_best_fit_packing, op3_quality_rules, op4_minhash_dedup,
+        op5_html_extraction, op6_toxicity, op7_ann_forest, op8_source_mixing,
+        op9_secret_formats, op10_preference_pairs)}
+
+_SPANS = """array_to_string(list_transform(
+    list_filter(range(1, len({0}) + 1), lambda i: {0}[i].role = 'assistant'),
+    lambda i: (coalesce(list_sum(list_transform({0}[:i - 1],
+                 lambda x: length(x.role) + length(x.text) + 6)), 0)
+               + length({0}[i].role) + 5)::INT::VARCHAR || ':'
+           || (coalesce(list_sum(list_transform({0}[:i - 1],
+                 lambda x: length(x.role) + length(x.text) + 6)), 0)
+               + length({0}[i].role) + 5 + length({0}[i].text))::INT::VARCHAR), ',')"""
+_RENDER = """array_to_string(list_transform({0},
+    lambda x: '<|' || x.role || '|>' || chr(10) || x.text || chr(10)), '')"""
+
+#: DuckDB statements for the operators that SQL can express.
+ORACLE: dict[str, str] = {
+    "op10_preference_pairs": f"""
+WITH rows AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+talks AS (
+  SELECT conv_id, conv_id // 2 AS pair_id,
+         list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, text) AS t
+  FROM rows GROUP BY conv_id),
+pairs AS (
+  SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, a.conv_id AS chosen_id,
+         b.conv_id AS rejected_id, a.t AS c, b.t AS r
+  FROM (SELECT * FROM talks WHERE conv_id % 2 = 0) a
+  FULL JOIN (SELECT * FROM talks WHERE conv_id % 2 <> 0) b ON a.pair_id = b.pair_id),
+common AS (
+  SELECT *, coalesce(len(list_filter(range(1, least(len(c), len(r)) + 1), lambda i:
+      c[:i] = r[:i])), 0)::INT AS n_common FROM pairs),
+cut AS (
+  SELECT *, c[n_common + 1:] AS cr, r[n_common + 1:] AS rr, c[:n_common] AS p FROM common)
+SELECT pair_id, chosen_id, rejected_id, n_common,
+       coalesce({_RENDER.format('p')}, '') AS prompt,
+       {_RENDER.format('cr')} AS chosen, {_RENDER.format('rr')} AS rejected,
+       {_SPANS.format('cr')} AS chosen_spans, {_SPANS.format('rr')} AS rejected_spans
+FROM cut"""}
