@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -56,7 +56,60 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= BATCH_ROWS:
         conf.set(key, str(BATCH_ROWS))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+
+        yield from fn(batches)
+        try:        # an idle worker gives back what its task has freed
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass
+
+    return df.mapInArrow(run, schema)
+
+
+def worker_state() -> dict:
+    """What a Python worker keeps from one task to the next."""
+    import sys
+
+    return vars(sys).setdefault("_orderlake_state", {})
+
+
+class WordCache(dict):
+    """word -> value for the words met lately.  When ``limit`` words are in, they
+    become the older half; a word used again moves back, the rest is forgotten."""
+
+    def __init__(self, value: Callable | None = None, limit: int = 100_000):
+        super().__init__()
+        self.value, self.limit, self.old = value, limit, {}
+
+    def __missing__(self, word):
+        found = self.old.get(word)
+        if found is None:
+            if self.value is None:
+                raise KeyError(word)
+            found = self.value(word)
+        self[word] = found
+        return found
+
+    def unknown(self, words: Iterable) -> list:
+        """The words that must be learned.  Older ones move back."""
+        if len(self) >= self.limit:
+            self.age()
+        out, old = [], self.old
+        for w in words:
+            if w not in self:
+                if (found := old.get(w)) is None:
+                    out.append(w)
+                else:
+                    self[w] = found
+        return out
+
+    def age(self) -> None:
+        """Forget the older half."""
+        self.old = dict(self)
+        self.clear()
 
 
 def utf8(column: pa.Array) -> list[bytes | None]:

@@ -189,13 +189,14 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, rare: int = RARE,
     whole copy the id of the earlier document (``ADDED``)."""
     found = deletions(docs, least, rare, id_col, text_col).withColumnRenamed("tid", "_ld_tid")
     columns = docs.columns
-    keyed = docs.withColumn("_ld_key", F.md5(text_col))
+    inner = [f"_in_{i}" for i in range(len(columns))]     # no clash with names used here
+    keyed = docs.toDF(*inner).withColumn("_ld_key", F.md5(inner[columns.index(text_col)]))
     joined = keyed.join(found, F.col("_ld_key") == F.col("_ld_tid"), "left")
-    whole = ~F.col(id_col).cast("long").eqNullSafe(F.col("owner")) \
+    whole = ~F.col(inner[columns.index(id_col)]).cast("long").eqNullSafe(F.col("owner")) \
         & F.col("_ld_tid").isNotNull() & (F.col("n_words") >= least)
-    ready = joined.select(*[F.col(c) for c in columns], F.col("blocks").alias("_ld_blocks"),
+    ready = joined.select(*inner, F.col("blocks").alias("_ld_blocks"),
                           F.when(whole, F.col("owner")).alias("_ld_copy_of"),
-                          whole.alias("_ld_whole"))
+                          F.coalesce(whole, F.lit(False)).alias("_ld_whole"))
     at = columns.index(text_col)
     k = len(columns)
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import discard, map_batches, materialize, utf8
+from orderlake.llm.common import WordCache, discard, map_batches, materialize, utf8, worker_state
 
 SHINGLE = 5
 BANDS, ROWS = 36, 5
@@ -44,11 +44,8 @@ SEED = 20240229
 #: Pairs whose 180 coordinates agree on less than this share are not checked on
 #: full sets; at a similarity of 0.75 that is six standard deviations off.
 ESTIMATE = 0.55
-CACHE_WORDS = 150_000
 FIRST, LATER = 1, 4        # pivots of a bucket in the first round; factor of later rounds
 
-_STATE: dict[str, object] = {}
-
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads all bits."""
@@ -57,14 +54,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+def _word_hashes() -> WordCache:
+    """Hashes of the words met lately, kept by the worker."""
+    from xxhash import xxh3_64_intdigest
 
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+    cache = worker_state().setdefault("word hashes", WordCache(xxh3_64_intdigest))
+    if len(cache) > cache.limit:
+        cache.age()
+    return cache
 
 
 def shingle_set(text: bytes | None, words_of: dict) -> np.ndarray:
@@ -90,11 +87,12 @@ def shingle_set(text: bytes | None, words_of: dict) -> np.ndarray:
 
 def _permutation() -> np.ndarray:
     """The second permutation, extended so that every slice is contiguous."""
-    if "pi" not in _STATE:
+    state = worker_state()
+    if "pi" not in state:
         pi = np.random.default_rng(SEED).permutation(1 << UNIVERSE_BITS).astype(np.int32)
-        _STATE["pi"] = np.lib.stride_tricks.sliding_window_view(
+        state["pi"] = np.lib.stride_tricks.sliding_window_view(
             np.concatenate((pi, pi[:COORDINATES - 1])), COORDINATES)
-    return _STATE["pi"]
+    return state["pi"]
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -122,8 +120,8 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, key_col: str | Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        words = _WordHash()
         for batch in batches:
+            words = _word_hashes()
             sets = [shingle_set(t, words) for t in utf8(batch.column(1))]
             some = [s for s in sets if len(s)]
             sigs = np.stack([signature(s) for s in some]) if some \
@@ -152,8 +150,8 @@ def _sets(docs: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        words = _WordHash()
         for batch in batches:
+            words = _word_hashes()
             found = {}
             for text in utf8(batch.column(0)):
                 s = shingle_set(text, words)

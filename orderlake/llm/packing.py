@@ -22,6 +22,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import map_batches, materialize, rank_in_group
+from orderlake.llm.common import WordCache, map_batches, materialize, rank_in_group, worker_state
 
-CACHE_WORDS = 300_000      # words whose ids a worker remembers before it starts afresh
+CLOSING = re.compile(r"(?<=[^\W_])([.,])(?=[ \n]|\Z)")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -40,8 +41,9 @@ class WordEncoder:
     """Token ids of whole texts as little-endian 32-bit bytes, word by word.
 
     The tokenizer drops white space between words and never merges across it,
-    so a text's ids are its words' ids in order.  ``encode`` looks every word
-    up in a bounded cache and passes the unknown ones to the tokenizer in bulk.
+    so a text's ids are its words' ids in order.  A closing mark after a letter or
+    digit is a token of its own and is split off first.  ``encode`` looks every
+    word up in a bounded cache and passes the unknown ones on in bulk.
     """
 
     def __init__(self, path: str):
@@ -55,52 +57,37 @@ class WordEncoder:
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.words = WordCache(limit=200_000)
 
     def _plain(self, words: list[str]) -> None:
         for w, e in zip(words, self.tok.encode_batch_fast(words, add_special_tokens=False)):
-            self.stems[w] = np.array(e.ids, "<u4").tobytes()
+            self.words[w] = np.array(e.ids, "<u4").tobytes()
 
     def _letters(self, words: list[str]) -> None:
         """Words of letters only: encoded joined, cut after each word-end token."""
-        for i in range(0, len(words), 1000):
-            part = words[i:i + 1000]
+        for i in range(0, len(words), 2000):
+            part = words[i:i + 2000]
             e = self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
             ids = np.array(e.ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part) or cuts[-1] != len(ids):
                 self._plain(part)
                 continue
-            raw, at = ids.tobytes(), 0
+            raw, at, words_ = ids.tobytes(), 0, self.words
             for w, cut in zip(part, (4 * cuts).tolist()):
-                self.stems[w] = raw[at:cut]
+                words_[w] = raw[at:cut]
                 at = cut
 
-    def _learn(self, new: set[str]) -> None:
-        split: dict[str, tuple[str, ...]] = {}
-        for w in new:
-            low = w if "Σ" in w else w.lower()
-            # a closing mark after letters is a token of its own
-            split[w] = (low[:-1], low[-1]) if low[-1:] in {".", ","} and low[:-1].isalpha() \
-                else (low,)
-        todo = {s for parts in split.values() for s in parts if s and s not in self.stems}
-        self._letters([s for s in todo if s.isalpha()])
-        self._plain([s for s in todo if not s.isalpha()])
-        self.stems[""] = b""
-        for w, parts in split.items():
-            self.words[w] = b"".join([self.stems[s] for s in parts])
-
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 200):           # new words are encoded together
-            bags = [t.replace("\n", " ").split(" ") if t else [] for t in texts[at:at + 200]]
-            some = set().union(*bags)
-            new = {w for w in some if w not in self.words}
-            if len(self.words) + len(new) > CACHE_WORDS:
-                self.words.clear()
-                self.stems.clear()
-                new = some
-            self._learn(new)
+        for at in range(0, len(texts), 250):           # new words are encoded together
+            bags = []
+            for text in texts[at:at + 250]:
+                # the lower case of a sigma depends on its place for Python alone
+                low = text if not text or "Σ" in text else text.lower()
+                bags.append(CLOSING.sub(r" \1", low).replace("\n", " ").split(" ") if low else [])
+            new = self.words.unknown(set().union(*bags))
+            self._letters([w for w in new if w.isalpha()])
+            self._plain([w for w in new if not w.isalpha()])
             for words in bags:
                 yield b"".join(map(self.words.__getitem__, words))
 
@@ -112,7 +99,9 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096,
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = worker_state().get(tokenizer_path)
+        if encoder is None:
+            encoder = worker_state()[tokenizer_path] = WordEncoder(tokenizer_path)
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc, ids in zip(batch.column(0).to_pylist(),

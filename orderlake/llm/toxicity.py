@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import map_batches
+from orderlake.llm.common import WordCache, map_batches
 
 BUCKETS = 1 << 18
 SIZES = (3, 4, 5, 6)        # lengths of the character n-grams, word ends marked
@@ -37,7 +37,6 @@ MIN_DOCS = 4                # buckets in fewer training documents stay without w
 STEPS = 100
 EVEN = 0.5                  # how far rare n-grams are lifted towards frequent ones
 NEUTRAL = 20                # words of no weight that join every average; steadies short texts
-CACHE_WORDS = 300_000
 SEED = 11
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -210,16 +209,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     weight, bias, mean = model.weight, model.bias, model.mean
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known = Model(weight, bias, mean), {}
+        own, known = Model(weight, bias, mean), WordCache()
         for batch in batches:
             bags = [words_of(t) for t in batch.column(len(columns)).to_pylist()]
             logit = []
             for at in range(0, len(bags), 200):        # new words are scored together
-                some = set().union(*bags[at:at + 200])
-                new = [w for w in some if w not in known]
-                if len(known) + len(new) > CACHE_WORDS:
-                    known.clear()
-                    new = list(some)
+                new = known.unknown(set().union(*bags[at:at + 200]))
                 known.update(zip(new, own.words(new).tolist()))
                 for words in bags[at:at + 200]:
                     logit.append(own.logit(np.array(list(map(known.__getitem__, words)), float)))
