@@ -1,4 +1,4 @@
-"""Run the whole pipeline and print the metrics.
+"""Run the whole pipeline and print the first rows of the metrics.
 
     python -m orderlake --sources DIR      # the five source files (see sources.files)
     python -m orderlake --sf-dir DIR       # feeds derived from the driver's test tables
@@ -29,7 +29,11 @@ def main(argv: list[str] | None = None) -> int:
                     help="default: sized from the input (~256 MB per partition)")
     ap.add_argument("--null-gates", choices=["raise", "report"], default="raise")
     ap.add_argument("--as-of", help="tenure reference date (default: today)")
-    ap.add_argument("--rows", type=int, default=20, help="rows of each metric to show")
+    ap.add_argument("--rows", type=int, default=20,
+                    help="first rows of each metric to show (the tables hold all)")
+    ap.add_argument("--format", default="parquet", help="table format, for instance delta")
+    ap.add_argument("--fx-lines", action="store_true",
+                    help="the FX file is JSON Lines, not one JSON array")
     args = ap.parse_args(argv)
 
     spark = build_session(args.master, args.shuffle_partitions or 16, "orderlake")
@@ -37,9 +41,10 @@ def main(argv: list[str] | None = None) -> int:
         sized = apply_sizing(spark, input_bytes(spark, [args.sources or args.sf_dir]))
         print(f"shuffle partitions: {sized['spark.sql.shuffle.partitions']}")
     out = args.out or f"{work_root(spark)}/tables-{uuid.uuid4().hex[:8]}"
-    store = TableStore(spark, out)
+    store = TableStore(spark, out, fmt=args.format)
     if args.sources:
-        feeds, source_file = read_feeds(spark, args.sources), f"{args.sources}/orders.csv"
+        feeds = read_feeds(spark, args.sources, fx_multi_line=not args.fx_lines)
+        source_file = f"{args.sources}/orders.csv"
     else:
         feeds, source_file = fixtures.sources(spark, args.sf_dir), "raw_orders"
     res = pipeline.run(spark, feeds, store, source_file=source_file,
@@ -47,6 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     print(f"run {res.run_id}: tables under {out}")
     for key, n in res.counts.items():
         print(f"  {key:32s} {n:>12,d}")
+    print("order rows: " + ", ".join(f"{k} {v:,d}" for k, v in res.orders.items()))
     for name, df in pipeline.metric_frames(store, args.as_of, ordered=True).items():
         print(f"\n== {name}")
         df.show(args.rows, truncate=False)

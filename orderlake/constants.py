@@ -18,6 +18,9 @@ ERROR_MESSAGES = {
 # opt-in code for rows whose quantity is missing or unparseable (off by default)
 MISSING_QTY = "MISSING_QTY"
 MISSING_QTY_MESSAGE = "Quantity is missing or not a number."
+# lines of a file feed that do not fit the declared columns
+MALFORMED = "MALFORMED_LINE"
+MALFORMED_MESSAGE = "The line does not have the declared columns."
 
 # --- fixed values: product currency note ---------------------------------
 CURRENCY_NOTE = "Mixed case. Normalised to uppercase in transform stage"
@@ -43,12 +46,17 @@ DATE_KEY_FORMAT = "yyyyMMdd"
 MONTH_NAME_FORMAT = "MMMM"
 DAY_NAME_FORMAT = "EEEE"
 
+# --- fixed values: layer labels of audit records that differ from the layer name
+AUDIT_LAYERS = {"error_tables": "ERROR"}
+
 # --- pipeline identity ------------------------------------------------------
 PIPELINE_NAME = "ecommerce_etl"
 PIPELINE_VERSION = "1.0.0"
 
 # --- money types (exact decimal arithmetic) ---------------------------------
-PRICE_TYPE = "decimal(12,4)"
-RATE_TYPE = "decimal(12,8)"
-QTY_TYPE = "decimal(10,0)"
-MONEY_TYPE = "decimal(18,4)"
+# Digits kept after the point.  Seven significant digits of a rate stay down to
+# 1e-8; amounts beyond MONEY_TYPE become NULL and reach the null gates.
+PRICE_SCALE = 6
+RATE_SCALE = 14
+MONEY_SCALE = 4
+MONEY_TYPE = "decimal(24,4)"

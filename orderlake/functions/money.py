@@ -8,6 +8,8 @@ rounds binary fractions; the decimal form gives one answer everywhere.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,31 +18,44 @@ from orderlake.functions._col import as_col
 
 
 def money(c: str | Column) -> Column:
-    """A stored money amount as ``decimal(18,4)``."""
-    return as_col(c).cast(K.MONEY_TYPE)
+    """A stored money amount as ``MONEY_TYPE``; NULL beyond its range."""
+    return as_col(c).try_cast(K.MONEY_TYPE)
+
+
+def _units(c: str | Column, scale: int) -> Column:
+    """The amount counted in units of 10^-scale, a whole decimal.
+
+    Whole decimals multiply without losing digits to a reduced scale.
+    """
+    kept = as_col(c).try_cast(f"decimal({12 + scale},{scale})")
+    return (kept * F.lit(Decimal(10) ** scale)).try_cast(f"decimal({12 + scale},0)")
+
+
+def _product(factors: list[Column], scale: int) -> Column:
+    """The product of whole decimals that count 10^-scale, as money: rounded half
+    up once, NULL if a factor is NULL or the product has over 38 digits."""
+    exact = factors[0]
+    for f in factors[1:]:
+        exact = F.try_multiply(exact, f)
+    rounded = F.round(exact, K.MONEY_SCALE - scale)
+    return money(rounded * F.lit(Decimal(1).scaleb(-scale)))
 
 
 def line_revenue(price: str | Column, quantity: str | Column,
                  rate: str | Column) -> Column:
-    """``round(price * quantity * rate, 4)`` computed exactly, as decimal(18,4).
+    """``round(price * quantity * rate, 4)`` computed exactly.
 
-    NULL when any factor is NULL (e.g. no FX rate known for the order date).
+    NULL when any factor is NULL (e.g. no FX rate known for the order date)
+    or out of range.
     """
-    exact = (as_col(price).cast(K.PRICE_TYPE)
-             * as_col(quantity).cast(K.QTY_TYPE)
-             * as_col(rate).cast(K.RATE_TYPE))
-    return F.round(exact, 4).cast(K.MONEY_TYPE)
+    return _product([_units(price, K.PRICE_SCALE), as_col(quantity).try_cast("decimal(10,0)"),
+                     _units(rate, K.RATE_SCALE)], K.PRICE_SCALE + K.RATE_SCALE)
 
 
 def price_at_rate(price: str | Column, rate: str | Column) -> Column:
-    """``round(price * rate, 4)`` exactly, as decimal(18,4)."""
-    exact = as_col(price).cast(K.PRICE_TYPE) * as_col(rate).cast(K.RATE_TYPE)
-    return F.round(exact, 4).cast(K.MONEY_TYPE)
-
-
-def money_sum(c: str | Column) -> Column:
-    """Exact sum of a money column (decimal in, decimal out)."""
-    return F.sum(money(c))
+    """``round(price * rate, 4)`` exactly; NULL like ``line_revenue``."""
+    return _product([_units(price, K.PRICE_SCALE), _units(rate, K.RATE_SCALE)],
+                    K.PRICE_SCALE + K.RATE_SCALE)
 
 
 def round_money(c: str | Column, scale: int = 2) -> Column:
@@ -57,7 +72,3 @@ def money_avg(c: str | Column, scale: int = 2) -> Column:
     total = F.sum(money(c))
     n = F.count(as_col(c))
     return F.round(total / F.when(n > 0, n), scale)
-
-
-def to_double(c: str | Column) -> Column:
-    return as_col(c).cast("double")

@@ -27,21 +27,24 @@ def parse_iso_date(c: str | Column) -> Column:
 def parse_us_timestamp(c: str | Column) -> Column:
     """``M/d/yyyy H:mm`` text -> TIMESTAMP_NTZ (wall-clock time, no zone).
 
-    The text carries no zone, so the value is kept as written: parsing in the
-    session zone and casting back to NTZ in that same zone returns the wall
-    clock, whatever the session or process time zone is.
+    Date and time are parsed apart and without a zone, so every wall clock
+    stays as written, also one that a daylight-saving change skips.
     """
-    return F.try_to_timestamp(F.trim(as_col(c)), F.lit(K.US_TIMESTAMP)).cast("timestamp_ntz")
+    text = F.trim(as_col(c))
+    parts = F.regexp_extract(text, r"^(\S+) +(\d{1,2}):(\d{2})$", 0)
+    day = F.try_to_date(F.split_part(parts, F.lit(" "), F.lit(1)), K.US_DATE)
+    clock = F.split_part(parts, F.lit(" "), F.lit(-1))
+    hour = F.split_part(clock, F.lit(":"), F.lit(1)).try_cast("int")
+    minute = F.split_part(clock, F.lit(":"), F.lit(-1)).try_cast("int")
+    whole = (hour < 24) & (minute < 60)
+    return F.when(whole, day.cast("timestamp_ntz")
+                  + F.make_dt_interval(F.lit(0), hour, minute, F.lit(0)))
 
 
 def to_bigint(c: str | Column) -> Column:
     return as_col(c).try_cast("bigint")
 
 
-def to_int(c: str | Column) -> Column:
-    return as_col(c).try_cast("int")
-
-
 def to_double_num(c: str | Column) -> Column:
     return as_col(c).try_cast("double")
 
@@ -49,10 +52,11 @@ def to_double_num(c: str | Column) -> Column:
 def to_whole_int(c: str | Column) -> Column:
     """Text holding a whole number, also written as ``2.0``, -> INT.
 
-    Parsed through DOUBLE first: ``try_cast('2.0' as int)`` is NULL.
-    Callers quarantine fractional values before this runs.
+    Parsed through DOUBLE first: ``try_cast('2.0' as int)`` is NULL.  A
+    fraction is not cut off: it gives NULL.
     """
-    return as_col(c).try_cast("double").try_cast("int")
+    value = as_col(c).try_cast("double")
+    return F.when(value == F.floor(value), value).try_cast("int")
 
 
 def yes_no_flag(c: str | Column) -> Column:

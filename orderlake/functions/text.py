@@ -22,3 +22,8 @@ def clean_lower(c: str | Column) -> Column:
 def clean_upper(c: str | Column) -> Column:
     """Trimmed, upper-cased text (currency codes)."""
     return F.upper(F.trim(as_col(c)))
+
+
+def has_lower_case(c: str | Column) -> Column:
+    """Whether upper-casing changes the text; false for NULL."""
+    return ~F.upper(as_col(c)).eqNullSafe(as_col(c))

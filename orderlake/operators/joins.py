@@ -5,18 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows) we broadcast on a known count: ~100 MB at ~100 B/row.
-BROADCAST_MAX_ROWS = 1_000_000
+from orderlake.session import input_bytes
+
+# Largest side we broadcast: bytes of its files, times what columnar files grow
+# to as rows in memory.
+BROADCAST_MAX_BYTES = 128 << 20
+EXPANSION = 4
 
 
 def broadcast_if_small(df: DataFrame, rows: int | None,
-                       max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side's row count is known and small.
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast only when the side's size is known and small.
 
     ``rows`` must be a measured count (e.g. observed when the table was
-    written).  Unknown or larger sides are left to the optimizer and AQE,
-    which keep a shuffled join (with skew splitting) beyond the threshold.
+    written); None leaves the side to the optimizer.  The size is that of the
+    files the side reads, from file-system metadata, and at least eight bytes a
+    value; a side that reads no files is sized by its values alone.  Larger
+    sides keep a shuffled join with AQE's skew splitting.
     """
-    if rows is not None and rows <= max_rows:
-        return F.broadcast(df)
-    return df
+    if rows is None:
+        return df
+    folders = sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()})
+    size = max(8 * rows * len(df.columns),
+               EXPANSION * input_bytes(df.sparkSession, folders))
+    return F.broadcast(df) if size <= max_bytes else df

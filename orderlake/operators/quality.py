@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderlake import constants as K
@@ -17,6 +17,8 @@ from orderlake.functions.text import is_blank
 
 CODE = "_error_code"
 CLEAN = "_is_clean"
+CORRUPT = "_corrupt_line"        # file scans: the whole line if it does not fit the schema
+INTERNAL = (CODE, CLEAN, CORRUPT)
 
 
 class QualityGateError(ValueError):
@@ -28,7 +30,8 @@ def classify_orders(df: DataFrame, cust_col: str = "cust_id",
                     flag_missing_qty: bool = False) -> DataFrame:
     """Add ``_error_code`` and ``_is_clean``.
 
-    Precedence: a missing or blank customer id wins over a bad quantity.
+    Precedence: a malformed line (``CORRUPT`` set by the scan), then a missing or
+    blank customer id, then a bad quantity.
     A quantity is bad when it parses as a number with a fractional part.
     A quantity that is missing or not a number is, by default, neither clean
     nor quarantined (the source pipeline's behaviour: such rows disappear);
@@ -36,7 +39,9 @@ def classify_orders(df: DataFrame, cust_col: str = "cust_id",
     """
     qty = F.col(qty_col).try_cast("double")
     frac = qty % 1
-    code = (F.when(is_blank(cust_col), F.lit(K.NULL_CUST_ID))
+    broken = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
+    code = (F.when(broken, F.lit(K.MALFORMED))
+             .when(is_blank(cust_col), F.lit(K.NULL_CUST_ID))
              .when(frac != 0, F.lit(K.INVALID_QTY)))
     if flag_missing_qty:
         code = code.when(qty.isNull(), F.lit(K.MISSING_QTY))
@@ -44,23 +49,30 @@ def classify_orders(df: DataFrame, cust_col: str = "cust_id",
               .withColumn(CLEAN, F.col(CODE).isNull() & F.coalesce(frac == 0, F.lit(False))))
 
 
-def _message(code: Column) -> Column:
+def _message(code: Column, messages: dict[str, str] | None = None) -> Column:
     msg = F.lit(None).cast("string")
-    for c, text in list(K.ERROR_MESSAGES.items()) + [(K.MISSING_QTY, K.MISSING_QTY_MESSAGE)]:
+    known = messages or {**K.ERROR_MESSAGES, K.MISSING_QTY: K.MISSING_QTY_MESSAGE,
+                         K.MALFORMED: K.MALFORMED_MESSAGE}
+    for c, text in known.items():
         msg = F.when(code == c, F.lit(text)).otherwise(msg)
     return msg
 
 
 def tag_quarantine(classified: DataFrame, source_file: str | Column,
-                   run_ts: Column | None = None) -> DataFrame:
-    """Quarantined rows with code, message, source file and run time."""
+                   run_ts: Column | None = None,
+                   messages: dict[str, str] | None = None) -> DataFrame:
+    """Quarantined rows with code, message (of ``messages``, else the fixed ones),
+    source file and run time."""
     src = F.lit(source_file) if isinstance(source_file, str) else source_file
     if "_source_file" in classified.columns:      # file scans carry their own path
         src = F.col("_source_file")
-    base = [c for c in classified.columns if c not in (CODE, CLEAN, "_source_file")]
+    text = _message(F.col(CODE), messages)
+    if CORRUPT in classified.columns:
+        text = F.concat_ws(" ", text, F.col(CORRUPT))
+    base = [c for c in classified.columns if c not in (*INTERNAL, "_source_file")]
     out = (classified.filter(F.col(CODE).isNotNull())
                      .select(*base, F.col(CODE),
-                             _message(F.col(CODE)).alias("_error_message"),
+                             text.alias("_error_message"),
                              src.alias("_source_file")))
     if run_ts is not None:
         out = out.withColumn("_ingested_at", run_ts)
@@ -68,7 +80,7 @@ def tag_quarantine(classified: DataFrame, source_file: str | Column,
 
 
 def clean_rows(classified: DataFrame) -> DataFrame:
-    base = [c for c in classified.columns if c not in (CODE, CLEAN)]
+    base = [c for c in classified.columns if c not in INTERNAL]
     return classified.filter(F.col(CLEAN)).select(*base)
 
 
@@ -79,13 +91,21 @@ def quarantine_counts(classified: DataFrame) -> DataFrame:
                       .agg(F.count(F.lit(1)).alias("rows")))
 
 
+def _conservation() -> list[Column]:
+    return [F.count(F.lit(1)).alias("raw_rows"),
+            F.count_if(F.col(CLEAN)).alias("clean_rows"),
+            F.count_if(F.col(CODE).isNotNull()).alias("quarantined_rows"),
+            F.count_if(~F.col(CLEAN) & F.col(CODE).isNull()).alias("unclassified_rows")]
+
+
 def conservation(classified: DataFrame) -> DataFrame:
     """One row: raw, clean, quarantined and unclassified row counts."""
-    return classified.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(F.col(CLEAN)).alias("clean_rows"),
-        F.count_if(F.col(CODE).isNotNull()).alias("quarantined_rows"),
-        F.count_if(~F.col(CLEAN) & F.col(CODE).isNull()).alias("unclassified_rows"))
+    return classified.agg(*_conservation())
+
+
+def observed_conservation(classified: DataFrame, seen: Observation) -> DataFrame:
+    """``classified``, whose job fills ``seen`` with the ``conservation`` counts."""
+    return classified.observe(seen, *_conservation())
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -111,17 +131,33 @@ def check_nulls(df: DataFrame, columns: Sequence[str], label: str,
 
 def check_nulls_counts(counts: dict[str, int], label: str) -> None:
     """Raise when any of the given NULL counts is positive."""
-    bad = {c: n for c, n in counts.items() if n}
-    if bad:
-        detail = ", ".join(f"{c}={n}" for c, n in bad.items())
-        raise QualityGateError(f"Null check failed in {label}: {detail}")
+    missing = sorted(c for c, n in counts.items() if n > 0)
+    if missing:
+        raise QualityGateError(
+            f"{label}: NULLs in required columns " +
+            "; ".join(f"{c} in {counts[c]} rows" for c in missing))
+
+
+def check_unique(df: DataFrame, keys: Sequence[str], label: str) -> None:
+    """Gate: no two rows of ``df`` share ``keys``."""
+    again = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").first()
+    if again is not None:
+        raise QualityGateError(f"{label}: several rows for {again.asDict()}")
+
+
+def check_conserved(counts: dict[str, int], label: str, mode: str = "raise") -> None:
+    """Gate: every raw row is clean or quarantined (``conservation`` counts)."""
+    lost = counts["unclassified_rows"]
+    if lost and mode == "raise":
+        raise QualityGateError(f"{label}: {lost} of {counts['raw_rows']} raw rows are neither "
+                               "clean nor quarantined")
 
 
 def check_row_count(df_or_count: DataFrame | int, min_rows: int, label: str) -> int:
     """Gate: at least ``min_rows`` rows.  Accepts a count already observed
     during a write, so no extra job is needed."""
-    n = df_or_count if isinstance(df_or_count, int) else df_or_count.count()
-    if n < min_rows:
-        raise QualityGateError(
-            f"Row count check failed for {label}: got {n}, expected at least {min_rows}")
-    return n
+    rows = df_or_count if isinstance(df_or_count, int) else df_or_count.count()
+    short = min_rows - rows
+    if short > 0:
+        raise QualityGateError(f"{label}: {rows} rows, {short} fewer than required")
+    return rows

@@ -10,8 +10,8 @@ assembles a ``WITH`` chain holding exactly the views a statement needs.
 
 Numeric conventions shared with the Spark side:
 
-* money is exact decimal: price ``DECIMAL(12,4)``, rate ``DECIMAL(12,8)``,
-  revenue ``DECIMAL(18,4)``; outputs are cast to DOUBLE at the end;
+* money is computed in whole numbers (HUGEINT): prices in millionths, rates in
+  1e-14, rounded half up to four decimals; outputs are cast to DOUBLE at the end;
 * averages of money use integer arithmetic in 1e-4 units, rounded half up;
 * counts are BIGINT, calendar parts and ranks INTEGER.
 """
@@ -45,8 +45,9 @@ _view("raw_orders", """
                 WHEN k % 97 = 1 THEN ' '
                 ELSE CAST(o_custkey AS VARCHAR) END AS cust_id,
            strftime(o_orderdate, '%-m/%-d/%Y %-H:%M') AS order_date_raw,
-           CAST(l_partkey AS VARCHAR) AS prod_id,
+           CASE WHEN k % 131 = 7 THEN '999999999' ELSE CAST(l_partkey AS VARCHAR) END AS prod_id,
            CASE WHEN k % 89 = 0 THEN '0.1'
+                WHEN k % 7 = 0 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '.0'
                 ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS quantity_raw,
            CASE o_orderstatus WHEN 'F' THEN ' Shipped' WHEN 'O' THEN 'PAID'
                 ELSE 'created ' END AS status
@@ -56,9 +57,11 @@ _view("raw_orders", """
 
 _view("raw_fx", """
     SELECT strftime(o_orderdate, '%Y-%m-%d') AS date,
-           CASE o_orderkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'Yen' ELSE 'Pound' END
-               AS currency,
-           0.5 + (o_orderkey % 1000) / 1000 AS conversion,
+           CASE WHEN o_orderkey % 10 = 9 THEN 'Idr' WHEN o_orderkey % 3 = 0 THEN 'USD'
+                WHEN o_orderkey % 3 = 2 THEN 'Pound' WHEN o_orderkey % 11 = 3 THEN 'YEN '
+                ELSE 'Yen' END AS currency,
+           CASE WHEN o_orderkey % 10 = 9 THEN (1 + o_orderkey % 7) * 3.95123e-8
+                ELSE 0.5 + (o_orderkey % 1000) / 1000 END AS conversion,
            o_orderkey AS seq
     FROM orders
     WHERE year(o_orderdate) <> 1999
@@ -86,25 +89,27 @@ _view("raw_product", """
     SELECT CAST(p.p_partkey AS VARCHAR) AS prod_id,
            c.cat_id,
            p.p_name AS prod_name,
-           CAST(CAST(p.p_retailprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
-           CASE p.p_partkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'Yen' ELSE 'POUND' END
-               AS currency
+           CASE WHEN p.p_partkey % 101 = 5 THEN '150000000.00'
+                ELSE CAST(CAST(p.p_retailprice AS DECIMAL(12,2)) AS VARCHAR) END AS price,
+           CASE WHEN p.p_partkey % 10 = 9 THEN 'IDR' WHEN p.p_partkey % 3 = 0 THEN 'USD'
+                WHEN p.p_partkey % 3 = 1 THEN 'Yen' ELSE 'POUND' END AS currency
     FROM part p LEFT JOIN leaf_categories c ON p.p_type = c.child
 """)
 
 _view("raw_customer", """
     SELECT CAST(c.c_custkey AS VARCHAR) AS cust_id,
-           strftime(DATE '1994-01-01' + CAST(c.c_custkey % 1000 AS INTEGER), '%-m/%-d/%Y')
-               AS created_at,
+           strftime(DATE '1994-01-01' + CAST((c.c_custkey * 37 + s.n * 211) % 1000 AS INTEGER),
+                    '%-m/%-d/%Y') AS created_at,
            n.n_name AS country,
            r.r_name AS region,
            c.c_mktsegment AS type,
-           lpad(CAST(c.c_custkey * 7 % 100000 AS VARCHAR), 5, '0') AS zip,
+           lpad(CAST((c.c_custkey * 7 + s.n) % 100000 AS VARCHAR), 5, '0') AS zip,
            CASE WHEN c.c_acctbal >= 0 THEN 'y' WHEN c.c_acctbal > -500 THEN 'n' END
                AS active
     FROM customer c
     JOIN nation n ON c.c_nationkey = n.n_nationkey
     JOIN region r ON n.n_regionkey = r.r_regionkey
+    CROSS JOIN (SELECT unnest([0, 1, 2]) AS n) s
 """)
 
 _view("customer_snapshots", """
@@ -138,7 +143,8 @@ _view("clean_orders", """
 
 _view("bronze_fx", """
     SELECT date, currency, conversion, seq FROM (
-        SELECT *, row_number() OVER (PARTITION BY date, currency ORDER BY seq DESC) AS rn
+        SELECT *, row_number() OVER (PARTITION BY date, upper(trim(currency))
+                                     ORDER BY seq DESC) AS rn
         FROM raw_fx) WHERE rn = 1
 """)
 
@@ -177,7 +183,8 @@ _view("silver_orders", """
            TRY_CAST(prod_id AS BIGINT) AS prod_id,
            try_strptime(trim(order_date_raw), '%m/%d/%Y %H:%M') AS order_timestamp,
            CAST(try_strptime(trim(order_date_raw), '%m/%d/%Y %H:%M') AS DATE) AS order_date,
-           TRY_CAST(TRY_CAST(quantity_raw AS DOUBLE) AS INTEGER) AS quantity,
+           CASE WHEN TRY_CAST(quantity_raw AS DOUBLE) % 1 = 0
+                THEN TRY_CAST(TRY_CAST(quantity_raw AS DOUBLE) AS INTEGER) END AS quantity,
            lower(trim(status)) AS status
     FROM clean_orders
 """)
@@ -243,9 +250,10 @@ _view("order_items", """
     SELECT o.order_id, o.cust_id, o.prod_id, p.prod_name, o.order_timestamp,
            o.order_date, o.quantity, o.status, p.price, p.currency, p.cat_id,
            p.category_name, p.top_category, f.rate_to_usd,
-           CAST(ROUND(CAST(p.price AS DECIMAL(12,4)) * CAST(o.quantity AS DECIMAL(10,0))
-                      * CAST(f.rate_to_usd AS DECIMAL(12,8)), 4) AS DECIMAL(18,4))
-               AS revenue_usd,
+           CAST((CAST(round(p.price * 1e6) AS HUGEINT) * o.quantity
+                 * CAST(round(f.rate_to_usd * 1e14) AS HUGEINT)
+                 + 5000000000000000) // 10000000000000000 AS DECIMAL(28,0))
+               * CAST(0.0001 AS DECIMAL(5,4)) AS revenue_usd,
            f._fx_fill_method
     FROM silver_orders o
     JOIN silver_product p ON o.prod_id = p.prod_id
@@ -267,9 +275,10 @@ _view("latest_rates", """
 _view("dim_product", """
     SELECT p.prod_id AS prod_key, p.prod_id, p.prod_name, p.category_name,
            p.top_category,
-           CAST(ROUND(CAST(p.price AS DECIMAL(12,4))
-                      * CAST(l.latest_rate AS DECIMAL(12,8)), 4) AS DECIMAL(18,4))
-               AS price_usd
+           CAST((CAST(round(p.price * 1e6) AS HUGEINT)
+                 * CAST(round(l.latest_rate * 1e14) AS HUGEINT)
+                 + 5000000000000000) // 10000000000000000 AS DECIMAL(28,0))
+               * CAST(0.0001 AS DECIMAL(5,4)) AS price_usd
     FROM silver_product p LEFT JOIN latest_rates l ON p.currency = l.currency
 """)
 

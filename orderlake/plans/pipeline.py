@@ -15,17 +15,18 @@ import uuid
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import constants as K
-from orderlake.operators import broadcast_if_small, check_row_count
+from orderlake.operators import broadcast_if_small, check_row_count, quality
 from orderlake.operators.quality import check_nulls_counts
 from orderlake.plans import bronze, gold, metrics, silver
 from orderlake.session import work_root
 from orderlake.sinks import AuditLog, TableStore, layer_row_counts
 from orderlake.sinks.tables import BRONZE_DDL, ERROR_TABLE_DDL
 
+# Tables and their labels (fixed values: they appear in the run summary).
 LAYOUT = {
     "bronze": [("customer", "customers"), ("orders", "orders"), ("product", "products"),
                ("cat_tree", "categories"), ("fx_rates", "fx rates")],
@@ -56,6 +57,7 @@ class RunResult:
     gates: dict = field(default_factory=dict)
     metrics: dict = field(default_factory=dict)
     seconds: dict = field(default_factory=dict)     # wall time of each table write
+    orders: dict = field(default_factory=dict)      # raw, clean, duplicate, ... order rows
 
 
 def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | None = None,
@@ -92,10 +94,12 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
         store.create_table("bronze", table, ddl, note)
     store.create_table("error_tables", "err_orders", ERROR_TABLE_DDL, "quarantined order rows")
     writes = _Writes(parallelism)
+    logger, logged = ThreadPoolExecutor(max_workers=1), []     # audit appends, beside the writes
     rd = store.read
+    counted = Observation("order_rows")
 
     def put(layer: str, table: str, build, needs=(), stamp=True, bucket_by=None,
-            gate=(), label=None, min_rows=None) -> None:
+            gate=(), label=None, min_rows=None, after=None) -> None:
         """Write ``build()`` once every table in ``needs`` is written.
 
         ``gate`` columns have their NULLs counted by the write job itself (no
@@ -114,28 +118,40 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
                                             keep_definition=layer in DECLARED_LAYERS)
             res.counts[f"{layer}.{table}"] = n
             res.seconds[f"{layer}.{table}"] = round(time.perf_counter() - started, 3)
-            audit.record(layer.upper(), store.name(layer, table), n)
+            audit.record(layer, store.name(layer, table), n)
+            logged.append(logger.submit(audit.flush, store))
             if gate:
                 res.gates[label] = nulls
                 if null_gate_mode == "raise":
                     check_nulls_counts(nulls, label)
             if min_rows is not None:
                 check_row_count(n, min_rows, label)
+            if after is not None:
+                after(n)
             return n
         writes.add(f"{layer}.{table}", write, needs)
 
     # Each row keeps where it came from and when it was ingested; file feeds
-    # carry their path in ``_source_file`` already (sources.with_file_lineage).
+    # carry their path in ``_source_file`` already (sources.read_feeds).
     def lineage(df: DataFrame, feed: str) -> DataFrame:
         if "_source_file" not in df.columns:
             df = df.withColumn("_source_file", F.lit(feed))
         return df.withColumn("_ingested_at", run_ts)
 
+    def conserved(written: int) -> None:
+        got = {k: int(v) for k, v in counted.get.items()}
+        got["duplicate_rows"] = got["clean_rows"] - written
+        res.orders.update(got)
+        quality.check_conserved(got, "orders", null_gate_mode)
+
     try:
         # ---- bronze: raw text after dedup and quarantine ---------------
         b = bronze.build(feeds, source_file, run_ts, flag_missing_qty)
         put("bronze", "customer", lambda: lineage(b.customers, "customers"), stamp=False)
-        put("bronze", "orders", lambda: lineage(b.orders, source_file), stamp=False)
+        # raw, clean and quarantined rows are counted by the write of the clean ones
+        seen = quality.observed_conservation(b.classified, counted)
+        put("bronze", "orders", lambda: lineage(bronze.clean_orders(seen), source_file),
+            stamp=False, after=conserved)
         put("bronze", "product", lambda: lineage(b.products, "products"), stamp=False)
         put("bronze", "cat_tree", lambda: lineage(b.categories, "categories"), stamp=False)
         put("bronze", "fx_rates", lambda: lineage(b.fx_rates, "fx_rates"), stamp=False)
@@ -154,7 +170,8 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
             needs=["bronze.product", "bronze.cat_tree"],
             gate=["prod_id", "price", "currency", "top_category"], label="products")
         put("silver", "fx_rates", lambda: silver.fx_rates(rd("bronze", "fx_rates")),
-            needs=["bronze.fx_rates"])
+            needs=["bronze.fx_rates"], after=lambda _: quality.check_unique(
+                rd("silver", "fx_rates"), ["rate_date", "currency"], "fx rates"))
         put("silver", "order_items",
             lambda: silver.order_items(rd("silver", "orders"), rd("silver", "product"),
                                        rd("silver", "fx_rates"), res.counts["silver.fx_rates"],
@@ -188,11 +205,14 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
         res.counts = {k: res.counts[k] for k in writes.futures if k in res.counts}
         res.seconds = {k: res.seconds[k] for k in writes.futures if k in res.seconds}
     except Exception as exc:
-        audit.record("RUN", K.PIPELINE_NAME, 0, "FAILED", f"{type(exc).__name__}: {exc}"[:500])
+        audit.record("RUN", K.PIPELINE_NAME, 0, "FAILED", f"{type(exc).__name__}: {exc}")
         raise
     finally:
         writes.close()
+        logger.shutdown(wait=True)
         audit.flush(store)
+    for done in logged:
+        done.result()                             # an append that failed
     res.metrics = metric_frames(store, as_of, counts=res.counts)
     return res
 

@@ -9,7 +9,6 @@ comma-joined text (``comparable``).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -25,8 +24,8 @@ from orderlake.operators import dedup, quality, timeseries
 from orderlake.operators.hierarchy import resolve_top_category
 from orderlake.oracle import sql_for
 from orderlake.plans import bronze, gold, metrics, silver
-from orderlake.session import scratch_path
-from orderlake.sinks.tables import AUDIT_SCHEMA, counts_frame
+from orderlake.session import scratch_path, work_root
+from orderlake.sinks.tables import AuditLog, counts_frame
 from orderlake.sources import fixtures, readers, schemas
 
 AS_OF = "2002-01-01"          # fixed reference date for tenure
@@ -123,10 +122,12 @@ def register(name: str, sql: str | None):
 # ======================================================================
 @register("scan_csv", "SELECT * FROM raw_orders")
 def _scan_csv(fr: Frames) -> DataFrame:
-    """Orders feed written as CSV with a header, read back by position with
-    the declared all-text schema (blanks preserved)."""
+    """Orders feed written as CSV under other header names, read back by position
+    with the declared all-text schema (blanks preserved)."""
     path = scratch_path(fr.spark, "csv-orders")
-    (fr.feeds["orders"].write.mode("overwrite").option("header", True)
+    headed = fr.feeds["orders"].withColumnsRenamed(
+        {"order_date_raw": "order date", "quantity_raw": "quantity"})
+    (headed.write.mode("overwrite").option("header", True)
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
     return readers.read_csv_source(fr.spark, path, schemas.ORDERS_SCHEMA)
@@ -134,18 +135,26 @@ def _scan_csv(fr: Frames) -> DataFrame:
 
 @register("scan_json", "SELECT * FROM raw_fx")
 def _scan_json(fr: Frames) -> DataFrame:
-    """FX feed written as JSON Lines and read back under its schema."""
+    """FX feed written as JSON array documents, one per file and at most 10,000
+    sequence numbers each, and read back as such under its schema."""
     path = scratch_path(fr.spark, "json-fx")
-    fr.feeds["fx_rates"].write.mode("overwrite").json(path)
-    return readers.read_json_source(fr.spark, path, schemas.FX_SEQ_SCHEMA)
+    fx = fr.feeds["fx_rates"]
+    row = F.to_json(F.struct(*fx.columns))
+    documents = fx.groupBy(F.floor(F.col("seq") / 10_000).alias("doc")).agg(
+        F.concat(F.lit("["), F.concat_ws(",", F.collect_list(row)), F.lit("]")).alias("value"))
+    documents.repartition("doc").write.mode("overwrite").partitionBy("doc").text(path)
+    got = readers.read_json_source(fr.spark, path, schemas.FX_SEQ_SCHEMA, multi_line=True)
+    return got.select(*schemas.FX_SEQ_SCHEMA.names)
 
 
 @register("scan_table", "SELECT * FROM clean_orders")
 def _scan_table(fr: Frames) -> DataFrame:
     """Bronze orders saved as a catalog table and scanned by name."""
-    name = f"scan_orders_{uuid.uuid4().hex[:10]}"
-    path = scratch_path(fr.spark, "table-orders")
-    fr.bronze.orders.write.format("parquet").option("path", path).saveAsTable(name)
+    name = "orderlake_scan_orders"               # replaced by each call
+    fr.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    path = f"{work_root(fr.spark)}/table-orders"
+    fr.bronze.orders.write.mode("overwrite").format("parquet").option("path", path) \
+        .saveAsTable(name)
     return readers.read_table(fr.spark, name)
 
 
@@ -628,21 +637,19 @@ def _layer_row_counts(fr: Frames) -> DataFrame:
     return _layer_counts(fr)
 
 
-@register("audit_records", None)
+@register("audit_records", "SELECT 'run-1' AS run_id, 'ecommerce_etl' AS pipeline, "
+          "'1.0.0' AS version, CASE layer WHEN 'error_tables' THEN 'ERROR' ELSE upper(layer) END "
+          "AS layer, table_name, row_count, 'SUCCESS' AS status, '' AS notes, "
+          f"'{AS_OF} 00:00:00' AS logged_at FROM (" + " UNION ALL ".join(
+              f"SELECT '{t.split('.')[0]}' AS layer, '{t}' AS table_name, COUNT(*) AS row_count "
+              f"FROM {v}" for t, v in _LAYER_SQL.items()) + ")")
 def _audit_records(fr: Frames) -> DataFrame:
-    """One audit record per layer table (run id and log time vary per run,
-    so this key has no oracle)."""
-    run_id = str(uuid.uuid4())
-    counts = _layer_counts(fr)
-    cols = {
-        "run_id": F.lit(run_id), "pipeline": F.lit(K.PIPELINE_NAME),
-        "version": F.lit(K.PIPELINE_VERSION), "layer": F.upper("layer"),
-        "table_name": F.col("table_name"), "row_count": F.col("row_count"),
-        "status": F.lit("SUCCESS"), "notes": F.lit(""),
-        "logged_at": F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"),
-    }
-    return counts.select(*[cols[f.name].cast(f.dataType).alias(f.name)
-                           for f in AUDIT_SCHEMA.fields])
+    """One audit record per layer table, as the audit log writes them, under a
+    fixed run id and time."""
+    log = AuditLog("run-1", clock=lambda: f"{AS_OF} 00:00:00")
+    for r in _layer_counts(fr).collect():              # one row per table of the layout
+        log.record(r["layer"], r["table_name"], r["row_count"])
+    return log.frame(fr.spark)
 
 
 def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:

@@ -91,14 +91,19 @@ def work_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and checkpoints.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured for the
-    cluster (a shared file system every executor can read).  Only when no
-    checkpoint folder is configured at all, as in local tests, a fresh local
-    folder is registered with ``SparkContext.setCheckpointDir``.
+    cluster (a shared file system every executor can read).  Only on a local
+    master without any checkpoint folder, as in tests, a fresh local folder is
+    registered with ``SparkContext.setCheckpointDir``; on a cluster the missing
+    setting is an error, as executors don't share local folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir is not set for {master}: name a folder "
+                             "that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orderlake-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")

@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -136,14 +137,20 @@ def write_observed(df: DataFrame, table: str, location: str | None = None,
     writer = df.observe(obs, *metrics).write.format(fmt).mode(mode)
     if bucket_by:
         writer = writer.bucketBy(n, cols[0], *cols[1:])
+    if fmt == "delta" and mode == "overwrite":
+        writer = writer.option("overwriteSchema", True)      # columns may change between runs
     if location:
         writer = writer.option("path", location)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
+    return _observed(obs, null_columns)
+
+
+def _observed(obs: Observation, null_columns: Sequence[str]) -> tuple[int, dict[str, int]]:
+    """Row and NULL counts; a count the write did not deliver raises (KeyError)."""
     got = obs.get
-    nulls = {c: int(got.get(f"null_{i}", 0)) for i, c in enumerate(null_columns)}
-    return int(got.get("rows", 0)), nulls
+    return int(got["rows"]), {c: int(got[f"null_{i}"]) for i, c in enumerate(null_columns)}
 
 
 def insert_observed(df: DataFrame, table: str, mode: str = "overwrite",
@@ -152,17 +159,17 @@ def insert_observed(df: DataFrame, table: str, mode: str = "overwrite",
     declared types), observing the row count and NULL counts."""
     target = df.sparkSession.table(table).schema
     missing = [f.name for f in target.fields if f.name not in df.columns]
-    if missing:
-        raise ValueError(f"{table}: frame lacks declared columns {missing}")
+    extra = [c for c in df.columns if c not in target.names]
+    if missing or extra:
+        raise ValueError(f"{table}: frame lacks declared columns {missing}, "
+                         f"has undeclared columns {extra}")
     df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     metrics = [F.count(F.lit(1)).alias("rows")]
     metrics += [F.count_if(F.col(c).isNull()).alias(f"null_{i}")
                 for i, c in enumerate(null_columns)]
     df.observe(obs, *metrics).write.insertInto(table, overwrite=(mode == "overwrite"))
-    got = obs.get
-    nulls = {c: int(got.get(f"null_{i}", 0)) for i, c in enumerate(null_columns)}
-    return int(got.get("rows", 0)), nulls
+    return _observed(obs, null_columns)
 
 
 @dataclass
@@ -188,8 +195,22 @@ class TableStore:
         if layer not in self.created:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db(layer)} "
                            f"LOCATION '{self.root}/{layer}'")
+            found = self.spark.catalog.getDatabase(self.db(layer)).locationUri
+            self._same_place(self.db(layer), found, f"{self.root}/{layer}")
             self.created.add(layer)
 
+    def _same_place(self, name: str, found: str, expected: str) -> None:
+        """A name registered for another folder would send this store's rows there."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+
+        def full(p: str) -> str:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            return path.getFileSystem(conf).makeQualified(path).toString().rstrip("/")
+
+        if full(found) != full(expected):
+            raise ValueError(f"{name} is registered at {found}, not at {expected}: "
+                             "use another prefix or the registered root")
+
     def create_table(self, layer: str, table: str, ddl: str, comment: str = "") -> None:
         """``CREATE TABLE IF NOT EXISTS`` with column comments."""
         self.ensure_schema(layer)
@@ -198,6 +219,11 @@ class TableStore:
             f"CREATE TABLE IF NOT EXISTS {self.name(layer, table)} ({ddl}) "
             f"USING {self.fmt} LOCATION '{self.location(layer, table)}' "
             f"COMMENT '{note}'")
+        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
+        found = about.where("col_name = 'Location'").first()
+        if found is not None:
+            self._same_place(self.name(layer, table), found["data_type"],
+                             self.location(layer, table))
 
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
               partition_by: Sequence[str] | None = None,
@@ -228,14 +254,23 @@ class TableStore:
 
 @dataclass
 class AuditLog:
-    """Audit records of one run; written together with one append."""
+    """Audit records of one run.  ``flush`` appends what has been recorded since
+    the last flush; the run flushes after each table write, so a driver that
+    dies loses none of the writes before.
+
+    ``clock`` gives the log time as text (default: now, UTC).
+    """
 
     run_id: str
     records: list = field(default_factory=list)
+    clock: Callable[[], str] = lambda: dt.datetime.now(dt.timezone.utc).strftime(
+        "%Y-%m-%d %H:%M:%S")
+    lock: Lock = field(default_factory=Lock)
 
     def record(self, layer: str, table: str, rows: int, status: str = "SUCCESS",
                notes: str = "") -> None:
-        now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        now = self.clock()
+        layer = K.AUDIT_LAYERS.get(layer.lower(), layer.upper())
         self.records.append((self.run_id, K.PIPELINE_NAME, K.PIPELINE_VERSION, layer,
                              table, int(rows), status, notes, now))
 
@@ -244,13 +279,15 @@ class AuditLog:
 
     def flush(self, store: TableStore, layer: str = "audit",
               table: str = "pipeline_run_log") -> int:
-        if not self.records:
-            return 0
-        store.create_table(layer, table, AUDIT_TABLE_DDL, "one row per table write")
-        n = write_table(self.frame(store.spark), store.name(layer, table),
-                        store.location(layer, table), store.fmt, "append")
-        self.records = []
-        return n
+        with self.lock:                  # one append to the table at a time
+            if not self.records:
+                return 0
+            ready = AuditLog(self.run_id, list(self.records))
+            store.create_table(layer, table, AUDIT_TABLE_DDL, "one row per table write")
+            n = write_table(ready.frame(store.spark), store.name(layer, table),
+                            store.location(layer, table), store.fmt, "append")
+            del self.records[:len(ready.records)]
+            return n
 
 
 def counts_frame(spark: SparkSession,

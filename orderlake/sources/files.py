@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.operators.quality import CORRUPT
 from orderlake.sources.readers import read_csv_source, read_json_source, with_sequence
 from orderlake.sources.schemas import (
     CATEGORY_SCHEMA, CUSTOMER_SCHEMA, FX_SCHEMA, ORDERS_SCHEMA, PRODUCT_SCHEMA)
@@ -31,8 +32,15 @@ def _with_file(df: DataFrame) -> DataFrame:
 
 
 def read_feeds(spark: SparkSession, folder: str, fx_multi_line: bool = True) -> dict[str, DataFrame]:
+    """The five feeds.  Order lines that do not have the declared columns keep their
+    text in ``quality.CORRUPT`` and are quarantined.
+
+    ``fx_multi_line=False`` reads the FX file as JSON Lines, which Spark splits.
+    """
     folder = folder.rstrip("/")
-    feeds = {name: _with_file(read_csv_source(spark, f"{folder}/{fname}", schema))
+    feeds = {name: _with_file(read_csv_source(
+                 spark, f"{folder}/{fname}", schema,
+                 corrupt_column=CORRUPT if name == "orders" else None))
              for name, (fname, schema) in FILES.items()}
     fx = read_json_source(spark, f"{folder}/{FX_FILE}", FX_SCHEMA, multi_line=fx_multi_line)
     feeds["fx_rates"] = with_sequence(_with_file(fx), "seq")

@@ -60,8 +60,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text row per order line, as the orders CSV would hold it.
 
     Orders with key % 97 = 0 lose their customer id, % 97 = 1 get a blank one;
-    key % 89 = 0 get quantity ``0.1``; lines of orders with key % 53 = 0 are
-    delivered twice.
+    key % 89 = 0 get quantity ``0.1``, key % 7 = 0 write whole quantities as
+    ``2.0``; key % 131 = 7 name an unknown product; lines of orders with
+    key % 53 = 0 are delivered twice.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     k = F.col("o_orderkey")
@@ -78,15 +79,17 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("o_orderstatus") == "O", F.lit("PAID"))
          .otherwise(F.lit("created ")).alias("status"))
     lines = li.join(od, li.l_orderkey == od.o_orderkey)
+    whole = F.col("l_quantity").cast("bigint").cast("string")
     copies = F.explode(F.sequence(F.lit(1), F.when(k % 53 == 0, 2).otherwise(1)))
     return (lines
             .select("*", copies.alias("_copy"))
             .select(
                 "order_id", "cust_id", "order_date_raw",
-                F.col("l_partkey").cast("string").alias("prod_id"),
+                F.when(k % 131 == 7, F.lit("999999999"))
+                 .otherwise(F.col("l_partkey").cast("string")).alias("prod_id"),
                 F.when(k % 89 == 0, F.lit("0.1"))
-                 .otherwise(F.col("l_quantity").cast("bigint").cast("string"))
-                 .alias("quantity_raw"),
+                 .when(k % 7 == 0, F.concat(whole, F.lit(".0")))
+                 .otherwise(whole).alias("quantity_raw"),
                 "status"))
 
 
@@ -95,15 +98,19 @@ def raw_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Orders of 1999 are left out, which leaves a one-year gap; several orders
     per day and currency give repeated writes, the highest ``seq`` is last.
+    ``Yen`` also comes as ``YEN `` (one currency after clean-up), and ``Idr`` is
+    worth less than 1e-6 of a dollar.
     """
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     k = F.col("o_orderkey")
     return (od.filter(F.year("o_orderdate") != 1999)
               .select(
                   F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
-                  F.when(k % 3 == 0, "USD").when(k % 3 == 1, "Yen")
-                   .otherwise("Pound").alias("currency"),
-                  (F.lit(0.5) + (k % 1000) / 1000).alias("conversion"),
+                  F.when(k % 10 == 9, "Idr").when(k % 3 == 0, "USD")
+                   .when(k % 3 == 2, "Pound").when(k % 11 == 3, "YEN ")
+                   .otherwise("Yen").alias("currency"),
+                  F.when(k % 10 == 9, (1 + k % 7) * F.lit(3.95123e-8))
+                   .otherwise(F.lit(0.5) + (k % 1000) / 1000).alias("conversion"),
                   k.alias("seq")))
 
 
@@ -122,7 +129,8 @@ def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product feed: price as text, currency by key (``Yen`` in mixed case)."""
+    """Product feed: price as text, currency by key (``Yen`` in mixed case); keys
+    % 101 = 5 cost 150 million."""
     part = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_type", "p_retailprice")
     k = F.col("p_partkey")
@@ -132,19 +140,24 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
                     k.cast("string").alias("prod_id"),
                     F.col("cat_id"),
                     F.col("p_name").alias("prod_name"),
-                    F.col("p_retailprice").cast("decimal(12,2)").cast("string").alias("price"),
-                    F.when(k % 3 == 0, "USD").when(k % 3 == 1, "Yen")
+                    F.when(k % 101 == 5, "150000000.00")
+                     .otherwise(F.col("p_retailprice").cast("decimal(12,2)").cast("string"))
+                     .alias("price"),
+                    F.when(k % 10 == 9, "IDR").when(k % 3 == 0, "USD").when(k % 3 == 1, "Yen")
                      .otherwise("POUND").alias("currency")))
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer feed with region names, segment as type and a y/n flag."""
+    """Customer feed with region names, segment as type and a y/n flag: three
+    snapshots per customer, whose dates sort differently as text."""
     c = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     k = F.col("c_custkey")
-    created = F.date_add(F.lit("1994-01-01").cast("date"), (k % 1000).cast("int"))
+    j = F.col("_snapshot")
+    created = F.date_add(F.lit("1994-01-01").cast("date"), ((k * 37 + j * 211) % 1000).cast("int"))
+    c = c.select("*", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("_snapshot"))
     return (c.join(n, c.c_nationkey == n.n_nationkey)
              .join(r, F.col("n_regionkey") == r.r_regionkey)
              .select(
@@ -153,7 +166,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("n_name").alias("country"),
                  F.col("r_name").alias("region"),
                  F.col("c_mktsegment").alias("type"),
-                 F.lpad((k * 7 % 100000).cast("string"), 5, "0").alias("zip"),
+                 F.lpad(((k * 7 + j) % 100000).cast("string"), 5, "0").alias("zip"),
                  F.when(F.col("c_acctbal") >= 0, "y")
                   .when(F.col("c_acctbal") > -500, "n").alias("active")))
 

@@ -52,15 +52,6 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def with_file_lineage(df: DataFrame, run_ts) -> DataFrame:
-    """Add ``_source_file`` (from the scan's hidden metadata) and ``_ingested_at``.
-
-    Must be applied directly on a file scan.
-    """
-    return (df.withColumn("_source_file", F.col("_metadata.file_path"))
-              .withColumn("_ingested_at", run_ts))
-
-
 def with_sequence(df: DataFrame, name: str = "_seq") -> DataFrame:
     """Number rows in scan order, before any shuffle.
 

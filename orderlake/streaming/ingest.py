@@ -1,9 +1,10 @@
 """Streaming ingest of order files: classify, quarantine, keep clean rows.
 
-Each micro-batch is written with a dynamic partition overwrite keyed by the
-batch id, so a batch replayed after a failure replaces its own output instead
-of appending it twice.  Exact duplicates are collapsed within a batch;
-duplicates across batches are collapsed by the batch bronze job.
+Each micro-batch overwrites the partition folder of its batch id and then
+registers it, so a batch replayed after a failure, the first one included,
+replaces its own output instead of appending it twice.  Exact duplicates are
+collapsed within a batch; a reader that wants them collapsed across batches
+applies ``exact_dedup`` to the data columns of the table.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ def _write_batch(store: TableStore, df: DataFrame, layer: str, table: str,
     """
     store.ensure_schema(layer)
     name, loc = store.name(layer, table), store.location(layer, table)
-    if not store.exists(layer, table):
-        df.write.format(store.fmt).partitionBy("_batch_id").option("path", loc).saveAsTable(name)
-        return
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    store.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {store.fmt} "
+                    f"PARTITIONED BY (_batch_id) LOCATION '{loc}'")
     part = f"{loc}/_batch_id={batch_id}"
     df.drop("_batch_id").write.format(store.fmt).mode("overwrite").save(part)
     store.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (_batch_id={batch_id}) "

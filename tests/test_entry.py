@@ -31,8 +31,10 @@ def test_keys_cover_the_inventory():
     mod = _entry_module()
     q, sql = mod.queries(), mod.oracle_sql()
     assert len(SURVEY_KEYS) == 56
-    assert set(q) == set(SURVEY_KEYS)
-    assert set(sql) == set(q) - {"audit_records"}     # run id and log time vary per run
+    assert set(SURVEY_KEYS) <= set(q)
+    assert set(SURVEY_KEYS) <= set(sql) <= set(q)
+    # what else is registered belongs to the corpus operators, which can be left out
+    assert all(k == "pipeline" or k.startswith("op") for k in set(q) - set(SURVEY_KEYS))
 
 
 def test_entry_runs_with_a_stable_schema(spark):

@@ -68,7 +68,7 @@ def test_rerun_is_idempotent(run, spark):
 def test_null_gate_raises_on_missing_rates(spark):
     from orderlake.session import scratch_path
     store = TableStore(spark, scratch_path(spark, "gate"), prefix="gate_")
-    with pytest.raises(QualityGateError, match="customers: is_active=7"):
+    with pytest.raises(QualityGateError, match="customers: NULLs in required columns is_active in 7 rows"):
         pipeline.run(spark, fixtures.sources(spark, SF), store, null_gate_mode="raise")
     log = {(r.layer, r.status) for r in store.read("audit", "pipeline_run_log").collect()}
     assert ("RUN", "FAILED") in log and ("BRONZE", "SUCCESS") in log

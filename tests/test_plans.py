@@ -24,7 +24,7 @@ def test_broadcast_only_on_a_known_small_count(spark):
     try:
         hinted = big.join(broadcast_if_small(small, 10), "k")
         unknown = big.join(broadcast_if_small(small, None), "k")
-        too_big = big.join(broadcast_if_small(small, 10, max_rows=5), "k")
+        too_big = big.join(broadcast_if_small(small, 10, max_bytes=50), "k")
         assert "BroadcastHashJoin" in plan_of(hinted)
         assert "BroadcastHashJoin" not in plan_of(unknown)
         assert "BroadcastHashJoin" not in plan_of(too_big)

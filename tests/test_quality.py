@@ -47,7 +47,7 @@ def test_quarantine_tagging(spark):
 
 def test_null_gate_raise_and_report(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, 1.0)], "a int, b double")
-    with pytest.raises(quality.QualityGateError, match="a=1, b=2"):
+    with pytest.raises(quality.QualityGateError, match="a in 1 rows; b in 2 rows"):
         quality.check_nulls(df, ["a", "b"], "t")
     assert quality.check_nulls(df, ["a", "b"], "t", mode="report") == {"a": 1, "b": 2}
     prof = {r.column_name: r.null_count for r in quality.null_profile(df, ["a", "b"]).collect()}
