@@ -32,9 +32,10 @@ from orderlake.llm.common import WordCache, map_batches
 BUCKETS = 1 << 18
 SIZES = (3, 4, 5, 6)        # lengths of the character n-grams, word ends marked
 DIMENSIONS = 2
-MAX_ROWS = 2500             # labelled documents of each class that training takes at most
+MAX_ROWS = 2000             # labelled documents of each class that training takes at most
 MIN_DOCS = 4                # buckets in fewer training documents stay without weight
 STEPS = 100
+CHUNK = 500                 # training documents handled at a time
 EVEN = 0.5                  # how far rare n-grams are lifted towards frequent ones
 NEUTRAL = 20                # words of no weight that join every average; steadies short texts
 SEED = 11
@@ -89,34 +90,47 @@ class Model:
             return np.bincount(owner, self.weight[bucket], len(words)) / size
 
 
-def _matrix(texts: list[str | None]) -> tuple[np.ndarray, ...]:
-    """The averaged bags as a sparse matrix: row, column, value, bucket of each
-    column, and per row the share of its own words in the average."""
+def _matrix(texts: list[str | None]) -> tuple[list[list[np.ndarray]], np.ndarray, np.ndarray]:
+    """The averaged bags as a sparse matrix in parts of ``CHUNK`` rows (row in the
+    part, column, value), the bucket of each column, and per row the share of its
+    own words in the average."""
     number: dict[str, int] = {}
-    ids = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int64)
+    ids = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int32)
            for t in texts]
-    owner, bucket = grams(list(number))
-    order = np.argsort(owner, kind="stable")
-    bucket, size = bucket[order], np.bincount(owner, minlength=len(number))
+    every, buckets, sizes = list(number), [], []
+    for at in range(0, len(every), 20_000):
+        owner, bucket = grams(every[at:at + 20_000])
+        buckets.append(bucket[np.argsort(owner, kind="stable")].astype(np.int32))
+        sizes.append(np.bincount(owner, minlength=len(every[at:at + 20_000])))
+    bucket, size = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (buckets, sizes))
+    del number, every, buckets
     start = np.concatenate(([0], np.cumsum(size)))
-    rows, columns, values, own = [], [], [], np.zeros(len(texts))
-    for d, words in enumerate(ids):
-        words, often = np.unique(words[size[words] > 0], return_counts=True)
-        if not len(words):
-            continue
-        n = size[words]
-        at = np.repeat(start[words] - np.concatenate(([0], np.cumsum(n)[:-1])), n) \
-            + np.arange(n.sum())
-        found, inverse = np.unique(bucket[at], return_inverse=True)
-        rows.append(np.full(len(found), d))
-        columns.append(found)
-        own[d] = often.sum() / (often.sum() + NEUTRAL)
-        values.append(np.bincount(inverse, np.repeat(own[d] * often / often.sum() / n, n)))
-    row, column, value = (np.concatenate(x) if x else np.empty(0, np.int64)
-                          for x in (rows, columns, values))
-    keep = np.bincount(column, minlength=BUCKETS)[column] >= MIN_DOCS
-    used, column = np.unique(column[keep], return_inverse=True)
-    return row[keep], column, value[keep], used, own
+    parts, own = [], np.zeros(len(texts))
+    for first in range(0, len(ids), CHUNK):
+        rows, columns, values = [], [], []
+        for d, words in enumerate(ids[first:first + CHUNK]):
+            words, often = np.unique(words[size[words] > 0], return_counts=True)
+            if not len(words):
+                continue
+            n = size[words]
+            at = np.repeat(start[words] - np.concatenate(([0], np.cumsum(n)[:-1])), n) \
+                + np.arange(n.sum())
+            found, inverse = np.unique(bucket[at], return_inverse=True)
+            own[first + d] = share = often.sum() / (often.sum() + NEUTRAL)
+            rows.append(np.full(len(found), d, np.int32))
+            columns.append(found)
+            values.append(np.bincount(inverse, np.repeat(share * often / often.sum() / n, n))
+                          .astype(np.float32))
+        parts.append([np.concatenate(x) if x else np.empty(0, np.int32)
+                      for x in (rows, columns, values)])
+    in_docs = sum((np.bincount(p[1], minlength=BUCKETS) for p in parts), np.zeros(BUCKETS, int))
+    used = np.flatnonzero(in_docs >= MIN_DOCS)
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used))
+    for i, (row, column, value) in enumerate(parts):
+        keep = in_docs[column] >= MIN_DOCS
+        parts[i] = [row[keep], place[column[keep]], value[keep]]
+    return parts, used, own
 
 
 def train(texts: list[str | None], labels: np.ndarray, share: float | None = None,
@@ -126,20 +140,34 @@ def train(texts: list[str | None], labels: np.ndarray, share: float | None = Non
     labels = np.asarray(labels, int)
     n, ones = len(labels), int(labels.sum())
     weight = np.zeros(BUCKETS, np.float32)
-    row, column, value, used, own = _matrix(texts)
+    parts, used, own = _matrix(texts)
     if not 0 < ones < n or not len(used):
         return Model(weight, float(np.log((ones + 1) / (n - ones + 1))))
     width = len(used)
-    middle = np.bincount(column, value, width) / own.sum()      # the mean word
+
+    def down(power: int, r: np.ndarray | None = None) -> np.ndarray:
+        """Sums over the columns of value ** power, times a number per row."""
+        out = np.zeros(width)
+        for i, (row, column, value) in enumerate(parts):
+            v = value if power == 1 else value ** power
+            out += np.bincount(column, v if r is None else v * r[i * CHUNK + row], width)
+        return out
+
     # rare n-grams in step with frequent ones: columns divided by a power of their spread
-    spread = np.sqrt(np.bincount(column, value ** 2, width) / n) ** EVEN
-    value, middle = value / spread[column], middle / spread
+    spread = np.sqrt(down(2) / n) ** EVEN
+    for part in parts:
+        part[2] = (part[2] / spread[part[1]]).astype(np.float32)
+    middle = down(1) / own.sum()                        # the mean word
+
+    def across(v: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.bincount(row, value * v[column], min(CHUNK, n - i * CHUNK))
+                               for i, (row, column, value) in enumerate(parts)])
 
     def times(v: np.ndarray) -> np.ndarray:             # centred bags by a column vector
-        return np.bincount(row, value * v[column], n) - own * (middle @ v)
+        return across(v) - own * (middle @ v)
 
     def back(r: np.ndarray) -> np.ndarray:
-        return np.bincount(column, value * r[row], width) - middle * (own @ r)
+        return down(1, r) - middle * (own @ r)
 
     rng = np.random.default_rng(seed)
     v = rng.normal(size=width)
@@ -161,7 +189,7 @@ def train(texts: list[str | None], labels: np.ndarray, share: float | None = Non
     flat = emb @ soft
     weight[used] = flat / spread
     mean = float(middle @ flat)                         # what a word weighs on average
-    means = np.bincount(row, value * flat[column], n) - own * mean
+    means = across(flat) - own * mean
     scale, shift = _platt(means, labels)
     if share:
         shift += np.log(share / (1 - share)) - np.log(ones / (n - ones))
