@@ -12,9 +12,9 @@ the pairs on full sets and merges what is linked; members of one component
 need no further comparison, and a bucket is done when all that is left of it
 is in one component or has been compared.  The first pivot is the member that
 shares most buckets with others, which is the original in a group of copies.
-Later rounds take 4, 16, ... pivots, so a bucket of m members ends after about
-log4(m) rounds.  No bucket is capped and no untested pair of a bucket is
-left, unless its documents are linked already.
+Later rounds take 8, 64, ... pivots; when what is left to compare is no more
+than a few pairs a node, one round compares it all.  No bucket is capped and no
+untested pair of a bucket is left, unless its documents are linked already.
 
 With 36 bands of 5 coordinates a pair at the threshold shares no band with a
 chance of 6e-5, at a similarity of 0.8 with 6e-7.
@@ -44,7 +44,8 @@ SEED = 20240229
 #: Pairs whose 180 coordinates agree on less than this share are not checked on
 #: full sets; at a similarity of 0.75 that is six standard deviations off.
 ESTIMATE = 0.55
-FIRST, LATER = 1, 4        # pivots of a bucket in the first round; factor of later rounds
+LATER = 8                  # pivots of a bucket in the second round; factor of later ones
+PAIRS_AT_ONCE = 8          # this many pairs a node left to compare are compared in one round
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -206,6 +207,11 @@ def _linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -
                        "a binary, b binary")
 
 
+def _distinct(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("digest", "pivot").alias("a"),
+                        F.greatest("digest", "pivot").alias("b")).distinct()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, root: the smallest node reachable, by neighbour minima and pointer
     jumping until nothing changes.  Every step is a join and a grouped minimum."""
@@ -249,37 +255,38 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     members = materialize(members.join(score, "digest").select(
         "band", "digest", F.col("score").alias("score")), "mh-scored")
 
-    edges, roots, pivots = None, None, FIRST
+    # first round: one pivot a bucket, found by a plain maximum
+    top = members.groupBy("band").agg(F.max(F.struct("score", "digest")).alias("top")) \
+        .select("band", F.col("top.digest").alias("pivot"))
+    against = members.join(top, "band").where("digest <> pivot")
+    members = materialize(against.drop("pivot"), "mh-rest")
+    edges = materialize(_linked(_distinct(against), nodes, sets, percent), "mh-links")
+    roots, pivots = components(edges), LATER
+    few = PAIRS_AT_ONCE * nodes.count()
     while True:
-        if roots is None:                     # first round: one pivot, found by a plain maximum
-            placed = members.withColumn("root", F.col("digest"))
-            top = placed.groupBy("band").agg(F.max(F.struct("score", "digest")).alias("top")) \
-                .select("band", F.col("top.digest").alias("pivot"))
-            pairs = placed.join(top, "band").where("digest <> pivot")
-            rest = members.join(top, "band").where("digest <> pivot").drop("pivot")
-        else:
-            known = members.join(roots.withColumnRenamed("node", "digest"), "digest", "left") \
-                .withColumn("root", F.coalesce("root", "digest"))
-            # only buckets that still hold two components
-            open_ = known.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
-                .where("lo <> hi").select("band")
-            order = Window.partitionBy("band").orderBy(F.desc("score"), "digest")
-            known = materialize(known.join(open_, "band", "left_semi")
-                                .withColumn("place", F.row_number().over(order)), "mh-open")
-            if not known.limit(1).count():
-                break
-            top = known.where(F.col("place") <= pivots).select(
-                "band", F.col("digest").alias("pivot"), F.col("root").alias("pivot_root"),
-                F.col("place").alias("pivot_place"))
-            pairs = known.join(top, "band").where("place > pivot_place and root <> pivot_root")
-            rest = known.where(F.col("place") > pivots).drop("place", "root")
-        pairs = pairs.select(F.least("digest", "pivot").alias("a"),
-                             F.greatest("digest", "pivot").alias("b")).distinct()
-        found = materialize(_linked(pairs, nodes, sets, percent), "mh-links")
-        edges = found if edges is None else edges.union(found)
+        known = members.join(roots.withColumnRenamed("node", "digest"), "digest", "left") \
+            .withColumn("root", F.coalesce("root", "digest"))
+        # only buckets that still hold two components
+        open_ = known.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
+            .where("lo <> hi").select("band")
+        order = Window.partitionBy("band").orderBy(F.desc("score"), "digest")
+        known = materialize(known.join(open_, "band", "left_semi")
+                            .withColumn("place", F.row_number().over(order)), "mh-open")
+        left = known.agg(F.sum(F.col("place") - 1)).first()[0] or 0       # pairs not compared
+        if not left:
+            break
+        last = left <= few
+        top = known.where(F.lit(last) | (F.col("place") <= pivots)).select(
+            "band", F.col("digest").alias("pivot"), F.col("root").alias("pivot_root"),
+            F.col("place").alias("pivot_place"))
+        against = known.join(top, "band").where("place > pivot_place and root <> pivot_root")
+        found = materialize(_linked(_distinct(against), nodes, sets, percent), "mh-links")
+        edges = edges.union(found)
         discard(roots)
         roots = components(edges)
-        members = materialize(rest, "mh-rest")
+        if last:
+            break
+        members = materialize(known.where(F.col("place") > pivots).drop("place", "root"), "mh-rest")
         pivots *= LATER
 
     ends = nodes.join(roots.withColumnRenamed("node", "digest"), "digest", "left") \
