@@ -7,14 +7,14 @@ of the second permutation, so a signature is a running minimum over slices.
 Bands of coordinates make candidate buckets.
 
 Within a bucket not all pairs are made.  Documents with equal sets are one
-node.  Each round compares a few pivots of a bucket with its members, checks
-the pairs on full sets and merges what is linked; members of one component
-need no further comparison, and a bucket is done when all that is left of it
-is in one component or has been compared.  The first pivot is the member that
-shares most buckets with others, which is the original in a group of copies.
-Later rounds take 8, 64, ... pivots; when what is left to compare is no more
-than a few pairs a node, one round compares it all.  No bucket is capped and no
-untested pair of a bucket is left, unless its documents are linked already.
+node.  The member of a bucket that shares most buckets with others, which is the
+original in a group of copies, is compared with all of the bucket on full sets,
+and what is linked becomes a component.  Buckets that still hold several
+components are settled around the largest: their other members are compared
+with all of it and with each other, in blocks of bounded size, inside tasks that
+emit only links that join components.  So every two documents that share a
+bucket are in one component or have been compared, no bucket is capped, and the
+pairs that are made grow with the documents.
 
 With 36 bands of 5 coordinates a pair at the threshold shares no band with a
 chance of 6e-5, at a similarity of 0.8 with 6e-7.
@@ -30,8 +30,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm.common import WordCache, discard, map_batches, materialize, utf8, worker_state
@@ -44,8 +45,7 @@ SEED = 20240229
 #: Pairs whose 180 coordinates agree on less than this share are not checked on
 #: full sets; at a similarity of 0.75 that is six standard deviations off.
 ESTIMATE = 0.55
-LATER = 8                  # pivots of a bucket in the second round; factor of later ones
-PAIRS_AT_ONCE = 8          # this many pairs a node left to compare are compared in one round
+BLOCK = 1500               # sets on either side of a comparison in blocks
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -207,9 +207,81 @@ def _linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -
                        "a binary, b binary")
 
 
-def _distinct(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("digest", "pivot").alias("a"),
-                        F.greatest("digest", "pivot").alias("b")).distinct()
+def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between what shares a bucket but no component yet.
+
+    A bucket that holds several components is settled around the largest of
+    them: all of its other members are compared with every node of that
+    component and with each other, in blocks.  A task holds two blocks of sets,
+    counts exact intersections through an inverted index, and emits links that
+    join components, never all of them.
+    """
+    size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    sized = roots.join(size, "root").withColumnRenamed("node", "digest")
+    known = members.select("band", "digest").join(sized, "digest", "left").select(
+        "band", "digest", F.coalesce("root", "digest").alias("root"),
+        F.coalesce("size", F.lit(1)).alias("size"))
+    main = known.groupBy("band").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"),
+        F.max(F.struct("size", "root")).alias("top")) \
+        .where("lo <> hi").select("band", F.col("top.root").alias("main"))
+    loose = materialize(known.join(main, "band").where("root <> main")
+                        .select("main", "digest", "root").distinct(), "mh-loose")
+    mains = loose.select("main").distinct()
+    own = mains.join(roots.withColumnRenamed("root", "main"), "main").select(
+        "main", F.col("node").alias("digest"), F.col("main").alias("root"))
+    alone = mains.join(roots.select(F.col("root").alias("main")).distinct(), "main", "left_anti") \
+        .select("main", F.col("main").alias("digest"), F.col("main").alias("root"))
+    every = loose.withColumn("asks", F.lit(True)).union(
+        own.union(alone).withColumn("asks", F.lit(False)))
+    counts = every.groupBy("main").agg(
+        F.ceil(F.count_if("asks") / BLOCK).cast("int").alias("askers"),
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("others"))
+    placed = every.join(counts, "main").withColumn("h", F.xxhash64("digest"))
+
+    def deal(side: bool, own_: str, all_: str) -> DataFrame:
+        mine = F.pmod("h", F.col(own_)).cast("int")
+        theirs = F.explode(F.sequence(F.lit(0), F.col(all_) - 1))
+        i, j = (mine, theirs) if side else (theirs, mine)
+        rows = placed.where("asks") if side else placed
+        return rows.select("main", "digest", "root", F.lit(side).alias("asks"),
+                           i.alias("i"), j.alias("j"))
+
+    dealt = deal(True, "askers", "others").union(deal(False, "others", "askers"))
+    return dealt.join(sets, "digest").groupBy("main", "i", "j").applyInPandas(
+        lambda rows: _settle(rows, percent), "a binary, b binary")
+
+
+def _settle(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between the asking rows and the others that join components."""
+    mine, others = rows[rows["asks"]], rows[~rows["asks"]]
+    sets = [_wide(x) for x in others["shingles"]]
+    length = np.array([len(x) for x in sets], np.int64)
+    flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], np.repeat(np.arange(len(sets)), length)[order]
+    digest, root = others["digest"].tolist(), others["root"].tolist()
+    joined: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while x in joined:
+            x = joined[x]
+        return x
+
+    a, b = [], []
+    for d, r, raw in zip(mine["digest"], mine["root"], mine["shingles"]):
+        x = _wide(raw)
+        lo, n = np.searchsorted(flat, x), np.searchsorted(flat, x, "right")
+        n = n - lo
+        at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        both = np.bincount(owner[at], minlength=len(sets))
+        for k in np.flatnonzero(100 * both >= percent * (len(x) + length - both)):
+            p, q = find(r), find(root[k])
+            if p != q:
+                joined[p] = q
+                a.append(d)
+                b.append(digest[k])
+    return pd.DataFrame({"a": a, "b": b}, dtype=object)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -255,39 +327,17 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     members = materialize(members.join(score, "digest").select(
         "band", "digest", F.col("score").alias("score")), "mh-scored")
 
-    # first round: one pivot a bucket, found by a plain maximum
+    # one pivot a bucket, found by a plain maximum, against its members
     top = members.groupBy("band").agg(F.max(F.struct("score", "digest")).alias("top")) \
         .select("band", F.col("top.digest").alias("pivot"))
-    against = members.join(top, "band").where("digest <> pivot")
-    members = materialize(against.drop("pivot"), "mh-rest")
-    edges = materialize(_linked(_distinct(against), nodes, sets, percent), "mh-links")
-    roots, pivots = components(edges), LATER
-    few = PAIRS_AT_ONCE * nodes.count()
-    while True:
-        known = members.join(roots.withColumnRenamed("node", "digest"), "digest", "left") \
-            .withColumn("root", F.coalesce("root", "digest"))
-        # only buckets that still hold two components
-        open_ = known.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
-            .where("lo <> hi").select("band")
-        order = Window.partitionBy("band").orderBy(F.desc("score"), "digest")
-        known = materialize(known.join(open_, "band", "left_semi")
-                            .withColumn("place", F.row_number().over(order)), "mh-open")
-        left = known.agg(F.sum(F.col("place") - 1)).first()[0] or 0       # pairs not compared
-        if not left:
-            break
-        last = left <= few
-        top = known.where(F.lit(last) | (F.col("place") <= pivots)).select(
-            "band", F.col("digest").alias("pivot"), F.col("root").alias("pivot_root"),
-            F.col("place").alias("pivot_place"))
-        against = known.join(top, "band").where("place > pivot_place and root <> pivot_root")
-        found = materialize(_linked(_distinct(against), nodes, sets, percent), "mh-links")
-        edges = edges.union(found)
+    pairs = members.join(top, "band").where("digest <> pivot").select(
+        F.least("digest", "pivot").alias("a"), F.greatest("digest", "pivot").alias("b")).distinct()
+    edges = materialize(_linked(pairs, nodes, sets, percent), "mh-links")
+    roots = components(edges)
+    more = materialize(_rest(members, roots, sets, percent), "mh-more")
+    if more.limit(1).count():
         discard(roots)
-        roots = components(edges)
-        if last:
-            break
-        members = materialize(known.where(F.col("place") > pivots).drop("place", "root"), "mh-rest")
-        pivots *= LATER
+        roots = components(edges.union(more))
 
     ends = nodes.join(roots.withColumnRenamed("node", "digest"), "digest", "left") \
         .select("digest", "doc", F.coalesce("root", "digest").alias("root"))
