@@ -23,26 +23,48 @@ def run(spark):
 def test_layer_counts(run):
     store, res = run
     c = res.counts
-    assert c["bronze.orders"] == 5810
+    assert c["bronze.orders"] == 5807
     assert c["error_tables.err_orders"] == 135 + 57
-    assert c["bronze.fx_rates"] == 1147
-    assert c["silver.fx_rates"] == 7215
-    assert c["silver.order_items"] == 5810
-    assert c["gold.fact_orders"] == 5810            # fact grain = order lines
-    assert c["gold.dim_date"] == 1058
-    assert res.gates["order items"] == {"revenue_usd": 6}
+    assert c["bronze.fx_rates"] == 1166
+    assert c["silver.fx_rates"] == 9620
+    assert c["silver.order_items"] == 5745
+    assert c["gold.fact_orders"] == 5745            # fact grain = order lines
+    assert c["gold.dim_date"] == 1049
+    assert res.gates["order items"] == {"revenue_usd": 8}
+
+
+def test_order_rows_are_conserved(run):
+    _, res = run
+    assert res.orders == {"raw_rows": 6102, "clean_rows": 5910, "quarantined_rows": 192,
+                          "unclassified_rows": 0, "duplicate_rows": 103}
+
+
+def test_audit_names_the_error_layer(run):
+    store, _ = run
+    layers = {r.layer for r in store.read("audit", "pipeline_run_log").collect()}
+    assert "ERROR" in layers and "ERROR_TABLES" not in layers
+
+
+def test_unclassified_rows_stop_a_run_in_raise_mode(spark):
+    from orderlake.session import scratch_path
+    feeds = dict(fixtures.sources(spark, SF))
+    feeds["orders"] = feeds["orders"].withColumn("quantity_raw", F.when(
+        F.col("order_id") == "A-879", "abc").otherwise(F.col("quantity_raw")))
+    store = TableStore(spark, scratch_path(spark, "lost"), prefix="lost_")
+    with pytest.raises(QualityGateError, match="neither clean nor quarantined"):
+        pipeline.run(spark, feeds, store, null_gate_mode="raise")
 
 
 def test_metrics(run):
     store, res = run
     m = res.metrics
-    assert m["daily_active"].count() == 1333
+    assert m["daily_active"].count() == 1321
     assert m["category_sales"].count() == 80
     tot = m["category_totals"].first()
-    assert (float(tot.total_revenue_usd), tot.total_quantity) == (61798149.13, 74790)
+    assert (float(tot.total_revenue_usd), tot.total_quantity) == (171390332203.14, 73978)
     assert m["top_products"].count() == 15
     assert m["customer_value"].count() == 150
-    assert m["order_audit"].count() == 1511
+    assert m["order_audit"].count() == 1499
     ranks = m["top_products"].groupBy("region").agg(F.min("revenue_rank").alias("r")).collect()
     assert {r.r for r in ranks} == {1}
 
@@ -53,7 +75,7 @@ def test_audit_and_summary(run, spark):
     assert audit.count() == 15
     assert audit.select("run_id").distinct().count() == 1
     summ = {r.table_name: r.row_count for r in pipeline.summary(store).collect()}
-    assert summ["e2e_gold.fact_orders"] == 5810
+    assert summ["e2e_gold.fact_orders"] == 5745
     assert summ["e2e_audit.pipeline_run_log"] == 15
 
 
@@ -62,7 +84,7 @@ def test_rerun_is_idempotent(run, spark):
     again = pipeline.run(spark, fixtures.sources(spark, SF), store,
                          null_gate_mode="report", as_of="2002-01-01")
     assert again.counts == res.counts
-    assert store.read("gold", "fact_orders").count() == 5810
+    assert store.read("gold", "fact_orders").count() == 5745
 
 
 def test_null_gate_raises_on_missing_rates(spark):
@@ -97,7 +119,7 @@ def test_bucketed_run_matches_and_reads_the_fact_without_a_shuffle(run, spark):
     store = TableStore(spark, scratch_path(spark, "bkt"), prefix="bkte2e_")
     res = pipeline.run(spark, fixtures.sources(spark, SF), store, null_gate_mode="report",
                        as_of="2002-01-01", customer_buckets=4)
-    assert res.counts["gold.fact_orders"] == 5810
+    assert res.counts["gold.fact_orders"] == 5745
 
     def rows(df):
         return sorted(tuple(r) for r in df.collect())
