@@ -16,8 +16,8 @@ of each and the forest over its rows.  Block numbers come from row numbers, so
 copies of a vector are spread like any other rows.
 
 The strings prune less the more diffuse the data: on vectors whose twentieth
-neighbour is at a cosine of 0.43 a third of the rows must be seen for a recall
-of 0.9, which is what the default ``share`` is set to.
+neighbour is at a cosine of 0.43 close to half of the rows must be seen for a recall
+well above 0.9, which is what the default ``share`` is set to.
 
 Defined results: vectors that are null, empty, zero, not finite somewhere, or
 not as long as most, and rows with a null id take no part; rows that repeat an id
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from orderlake.llm.common import materialize
 
 TREES, BITS = 40, 16
-SHARE, LEAST = 0.4, 500
+SHARE, LEAST = 0.5, 500
 BLOCK_ROWS, BLOCK_QUERIES = 8_000, 2_000
 SEED = 17
 
