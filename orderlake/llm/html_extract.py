@@ -65,6 +65,8 @@ NAMED = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising"
 NEUTRAL = {"article", "body", "content", "free", "has", "layout", "main", "no", "page", "post",
            "with", "without", "wrapper"}
 ARTICLE = {"article", "main"}
+PARTS = {"ul", "ol", "dl", "li", "dt", "dd", "table", "thead", "tbody", "tr", "td", "th",
+         "blockquote", "figure"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 MARKUP = re.compile(
@@ -197,12 +199,14 @@ def content(html: str | None, threshold: float = THRESHOLD) -> str:
     best = max(smooth.values(), default=0)
     top = max(own, key=lambda p: (own[p], size[p]), default=())
     home = top[:-1]
+    while home and home[-1].split(".")[0] in PARTS:
+        home = home[:-1]
 
     def belongs(p: tuple[str, ...]) -> bool:
         """In the element around the best path, or a heading beside that path."""
         if p[:len(home)] != home:
             return False
-        return len(home) > 2 or (len(p) == len(top) and p[-1].split(".")[0] in HEADINGS)
+        return len(home) > 2 or (len(p) == len(home) + 1 and p[-1].split(".")[0] in HEADINGS)
 
     return "\n".join(t for p, t in blocks if smooth[p] >= threshold * best or belongs(p))
 
