@@ -41,6 +41,31 @@ def test_variants_that_link_only_through_their_original(spark):
     assert rows_of(got) == sorted(classes(rows), key=key)
 
 
+def test_groups_without_a_centre_are_settled_in_blocks(spark):
+    """Variants with different numbers of edits: some link to many, some to one,
+    some to none; other texts share only a passage."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for g in range(3):
+        words = prose(60 + g, 140, 5000).split()
+        for i in range(50):
+            own = list(words)
+            for at in rng.choice(135, rng.integers(1, 9), replace=False):
+                own[at] = f"v{g}x{i}x{at}"
+            rows.append((1000 * g + i, " ".join(own)))
+    passage = prose(90, 60, 5000)
+    rows += [(5000 + i, f"{prose(700 + i, 60, 5000)} {passage}") for i in range(40)]
+    before = minhash.BLOCK
+    minhash.BLOCK = 7
+    try:
+        got = rows_of(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    finally:
+        minhash.BLOCK = before
+    want = sorted(classes(rows), key=key)
+    assert got == want
+    assert 1 < len({c for d, _, c in want if d < 1000}) < 50      # a real mixture
+
+
 def test_one_of_each_class_stays_with_all_columns(spark):
     docs = odd_documents(spark)
     got = minhash.keep_one(docs)
