@@ -318,13 +318,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
         F.first("sig").alias("sig"), F.first("bands").alias("bands")), "mh-nodes")
     spread = nodes.select("digest", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = materialize(spread.join(shared, "band"), "mh-members")
-    score = members.groupBy("digest").agg(F.sum("size").alias("score"))
-    nodes = nodes.drop("bands")
+    sharing = materialize(spread.join(shared, "band"), "mh-members")
+    score = sharing.groupBy("digest").agg(F.sum("size").alias("score"))
+    whole, nodes = nodes, nodes.drop("bands")
     sets = materialize(
         _sets(docs, text_col).join(score.select("digest"), "digest", "left_semi")
         .groupBy("digest").agg(F.first("shingles").alias("shingles")), "mh-sets")
-    members = materialize(members.join(score, "digest").select(
+    members = materialize(sharing.join(score, "digest").select(
         "band", "digest", F.col("score").alias("score")), "mh-scored")
 
     # one pivot a bucket, found by a plain maximum, against its members
@@ -342,7 +342,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     ends = nodes.join(roots.withColumnRenamed("node", "digest"), "digest", "left") \
         .select("digest", "doc", F.coalesce("root", "digest").alias("root"))
     low = ends.groupBy("root").agg(F.min("doc").alias("component_id"))
-    classes = ends.join(low, "root").select("digest", "root", "component_id")
+    classes = materialize(ends.join(low, "root").select("digest", "root", "component_id"),
+                          "mh-classes")
+    for done in (whole, sharing, members, sets, edges, more, roots):
+        discard(done)
     out = prints.select("doc_id", "key", "n_shingles", "digest").join(classes, "digest", "left")
     out = out.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id"))
                          .otherwise(F.col("component_id")))
