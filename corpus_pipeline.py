@@ -42,10 +42,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it, 0 to 3 times."""
-    keep = {f"_in_{i}": F.col(c) for i, c in enumerate(docs.columns)}
-    out = mixing.mix_sources(docs, keep=keep)
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1))))) \
-        .where("copies > 0").select(*[F.col(k).alias(c) for k, c in zip(keep, docs.columns)])
+    return mixing.take_mix(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -156,3 +156,21 @@ def mix_sources(docs: DataFrame, seed: int = 7, cap: int = 3, weights: tuple[int
     return out.withColumn("copies", copies).select(
         "doc_id", "source", "size", "source_size", "target", "copies",
         (F.col("size") * F.col("copies")).alias("taken"), *(keep or {}))
+
+
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with all of its
+    columns.  Rows that are equal in every column are taken as one row with the
+    sum of their copies; texts are shuffled once, for the join of the copies."""
+    inner = [f"_in_{i}" for i in range(len(docs.columns))]
+    name = dict(zip(docs.columns, inner))
+    row = F.concat_ws(":", F.xxhash64(*inner).cast("string"), F.md5(name[text_col]))
+    keyed = docs.toDF(*inner).withColumn("_mx_row", row)
+    mix = mix_sources(keyed, id_col=name[id_col], text_col=name[text_col],
+                      source_col=name[source_col], keep={"_mx_taken": F.col("_mx_row")}, **options)
+    often = mix.groupBy("_mx_taken").agg(F.sum("copies").cast("int").alias("_mx_n")) \
+        .where("_mx_n > 0")
+    once = keyed.join(often, F.col("_mx_row") == F.col("_mx_taken")).dropDuplicates(["_mx_row"])
+    return once.withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), "_mx_n"))) \
+        .select(*[F.col(i).alias(c) for c, i in name.items()])
