@@ -5,14 +5,17 @@ shares with an earlier one are deleted from the later one.
    rows are copies as a whole.
 2. Texts that overlap are found through shared line hashes.  A line that at
    most ``RARE`` texts hold is evidence by itself.  A more frequent line is not;
-   it is hashed together with the lines after it, up to ``MIN_WORDS`` words, so
-   that every block that could be deleted is still found, however many texts
-   hold it.
+   it is hashed together with the lines after it, or before it, up to
+   ``MIN_WORDS`` words (``windows``), so that every block that could be deleted
+   is still found, however many texts hold it.
 3. Each text is paired with the first holder of each of its hashes: as many
    pairs as there are holders, never all pairs of a group.
 4. Patience diff aligns a pair: lines unique in both are matched along the
    longest increasing run, and the gaps between matches in the same way.
-   Aligned blocks of ``MIN_WORDS`` words or more go from the later text.
+   Aligned blocks of ``MIN_WORDS`` words or more go from the later text.  Lines
+   that this leaves, because they are repeated or in another order, are looked
+   up by the windows of the pair: each run of ``MIN_WORDS`` words or more that
+   the earlier text holds goes.
 
 What is deleted stays in the earliest document that holds it.
 
@@ -81,8 +84,37 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def windows(words: list[int], least: int) -> set[tuple[int, int]]:
+    """(first, end) of the shortest runs of ``least`` words or more from a line on
+    and up to a line, and of two lines that have as many each.
+
+    Those inside a longer run cover it, each line break in it included.
+    """
+    out = set()
+    end = total = 0
+    for i, n in enumerate(words):
+        while end < len(words) and total < least:
+            total += words[end]
+            end += 1
+        if total < least:
+            break
+        out.add((i, end))
+        total -= n
+    first = total = 0
+    for i, n in enumerate(words):
+        total += n
+        while total - words[first] >= least:
+            total -= words[first]
+            first += 1
+        if total >= least:
+            out.add((first, i + 1))
+        if i and n >= least and words[i - 1] >= least:
+            out.add((i - 1, i + 1))
+    return out
+
+
 def common_blocks(a: list[int], b: list[int], words: list[int], least: int) -> list[tuple[int, int]]:
-    """(first, end) in ``b`` of aligned blocks of ``least`` words or more."""
+    """(first, end) in ``b`` of the runs of ``least`` words or more that ``a`` holds."""
     out, first, before = [], 0, (-2, -2)
     matches = patience(a, b)
     for k, (i, j) in enumerate([*matches, (-9, -9)]):
@@ -91,7 +123,20 @@ def common_blocks(a: list[int], b: list[int], words: list[int], least: int) -> l
                 out.append((first, before[1] + 1))
             first = j
         before = (i, j)
-    return out
+    inside = {j for x, y in out for j in range(x, y)}
+    in_a = set(a)
+    if all(j in inside for j, h in enumerate(b) if h in in_a) \
+            and all(x[1] < y[0] for x, y in zip(out, out[1:])):
+        return out
+    size = dict(zip(b, words))                    # lines that b lacks count nothing
+    held = {tuple(a[x:y]) for x, y in windows([size.get(h, 0) for h in a], least)}
+    joined: list[tuple[int, int]] = []
+    for x, y in sorted([*out, *(w for w in windows(words, least) if tuple(b[w[0]:w[1]]) in held)]):
+        if joined and x < joined[-1][1]:
+            joined[-1] = (joined[-1][0], max(y, joined[-1][1]))
+        else:
+            joined.append((x, y))
+    return joined
 
 
 def line_table(docs: DataFrame, least: int) -> DataFrame:
@@ -108,15 +153,7 @@ def line_table(docs: DataFrame, least: int) -> DataFrame:
                 lines.append(h)
                 words.append(w)
                 alone.append(list(set(h)))
-                found, end, total = set(), 0, 0
-                for i in range(len(h)):
-                    while end < len(h) and total < least:
-                        total += w[end]
-                        end += 1
-                    if total < least:
-                        break
-                    found.add(digest(b"\n".join(parts[i:end]), 1) - (1 << 63))
-                    total -= w[i]
+                found = {digest(b"\n".join(parts[x:y]), 1) - (1 << 63) for x, y in windows(w, least)}
                 runs.append(list(found))
             many = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -105,3 +105,62 @@ def test_odd_documents(spark):
     assert clean.columns == docs.columns
     assert clean.count() == docs.count() - 3
     assert ld.dedup_lines(odd_documents(spark, empty=True)).count() == 0
+
+
+def shared_runs(a, b, sizes, least):
+    """Lines of ``b`` in any run of ``least`` words that ``a`` holds, and the breaks inside runs."""
+    lines, breaks = set(), set()
+    for i in range(len(a)):
+        for j in range(len(b)):
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                n += 1
+            if sum(sizes[j:j + n]) >= least:
+                lines.update(range(j, j + n))
+                breaks.update(range(j + 1, j + n))
+    return lines, breaks
+
+
+def test_blocks_are_all_shared_runs():
+    import random
+    rng = random.Random(11)
+    size = {h: rng.choice((1, 5, 12, 30, 60)) for h in range(12)}
+    for _ in range(3000):
+        a, b = ([rng.randrange(12) for _ in range(rng.randrange(14))] for _ in range(2))
+        if rng.random() < 0.6:
+            x, y = rng.randrange(len(a) + 1), rng.randrange(len(b) + 1)
+            b[y:y] = a[x:x + 6] * rng.randrange(1, 3)
+        sizes = [size[h] for h in b]
+        got = ld.common_blocks(a, b, sizes, 50)
+        assert ({j for x, y in got for j in range(x, y)},
+                {j for x, y in got for j in range(x + 1, y)}) == shared_runs(a, b, sizes, 50)
+
+
+def test_repeated_and_moved_passages_go(spark):
+    f = [f"{prose(700 + i, 30)} f{i}" for i in range(20)]
+    p, q, r, s, t = ("\n".join(prose(800 + 10 * k + i, 20) for i in range(3)) for k in range(5))
+    texts = [[f[0], p, f[1], p, f[2]], [f[3], p, f[4]],                 # the earlier holds it twice
+             [f[5], q, f[6]], [f[7], q, f[8], q, f[9]],                 # the later does
+             [f[10], r, f[11], s, f[12]], [f[13], s, f[14], r, f[15]],  # another order
+             [f[16], t, f[17]], [f[18], t, "tail line", f[19]], ["tail line", t, "tail line"]]
+    rows = [(i, "\n".join(x)) for i, x in enumerate(texts)]
+    rows += [(50 + i, f"{prose(900 + i, 20)}\ntail line") for i in range(40)]     # a frequent line
+    got = {x["doc_id"]: x["_ld_text"] for x in ld.dedup_lines(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].split("\n") for i in (1, 3, 5)] == [[f[3], f[4]], f[7:10], f[13:16]]
+    assert got[7].split("\n") == [f[18], "tail line", f[19]]
+    assert got[8] == "tail line"                        # with the passage of 7, not of its first holder
+    assert all(got[i] == rows[i][1] for i in (0, 2, 4, 6))
+
+
+def test_every_block_goes(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+            .select("doc_id", "text").collect()]
+    got = {r["doc_id"]: r for r in ld.dedup_lines(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc, *rest in brute(rows):
+        if len(rest) == 1:
+            assert got[doc]["_ld_text"] == rest[0]
+        else:
+            assert got[doc]["_ld_text"] == "\n".join(
+                x for i, x in enumerate(rest[1].split("\n")) if i not in rest[0])
