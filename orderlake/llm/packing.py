@@ -15,8 +15,8 @@ two groups, so the plan has at most a few tens of rows per distinct length,
 independent of the input.  Every piece then finds its place from its rank
 among the pieces of its length.
 
-Defined results: null or empty text is a document of the end id alone; null
-ids, repeated rows and extra columns are packed like any others; an empty
+Defined results: ids are those of a plain call of the tokenizer, added tokens in
+a text included; null or empty text is a document of the end id alone; null ids, repeated rows and extra columns are packed like any others; an empty
 table gives an empty result.
 """
 
@@ -45,16 +45,27 @@ class WordEncoder:
     so a text's ids are its words' ids in order.  A closing mark after a letter or
     digit is a token of its own and is split off first.  ``encode`` looks every
     word up in a bounded cache and passes the unknown ones on in bulk.
+
+    With ``added``, the strings of the file's added tokens become their ids, as
+    in a plain call of the tokenizer: texts are cut there before anything else.
+    Without, they are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True       # their strings are ordinary text
+        # in the words: what only lower-casing makes such a string is no token
+        self.tok.encode_special_tokens = True
+        tokens = self.tok.get_added_tokens_decoder() if added else {}
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in tokens.values()):
+            raise ValueError("an added token is not matched as it stands")
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in tokens.items()}
+        self.sign = os.path.commonprefix(list(self.added))
+        self.cut = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, reverse=True)))})")
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -79,24 +90,35 @@ class WordEncoder:
                 words_[w] = raw[at:cut]
                 at = cut
 
+    def _split(self, text: str | None) -> list[str]:
+        """The words of a text without added tokens."""
+        # the lower case of a sigma depends on its place for Python alone
+        low = text if not text or "Σ" in text else text.lower()
+        if not low:
+            low = ""
+        elif MARKS.search(low):
+            low = CLOSING.sub(r" \1", low)
+        else:                       # each mark starts a run of its own: same cuts, faster
+            low = low.replace(".", " .").replace(",", " ,")
+        return low.replace("\n", " ").split(" ")
+
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         for at in range(0, len(texts), 500):           # new words are encoded together
-            bags = []
+            bags, tokens = [], []          # words of each part; ids of the tokens between parts
             for text in texts[at:at + 500]:
-                # the lower case of a sigma depends on its place for Python alone
-                low = text if not text or "Σ" in text else text.lower()
-                if not low:
-                    low = ""
-                elif MARKS.search(low):
-                    low = CLOSING.sub(r" \1", low)
-                else:                       # each mark starts a run of its own: same cuts, faster
-                    low = low.replace(".", " .").replace(",", " ,")
-                bags.append(low.replace("\n", " ").split(" "))
-            new = self.words.unknown(set().union(*bags))
+                if text and self.added and self.sign in text:
+                    parts = self.cut.split(text)
+                    bags.append([self._split(x) for x in parts[::2]])
+                    tokens.append([*(self.added[x] for x in parts[1::2]), b""])
+                else:
+                    bags.append([self._split(text)])
+                    tokens.append([b""])
+            new = self.words.unknown(set().union(*(words for bag in bags for words in bag)))
             self._letters([w for w in new if w.isalpha()])
             self._plain([w for w in new if not w.isalpha()])
-            for words in bags:
-                yield b"".join(map(self.words.__getitem__, words))
+            for bag, after in zip(bags, tokens):
+                yield b"".join([b"".join(map(self.words.__getitem__, words)) + end
+                                for words, end in zip(bag, after)])
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096,
@@ -108,7 +130,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_state().get(tokenizer_path)
         if encoder is None:
-            encoder = worker_state()[tokenizer_path] = WordEncoder(tokenizer_path)
+            encoder = worker_state()[tokenizer_path] = WordEncoder(tokenizer_path, True)
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc, ids in zip(batch.column(0).to_pylist(),

@@ -98,3 +98,21 @@ def test_plan_is_complete_and_near_the_bound():
                 assert sum(3 * n > capacity for _, n in parts) <= 2
             large = sum(c for n, c in hist.items() if 2 * n > capacity)
             assert len(bins) <= 1.06 * max(large, -(-sum(n * c for n, c in hist.items()) // capacity)) + 1
+
+
+def test_added_tokens_are_those_of_a_plain_call(spark):
+    tok = Tokenizer.from_file(PATH)
+    texts = ["one doc.<|endoftext|>next doc", "<|ENDOFTEXT|> a", "<|startoftext|><|endoftext|>",
+             "ΑΣ<|endoftext|>Σ.", "e<|endoftext|>\u0301a <|endof text|>", "<|endoftext|>'s x,\n<|", "",
+             "A.<|<|startoftext|>|> İ<|endoftext|>", "x.. y,<|endoftext|> \n<|endoftext|>.", None]
+    rows = []
+    for i, t in enumerate(texts):
+        ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        rows.append((i, 0, 0, len(ids), zlib.crc32(ids.tobytes())))
+    assert rows[0][3] == 7
+    got = packing.tokenized_pieces(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string"), PATH)
+    assert sorted(map(tuple, got.collect())) == rows
+    enc = packing.WordEncoder(PATH, True)
+    enc.words.limit = 3
+    assert [len(x) // 4 + 1 for x in enc.encode(texts * 2)] == [r[3] for r in rows] * 2
