@@ -6,13 +6,17 @@ a seeded hash).  Per kind a prefix tree of the sample is merged state by state:
 two states become one if a Hoeffding test can't tell their futures apart.  The
 result is a probabilistic automaton of the kind's format.
 
-Every other candidate, a run of 12 or more token characters with a digit and a
-letter, is scored by its likelihood under each automaton.  It is a further
-secret if it is as likely, character for character, as nearly all credentials
-of a kind, is as long as one, and is likelier there than under the candidates
-themselves.  Base spans stay.
-
-One scan of the texts keeps spans and candidates only; scoring reads that.
+Every maximal run of token characters that no base span encloses, also one that
+extends a base span, is scored.  It is a further secret if, character for
+character, it is as likely under the automaton of a kind as nearly all
+credentials of it, and if as a whole, with its length, it is likelier there than
+among the runs of the texts.
+Lengths are those of all base finds, and some mass goes to lengths between and
+beyond them.  The runs are a Markov chain over symbols, counted over all rows.
+Base spans stay.
+
+Texts are scanned twice, for base spans and symbol counts and for the scores;
+only spans and counts are kept in between.
 
 Defined results: null text counts as empty and has no spans; null and repeated
 ids and extra columns do no harm; without labelled credentials nothing is added.
@@ -26,11 +30,12 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import map_batches, materialize
+from orderlake.llm.common import WordCache, map_batches, materialize
 
 #: Fixed base patterns, in the order of the kinds.
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?"""
@@ -39,7 +44,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")        # maximal runs of 16 or more
 KINDS = ("assign", "access", "hex", "format")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")       # the alphabet of the base credentials
+SYMBOLS = " hlUd+/_.=-"                       # the first stands for all that ends a run
+#: Symbol number of every byte.
+PLACE = bytes(SYMBOLS.index("h" if chr(c) in "abcdef" else "l" if "a" <= chr(c) <= "z" else
+                            "U" if "A" <= chr(c) <= "Z" else "d" if "0" <= chr(c) <= "9" else
+                            chr(c) if chr(c) in SYMBOLS else " ") for c in range(256))
+SPREAD = 0.25              # of unseen lengths about seen ones, on the log scale
+BELOW = 0.1                # share of unseen lengths that are shorter than seen ones
+STAY = 0.8                 # chance, before counting, that a run's next symbol is the same
 SAMPLE = 300               # labelled credentials of a kind
 MERGE_ALPHA = 0.05         # confidence of the Hoeffding test
 QUANTILE = 0.01            # share of a kind's credentials that may score lower than a find
@@ -64,12 +77,26 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
-def candidates(text: str, base: Iterable[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
-    """(start, end, token) of every candidate that no base span touches."""
-    taken = [(s, e) for s, _, e, _ in base]
-    return [(m.start(), m.end(), m[0]) for m in CANDIDATE.finditer(text)
-            if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])
-            and not any(s < m.end() and m.start() < e for s, e in taken)]
+def outside(text: str, base: Iterable[tuple[int, int]]) -> list[tuple[int, int, str]]:
+    """(start, end, token) of every maximal run that no base span encloses."""
+    return [(m.start(), m.end(), m[0]) for m in RUN.finditer(text)
+            if not any(s <= m.start() and m.end() <= e for s, e in base)]
+
+
+def pair_counts(texts: Iterable[tuple[str, Iterable[tuple[int, int]]]]) -> np.ndarray:
+    """How often symbol j follows i in the texts without their base spans, at
+    ``i * len(SYMBOLS) + j``."""
+    rows = [bytes(1)]
+    for text, base in texts:
+        row = text.encode("ascii", "replace").translate(PLACE)
+        for s, e in base:
+            row = row[:s] + bytes(e - s) + row[e:]
+        rows += [row, bytes(1)]
+    at = np.frombuffer(b"".join(rows), np.uint8).astype(np.int64)
+    k = len(SYMBOLS)
+    out = np.bincount(at[:-1] * k + at[1:], minlength=k * k)
+    out[0] = 0                                # between runs
+    return out
 
 
 class Automaton:
@@ -93,8 +120,6 @@ class Automaton:
         self._merge()
         scores = sorted(self.score(w) for w in words)
         self.least = scores[int(QUANTILE * len(scores))] if scores else math.inf
-        self.shortest = min(map(len, words), default=0)
-        self.longest = max(map(len, words), default=0)
 
     def _alike(self, a: int, b: int) -> bool:
         """Hoeffding test on all symbol shares of two states and those below them."""
@@ -141,89 +166,146 @@ class Automaton:
                 settled.append(state)
 
     def score(self, word: str) -> float:
-        """Mean log2 likelihood of a symbol."""
+        """Mean log2 likelihood of a symbol, where the word goes on."""
         state, total = 0, 0.0
         for c in word:
             uses = self.count[state]
-            total += math.log2((uses[c] + 0.1) / (uses.total() + 0.1 * self.alphabet))
+            total += math.log2((uses[c] + 0.1) / (uses.total() - uses[""] + 0.1 * self.alphabet))
             state = self.next[state].get(c, 0)
         return total / max(len(word), 1)
 
 
-class Formats:
-    """Automata of the kinds, against one of plain candidates."""
+class Lengths:
+    """log2 probability of a credential's length.  As much mass as a new length has
+    turned up with lies about the lengths seen, most of it above them, as a run
+    also holds what is written next to a credential."""
 
-    def __init__(self, known: dict[int, list[str]], plain: list[str]):
-        self.kinds = [Automaton(sorted(map(symbols, words))) for _, words in sorted(known.items())
-                      if words]
-        uses = Counter(c for w in plain for c in symbols(w))
-        total = uses.total()
-        self.plain = {c: math.log2((uses[c] + 1) / (total + 100)) for c in uses}
-        self.unseen = math.log2(1 / (total + 100))
+    def __init__(self, seen: dict[int, int]):
+        self.seen, self.total = seen, sum(seen.values())
+        self.new = min((len(seen) + 1) / (self.total + 1), 0.5)
+        # by log length in steps of 1 %, so that a score needs few terms
+        self.about: Counter = Counter()
+        for n, c in seen.items():
+            self.about[round(math.log(n), 2)] += c
+
+    def score(self, n: int) -> float:
+        at = math.log(n)
+        near = sum(c * (BELOW if at < x else 1 - BELOW) * math.exp(-abs(at - x) / SPREAD)
+                   for x, c in self.about.items()) / (SPREAD * n)
+        p = (1 - self.new) * self.seen.get(n, 0) + self.new * near
+        return math.log2(max(p / self.total, 1e-300))
+
+
+class Formats:
+    """Automata of the kinds, against a Markov chain of plain runs: ``plain`` are
+    words, or counts of ``pair_counts``; ``lengths`` counts of all credentials."""
+
+    def __init__(self, known: dict[int, list[str]], plain: list[str] | np.ndarray,
+                 lengths: dict[int, dict[int, int]] | None = None):
+        self.kinds = [(Automaton(sorted(map(symbols, words))),
+                       Lengths((lengths or {}).get(k) or Counter(map(len, words))))
+                      for k, words in sorted(known.items()) if words]
+        k = len(SYMBOLS)
+        uses = np.asarray(plain if isinstance(plain, np.ndarray)
+                          else pair_counts((w, ()) for w in plain)).reshape(k, k)
+        stay = (uses.diagonal()[1:].sum() + 100 * STAY) / (uses[1:].sum() + 100)
+        # a symbol seldom met goes on as all do: mostly with itself, or to the end
+        before = np.full((k, k), (1 - stay) / 2 / (k - 2))
+        before[:, 0] = (1 - stay) / 2
+        np.fill_diagonal(before, stay)
+        before[0] = [0, *[1 / (k - 1)] * (k - 1)]
+        with np.errstate(divide="ignore"):
+            chain = np.log2((uses + before) / (uses.sum(1, keepdims=True) + 1))
+        self.chain = {x + y: float(chain[i, j]) for i, x in enumerate(SYMBOLS)
+                      for j, y in enumerate(SYMBOLS)}
 
     def is_secret(self, token: str) -> bool:
         word = symbols(token)
-        plain = sum(self.plain.get(c, self.unseen) for c in word) / len(word)
-        return any(a.shortest <= len(word) <= a.longest and
-                   (s := a.score(word)) >= a.least and s > plain for a in self.kinds)
+        whole = None
+        for a, lengths in self.kinds:
+            s = a.score(word)
+            if s >= a.least:
+                if whole is None:
+                    whole = sum(map(self.chain.__getitem__,
+                                                map("".join, zip(" " + word, word + " "))))
+                if s * len(word) + lengths.score(len(word)) > whole:
+                    return True
+        return False
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, base spans with their credentials, candidates; whole texts, one pass."""
-    span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()),
-                               ("token", pa.string())]))
+    """Base spans with their credentials, and one row of ``pair_counts`` a batch."""
+    span = pa.list_(pa.struct([("kind", pa.int32()), ("token", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, more = [], []
-            for text in batch.column(1).to_pylist():
-                found = base_spans(text) if text else []
-                base.append([{"kind": k, "start": s, "end": e, "token": t}
-                             for s, k, e, t in found])
-                more.append([{"kind": 3, "start": s, "end": e, "token": t}
-                             for s, e, t in (candidates(text, found) if text else [])])
+            texts = [t for t in batch.column(0).to_pylist() if t]
+            found = [base_spans(t) for t in texts]
+            pairs = pair_counts((t, [(s, e) for s, _, e, _ in f]) for t, f in zip(texts, found))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(base, span), pa.array(more, span)],
-                names=["doc_id", "base", "more"])
+                [pa.array([[{"kind": k, "token": t} for f in found for _, k, _, t in f]], span),
+                 pa.array([pairs.tolist()], pa.list_(pa.int64()))], names=["base", "pairs"])
 
-    kind = SPAN.replace("end: int", "end: int, token: string")
-    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col)), run,
-                       f"doc_id long, base {kind}, more {kind}")
+    return map_batches(docs.select(text_col), run,
+                       "base array<struct<kind: int, token: string>>, pairs array<long>")
+
+
+def background(found: DataFrame) -> np.ndarray:
+    """Sum of the ``pair_counts`` of all rows: a number for each pair of symbols."""
+    out = np.zeros(len(SYMBOLS) ** 2, np.int64)
+    for r in found.select(F.posexplode("pairs").alias("at", "n")).groupBy("at") \
+            .agg(F.sum("n").alias("n")).collect():
+        out[r["at"]] = r["n"]
+    return out
 
 
 def learn(found: DataFrame, sample: int = SAMPLE) -> Formats:
-    """Automata from at most ``sample`` distinct credentials of each kind."""
-    def some(spans: str, kind: int) -> list[str]:
-        tokens = found.select(F.explode(spans).alias("x")).where(F.col("x.kind") == kind) \
-            .select("x.token").where(F.length("token") <= 200).distinct()
+    """Automata from at most ``sample`` distinct credentials of each kind; lengths
+    from all of them."""
+    known = found.select(F.explode("base").alias("x")).select("x.kind", "x.token")
+
+    def some(kind: int) -> list[str]:
+        # of a long one the automaton sees its first characters
+        tokens = known.where(F.col("kind") == kind).select("token").distinct()
         return [r["token"] for r in tokens.orderBy(F.xxhash64(F.lit(SEED), "token"), "token")
-                .limit(sample).collect()]
+                .limit(sample).select(F.substring("token", 1, 200).alias("token")).collect()]
 
-    return Formats({k: some("base", k) for k in (0, 1, 2)}, some("more", 3))
+    lengths: dict[int, dict[int, int]] = {}
+    for r in known.groupBy("kind", F.length("token").alias("size")).count().collect():
+        lengths.setdefault(r["kind"], {})[r["size"]] = r["count"]
+    return Formats({k: some(k) for k in (0, 1, 2)}, background(found), lengths)
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  sample: int = SAMPLE) -> DataFrame:
     """doc_id, base and all spans (arrays of kind, start, end), and their digest columns."""
-    found = materialize(scan(docs, id_col, text_col), "secret-spans")
-    formats = learn(found, sample)
+    formats = learn(materialize(scan(docs, id_col, text_col), "secret-spans"), sample)
     span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def joined(spans: list[dict]) -> str:
         return ",".join(f"{KINDS[x['kind']]}:{x['start']}:{x['end']}" for x in spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judged = WordCache(formats.is_secret)
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [], [], [])
-            for base, more in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                every = sorted([*base, *(x for x in more if formats.is_secret(x["token"]))],
-                               key=lambda x: (x["start"], x["kind"]))
+            for text in batch.column(1).to_pylist():
+                text = text or ""
+                base = [{"kind": k, "start": s, "end": e} for s, k, e, _ in base_spans(text)]
+                words = RUN.findall(text)
+                every = base
+                if formats.kinds and any(map(judged.__getitem__, words)):
+                    more = outside(text, [(x["start"], x["end"]) for x in base])
+                    every = sorted([*base, *({"kind": 3, "start": s, "end": e}
+                                             for s, e, t in more if judged[t])],
+                                   key=lambda x: (x["start"], x["kind"]))
+                if len(judged) >= judged.limit:
+                    judged.age()
                 kinds = Counter(x["kind"] for x in base)
-                every = [{k: x[k] for k in ("kind", "start", "end")} for x in every]
                 for column, value in zip(out, (
                         kinds[0], kinds[1], kinds[2],
                         hashlib.sha256(joined(base).encode()).hexdigest(), joined(every),
-                        every, len(more))):
+                        every, len(words))):
                     column.append(value)
             kinds_of = (*[pa.int64()] * 3, pa.string(), pa.string(), span, pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -231,6 +313,6 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans",
                        "found", "n_candidates"])
 
-    return map_batches(found, run, "doc_id long, n_assign long, n_access long, n_hex long, "
-                                   f"base_sha256 string, spans string, found {SPAN}, "
-                                   "n_candidates long")
+    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col)), run,
+                       "doc_id long, n_assign long, n_access long, n_hex long, "
+                       f"base_sha256 string, spans string, found {SPAN}, n_candidates long")

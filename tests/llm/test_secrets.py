@@ -75,3 +75,46 @@ def test_odd_documents(spark):
     got = secrets.find_secrets(docs).collect()
     assert len(got) == docs.count() and all(r["spans"] == "" for r in got)
     assert secrets.find_secrets(odd_documents(spark, empty=True)).count() == 0
+
+
+def spans_of(spark, more):
+    """Added spans of the texts ``more`` (as whole runs) among prose and labelled tokens of 40."""
+    rng = random.Random(8)
+    mixed = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789."
+    words = "the quick brown fox jumps over lazy dogs in 2020 at www.example.com/page and decade".split()
+
+    def token(n):
+        return "".join(rng.choice(mixed) for _ in range(n - 2)) + "a1"
+
+    rows = [(i, " ".join(rng.choice(words) for _ in range(60)) + f"\npassword: {token(40)}")
+            for i in range(150)]
+    texts = more(token, rng)
+    rows += [(1000 + i, f"{' '.join(rng.choice(words) for _ in range(60))}\n{t} end")
+             for i, t in enumerate(texts)]
+    got = {r["doc_id"]: (r["spans"], r["n_candidates"]) for r in secrets.find_secrets(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("format" not in got[i][0] for i in range(150))       # no plain word, number or path
+    return [(got[1000 + i][0], rows[150 + i][1].index("\n") + 1, len(t)) for i, t in enumerate(texts)]
+
+
+def test_runs_of_other_lengths_dots_and_prefixes(spark):
+    def more(token, rng):
+        letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        return [*(token(n) for n in (34, 44, 64, 250)),                  # no labelled length
+                token(18) + "." + token(21),                             # one run, not two
+                "".join(rng.choice(letters) for _ in range(40)),         # without a digit
+                "Xq7" + "".join(rng.choice("0123456789abcdef") for _ in range(16)) + "Zk" + token(19)]
+    got = spans_of(spark, more)
+    for spans, start, size in got:
+        assert f"format:{start}:{start + size}" in spans.split(","), (spans, start, size)
+    assert "hex:" in got[-1][0]                                         # the base span stays
+
+
+def test_long_credentials_teach_lengths(spark):
+    rng = random.Random(9)
+    rows = [(i, "words and words token=" + "".join(rng.choice("ABCDEFGH2345") for _ in range(300)))
+            for i in range(60)]
+    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    formats = secrets.learn(found)
+    assert [x.seen for _, x in formats.kinds] == [{300: 60}]
+    assert formats.is_secret("".join(rng.choice("ABCDEFGH2345") for _ in range(300)))
