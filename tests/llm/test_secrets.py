@@ -118,3 +118,19 @@ def test_long_credentials_teach_lengths(spark):
     formats = secrets.learn(found)
     assert [x.seen for _, x in formats.kinds] == [{300: 60}]
     assert formats.is_secret("".join(rng.choice("ABCDEFGH2345") for _ in range(300)))
+
+
+def test_background_counts_all_rows(spark):
+    rows = [(i, f"ab{i}-c, Xyéz token=abcdefghijkl{i}") for i in range(1200)] + [(None, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    want = {}
+    for _, text in rows:
+        text = (text or "").split("token=")[0]
+        for word in re.findall("[A-Za-z0-9+/_.=-]+", text):
+            line = " " + secrets.symbols(word) + " "
+            for x, y in zip(line, line[1:]):
+                want[x + y] = want.get(x + y, 0) + 1
+    got = secrets.background(secrets.scan(docs))
+    k = len(secrets.SYMBOLS)
+    assert {secrets.SYMBOLS[i // k] + secrets.SYMBOLS[i % k]: int(n)
+            for i, n in enumerate(got) if n} == want
