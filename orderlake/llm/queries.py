@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import (ann_forest, html_extract, line_dedup, minhash, mixing, packing,
-                           preference, quality, secrets, toxicity)
+from orderlake.llm import (ann_forest, html_extract, licenses, line_dedup, minhash, mixing,
+                           packing, periodic_runs, preference, quality, secrets, token_align,
+                           toxicity)
 from orderlake.llm.common import materialize, table
 
 CAPACITY = 4096
@@ -82,11 +84,56 @@ def op10_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("rejected_spans", preference.listed("rejected_spans"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                       public_tokenizers.path("byte_bpe_50k.json"),
+                                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, starts = F.col("base.label"), F.col("base.start")
+
+    def listed(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return out.select("doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+                      F.array_min(starts).alias("first_word"),
+                      F.array_max(starts).alias("last_word"), listed(base).alias("base_labels"),
+                      listed(F.concat(base, F.col("found.label"))).alias("labels"), "score")
+
+
+def repeated_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Of every tenth id's document, by its hash, the words of a stretch over and over."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                      rewrite=repeated_words)
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"],
+                                                   F.lit(","), r["period"], F.lit("\n")))
+    length, period = F.col("best.length"), F.col("best.period")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"),
+                      F.col("best.start").alias("start"), length.alias("length"),
+                      period.alias("period"),
+                      F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                      F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                      F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_best_fit_packing, op3_quality_rules, op4_minhash_dedup,
         op5_html_extraction, op6_toxicity, op7_ann_forest, op8_source_mixing,
-        op9_secret_formats, op10_preference_pairs)}
+        op9_secret_formats, op10_preference_pairs, op11_token_alignment, op12_license_scan,
+        op13_periodic_runs)}
 
 _SPANS = """array_to_string(list_transform(
     list_filter(range(1, len({0}) + 1), lambda i: {0}[i].role = 'assistant'),
