@@ -34,6 +34,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,7 @@ CUT = re.compile(r"(?<=\S)(?=[ \n])")       # shared cuts that every text has
 ODD = re.compile(r"\s[ \n]")
 B_BITS = 20                                 # of a pair number: A's id above, B's below
 LONG = 200                                  # words beyond this many characters aren't kept
+BULK = 15_000                               # new words that are tokenized together
 PLAIN = 4096                                # links of a group that are written one by one
 
 
@@ -107,16 +109,16 @@ class Aligner:
     """
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        self.path_a = path_a
+        with open(path_a, encoding="utf-8") as f:
+            file = json.load(f)
+        vocab = file["model"]["vocab"] | {t["content"]: t["id"] for t in file["added_tokens"]}
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte = byte_of()
         bytes_a = {i: bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode()
-                   for t, i in self.a.get_vocab().items()}
+                   for t, i in vocab.items()}
         self.bytes_a = [bytes_a.get(i, b"") for i in range(max(bytes_a) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(re.search(r"[^▁]▁|\n", p) for p in pieces):
@@ -132,16 +134,24 @@ class Aligner:
         self.text_a, self.text_b = (
             np.array([f"{i}{end}" for i in range(len(t)) for end in ("," + last)], object)
             for t, last in ((self.bytes_a, "|"), (self.bytes_b, ";")))
-        self.fast = self._ranks(path_a)
+        self.fast = self._ranks(file)
         self.known = WordCache(limit=120_000)
 
-    def _ranks(self, path: str):
+    @cached_property
+    def a(self):
+        """The tokenizer itself, for what ``fast`` is not meant for."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path_a)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
+    def _ranks(self, file: dict):
         """The same vocabulary for ``tiktoken``, which is faster, if ids follow merges."""
         import tiktoken
         from public_tokenizers import PATTERN
 
-        with open(path, encoding="utf-8") as f:
-            file = json.load(f)
         kind, vocab = file["pre_tokenizer"], file["model"]["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in file["model"]["merges"]]
         merged = [vocab.get("".join(m), -1) for m in pairs]
@@ -229,7 +239,9 @@ class Aligner:
         new = self.known.unknown(every)
         # white space at the end of a text is cut off alone: nothing may follow it
         usual = [k for k in new if k and len(k) <= LONG and not k[-1].isspace()]
-        self.known.update(zip(usual, self.learn(usual)))
+        for at in range(0, len(usual), BULK):
+            part = usual[at:at + BULK]
+            self.known.update(zip(part, self.learn(part)))
         for key in set(new).difference(usual):                  # not kept
             found[key] = next(self.learn([key]))
         get = self.known.__getitem__
@@ -264,16 +276,16 @@ def aligned_groups(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc
                        "doc_id long, groups string")
 
 
-LONGS, INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
+LONGS = pa.list_(pa.int64())
 BLOCK = {"block": pa.int64(), "doc_id": LONGS, "n_a": LONGS, "n_b": LONGS, "n_groups": LONGS,
          "n_links": LONGS, "digest": pa.list_(pa.string()),
-         "word_end": INTS, "word": INTS, "times": INTS,       # words of each document
-         "link_end": INTS, "link": INTS, "links": INTS,       # pairs of each word
-         "pair": LONGS, "held": LONGS}                        # pairs, and by how many documents
+         "pair": LONGS, "held": LONGS,                        # pairs, and by how many documents
+         "words": pa.binary()}                                # ``PACKED`` arrays
+#: Words of each document, pairs of each word: 32-bit arrays with ends, numbers, times.
+PACKED = ("word_end", "word", "times", "link_end", "link", "links")
 BLOCK_SQL = ("block long, doc_id array<long>, n_a array<long>, n_b array<long>, "
              "n_groups array<long>, n_links array<long>, digest array<string>, "
-             "word_end array<int>, word array<int>, times array<int>, link_end array<int>, "
-             "link array<int>, links array<int>, pair array<long>, held array<long>")
+             "pair array<long>, held array<long>, words binary")
 
 
 def block_row(block: int, ids: list, bags: list[list[str]],
@@ -320,13 +332,28 @@ def block_row(block: int, ids: list, bags: list[list[str]],
         "n_links": sums(word_links),
         "digest": [hashlib.sha256("".join([texts[n] for n in b])[:-1].encode()).hexdigest()
                    if b else "" for b in nums],
-        "word_end": np.cumsum(np.bincount(doc, minlength=len(bags))), "word": word, "times": times,
-        "link_end": link_end, "link": link, "links": per_link,
         "pair": pair, "held": np.bincount(held % max(len(pair), 1), minlength=len(pair))}
+    packed = pack(np.cumsum(np.bincount(doc, minlength=len(bags))), word, times, link_end, link,
+                  per_link)
     return pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int64()),
-         *(_one(columns[n], kind) for n, kind in BLOCK.items() if n != "block")],
-        names=list(BLOCK))
+        [pa.array([block], pa.int64()), *(_one(columns[n], BLOCK[n]) for n in columns),
+         pa.array([packed], pa.binary())], names=["block", *columns, "words"])
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """32-bit arrays, each as its length and its values, compressed."""
+    raw = b"".join(np.append(len(x), x).astype("<i4").tobytes() for x in arrays)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "lz4", asbytes=True)
+
+
+def unpack(packed: bytes) -> dict[str, np.ndarray]:
+    raw = np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "lz4",
+                                      asbytes=True), "<i4")
+    out, at = {}, 0
+    for name in PACKED:
+        out[name] = raw[at + 1:at + 1 + raw[at]]
+        at += 1 + raw[at]
+    return out
 
 
 def _one(values, kind: pa.ListType) -> pa.ListArray:
@@ -376,9 +403,8 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "do
 
     def settle(left: pa.Table, right: pa.Table) -> pa.Table:
         at = {n: left.column(n).combine_chunks().flatten() for n in left.column_names
-              if n != "block"}
-        array = {n: at[n].to_numpy(zero_copy_only=False) for n in
-                 ("word_end", "word", "times", "link_end", "link", "links")}
+              if n not in ("block", "words")}
+        array = unpack(left.column("words")[0].as_py())
         place = right.column("at").to_numpy()
         count = np.zeros(len(place), np.int64)
         count[place] = right.column("n_docs").to_numpy()
