@@ -53,6 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     for key, n in res.counts.items():
         print(f"  {key:32s} {n:>12,d}")
     print("order rows: " + ", ".join(f"{k} {v:,d}" for k, v in res.orders.items()))
+    print("order lines left out: " + ", ".join(f"{k} {v:,d}" for k, v in res.lost_lines.items()))
     for name, df in pipeline.metric_frames(store, args.as_of, ordered=True).items():
         print(f"\n== {name}")
         df.show(args.rows, truncate=False)

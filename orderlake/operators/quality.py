@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake import constants as K
@@ -19,6 +19,7 @@ CODE = "_error_code"
 CLEAN = "_is_clean"
 CORRUPT = "_corrupt_line"        # file scans: the whole line if it does not fit the schema
 INTERNAL = (CODE, CLEAN, CORRUPT)
+CLASSES = ("clean", "quarantined", "unclassified")
 
 
 class QualityGateError(ValueError):
@@ -58,6 +59,31 @@ def _message(code: Column, messages: dict[str, str] | None = None) -> Column:
     return msg
 
 
+def error_message(classified: DataFrame, messages: dict[str, str] | None = None) -> Column:
+    """The message of a row's code, and the text of a malformed line."""
+    text = _message(F.col(CODE), messages)
+    if CORRUPT in classified.columns:
+        text = F.when(F.col(CODE).isNotNull(), F.concat_ws(" ", text, F.col(CORRUPT)))
+    return text
+
+
+def row_class() -> Column:
+    """What becomes of a classified row: ``CLASSES``."""
+    return (F.when(F.col(CLEAN), CLASSES[0]).when(F.col(CODE).isNotNull(), CLASSES[1])
+             .otherwise(CLASSES[2]))
+
+
+def split_counts(written: DataFrame, copies: str) -> dict[str, int]:
+    """The ``conservation`` counts and ``duplicate_rows``, from the written split: two
+    narrow columns of committed files, which no retried task can change."""
+    rows = {r["_class"]: r for r in written.groupBy("_class").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(copies).alias("raw")).collect()}  # three at most
+    kept, raw = ({c: int(rows[c][n]) if c in rows else 0 for c in CLASSES} for n in ("rows", "raw"))
+    return {"raw_rows": sum(raw.values()), "clean_rows": raw[CLASSES[0]],
+            "quarantined_rows": kept[CLASSES[1]], "unclassified_rows": kept[CLASSES[2]],
+            "duplicate_rows": raw[CLASSES[0]] - kept[CLASSES[0]]}
+
+
 def tag_quarantine(classified: DataFrame, source_file: str | Column,
                    run_ts: Column | None = None,
                    messages: dict[str, str] | None = None) -> DataFrame:
@@ -66,9 +92,7 @@ def tag_quarantine(classified: DataFrame, source_file: str | Column,
     src = F.lit(source_file) if isinstance(source_file, str) else source_file
     if "_source_file" in classified.columns:      # file scans carry their own path
         src = F.col("_source_file")
-    text = _message(F.col(CODE), messages)
-    if CORRUPT in classified.columns:
-        text = F.concat_ws(" ", text, F.col(CORRUPT))
+    text = error_message(classified, messages)
     base = [c for c in classified.columns if c not in (*INTERNAL, "_source_file")]
     out = (classified.filter(F.col(CODE).isNotNull())
                      .select(*base, F.col(CODE),
@@ -103,11 +127,6 @@ def conservation(classified: DataFrame) -> DataFrame:
     return classified.agg(*_conservation())
 
 
-def observed_conservation(classified: DataFrame, seen: Observation) -> DataFrame:
-    """``classified``, whose job fills ``seen`` with the ``conservation`` counts."""
-    return classified.observe(seen, *_conservation())
-
-
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULL count of each column, one row per column, from ONE aggregation."""
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -28,13 +28,34 @@ def classified_orders(raw: DataFrame, flag_missing_qty: bool = False) -> DataFra
                                    flag_missing_qty=flag_missing_qty)
 
 
+def split_orders(classified: DataFrame, source_file: str,
+                 run_ts: Column | None = None) -> DataFrame:
+    """Clean rows without exact copies, and all others, in one pass: the columns of
+    both tables, ``_class`` and ``_copies`` (raw rows that a clean row stands for).
+
+    Lines of one order with different products are different rows and all stay.
+    Lineage columns (``_source_file``, ...) are not part of the comparison; the least
+    path of equal rows is kept.
+    """
+    data = [c for c in classified.columns if not c.startswith("_")]
+    files = "_source_file" if "_source_file" in classified.columns else None
+    rows = classified.select(
+        *data, F.col(quality.CODE), quality.error_message(classified).alias("_error_message"),
+        quality.row_class().alias("_class"), *([files] if files else []))
+    out = dedup.distinct_rows(rows, [*data, quality.CODE, "_error_message", "_class"],
+                              F.col("_class") != quality.CLASSES[0], files)
+    if not files:
+        out = out.withColumn("_source_file", F.lit(source_file))
+    if run_ts is not None:
+        out = out.withColumn("_ingested_at", run_ts)
+    return out
+
+
 def clean_orders(classified: DataFrame) -> DataFrame:
-    """Unflagged rows with exact duplicates collapsed.  Lines of one order
-    with different products are different rows and all stay.  Lineage
-    columns (``_source_file``, ...) are not part of the comparison."""
-    clean = quality.clean_rows(classified)
-    data_cols = [c for c in clean.columns if not c.startswith("_")]
-    return dedup.exact_dedup(clean, data_cols)
+    """The clean rows of the split, with their lineage if they have one."""
+    split = split_orders(classified, "")
+    names = [c for c in classified.columns if c not in quality.INTERNAL]
+    return split.where(F.col("_class") == quality.CLASSES[0]).select(*names)
 
 
 def quarantined_orders(classified: DataFrame, source_file: str,
@@ -64,6 +85,7 @@ class Bronze:
     fx_rates: DataFrame
     errors: DataFrame
     classified: DataFrame
+    split: DataFrame            # both, in one pass
 
 
 def build(feeds: dict[str, DataFrame], source_file: str = "raw_orders",
@@ -77,4 +99,5 @@ def build(feeds: dict[str, DataFrame], source_file: str = "raw_orders",
         fx_rates=latest_fx(feeds["fx_rates"]),
         errors=quarantined_orders(classified, source_file, run_ts),
         classified=classified,
+        split=split_orders(classified, source_file, run_ts),
     )

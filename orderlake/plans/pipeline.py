@@ -4,6 +4,11 @@ Each layer is written once and the next layer reads the written tables, so
 every table is computed by exactly one job, row counts and null gates come
 from the write job itself, and a failure or lost executor only recomputes
 from the last written layer.
+
+Tables are published: written beside the present one, gated, then switched, so a
+run that stops leaves the tables of the run before readable.  The raw orders are
+scanned once: one job writes clean and quarantined rows, in a folder for each class,
+and both tables point into it.
 """
 
 from __future__ import annotations
@@ -15,11 +20,12 @@ import uuid
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import constants as K
 from orderlake.operators import broadcast_if_small, check_row_count, quality
+from orderlake.operators.dedup import COPIES
 from orderlake.operators.quality import check_nulls_counts
 from orderlake.plans import bronze, gold, metrics, silver
 from orderlake.session import work_root
@@ -58,6 +64,7 @@ class RunResult:
     metrics: dict = field(default_factory=dict)
     seconds: dict = field(default_factory=dict)     # wall time of each table write
     orders: dict = field(default_factory=dict)      # raw, clean, duplicate, ... order rows
+    lost_lines: dict = field(default_factory=dict)  # order lines without a product, by cause
 
 
 def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | None = None,
@@ -96,15 +103,22 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
     writes = _Writes(parallelism)
     logger, logged = ThreadPoolExecutor(max_workers=1), []     # audit appends, beside the writes
     rd = store.read
-    counted = Observation("order_rows")
+
+    def done(layer: str, table: str, n: int, started: float) -> int:
+        res.counts[f"{layer}.{table}"] = n
+        res.seconds[f"{layer}.{table}"] = round(time.perf_counter() - started, 3)
+        audit.record(layer, store.name(layer, table), n)
+        logged.append(logger.submit(audit.flush, store))
+        return n
 
     def put(layer: str, table: str, build, needs=(), stamp=True, bucket_by=None,
-            gate=(), label=None, min_rows=None, after=None) -> None:
+            gate=(), label=None, min_rows=None, check=None) -> None:
         """Write ``build()`` once every table in ``needs`` is written.
 
         ``gate`` columns have their NULLs counted by the write job itself (no
-        second scan); the gate and the ``min_rows`` check are applied right
-        after the write, before any table reading this one starts.
+        second scan); the gate, the ``min_rows`` check and ``check(rows, written)``
+        are applied to the written rows before the table is switched to them, and
+        so before any table reading this one starts.
         """
         label = label or table
 
@@ -113,22 +127,20 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
             df = build()
             if stamp:
                 df = df.withColumn("_updated_at", run_ts)
-            n, nulls = store.write_observed(df, layer, table, bucket_by=bucket_by,
-                                            null_columns=gate,
-                                            keep_definition=layer in DECLARED_LAYERS)
-            res.counts[f"{layer}.{table}"] = n
-            res.seconds[f"{layer}.{table}"] = round(time.perf_counter() - started, 3)
-            audit.record(layer, store.name(layer, table), n)
-            logged.append(logger.submit(audit.flush, store))
-            if gate:
-                res.gates[label] = nulls
-                if null_gate_mode == "raise":
-                    check_nulls_counts(nulls, label)
-            if min_rows is not None:
-                check_row_count(n, min_rows, label)
-            if after is not None:
-                after(n)
-            return n
+
+            def gates(n: int, nulls: dict[str, int], written: DataFrame) -> None:
+                if gate:
+                    res.gates[label] = nulls
+                    if null_gate_mode == "raise":
+                        check_nulls_counts(nulls, label)
+                if min_rows is not None:
+                    check_row_count(n, min_rows, label)
+                if check is not None:
+                    check(n, written)
+
+            n, _ = store.publish(df, layer, table, gates, bucket_by, gate,
+                                 keep_definition=layer in DECLARED_LAYERS)
+            return done(layer, table, n, started)
         writes.add(f"{layer}.{table}", write, needs)
 
     # Each row keeps where it came from and when it was ingested; file feeds
@@ -138,24 +150,54 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
             df = df.withColumn("_source_file", F.lit(feed))
         return df.withColumn("_ingested_at", run_ts)
 
-    def conserved(written: int) -> None:
-        got = {k: int(v) for k, v in counted.get.items()}
-        got["duplicate_rows"] = got["clean_rows"] - written
-        res.orders.update(got)
-        quality.check_conserved(got, "orders", null_gate_mode)
+    def conserved_lines(n: int, _: DataFrame) -> None:
+        """The product join keeps or drops a line and never multiplies it."""
+        lost = res.counts["silver.orders"] - n
+        if lost < 0:
+            raise quality.QualityGateError(f"order items: {-lost} more lines than orders have: "
+                                           "a product or a rate is there more than once")
+        res.lost_lines["unknown_product"] = lost
+
+    def write_split() -> None:
+        """Both order tables from one scan of the feed, counted in the written files."""
+        started = time.perf_counter()
+        path = store.new_version("bronze", "orders")
+        folders = {c: f"{path}/_class={c}" for c in quality.CLASSES}
+        try:
+            b.split.write.partitionBy("_class").parquet(path)
+            written = spark.read.schema(b.split.schema).parquet(path)
+            res.orders.update(quality.split_counts(written, COPIES))
+            quality.check_conserved(res.orders, "orders", null_gate_mode)
+            for folder in folders.values():
+                store.ensure_folder(folder)
+            rows = {"bronze.orders": (quality.CLASSES[0], res.orders["clean_rows"]
+                                      - res.orders["duplicate_rows"]),
+                    "error_tables.err_orders": (quality.CLASSES[1],
+                                                res.orders["quarantined_rows"])}
+            for key, (kind, n) in rows.items():
+                layer, table = key.split(".")
+                if store.fmt == "parquet":
+                    store.point(layer, table, folders[kind])
+                else:                       # another format: copied from the split
+                    part = spark.read.schema(b.split.schema).parquet(folders[kind])
+                    store.publish(part.select(*rd(layer, table).columns), layer, table,
+                                  keep_definition=True)
+                done(layer, table, n, started)
+        except BaseException:
+            if "bronze.orders" not in res.counts:           # no table names the folder yet
+                store.drop_version(path)
+            raise
+        store.prune("bronze", "orders", path)
 
     try:
         # ---- bronze: raw text after dedup and quarantine ---------------
         b = bronze.build(feeds, source_file, run_ts, flag_missing_qty)
         put("bronze", "customer", lambda: lineage(b.customers, "customers"), stamp=False)
-        # raw, clean and quarantined rows are counted by the write of the clean ones
-        seen = quality.observed_conservation(b.classified, counted)
-        put("bronze", "orders", lambda: lineage(bronze.clean_orders(seen), source_file),
-            stamp=False, after=conserved)
+        writes.add("bronze.orders", write_split)
         put("bronze", "product", lambda: lineage(b.products, "products"), stamp=False)
         put("bronze", "cat_tree", lambda: lineage(b.categories, "categories"), stamp=False)
         put("bronze", "fx_rates", lambda: lineage(b.fx_rates, "fx_rates"), stamp=False)
-        put("error_tables", "err_orders", lambda: b.errors, stamp=False)
+        writes.add("error_tables.err_orders", lambda: None, ["bronze.orders"])
 
         # ---- silver: typed and enriched, from the written bronze tables -
         put("silver", "customer", lambda: silver.customers(rd("bronze", "customer")),
@@ -170,14 +212,14 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
             needs=["bronze.product", "bronze.cat_tree"],
             gate=["prod_id", "price", "currency", "top_category"], label="products")
         put("silver", "fx_rates", lambda: silver.fx_rates(rd("bronze", "fx_rates")),
-            needs=["bronze.fx_rates"], after=lambda _: quality.check_unique(
-                rd("silver", "fx_rates"), ["rate_date", "currency"], "fx rates"))
+            needs=["bronze.fx_rates"], check=lambda _, written: quality.check_unique(
+                written, ["rate_date", "currency"], "fx rates"))
         put("silver", "order_items",
             lambda: silver.order_items(rd("silver", "orders"), rd("silver", "product"),
                                        rd("silver", "fx_rates"), res.counts["silver.fx_rates"],
                                        res.counts["silver.product"]),
             needs=["silver.orders", "silver.product", "silver.fx_rates"],
-            gate=["revenue_usd"], label="order items")
+            gate=["revenue_usd"], label="order items", check=conserved_lines)
 
         # ---- gold: star schema ------------------------------------------
         labels = dict(LAYOUT["gold"])

@@ -24,7 +24,7 @@ from orderlake.operators import dedup, quality, timeseries
 from orderlake.operators.hierarchy import resolve_top_category
 from orderlake.oracle import sql_for
 from orderlake.plans import bronze, gold, metrics, silver
-from orderlake.session import scratch_path, work_root
+from orderlake.session import scratch_path
 from orderlake.sinks.tables import AuditLog, counts_frame
 from orderlake.sources import fixtures, readers, schemas
 
@@ -150,11 +150,10 @@ def _scan_json(fr: Frames) -> DataFrame:
 @register("scan_table", "SELECT * FROM clean_orders")
 def _scan_table(fr: Frames) -> DataFrame:
     """Bronze orders saved as a catalog table and scanned by name."""
-    name = "orderlake_scan_orders"               # replaced by each call
-    fr.spark.sql(f"DROP TABLE IF EXISTS {name}")
-    path = f"{work_root(fr.spark)}/table-orders"
-    fr.bronze.orders.write.mode("overwrite").format("parquet").option("path", path) \
-        .saveAsTable(name)
+    # a table and a folder for each call: earlier calls' frames stay readable
+    path = scratch_path(fr.spark, "table-orders")
+    name = "orderlake_scan_orders_" + path.rsplit("-", 1)[1]
+    fr.bronze.orders.write.format("parquet").option("path", path).saveAsTable(name)
     return readers.read_table(fr.spark, name)
 
 

@@ -4,6 +4,9 @@
   attached to that job, never from a second pass over the data.
 * Later stages read the written table, which also cuts the lineage: a lost
   executor recomputes from the last written layer, not from the sources.
+* ``TableStore.publish`` writes into a fresh folder, applies the gates to what is
+  written there, and only then points the table at it.  A failed gate or a killed
+  write leaves the table as it was.
 * Tables live in per-layer databases whose files sit under one shared root
   (``session.work_root`` by default, i.e. ``spark.checkpoint.dir``).
 """
@@ -153,17 +156,22 @@ def _observed(obs: Observation, null_columns: Sequence[str]) -> tuple[int, dict[
     return int(got["rows"]), {c: int(got[f"null_{i}"]) for i, c in enumerate(null_columns)}
 
 
-def insert_observed(df: DataFrame, table: str, mode: str = "overwrite",
-                    null_columns: Sequence[str] = ()) -> tuple[int, dict[str, int]]:
-    """Insert into an existing table (columns matched by name, cast to the
-    declared types), observing the row count and NULL counts."""
+def as_declared(df: DataFrame, table: str) -> DataFrame:
+    """The columns of an existing table, by name, cast to its declared types."""
     target = df.sparkSession.table(table).schema
     missing = [f.name for f in target.fields if f.name not in df.columns]
     extra = [c for c in df.columns if c not in target.names]
     if missing or extra:
         raise ValueError(f"{table}: frame lacks declared columns {missing}, "
                          f"has undeclared columns {extra}")
-    df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
+
+
+def insert_observed(df: DataFrame, table: str, mode: str = "overwrite",
+                    null_columns: Sequence[str] = ()) -> tuple[int, dict[str, int]]:
+    """Insert into an existing table (columns matched by name, cast to the
+    declared types), observing the row count and NULL counts."""
+    df = as_declared(df, table)
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     metrics = [F.count(F.lit(1)).alias("rows")]
     metrics += [F.count_if(F.col(c).isNull()).alias(f"null_{i}")
@@ -207,7 +215,7 @@ class TableStore:
             path = jvm.org.apache.hadoop.fs.Path(p)
             return path.getFileSystem(conf).makeQualified(path).toString().rstrip("/")
 
-        if full(found) != full(expected):
+        if full(found) != full(expected) and not full(found).startswith(full(expected) + "/"):
             raise ValueError(f"{name} is registered at {found}, not at {expected}: "
                              "use another prefix or the registered root")
 
@@ -222,8 +230,8 @@ class TableStore:
         about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
         found = about.where("col_name = 'Location'").first()
         if found is not None:
-            self._same_place(self.name(layer, table), found["data_type"],
-                             self.location(layer, table))
+            # a published table stands in a folder of its own somewhere below the root
+            self._same_place(self.name(layer, table), found["data_type"], self.root)
 
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
               partition_by: Sequence[str] | None = None,
@@ -245,6 +253,102 @@ class TableStore:
         return write_observed(df, name, self.location(layer, table),
                               self.fmt, mode, partition_by, bucket_by, null_columns)
 
+    # ---- staged publish ---------------------------------------------------
+    def new_version(self, layer: str, table: str) -> str:
+        """A fresh folder for the next contents of a table; names sort by time."""
+        now = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+        return f"{self.location(layer, table)}/v-{now}-{uuid.uuid4().hex[:8]}"
+
+    def publish(self, df: DataFrame, layer: str, table: str,
+                gate: Callable[[int, dict[str, int], DataFrame], None] | None = None,
+                bucket_by: tuple[Sequence[str], int] | None = None,
+                null_columns: Sequence[str] = (),
+                keep_definition: bool = False) -> tuple[int, dict[str, int]]:
+        """Write ``df`` beside the table, gate it, then switch the table to it.
+
+        ``gate(rows, nulls, written)`` gets the observed counts and a frame over the
+        written rows; if it raises, the new folder is deleted and the table still
+        holds its earlier rows.  A writer that dies leaves at most a folder that no
+        table names.  The version before the new one stays, for readers that are at it;
+        older ones are deleted.  One writer a table at a time.
+
+        The switch is one catalog change where the columns stay the same; a table
+        whose columns change, or a bucketed one, is dropped (its files stay) and
+        registered anew.  Delta tables have versions of their own: they are
+        overwritten in one commit, and the gate runs on what it made.
+        """
+        self.ensure_schema(layer)
+        name, declared = self.name(layer, table), keep_definition and self.exists(layer, table)
+        if self.fmt == "delta":
+            rows, nulls = self.write_observed(df, layer, table, bucket_by=bucket_by,
+                                              null_columns=null_columns,
+                                              keep_definition=keep_definition)
+            if gate:
+                gate(rows, nulls, self.read(layer, table))
+            return rows, nulls
+        if declared:
+            df = as_declared(df, name)
+        path = self.new_version(layer, table)
+        staged = f"{name}__{uuid.uuid4().hex[:8]}"
+        try:
+            rows, nulls = write_observed(df, staged, path, self.fmt, "overwrite", None, bucket_by,
+                                         null_columns)
+            if gate:
+                gate(rows, nulls, self.spark.table(staged))
+        except BaseException:
+            self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
+            self.drop_version(path)
+            raise
+        if bucket_by or not self._same_columns(name, staged):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")         # its files stay
+            self.spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        else:
+            self.spark.sql(f"DROP TABLE {staged}")
+            self.point(layer, table, path)
+        self.prune(layer, table, path)
+        return rows, nulls
+
+    def _same_columns(self, name: str, staged: str) -> bool:
+        """Whether ``name`` is a table of the same columns without buckets."""
+        catalog = self.spark.catalog
+        if not catalog.tableExists(name):
+            return False
+        about = [[(c.name, c.dataType) for c in catalog.listColumns(t)] for t in (name, staged)]
+        return about[0] == about[1] and not any(c.isBucket for c in catalog.listColumns(name))
+
+    def point(self, layer: str, table: str, path: str) -> None:
+        """Let an existing table read the files in ``path`` from now on."""
+        name = self.name(layer, table)
+        self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        self.spark.catalog.refreshTable(name)
+
+    def _fs(self, path: str):
+        jvm = self.spark._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        return at, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def drop_version(self, path: str) -> None:
+        at, fs = self._fs(path)
+        fs.delete(at, True)
+
+    def ensure_folder(self, path: str) -> None:
+        at, fs = self._fs(path)
+        fs.mkdirs(at)
+
+    def versions(self, layer: str, table: str) -> list[str]:
+        """The version folders of a table, oldest first."""
+        at, fs = self._fs(self.location(layer, table))
+        if not fs.exists(at):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(at)]
+        return [f"{self.location(layer, table)}/{n}" for n in sorted(names) if n.startswith("v-")]
+
+    def prune(self, layer: str, table: str, current: str) -> None:
+        """Delete the versions older than the one before ``current``."""
+        older = [v for v in self.versions(layer, table) if v < current]
+        for path in older[:-1]:
+            self.drop_version(path)
+
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
