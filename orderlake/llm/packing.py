@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from orderlake.llm.common import WordCache, map_batches, materialize, rank_in_group, worker_state
 
-MARKS = re.compile(r"[^\w\s][.,]|_[.,]")
+#: Signs before a mark.  U+001C to U+001F are signs for the tokenizer, blanks for Python.
+MARKS = re.compile(r"(?:[^\w\s]|[_\x1c-\x1f])[.,]")
 CLOSING = re.compile(r"(?<=[^\W_])([.,])(?=[ \n]|\Z)")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -116,3 +117,14 @@ def test_added_tokens_are_those_of_a_plain_call(spark):
     enc = packing.WordEncoder(PATH, True)
     enc.words.limit = 3
     assert [len(x) // 4 + 1 for x in enc.encode(texts * 2)] == [r[3] for r in rows] * 2
+
+
+def test_every_ascii_character_around_marks():
+    rng = random.Random(6)
+    chars = [chr(i) for i in range(128)] + list(".,.,.,  \x1c\x1d\x1e\x1fab_é\x85\xa0")
+    texts = ["".join(rng.choices(chars, k=rng.randint(1, 14))) for _ in range(8000)]
+    texts += [f"a{chr(i)}{mark} b" for i in range(128) for mark in ".,"]
+    plain = Tokenizer.from_file(PATH)
+    for text, got in zip(texts, packing.WordEncoder(PATH, True).encode(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == plain.encode(
+            text, add_special_tokens=False).ids, text
