@@ -10,7 +10,7 @@ Every maximal run of token characters that no base span encloses, also one that
 extends a base span, is scored.  It is a further secret if, character for
 character, it is as likely under the automaton of a kind as nearly all
 credentials of it, and if as a whole, with its length, it is likelier there than
-among the runs of the texts.
+among the runs of the texts, by more than runs outnumber the kind's credentials.
 Lengths are those of all base finds, and some mass goes to lengths between and
 beyond them.  The runs are a Markov chain over symbols, counted over all rows.
 Base spans stay.
@@ -19,7 +19,9 @@ Texts are scanned twice, for base spans and symbol counts and for the scores;
 only spans and counts are kept in between.
 
 Defined results: null text counts as empty and has no spans; null and repeated
-ids and extra columns do no harm; without labelled credentials nothing is added.
+ids and extra columns do no harm; without labelled credentials nothing is added; an
+empty table gives an empty result; texts are read whole, whatever their length; base
+spans that begin at one place are listed by kind.
 """
 
 from __future__ import annotations
@@ -32,10 +34,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import WordCache, map_batches, materialize
+from orderlake.llm.common import WordCache, discard, map_batches, materialize
 
 #: Fixed base patterns, in the order of the kinds.
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?"""
@@ -46,24 +48,27 @@ KINDS = ("assign", "access", "hex", "format")
 
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")       # the alphabet of the base credentials
 SYMBOLS = " hlUd+/_.=-"                       # the first stands for all that ends a run
+#: Symbol of every byte.
+CODE = bytes(ord("h" if chr(c) in "abcdef" else "l" if "a" <= chr(c) <= "z" else
+                 "U" if "A" <= chr(c) <= "Z" else "d" if "0" <= chr(c) <= "9" else
+                 chr(c) if chr(c) in SYMBOLS else " ") for c in range(256))
 #: Symbol number of every byte.
-PLACE = bytes(SYMBOLS.index("h" if chr(c) in "abcdef" else "l" if "a" <= chr(c) <= "z" else
-                            "U" if "A" <= chr(c) <= "Z" else "d" if "0" <= chr(c) <= "9" else
-                            chr(c) if chr(c) in SYMBOLS else " ") for c in range(256))
+PLACE = bytes(SYMBOLS.index(chr(c)) for c in CODE)
 SPREAD = 0.25              # of unseen lengths about seen ones, on the log scale
 BELOW = 0.1                # share of unseen lengths that are shorter than seen ones
 STAY = 0.8                 # chance, before counting, that a run's next symbol is the same
-SAMPLE = 300               # labelled credentials of a kind
+SAMPLE = 300               # labelled credentials of a kind, at most
+SAMPLE_CHARS = 60_000      # and their characters: who does not fit is not sampled
 MERGE_ALPHA = 0.05         # confidence of the Hoeffding test
 QUANTILE = 0.01            # share of a kind's credentials that may score lower than a find
 SEED = 5
 SPAN = "array<struct<kind: int, start: int, end: int>>"
 
 
-def symbols(token: str) -> str:
-    """The token over a small alphabet: a-f h, g-z l, A-Z U, 0-9 d, others themselves."""
-    return "".join("h" if "a" <= c <= "f" else "l" if "g" <= c <= "z" else
-                   "U" if "A" <= c <= "Z" else "d" if "0" <= c <= "9" else c for c in token)
+def symbols(text: str) -> str:
+    """The text over a small alphabet: a-f h, g-z l, A-Z U, 0-9 d, the other token
+    characters themselves, and a blank for all else."""
+    return text.encode("ascii", "replace").translate(CODE).decode()
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
@@ -183,6 +188,7 @@ class Lengths:
     def __init__(self, seen: dict[int, int]):
         self.seen, self.total = seen, sum(seen.values())
         self.new = min((len(seen) + 1) / (self.total + 1), 0.5)
+        self.odds = 0.0             # log2 of the plain runs for each credential of the kind
         # by log length in steps of 1 %, so that a score needs few terms
         self.about: Counter = Counter()
         for n, c in seen.items():
@@ -201,13 +207,18 @@ class Formats:
     words, or counts of ``pair_counts``; ``lengths`` counts of all credentials."""
 
     def __init__(self, known: dict[int, list[str]], plain: list[str] | np.ndarray,
-                 lengths: dict[int, dict[int, int]] | None = None):
-        self.kinds = [(Automaton(sorted(map(symbols, words))),
-                       Lengths((lengths or {}).get(k) or Counter(map(len, words))))
-                      for k, words in sorted(known.items()) if words]
+                 lengths: dict[int, dict[int, int]] | None = None, coded: bool = False):
+        """``coded``: ``known`` holds the credentials' ``symbols``."""
         k = len(SYMBOLS)
         uses = np.asarray(plain if isinstance(plain, np.ndarray)
                           else pair_counts((w, ()) for w in plain)).reshape(k, k)
+        self.kinds = []
+        for kind, words in sorted(known.items()):
+            if words:
+                size = Lengths((lengths or {}).get(kind) or Counter(map(len, words)))
+                size.odds = max(math.log2((uses[0].sum() + 1) / (size.total + 1)), 0.0)
+                self.kinds.append((Automaton(sorted(words if coded else map(symbols, words))),
+                                   size))
         stay = (uses.diagonal()[1:].sum() + 100 * STAY) / (uses[1:].sum() + 100)
         # a symbol seldom met goes on as all do: mostly with itself, or to the end
         before = np.full((k, k), (1 - stay) / 2 / (k - 2))
@@ -220,22 +231,31 @@ class Formats:
                       for j, y in enumerate(SYMBOLS)}
 
     def is_secret(self, token: str) -> bool:
-        word = symbols(token)
+        return self.judge(symbols(token))
+
+    def judge(self, word: str) -> bool:
+        """Whether a run with these symbols is a secret."""
         whole = None
         for a, lengths in self.kinds:
             s = a.score(word)
             if s >= a.least:
                 if whole is None:
                     whole = sum(map(self.chain.__getitem__,
-                                                map("".join, zip(" " + word, word + " "))))
-                if s * len(word) + lengths.score(len(word)) > whole:
+                                    map("".join, zip(" " + word, word + " "))))
+                if s * len(word) + lengths.score(len(word)) > whole + lengths.odds:
                     return True
         return False
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Base spans with their credentials, and one row of ``pair_counts`` a batch."""
-    span = pa.list_(pa.struct([("kind", pa.int32()), ("token", pa.string())]))
+    """Symbols and a digest of the credentials in base spans, never themselves, and one
+    row of ``pair_counts`` a batch."""
+    span = pa.list_(pa.struct([("kind", pa.int32()), ("word", pa.string()),
+                               ("token", pa.int64())]))
+
+    def digest(token: str) -> int:
+        return int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "big",
+                              signed=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,11 +263,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             found = [base_spans(t) for t in texts]
             pairs = pair_counts((t, [(s, e) for s, _, e, _ in f]) for t, f in zip(texts, found))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([[{"kind": k, "token": t} for f in found for _, k, _, t in f]], span),
+                [pa.array([[{"kind": k, "word": symbols(t), "token": digest(t)}
+                            for f in found for _, k, _, t in f]], span),
                  pa.array([pairs.tolist()], pa.list_(pa.int64()))], names=["base", "pairs"])
 
     return map_batches(docs.select(text_col), run,
-                       "base array<struct<kind: int, token: string>>, pairs array<long>")
+                       "base array<struct<kind: int, word: string, token: long>>, pairs array<long>")
 
 
 def background(found: DataFrame) -> np.ndarray:
@@ -259,45 +280,50 @@ def background(found: DataFrame) -> np.ndarray:
     return out
 
 
-def learn(found: DataFrame, sample: int = SAMPLE) -> Formats:
-    """Automata from at most ``sample`` distinct credentials of each kind; lengths
-    from all of them."""
-    known = found.select(F.explode("base").alias("x")).select("x.kind", "x.token")
+def learn(found: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Formats:
+    """Automata from at most ``sample`` distinct credentials of each kind, of
+    ``sample_chars`` characters together at most; lengths from all of them."""
+    known = found.select(F.explode("base").alias("x")).select("x.*")
 
     def some(kind: int) -> list[str]:
-        # of a long one the automaton sees its first characters
-        tokens = known.where(F.col("kind") == kind).select("token").distinct()
-        return [r["token"] for r in tokens.orderBy(F.xxhash64(F.lit(SEED), "token"), "token")
-                .limit(sample).select(F.substring("token", 1, 200).alias("token")).collect()]
+        rows = known.where((F.col("kind") == kind) & (F.length("word") <= sample_chars)) \
+            .select("word", "token").distinct() \
+            .orderBy(F.xxhash64(F.lit(SEED), "token"), "token", "word").limit(sample)
+        upto = F.sum(F.length("word")).over(Window.orderBy(
+            F.xxhash64(F.lit(SEED), "token"), "token", "word"))      # of ``sample`` rows
+        return [r["word"] for r in rows.withColumn("upto", upto)
+                .where(F.col("upto") <= sample_chars).select("word").collect()]
 
     lengths: dict[int, dict[int, int]] = {}
-    for r in known.groupBy("kind", F.length("token").alias("size")).count().collect():
+    for r in known.groupBy("kind", F.length("word").alias("size")).count().collect():
         lengths.setdefault(r["kind"], {})[r["size"]] = r["count"]
-    return Formats({k: some(k) for k in (0, 1, 2)}, background(found), lengths)
+    return Formats({k: some(k) for k in (0, 1, 2)}, background(found), lengths, coded=True)
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  sample: int = SAMPLE) -> DataFrame:
     """doc_id, base and all spans (arrays of kind, start, end), and their digest columns."""
-    formats = learn(materialize(scan(docs, id_col, text_col), "secret-spans"), sample)
+    found = materialize(scan(docs, id_col, text_col), "secret-spans")
+    formats = learn(found, sample)
+    discard(found)
     span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def joined(spans: list[dict]) -> str:
         return ",".join(f"{KINDS[x['kind']]}:{x['start']}:{x['end']}" for x in spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judged = WordCache(formats.is_secret)
+        judged = WordCache(formats.judge)        # by symbols: many runs have the same
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [], [], [])
             for text in batch.column(1).to_pylist():
                 text = text or ""
                 base = [{"kind": k, "start": s, "end": e} for s, k, e, _ in base_spans(text)]
-                words = RUN.findall(text)
+                words = symbols(text).split()
                 every = base
-                if formats.kinds and any(map(judged.__getitem__, words)):
+                if formats.kinds and any(map(judged.__getitem__, set(words))):
                     more = outside(text, [(x["start"], x["end"]) for x in base])
                     every = sorted([*base, *({"kind": 3, "start": s, "end": e}
-                                             for s, e, t in more if judged[t])],
+                                             for s, e, t in more if judged[symbols(t)])],
                                    key=lambda x: (x["start"], x["kind"]))
                 if len(judged) >= judged.limit:
                     judged.age()

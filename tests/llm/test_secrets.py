@@ -134,3 +134,31 @@ def test_background_counts_all_rows(spark):
     k = len(secrets.SYMBOLS)
     assert {secrets.SYMBOLS[i // k] + secrets.SYMBOLS[i % k]: int(n)
             for i, n in enumerate(got) if n} == want
+
+
+def test_numbers_are_no_secrets_and_unlabelled_formats_are_found():
+    rng = random.Random(12)
+    digits, upper = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+    def some(chars, n):
+        return "".join(rng.choice(chars) for _ in range(n))
+
+    words = [w for _ in range(400) for w in (
+        "the", "quick", "brown-fox", "www.example.com/a", "decade", "2020", "in", "v1.2")]
+    known = {0: [some(upper + "abcdefghijklmnopqrstuvwxyz", 40) for _ in range(150)],
+             1: ["AKIA" + some(upper, 16) for _ in range(150)],
+             2: [some("0123456789abcdef", rng.choice((16, 40))) for _ in range(150)]}
+    formats = secrets.Formats(known, words)
+    numbers = [some("123456789", 1) + some(digits, rng.randint(5, 14)) for _ in range(1000)]
+    assert not any(formats.is_secret(n) for n in [*numbers, "20240131", "1700000000",
+                                                 "+4915112345678"])
+    assert sum(formats.is_secret("ASIA" + some(upper, 16)) for _ in range(100)) >= 95
+    assert sum(map(formats.is_secret, known[0])) >= 0.95 * len(known[0])
+
+
+def test_no_credential_is_written(spark):
+    docs = spark.createDataFrame([(1, "password: Abcdefghijkl123")], "doc_id long, text string")
+    (row,) = secrets.scan(docs).collect()
+    assert [(x["kind"], x["word"]) for x in row["base"]] == [(0, secrets.symbols(
+        "Abcdefghijkl123"))]
+    assert "Abcdefghijkl123" not in str(row)
