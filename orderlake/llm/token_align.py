@@ -341,17 +341,20 @@ def block_row(block: int, ids: list, bags: list[list[str]],
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """32-bit arrays, each as its length and its values, compressed."""
-    raw = b"".join(np.append(len(x), x).astype("<i4").tobytes() for x in arrays)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "lz4", asbytes=True)
+    """32-bit arrays, each as its length and its values' differences, with the bytes of
+    each place together, compressed."""
+    raw = np.concatenate([np.append(len(x), np.diff(x, prepend=0)) for x in arrays]).astype("<i4")
+    return len(raw).to_bytes(8, "little") + pa.compress(
+        raw.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
 
 
 def unpack(packed: bytes) -> dict[str, np.ndarray]:
-    raw = np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "lz4",
-                                      asbytes=True), "<i4")
+    size = int.from_bytes(packed[:8], "little")
+    raw = np.frombuffer(pa.decompress(packed[8:], 4 * size, "zstd", asbytes=True), np.uint8)
+    raw = np.ascontiguousarray(raw.reshape(4, -1).T).view("<i4").ravel()
     out, at = {}, 0
     for name in PACKED:
-        out[name] = raw[at + 1:at + 1 + raw[at]]
+        out[name] = np.cumsum(raw[at + 1:at + 1 + raw[at]], dtype=np.int64)
         at += 1 + raw[at]
     return out
 

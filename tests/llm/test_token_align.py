@@ -142,3 +142,10 @@ def test_large_groups_are_counted_by_id(tool, plain, monkeypatch):
                     np.frombuffer(counted[2], np.int64).tolist()):
         by_id[p] += n
     assert pairs == by_id and whole[0] == counted[0]
+
+
+def test_packed_arrays_come_back():
+    rng = np.random.default_rng(1)
+    arrays = [rng.integers(0, 1 << 31, n) for n in (0, 1, 7, 500, 0, 30)]
+    got = token_align.unpack(token_align.pack(*arrays))
+    assert [got[n].tolist() for n in token_align.PACKED] == [a.tolist() for a in arrays]
