@@ -27,18 +27,14 @@ def parse_iso_date(c: str | Column) -> Column:
 def parse_us_timestamp(c: str | Column) -> Column:
     """``M/d/yyyy H:mm`` text -> TIMESTAMP_NTZ (wall-clock time, no zone).
 
-    Date and time are parsed apart and without a zone, so every wall clock
-    stays as written, also one that a daylight-saving change skips.
+    Parsed once, as a time of the zone written behind it, and counted from the epoch
+    without a zone: every wall clock stays as written under any session zone, also one
+    that a daylight-saving change skips.
     """
-    text = F.trim(as_col(c))
-    parts = F.regexp_extract(text, r"^(\S+) +(\d{1,2}):(\d{2})$", 0)
-    day = F.try_to_date(F.split_part(parts, F.lit(" "), F.lit(1)), K.US_DATE)
-    clock = F.split_part(parts, F.lit(" "), F.lit(-1))
-    hour = F.split_part(clock, F.lit(":"), F.lit(1)).try_cast("int")
-    minute = F.split_part(clock, F.lit(":"), F.lit(-1)).try_cast("int")
-    whole = (hour < 24) & (minute < 60)
-    return F.when(whole, day.cast("timestamp_ntz")
-                  + F.make_dt_interval(F.lit(0), hour, minute, F.lit(0)))
+    at = F.try_to_timestamp(F.concat(F.trim(as_col(c)), F.lit("Z")), F.lit(K.US_TIMESTAMP + "X"))
+    seconds = F.unix_seconds(at).cast("decimal(18,6)")
+    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+            + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds))
 
 
 def to_bigint(c: str | Column) -> Column:

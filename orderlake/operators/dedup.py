@@ -120,10 +120,13 @@ def distinct_rows(df: DataFrame, columns: Sequence[str], apart: Column | None =
     return grouped.select(*columns, *([file_col] if file_col else []), COPIES)
 
 
-def last_write_wins(df: DataFrame, keys: Sequence[str], seq_col: str) -> DataFrame:
-    """Per key, the row written last according to ``seq_col``.
+def last_write_wins(df: DataFrame, keys: Sequence[str],
+                    seq_col: str | Sequence[str]) -> DataFrame:
+    """Per key, the row written last according to ``seq_col`` (one column, or several
+    that are compared in order).
 
     ``seq_col`` must be a write sequence carried by the feed or assigned at
-    the scan (``sources.with_sequence``); it is not recomputed here.
+    the scan (``sources.with_sequence``, ``sources.with_write_order``); it is not
+    recomputed here.
     """
     return keep_one_per_key(df, keys, order=seq_col, descending=True)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from orderlake import constants as K
 from orderlake.functions import clean_upper, has_lower_case, parse_us_date
 from orderlake.operators import dedup, quality
+from orderlake.sources.readers import WRITE_ORDER
 
 
 def latest_customers(raw: DataFrame) -> DataFrame:
@@ -71,9 +72,12 @@ def flag_currency_case(raw_products: DataFrame) -> DataFrame:
 
 def latest_fx(raw_fx: DataFrame, seq_col: str = "seq") -> DataFrame:
     """Last written rate per date and cleaned currency code: codes that differ
-    by case or blanks only are one currency.  The row keeps its code as received."""
+    by case or blanks only are one currency.  The row keeps its code as received.
+    Files are in the order of ``sources.with_write_order`` where the feed has it."""
+    order = [c for c in WRITE_ORDER if c in raw_fx.columns]
     coded = raw_fx.withColumn("_code", clean_upper("currency"))
-    return dedup.last_write_wins(coded, ["date", "_code"], seq_col).drop("_code")
+    return dedup.last_write_wins(coded, ["date", "_code"], [*order, seq_col]) \
+        .drop("_code", *order)
 
 
 @dataclass

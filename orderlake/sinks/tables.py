@@ -387,7 +387,9 @@ class AuditLog:
             if not self.records:
                 return 0
             ready = AuditLog(self.run_id, list(self.records))
-            store.create_table(layer, table, AUDIT_TABLE_DDL, "one row per table write")
+            if (layer, table) not in store.created:          # once a store
+                store.create_table(layer, table, AUDIT_TABLE_DDL, "one row per table write")
+                store.created.add((layer, table))
             n = write_table(ready.frame(store.spark), store.name(layer, table),
                             store.location(layer, table), store.fmt, "append")
             del self.records[:len(ready.records)]

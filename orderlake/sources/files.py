@@ -4,8 +4,9 @@
 
 Every frame carries ``_source_file`` (the file each row came from).  The FX
 file is a JSON array document (one task per file); its rows are numbered at
-the scan, so "last row in the file wins" holds for repeated (date, currency)
-entries.  Large FX feeds should be JSON Lines with an explicit sequence.
+the scan and ordered across files, so "last written row wins" holds for repeated
+(date, currency) entries of one file or of several.  Large FX feeds should be JSON
+Lines.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.operators.quality import CORRUPT
-from orderlake.sources.readers import read_csv_source, read_json_source, with_sequence
+from orderlake.sources.readers import read_csv_source, read_json_source, with_write_order
 from orderlake.sources.schemas import (
     CATEGORY_SCHEMA, CUSTOMER_SCHEMA, FX_SCHEMA, ORDERS_SCHEMA, PRODUCT_SCHEMA)
 
@@ -43,5 +44,5 @@ def read_feeds(spark: SparkSession, folder: str, fx_multi_line: bool = True) ->
                  corrupt_column=CORRUPT if name == "orders" else None))
              for name, (fname, schema) in FILES.items()}
     fx = read_json_source(spark, f"{folder}/{FX_FILE}", FX_SCHEMA, multi_line=fx_multi_line)
-    feeds["fx_rates"] = with_sequence(_with_file(fx), "seq")
+    feeds["fx_rates"] = with_write_order(_with_file(fx), "seq")
     return feeds

@@ -60,3 +60,17 @@ def with_sequence(df: DataFrame, name: str = "_seq") -> DataFrame:
     scan.  Feeds that carry their own write sequence should use that instead.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
+
+
+#: Columns that put the rows of all files of a feed in the order they were written.
+WRITE_ORDER = ("_file_time", "_file_path", "_file_block")
+
+
+def with_write_order(df: DataFrame, name: str = "_seq") -> DataFrame:
+    """``with_sequence``, and what orders rows across files: a file that was changed
+    later is written later (equal times: by path), then the place of the block in its
+    file, then the row.  Compare ``WRITE_ORDER`` and then ``name``."""
+    return with_sequence(df.select(
+        "*", F.col("_metadata.file_modification_time").alias("_file_time"),
+        F.col("_metadata.file_path").alias("_file_path"),
+        F.col("_metadata.file_block_start").alias("_file_block")), name)
