@@ -1,15 +1,18 @@
 """Quality by weak supervision: rules vote or abstain, EM weighs the votes.
 
-Each rule looks at one measure of a document and says bad, good, or nothing.
-No rule decides alone.  Expectation-maximisation over the vote patterns of the
-whole corpus estimates how each rule behaves on good and on bad documents; the
+Each rule looks at one measure of a document and votes bad, good, or, between two
+thresholds, not at all.  Expectation-maximisation over the vote patterns of the
+whole corpus estimates how each rule votes on good and on bad documents; the
 posterior probability of "good" then takes the place of an all-must-pass
-filter.  A document has one of at most 3^rules vote patterns, so the corpus
+filter.  Common defects show in two measures, so a reliable rule finds others
+that agree with it, and one that cries bad where all others say good loses its
+weight.  A document has one of at most 3^rules vote patterns, so the corpus
 reduces to a bounded table of pattern counts and EM runs on the driver.
 
 Defined results: null text counts as no text (all measures 0, base failed);
-null ids, repeated rows and extra columns pass through; an empty table gives
-an empty result with the starting weights.
+null ids, repeated rows and extra columns pass through; texts of any length are
+measured whole; a posterior of exactly one half keeps; an empty table gives an
+empty result with the starting weights.
 """
 
 from __future__ import annotations
@@ -29,12 +32,17 @@ from orderlake.llm.common import map_batches, utf8
 # The measures, as columns that measure() adds under this prefix.
 PREFIX = "_ql_"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "n_lines", "n_upper", "n_bangs", "n_echoes", "n_marks")
+            "n_lines", "n_upper", "n_bangs", "n_echoes", "n_marks", "n_signs", "n_bytes", "n_distinct")
 WINDOW = 8
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)      # odd multipliers
 UPPER = bytes(range(65, 91))
-#: Share of the corpus taken as good before the first EM step, and how sure a vote starts.
-START_GOOD, START_SURE, EM_STEPS, EM_CLOSE = 0.85, 0.9, 200, 1e-9
+#: Letters, digits and all bytes beyond ASCII.
+PLAIN = bytes(range(48, 58)) + UPPER + bytes(range(97, 123)) + bytes(range(128, 256))
+#: What is believed of any rule before counting: how often it votes bad, not at all and
+#: good on bad and on good documents, the share of good ones, and how many documents
+#: that belief weighs, whatever the corpus.
+BELIEVED = np.array([[0.300, 0.050, 0.65], [0.005, 0.055, 0.94]])
+BELIEVED_GOOD, BELIEVED_DOCS, EM_STEPS, EM_CLOSE = 0.85, 100, 500, 1e-9
 
 
 def _repeated(ids: np.ndarray, distinct: int) -> int:
@@ -73,7 +81,8 @@ def measures_of(text: bytes | None) -> tuple[int, ...]:
     return (len(words), len(joined.decode()), len(text) - len(text.translate(None, b"#*$%&|<>")),
             len(lines) - len(set(lines)), _repeated(ids, len(seen)), len(lines),
             len(text) - len(text.translate(None, UPPER)), text.count(b"!"),
-            int(np.count_nonzero(ids[1:] == ids[:-1])), text.count(b".") + text.count(b","))
+            int(np.count_nonzero(ids[1:] == ids[:-1])), text.count(b".") + text.count(b","),
+            len(joined.translate(None, PLAIN)), len(joined), len(seen))
 
 
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -105,23 +114,29 @@ def rules() -> dict[str, Column]:
     """Rule name -> vote: -1 bad, 1 good, 0 nothing.  Null-free."""
     n = F.greatest(_m("n_words"), F.lit(1))
     chars = F.greatest(_m("word_chars"), F.lit(1))
+    size = F.greatest(_m("n_bytes"), F.lit(1))
 
-    def bad(when: Column) -> Column:
-        return F.when(when, -1).otherwise(0)
+    def vote(bad: Column, good: Column) -> Column:
+        return F.when(bad, -1).when(good, 1).otherwise(0)
+
+    def share(of: str, whole: Column, good: float, bad: float) -> Column:
+        return vote(_m(of) > bad * whole, _m(of) <= good * whole)
 
-    prose = ((_m("n_symbols") <= 0.02 * n) & (_m("n_upper") <= 0.15 * chars)
-             & (_m("n_bangs") <= 0.05 * n) & (_m("n_echoes") <= 0.05 * n)
-             & (_m("n_repeat_words") <= 0.3 * n))
     return {
-        "symbols": bad(_m("n_symbols") > 0.15 * n),
-        "shouting": bad(_m("n_upper") > 0.4 * chars),
-        "bangs": bad(_m("n_bangs") > 0.2 * n),
-        "windows": bad(_m("n_repeat_words") > 0.3 * n),
-        "echoes": bad(_m("n_echoes") > 0.2 * n),
-        "lines": bad((_m("n_dup_lines") >= 3) & (_m("n_dup_lines") > 0.4 * _m("n_lines"))),
-        "lengths": bad((_m("word_chars") > 20 * n) | (_m("word_chars") < 1.5 * n)),
-        "prose": F.when(prose & (n >= 20), 1).otherwise(0),
-        "punctuation": bad(_m("n_marks") > 1.5 * n),
+        "symbols": share("n_symbols", n, 0.02, 0.15),
+        "signs": share("n_signs", size, 0.06, 0.10),
+        "shouting": share("n_upper", chars, 0.15, 0.4),
+        "bangs": share("n_bangs", n, 0.05, 0.2),
+        "windows": share("n_repeat_words", n, 0.05, 0.3),
+        "echoes": share("n_echoes", n, 0.05, 0.2),
+        # the number of distinct words grows as a power of the length
+        "variety": vote(_m("n_distinct") < F.pow(n, F.lit(0.7)),
+                        _m("n_distinct") >= 1.5 * F.pow(n, F.lit(0.7))),
+        "lines": vote((_m("n_dup_lines") >= 3) & (_m("n_dup_lines") > 0.4 * _m("n_lines")),
+                      _m("n_dup_lines") <= 0.1 * _m("n_lines")),
+        "lengths": vote((chars > 20 * n) | (chars < 1.5 * n), (chars >= 3 * n) & (chars <= 10 * n)),
+        "punctuation": vote(_m("n_marks") > 1.5 * n,
+                            (_m("n_marks") >= 0.02 * n) & (_m("n_marks") <= 0.4 * n)),
     }
 
 
@@ -129,38 +144,30 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], k: int) -> tuple[float
     """EM over (votes, count) rows: the prior log-odds of "good" and, per rule
     and vote (-1, 0, 1), the log-likelihood ratio good : bad.
 
-    Every rule starts with as many imagined votes as it cast, ``START_SURE`` of
-    them right; without that, a rule that no other rule confirms would drift
-    anywhere.  Rules are taken as no worse than chance: a bad vote never raises
-    the odds of "good", a good vote never lowers them, and no vote leaves them
-    as they are.
+    Rules start alike, with the rates of ``BELIEVED``, which go on counting as
+    ``BELIEVED_DOCS`` documents; what the corpus shows of a rule outweighs them.
+    Rules are taken as no worse than chance: a bad vote never raises the odds of
+    "good", a good vote never lowers them, and no vote leaves them as they are.
     """
     votes = np.array([p for p, _ in patterns], np.int64).reshape(-1, k) + 1
     count_ = np.array([c for _, c in patterns], float)
-    # to start with, any bad vote makes a document likely bad
-    good = np.where((votes == 0).any(axis=1), 1 - START_SURE, START_SURE)
-    prior, ratio = math.log(START_GOOD / (1 - START_GOOD)), np.zeros((k, 3))
-    ratio[:, 0], ratio[:, 2] = -math.log(9), math.log(1.5)
-    if not len(count_):
-        return prior, ratio
-    fired = np.stack([((votes == v) * count_[:, None]).sum(axis=0) for v in range(3)], axis=1)
-    believed = np.array([[START_SURE, 0.5, 1 - START_SURE],      # bad, then good documents
-                         [1 - START_SURE, 0.5, START_SURE]])
+    rate, share, good = np.repeat(BELIEVED[:, None, :], k, axis=1), BELIEVED_GOOD, None
     for _ in range(EM_STEPS):
-        rate = np.empty((2, k, 3))
-        for c, weight in enumerate((count_ * (1 - good), count_ * good)):
-            for v in range(3):
-                seen = ((votes == v) * weight[:, None]).sum(axis=0)
-                rate[c, :, v] = (seen + believed[c, v] * fired[:, v] + 0.5) / (weight.sum() + 1.5)
-        share = ((count_ * good).sum() + 1) / (count_.sum() + 2)
         prior, ratio = math.log(share / (1 - share)), np.log(rate[1] / rate[0])
         ratio[:, 0], ratio[:, 1] = np.minimum(ratio[:, 0], 0), 0
         ratio[:, 2] = np.maximum(ratio[:, 2], 0)
         logit = prior + ratio[np.arange(k), votes].sum(axis=1)
         new = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
-        moved, good = np.abs(new - good).max(), new
-        if moved < EM_CLOSE:
+        if good is not None and np.abs(new - good).max(initial=0) < EM_CLOSE:
             break
+        good = new
+        for c, weight in enumerate((count_ * (1 - good), count_ * good)):
+            for v in range(3):
+                seen = ((votes == v) * weight[:, None]).sum(axis=0)
+                rate[c, :, v] = (seen + BELIEVED_DOCS * BELIEVED[c, v]) \
+                    / (weight.sum() + BELIEVED_DOCS)
+        share = ((count_ * good).sum() + BELIEVED_DOCS * BELIEVED_GOOD) \
+            / (count_.sum() + BELIEVED_DOCS)
     return prior, ratio
 
 

@@ -1,5 +1,7 @@
 from collections import Counter
 
+import numpy as np
+
 from helpers import WORD, odd_documents, prose
 from orderlake.llm import quality, queries
 
@@ -75,3 +77,41 @@ def test_em_tells_reliable_rules_from_noise():
     good = {p: prior + sum(ratio[k, v + 1] for k, v in enumerate(p)) > 0 for p, _ in patterns}
     assert good[(0, 0, -1, 1)] and good[(0, 0, 0, 1)]
     assert not good[(-1, -1, 0, 0)] and not good[(-1, 0, 0, 0)] and not good[(0, -1, 0, 0)]
+
+
+def test_posterior_overrules_a_bad_rule(spark, tmp_path):
+    """A forum where three clean texts in ten are full of exclamation marks: that rule's
+    lone vote loses its weight, while junk that several rules see still goes."""
+    def text(i):
+        words = prose(i, 80, 5000).split()
+        if i % 5 == 0:                                   # junk
+            return " ".join(w + "%%%" if k % 2 else w + "|" for k, w in enumerate(words)), 0
+        clean = [w + "." if k % 9 == 8 else w for k, w in enumerate(words)]
+        if i % 10 in (1, 2, 3):
+            clean = [w + "!" if k % 4 == 3 else w for k, w in enumerate(clean)]
+        return " ".join(clean), 1
+
+    rows = [(i, *text(i)) for i in range(2000)]
+    spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    kept = {r["doc_id"]: r["kept"] for r in queries.op3_quality_rules(spark, str(tmp_path)).collect()}
+    truth = {i: bool(q) for i, _, q in rows}
+    measured = quality.measure(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    votes = quality.judge(measured, quality.weigh(measured)).collect()
+    names = [c for c in votes[0].asDict() if c.startswith("_ql_vote_")]
+    all_pass = {r["doc_id"]: not r["_ql_base_failed"] and all(r[n] >= 0 for n in names)
+                for r in votes}
+    lone = [r["doc_id"] for r in votes if [n for n in names if r[n] < 0] == ["_ql_vote_bangs"]]
+    assert len(lone) > 500 and all(kept[i] for i in lone) and not any(all_pass[i] for i in lone)
+    right = [sum(v[i] == truth[i] for i in truth) for v in (kept, all_pass)]
+    assert right[0] == 2000 and right[1] < 1500
+
+
+def test_the_belief_has_a_fixed_size():
+    # the third rule votes bad on half of the good documents and 60 % of the bad ones:
+    # what is believed beforehand shows in a small corpus and not in a large one
+    def off(times):
+        patterns = [((-1, -1, 1), 80 * times), ((-1, -1, -1), 120 * times),
+                    ((1, 1, 1), 1000 * times), ((1, 1, -1), 1000 * times)]
+        return abs(quality.estimate(patterns, 3)[1][2, 0] - np.log(0.5 / 0.6))
+    assert off(100) < 0.01 < off(1)
