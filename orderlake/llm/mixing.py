@@ -6,11 +6,14 @@ weight among the others (water filling).  A source takes every document
 ``floor(target / size)`` times and fills the remaining budget with a subset:
 
 * its documents are counted by exact length;
-* a common share of every length is taken, so the subset looks like the
-  source, and then single documents, longest first, until the budget left is
-  small;
-* the rest is a bounded-knapsack dynamic program over the remaining counts,
-  which hits the budget exactly or as near below it as the lengths allow;
+* a common share of every length is taken, so the subset looks like the source;
+* the rest is a bounded-knapsack dynamic program over the remaining counts.  It
+  first looks at the last ``WINDOW`` words only, after single documents, longest
+  first; if that misses the budget, at all that is left, and then with 1, 2, 4, ...
+  documents of every length given back, until it hits, nothing is left to give
+  back (the result is then as near below the budget as the lengths allow), or the
+  table would have more than ``TABLE_WORDS`` entries, in units of the lengths'
+  common divisor;
 * how many documents of each length to take is then fixed, and a seeded hash
   order says which.
 
@@ -19,7 +22,9 @@ driver sees one row per source.
 
 Defined results: a null text has size 0; documents of size 0 are taken as
 often as their source is taken whole; a null source comes last; rows with null
-or repeated ids count each by itself; an empty table gives an empty result.
+or repeated ids count each by itself; texts of any length count whole; equal
+sizes are chosen by the seeded hash, equal hashes by id; extra columns do no harm;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +38,8 @@ from pyspark.sql import functions as F
 
 from orderlake.llm.common import WORD, materialize, rank_in_group
 
-DP_WORDS = 1 << 16          # budget from which the dynamic program takes over
+WINDOW = 1 << 16            # budget that the dynamic program looks at first
+TABLE_WORDS = 1 << 24       # entries of its largest table, some 10 bytes each
 BROADCAST_SOURCES = 50_000  # more sources than this are joined by a shuffle
 
 
@@ -57,48 +63,30 @@ def targets(sizes: list[int], weights: list[int], cap: int = 3) -> list[float]:
     return target
 
 
-def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that the words come to
-    ``budget`` or as near below it as possible."""
-    total = int((lengths * counts).sum())
-    if budget >= total:
-        return counts.copy()
-    take = counts * budget // max(total, 1)
-    rest = budget - int((lengths * take).sum())
-    order = np.argsort(-lengths)
-    while rest > DP_WORDS:                    # thins the budget, longest first
-        before = rest
-        for i in order:
-            if rest <= DP_WORDS:
-                break
-            k = min(int(counts[i] - take[i]), (rest - DP_WORDS // 2) // int(lengths[i]))
-            if k > 0:
-                take[i] += k
-                rest -= k * int(lengths[i])
-        if rest == before:
-            break
-    # bounded knapsack: reach[s] says that s words can be made; item[s] is the
-    # first item (length index, copies) that made s, for the way back
-    reach = np.zeros(rest + 1, bool)
+def knapsack(lengths: np.ndarray, free: np.ndarray, budget: int) -> np.ndarray:
+    """How many of ``free`` documents of each length come nearest to ``budget`` from below."""
+    # reach[s] says that s words can be made; item[s] is the first item (length index,
+    # copies) that made s, for the way back
+    reach = np.zeros(budget + 1, bool)
     reach[0] = True
-    item = np.full(rest + 1, -1, np.int64)
+    item = np.full(budget + 1, -1, np.int32)
     items: list[tuple[int, int]] = []
-    for i in order[::-1]:
+    for i in np.argsort(lengths):
         n = int(lengths[i])
-        free = min(int(counts[i] - take[i]), rest // n if n else 0)
+        left = min(int(free[i]), budget // n)
         copies = 1
-        while free > 0 and not reach[rest]:
-            k = min(copies, free)
+        while left > 0 and not reach[budget]:
+            k = min(copies, left)
             w = k * n
-            new = reach[:-w] & ~reach[w:] if w <= rest else reach[:0]
-            at = np.flatnonzero(new) + w
+            at = np.flatnonzero(reach[:-w] & ~reach[w:]) + w
             item[at] = len(items)
             reach[at] = True
             items.append((int(i), k))
-            free -= k
+            left -= k
             copies *= 2
-        if reach[rest]:
+        if reach[budget]:
             break
+    take = np.zeros(len(lengths), np.int64)
     s = int(np.flatnonzero(reach)[-1])
     while s:
         i, k = items[item[s]]
@@ -107,6 +95,42 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     return take
 
 
+def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """How many documents of each length to take so that the words come to
+    ``budget`` or as near below it as possible."""
+    lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
+    total = int((lengths * counts).sum())
+    if budget >= total:
+        return counts.copy()
+    unit = int(np.gcd.reduce(lengths))
+    lengths, budget, total = lengths // unit, budget // unit, total // unit
+    share = np.array([int(c) * budget // total for c in counts], np.int64)
+
+    def words(take: np.ndarray) -> int:
+        return int((lengths * take).sum())
+
+    def fill(take: np.ndarray) -> np.ndarray:
+        return take + knapsack(lengths, counts - take, budget - words(take))
+
+    take, rest = share.copy(), budget - words(share)
+    for i in np.argsort(-lengths):            # thins the budget, longest first
+        k = min(int(counts[i] - take[i]), (rest - WINDOW // 2) // int(lengths[i]))
+        if rest > WINDOW and k > 0:
+            take[i] += k
+            rest -= k * int(lengths[i])
+    best = fill(take) if rest <= TABLE_WORDS else take
+    back = 0
+    while words(best) < budget:
+        take = share - np.minimum(share, back)
+        if budget - words(take) > TABLE_WORDS:
+            break
+        best = max(best, fill(take), key=words)
+        if back >= share.max():
+            break
+        back = max(1, 2 * back)
+    return best
+
+
 def mix_sources(docs: DataFrame, seed: int = 7, cap: int = 3, weights: tuple[int, ...] = (1, 2, 3),
                 id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 keep: dict[str, Column] | None = None) -> DataFrame:

@@ -61,11 +61,28 @@ def test_budget_against_all_subsets():
         budget = int(rng.integers(0, (lengths * counts).sum() + 3))
         take = mixing.fit_budget(lengths, counts, budget)
         assert (take >= 0).all() and (take <= counts).all()
-        # the proportional share comes first; what follows is the best there is
-        share = np.minimum(counts * budget // (lengths * counts).sum(), counts)
-        best = max(s for c in itertools.product(*[range(a, b + 1) for a, b in zip(share, counts)])
-                   if (s := int((lengths * c).sum())) <= budget)
-        assert int((lengths * take).sum()) == best
+        assert int((lengths * take).sum()) == nearest(lengths, counts, budget)
+
+
+def nearest(lengths, counts, budget):
+    """The largest sum of any subset that is no more than the budget."""
+    return max(s for c in itertools.product(*[range(b + 1) for b in counts])
+               if (s := int((lengths * c).sum())) <= budget)
+
+
+def test_long_texts_only():
+    lengths, counts = np.array([700_001, 700_003, 900_007]), np.array([5, 5, 5])
+    for budget in (5_000_000, 699_999, 700_002, 3_123_456, 9_999_999, 11_500_054):
+        take = mixing.fit_budget(lengths, counts, budget)
+        assert (take <= counts).all()
+        assert int((lengths * take).sum()) == nearest(lengths, counts, budget)
+    # a common divisor is divided out: 10^12 words are a table of some hundred entries
+    lengths, counts = np.array([3, 5, 7]) * 10 ** 10, np.array([9, 9, 9])
+    take = mixing.fit_budget(lengths, counts, 10 ** 12 + 12345)
+    assert int((lengths * take).sum()) == 10 ** 12
+    # counts and budgets whose product is beyond 64 bits
+    take = mixing.fit_budget(np.array([1000, 3001]), np.array([10 ** 10, 10 ** 10]), 2 * 10 ** 13 + 7)
+    assert 0 <= 2 * 10 ** 13 + 7 - int((np.array([1000, 3001]) * take).sum()) < 1000
 
 
 def test_large_budgets_are_met():
