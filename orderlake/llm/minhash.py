@@ -17,12 +17,14 @@ bucket are in one component or have been compared, no bucket is capped, and the
 pairs that are made grow with the documents.
 
 With 36 bands of 5 coordinates a pair at the threshold shares no band with a
-chance of 6e-5, at a similarity of 0.8 with 6e-7.
+chance of 6e-5, at a similarity of 0.8 with 6e-7.  All that share one and whose sizes
+allow the threshold are compared on full sets of 64-bit hashes.
 
 Defined results: a text without words has an empty set and links with nothing;
 a document's class is the smallest id reachable; null ids take part but never
 name a class unless all ids of the class are null (class null, kept); rows
-that repeat an id and a text are one node.  Extra columns are ignored.
+that repeat an id and a text are one node.  Texts of any length have their whole set;
+an empty table gives an empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,10 +44,7 @@ BANDS, ROWS = 36, 5
 COORDINATES = BANDS * ROWS
 UNIVERSE_BITS = 22
 SEED = 20240229
-#: Pairs whose 180 coordinates agree on less than this share are not checked on
-#: full sets; at a similarity of 0.75 that is six standard deviations off.
-ESTIMATE = 0.55
-BLOCK = 1500               # sets on either side of a comparison in blocks
+BLOCK = 600_000            # shingles on either side of a comparison in blocks, on average
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -116,7 +115,7 @@ def _bands(signatures: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, key_col: str | None) -> DataFrame:
-    """doc_id, key, n_shingles, digest (of the set; null if empty), bands, sig (low bytes)."""
+    """doc_id, key, n_shingles, digest (of the set; null if empty), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -129,24 +128,23 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, key_col: str | Non
                 else np.empty((0, COORDINATES), np.int32)
             at = iter(range(len(some)))
             where = [next(at) if len(s) else None for s in sets]
-            bands, low = _bands(sigs), sigs.astype(np.uint8)
+            bands = _bands(sigs)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
                           for s in sets], pa.binary()),
-                pa.array([None if i is None else bands[i] for i in where], pa.list_(pa.int64())),
-                pa.array([None if i is None else low[i].tobytes() for i in where], pa.binary())],
-                names=["doc_id", "key", "n_shingles", "digest", "bands", "sig"])
+                pa.array([None if i is None else bands[i] for i in where], pa.list_(pa.int64()))],
+                names=["doc_id", "key", "n_shingles", "digest", "bands"])
 
     key = F.lit(None).cast("string") if key_col is None else F.col(key_col)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col),
                        key.alias("key"))
     return map_batches(slim, run, "doc_id long, key string, n_shingles long, digest binary, "
-                                  "bands array<long>, sig binary")
+                                  "bands array<long>")
 
 
 def _sets(docs: DataFrame, text_col: str) -> DataFrame:
-    """digest and full set (40 bits of every shingle hash) of every text."""
+    """digest and full set (every 64-bit shingle hash, sorted) of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -157,8 +155,8 @@ def _sets(docs: DataFrame, text_col: str) -> DataFrame:
             for text in utf8(batch.column(0)):
                 s = shingle_set(text, words)
                 if len(s):
-                    top = np.ascontiguousarray(s.view(np.uint8).reshape(-1, 8)[:, 3:])
-                    found[xxhash.xxh3_128_digest(s.tobytes())] = top.tobytes()
+                    raw = s.tobytes()
+                    found[xxhash.xxh3_128_digest(raw)] = raw
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())],
                 names=["digest", "shingles"])
@@ -166,10 +164,8 @@ def _sets(docs: DataFrame, text_col: str) -> DataFrame:
     return map_batches(docs.select(text_col), run, "digest binary, shingles binary")
 
 
-def _wide(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
-    return out.view(np.uint64)[:, 0]
+def _hashes(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint64)
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -178,43 +174,34 @@ def _linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -
         return df.select(F.col("digest").alias(name),
                          *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            at = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            x, y = (np.frombuffer(b"".join(at[n].to_pylist()), np.uint8)
-                    .reshape(-1, COORDINATES) for n in ("sig_a", "sig_b"))
-            close = (x == y).sum(axis=1) >= ESTIMATE * COORDINATES
-            yield pa.RecordBatch.from_arrays([at["a"], at["b"]], names=["a", "b"]) \
-                .filter(pa.array(close))
-
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             good = []
             for x, y in zip(at["shingles_a"].to_pylist(), at["shingles_b"].to_pylist()):
-                both = len(np.intersect1d(_wide(x), _wide(y), assume_unique=True))
-                good.append(100 * both >= percent * ((len(x) + len(y)) // 5 - both))
+                both = len(np.intersect1d(_hashes(x), _hashes(y), assume_unique=True))
+                good.append(100 * both >= percent * ((len(x) + len(y)) // 8 - both))
             yield pa.RecordBatch.from_arrays([at["a"], at["b"]], names=["a", "b"]) \
                 .filter(pa.array(good, pa.bool_()))
 
-    sized = pairs.join(side("a", nodes, "n", "sig"), "a").join(side("b", nodes, "n", "sig"), "b") \
+    # sets of too different sizes can't reach the threshold
+    sized = pairs.join(side("a", nodes, "n"), "a").join(side("b", nodes, "n"), "b") \
         .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    likely = map_batches(sized.select("a", "b", "sig_a", "sig_b"), near, "a binary, b binary")
-    whole = likely.join(side("a", sets, "shingles"), "a").join(side("b", sets, "shingles"), "b")
+    whole = sized.join(side("a", sets, "shingles"), "a").join(side("b", sets, "shingles"), "b")
     return map_batches(whole.select("a", "b", "shingles_a", "shingles_b"), check,
                        "a binary, b binary")
 
 
-def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _rest(members: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame,
+          percent: int) -> DataFrame:
     """Links (a, b) between what shares a bucket but no component yet.
 
     A bucket that holds several components is settled around the largest of
     them: all of its other members are compared with every node of that
     component and with each other, in blocks.  A task holds two blocks of sets,
-    counts exact intersections through an inverted index, and emits links that
-    join components, never all of them.
+    each of some ``BLOCK`` shingles however long the texts (or one longer set),
+    counts exact intersections through an inverted index, and emits links that join
+    components, never all of them.
     """
     size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     sized = roots.join(size, "root").withColumnRenamed("node", "digest")
@@ -234,9 +221,9 @@ def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -
         .select("main", F.col("main").alias("digest"), F.col("main").alias("root"))
     every = loose.withColumn("asks", F.lit(True)).union(
         own.union(alone).withColumn("asks", F.lit(False)))
-    counts = every.groupBy("main").agg(
-        F.ceil(F.count_if("asks") / BLOCK).cast("int").alias("askers"),
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("others"))
+    counts = every.join(nodes.select("digest", "n"), "digest").groupBy("main").agg(
+        F.ceil(F.sum(F.when(F.col("asks"), F.col("n"))) / BLOCK).cast("int").alias("askers"),
+        F.ceil(F.sum("n") / BLOCK).cast("int").alias("others"))
     placed = every.join(counts, "main").withColumn("h", F.xxhash64("digest"))
 
     def deal(side: bool, own_: str, all_: str) -> DataFrame:
@@ -255,7 +242,7 @@ def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -
 def _settle(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links between the asking rows and the others that join components."""
     mine, others = rows[rows["asks"]], rows[~rows["asks"]]
-    sets = [_wide(x) for x in others["shingles"]]
+    sets = [_hashes(x) for x in others["shingles"]]
     length = np.array([len(x) for x in sets], np.int64)
     flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
     order = np.argsort(flat, kind="stable")
@@ -270,7 +257,7 @@ def _settle(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
 
     a, b = [], []
     for d, r, raw in zip(mine["digest"], mine["root"], mine["shingles"]):
-        x = _wide(raw)
+        x = _hashes(raw)
         lo, n = np.searchsorted(flat, x), np.searchsorted(flat, x, "right")
         n = n - lo
         at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
@@ -315,7 +302,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     full = prints.where("digest is not null")
     nodes = materialize(full.groupBy("digest").agg(
         F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"),
-        F.first("sig").alias("sig"), F.first("bands").alias("bands")), "mh-nodes")
+        F.first("bands").alias("bands")), "mh-nodes")
     spread = nodes.select("digest", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     sharing = materialize(spread.join(shared, "band"), "mh-members")
@@ -334,7 +321,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
         F.least("digest", "pivot").alias("a"), F.greatest("digest", "pivot").alias("b")).distinct()
     edges = materialize(_linked(pairs, nodes, sets, percent), "mh-links")
     roots = components(edges)
-    more = materialize(_rest(members, roots, sets, percent), "mh-more")
+    more = materialize(_rest(members, roots, nodes, sets, percent), "mh-more")
     if more.limit(1).count():
         discard(roots)
         roots = components(edges.union(more))
