@@ -1,23 +1,28 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read as blocks of text, each under a root-to-leaf path of tags.  Per
-path, text length and punctuation are summed and divided by the number of
-blocks.  Both ratios, on a log scale, are multiplied; every path's value is
-smoothed with those of paths near it in the tree (a long shared beginning, or
-the same article element); paths above a share of the page's best are content.
+A page is read once, from left to right, as blocks of text, each under a
+root-to-leaf path of tags and words (no numbers) of their class, id and role.  Per
+path, text length and punctuation are summed and divided by the number of blocks;
+the product of the roots of both ratios is the path's value.  Values are smoothed
+over the tree of paths: a path is worth at least what its neighbours are, less a
+share for every step between them.  Paths above a share of the page's best are
+content.
 
-So is what stands in the element around the best path, and headings beside it.
-
-Elements that are never article text (menus, page headers and footers, asides,
-forms, scripts, styles and elements named as adverts, notices, comments and the
-like) take no part in the statistics.
+What elements are called moves a value and decides nothing alone: a path through
+a menu, page header, footer, sidebar or form, or an element named like an advert,
+notice or comment, counts for a fraction; one in an article element for more; so
+does, with a fraction, a path whose text is mostly links.  Only elements that hold
+no running text (scripts, styles, buttons, hidden ones) are left out beforehand.
 
 Blocks keep page order and are joined by a line feed; character references are
 decoded, white space inside a block is one space.
 
 Defined results: null or empty html gives an empty text; a page without
-markup is one block; unclosed, misnested and cut-off tags are closed where their
-parent ends or the page does; null and repeated ids and extra columns do no harm.
+markup is one block; of paths with equal values all stay or all go; an empty table
+gives no rows; unclosed, misnested and cut-off tags are closed where their
+parent ends or the page does.  From the first tag that never ends, quotes no longer
+hide a ``>``.  Time is linear in the page, whatever it holds.  Null and repeated ids
+and extra columns do no harm.
 """
 
 from __future__ import annotations
@@ -34,10 +39,13 @@ from pyspark.sql import functions as F
 
 from orderlake.llm.common import map_batches
 
-#: A path is content from this share of the page's best smoothed value.
-THRESHOLD = 0.4
-#: Weight of a neighbour: the shared part of both paths to this power.
-NEAR = 4
+#: A path is content from this share of the page's best value.
+THRESHOLD = 0.5
+#: What a step in the tree of paths leaves of a neighbour's value.
+STEP = 0.75
+#: Shares of a value that count: under an element of another purpose, under one
+#: named so, under an article element, with nothing but links.
+OTHER_TAG, OTHER_NAME, IN_ARTICLE, LINKS = 0.05, 0.1, 4.0, 0.05
 
 # Fixed facts of HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
@@ -49,11 +57,11 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code"
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"ul", "ol", "dl", "table", "body", "html", "article", "div", "section", "main"}
+NO_TEXT = {"script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas",
+           "video", "audio", "button", "select", "textarea", "head", "title", "xmp", "noframes"}
 
-# Elements that are not article text, by tag, and by a word of class, id or role.
-APART = {"nav", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe",
-         "object", "svg", "math", "canvas", "video", "audio", "button", "select", "textarea",
-         "dialog", "menu", "head", "title", "xmp", "noframes"}
+# Elements that tend not to hold article text, by tag, and by a word of class, id or role.
+OTHER = {"nav", "footer", "aside", "form", "dialog", "menu"}
 NAMED = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "alert",
          "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "contentinfo",
          "cookie", "cookies", "disclaimer", "dialog", "discussion", "footer", "gdpr", "menu",
@@ -65,150 +73,196 @@ NAMED = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising"
 NEUTRAL = {"article", "body", "content", "free", "has", "layout", "main", "no", "page", "post",
            "with", "without", "wrapper"}
 ARTICLE = {"article", "main"}
-PARTS = {"ul", "ol", "dl", "li", "dt", "dd", "table", "thead", "tbody", "tr", "td", "th",
-         "blockquote", "figure"}
+# What holds the parts of one piece of text: no step in the tree.
+HOLDERS = {"ul", "ol", "dl", "table", "thead", "tbody", "tr", "blockquote", "figure"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*(?:>|\Z)|<(?=/?[A-Za-z])[^<>]*(?:>|\Z|(?=<))", re.DOTALL)
+OPENS = re.compile(r"<(?=[!?]|/?[A-Za-z])")
+NAME = re.compile(r"(/?)([A-Za-z][^\s/><\"']*)")
+QUOTED = re.compile(r"[>\"']")
+CUT = re.compile(r"[^<>]*>?")
 NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-WORDS = re.compile(r"[a-z0-9]+")
+WORDS = re.compile(r"[a-z]+")
 MARKS = re.compile(r"[.,;:!?…。、，！？；：]")
 
 
 class _Page:
-    """Blocks of a page: (path, apart, text parts)."""
+    """The tree of paths of a page and its blocks: (path number, [(text, linked)])."""
 
     def __init__(self, html: str):
-        self.open: list[tuple[str, str, bool]] = []       # tag, label in paths, apart
-        self.blocks: list[tuple[tuple[str, ...], bool, list[str]]] = []
+        self.parent, self.tag, self.weight = [0], [""], [1.0]      # of paths, the root first
+        self.children: dict[tuple[int, str, float], int] = {}
+        self.open: list[tuple[str, int, float]] = []               # tag, path, weight
+        self.at: dict[str, list[int]] = defaultdict(list)          # places in open, by tag
+        self.scopes: list[int] = []                                # of elements that p can't leave
+        self.solid: list[int] = []                                 # of elements that aren't inline
+        self.blocks: list[tuple[int, list[tuple[str, bool]]]] = []
         self.fresh = True
         self._read(html)
 
+    def _path(self, parent: int, tag: str, label: str, weight: float) -> int:
+        key = (parent, label, weight)
+        if key not in self.children:
+            self.children[key] = len(self.parent)
+            self.parent.append(parent)
+            self.tag.append(tag)
+            self.weight.append(weight)
+        return self.children[key]
+
     def _text(self, text: str) -> None:
-        if self.fresh:
+        path = self.open[-1][1] if self.open else 0
+        if self.fresh or self.blocks[-1][0] != path:               # or an inline part set apart
             if not text.strip():
                 return
-            path = tuple(x[1] for x in self.open if x[0] not in INLINE)
-            self.blocks.append((path, bool(self.open) and self.open[-1][2], []))
+            self.blocks.append((path, []))
             self.fresh = False
-        elif self.blocks[-1][1] != (bool(self.open) and self.open[-1][2]):
-            self.fresh = True                              # an inline element set apart
-            return self._text(text)
-        self.blocks[-1][2].append(text)
+        self.blocks[-1][1].append((text, bool(self.at["a"])))
 
     def _close(self, depth: int) -> None:
-        if any(x[0] not in INLINE for x in self.open[depth:]):
+        if self.solid and self.solid[-1] >= depth:
             self.fresh = True
-        del self.open[depth:]
+        while len(self.open) > depth:
+            self.at[self.open.pop()[0]].pop()
+        for places in (self.scopes, self.solid):
+            while places and places[-1] >= depth:
+                places.pop()
+
+    def _last(self, tags: set[str]) -> int:
+        return max((self.at[t][-1] for t in tags if self.at[t]), default=-1)
 
     def _start(self, tag: str, rest: str) -> None:
         if tag == "br" and not self.fresh:
-            self.blocks[-1][2].append(" ")
+            self.blocks[-1][1].append((" ", False))
         if tag in VOID:
             self.fresh = self.fresh or tag == "hr"
             return
         if tag not in INLINE:
             self.fresh = True
-            closes = CLOSES.get(tag, set())
-            for depth in range(len(self.open) - 1, -1, -1):
-                name = self.open[depth][0]
-                if name == "p" or name in closes:
-                    self._close(depth)
-                    break
-                if name in SCOPES:
-                    break
-        named = " ".join(m[2] or m[3] or m[4] or "" for m in NAMES.finditer(rest))
-        words = set(WORDS.findall(named.lower()))
-        telling = {w for x in named.lower().split() if not NEUTRAL & (w_ := set(WORDS.findall(x)))
-                   for w in w_}
-        inside = {x[0] for x in self.open}
-        apart = (tag in APART or bool(telling & NAMED) or "hidden" in rest.lower().split()
-                 or (tag == "header" and not inside & ARTICLE))
-        apart = apart and tag not in {"html", "body", "main"}
+            before = self._last({"p"} | CLOSES.get(tag, set()))
+            if before > (self.scopes[-1] if self.scopes else -1):
+                self._close(before)
         if tag == "body":
             self._close(1 if self.open and self.open[0][0] == "html" else 0)
-        label = f"{tag}.{'.'.join(sorted(words))}" if words else tag
-        self.open.append((tag, label, apart or (bool(self.open) and self.open[-1][2])))
+        _, parent, weight = self.open[-1] if self.open else ("", 0, 1.0)
+        names: set[str] = set()
+        telling: set[str] = set()
+        for m in NAMES.finditer(rest):
+            for name in (m[2] or m[3] or m[4] or "").lower().split():
+                words = set(WORDS.findall(name))
+                names |= words
+                telling |= words if not words & NEUTRAL else set()
+        if tag not in {"html", "body", "main"}:
+            if tag in NO_TEXT or "hidden" in rest.lower().split():
+                weight = 0.0
+            elif tag in OTHER or (tag == "header" and self._last(ARTICLE) < 0):
+                weight = min(weight, OTHER_TAG)
+            elif telling & NAMED:
+                weight = min(weight, OTHER_NAME)
+        if tag in ARTICLE and weight == 1.0:
+            weight = IN_ARTICLE
+        path = parent
+        if tag not in INLINE:
+            label = f"{tag}.{'.'.join(sorted(names))}"
+            path = self._path(parent, tag, label, weight)
+        elif weight != self.weight[parent]:
+            path = self._path(parent, tag, tag, weight)
+        depth = len(self.open)
+        self.at[tag].append(depth)
+        if tag in SCOPES:
+            self.scopes.append(depth)
+        if tag not in INLINE:
+            self.solid.append(depth)
+        self.open.append((tag, path, weight))
 
     def _end(self, tag: str) -> None:
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                return self._close(depth)
-            if tag in INLINE and self.open[depth][0] not in INLINE:
-                return
+        if not self.at[tag]:
+            return
+        depth = self.at[tag][-1]
+        if tag not in INLINE or not self.solid or self.solid[-1] < depth:
+            self._close(depth)
 
     def _read(self, html: str) -> None:
-        at = 0
-        while True:
-            m = MARKUP.search(html, at)
-            if not m:
-                return self._text(html[at:])
+        at, quotes = 0, True
+        while m := OPENS.search(html, at):
             if m.start() > at:
                 self._text(html[at:m.start()])
             at = m.end()
-            if not m[2]:
+            if html[at] in "!?":
+                mark = "-->" if html.startswith("!--", at) else ">"
+                end = html.find(mark, at)
+                at = len(html) if end < 0 else end + len(mark)
                 continue
-            tag = m[2].lower()
-            if m[1]:
+            name = NAME.match(html, at)
+            at = name.end()
+            end = _tag_end(html, at) if quotes else -1
+            if end < 0:
+                quotes = False
+                end = CUT.match(html, at).end()
+                if html[end - 1] != ">":                           # cut off: no tag at all
+                    at = end
+                    continue
+                end -= 1
+            rest, at = html[at:end], end + 1
+            tag = name[2].lower()
+            if name[1]:
                 self._end(tag)
             elif tag in RAW:
-                end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(html, at)
-                at = end.start() if end else len(html)
-                self.fresh = self.fresh or tag not in INLINE
+                close = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(html, at)
+                at = close.start() if close else len(html)
+                self.fresh = True
             else:
-                self._start(tag, m[3] or "")
+                self._start(tag, rest)
+        self._text(html[at:])
+
+
+def _tag_end(html: str, at: int) -> int:
+    """Where the ``>`` of a tag stands that is in no quotes; -1 if nowhere."""
+    while m := QUOTED.search(html, at):
+        if m[0] == ">":
+            return m.start()
+        at = html.find(m[0], m.end()) + 1
+        if not at:
+            return -1
+    return -1
 
 
-def _shared(a: tuple[str, ...], b: tuple[str, ...]) -> float:
-    """How near two paths are, from 0 to 1."""
-    same = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        same += 1
-    if any(x.split(".")[0] in ARTICLE for x in a[:same]):
-        return 1.0
-    return (same / max(len(a), len(b), 1)) ** NEAR
+def path_values(page: _Page, texts: list[str]) -> list[float]:
+    """The smoothed and fused value of every path of ``page``."""
+    n = len(page.parent)
+    size, marks, linked, count = [0] * n, [0] * n, [0] * n, [0] * n
+    for (path, parts), text in zip(page.blocks, texts):
+        if text:
+            size[path] += len(text)
+            marks[path] += len(MARKS.findall(text))
+            linked[path] += sum(len(x.strip()) for x, link in parts if link)
+            count[path] += 1
+    free, own = [1.0] * n, [0.0] * n
+    for p in range(n):
+        if count[p]:
+            if page.tag[p] not in HEADINGS:
+                free[p] = min(1.0, max(LINKS, 2 * (1 - linked[p] / size[p])))
+            own[p] = math.sqrt(size[p] / count[p]) * (0.5 + math.sqrt(marks[p] / count[p]))
+    step = [1.0 if t in HOLDERS else STEP for t in page.tag]
+    part = [min(1.0, w) for w in page.weight]
+    near = [own[p] * free[p] * part[p] for p in range(n)]
+    for p in range(n - 1, 0, -1):                                  # children come after parents
+        near[page.parent[p]] = max(near[page.parent[p]], near[p] * step[p])
+    for p in range(1, n):                                          # a share less further inside
+        up = page.parent[p]
+        if part[up]:
+            near[p] = max(near[p], near[up] * step[p] * part[p] / part[up])
+    return [max(own[p] * part[p], near[p]) * free[p] * max(1.0, page.weight[p]) if count[p]
+            else 0.0 for p in range(n)]
 
 
 def content(html: str | None, threshold: float = THRESHOLD) -> str:
     """The main text of one page."""
-    blocks = []
-    for path, apart, parts in _Page(html or "").blocks:
-        text = " ".join(unescape("".join(parts)).split())
-        if text and not apart:
-            blocks.append((path, text))
-    size: dict[tuple, int] = defaultdict(int)
-    marks: dict[tuple, int] = defaultdict(int)
-    count: dict[tuple, int] = defaultdict(int)
-    for path, text in blocks:
-        size[path] += len(text)
-        marks[path] += len(MARKS.findall(text))
-        count[path] += 1
-    own = {p: math.log1p(size[p] / n) * (0.1 + math.log1p(marks[p] / n))
-           for p, n in count.items()}
-    smooth = {}
-    for p in own:
-        near = {q: _shared(p, q) for q in own if q != p}
-        smooth[p] = max(own[p], (own[p] + sum(w * own[q] for q, w in near.items()))
-                        / (1 + sum(near.values())))
-        if any(x.split(".")[0] in ARTICLE for x in p):
-            smooth[p] = max([smooth[p], *(own[q] for q, w in near.items() if w == 1.0)])
-    best = max(smooth.values(), default=0)
-    top = max(own, key=lambda p: (own[p], size[p]), default=())
-    home = top[:-1]
-    while home and home[-1].split(".")[0] in PARTS:
-        home = home[:-1]
-
-    def belongs(p: tuple[str, ...]) -> bool:
-        """In the element around the best path, or a heading beside that path."""
-        if p[:len(home)] != home:
-            return False
-        return len(home) > 2 or (len(p) == len(home) + 1 and p[-1].split(".")[0] in HEADINGS)
-
-    return "\n".join(t for p, t in blocks if smooth[p] >= threshold * best or belongs(p))
+    page = _Page(html or "")
+    texts = [" ".join(unescape("".join(x for x, _ in parts)).split()) if page.weight[path] else ""
+             for path, parts in page.blocks]
+    value = path_values(page, texts)
+    least = threshold * max(value)
+    return "\n".join(t for (path, _), t in zip(page.blocks, texts) if t and value[path] >= least)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

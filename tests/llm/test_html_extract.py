@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -52,6 +53,55 @@ def test_everything_around_the_article_goes():
     assert content(page) == "\n".join(["Heading here"] + [LONG.strip()] * 3)
 
 
+def test_values_decide_over_names():
+    page = f"""<nav><a href=/>Home</a></nav><div class='share-story'><h1>Title here</h1><p>{LONG * 3}
+      <p>{LONG * 4}<div class='box-7'><p>Buy now!</p><ul><li><a href=x>One link, of many.</a>
+      <li><a href=y>Two of them.</a></ul></div></div><div>Buy now</div>"""
+    assert content(page) == "\n".join(["Title here", (LONG * 3).strip(), (LONG * 4).strip()])
+    assert content("<div class='ad'>" + page) == content(page)      # all under one name: no change
+
+
+@pytest.mark.parametrize("inner, kept", [
+    ("<ul><li>Flour<li>Sugar</ul>", True),                          # parts of the text
+    ("<blockquote><p>Short</blockquote>", True),
+    ("<h3><a href=x>Linked heading</a></h3>", True),
+    ("<p>Some <a href=x>linked words</a>, as in all texts.", True),
+    ("<ul><li><a href=x>Linked text only</a></ul>", False),
+    ("<p class=promo>Buy now, please.", False),
+    ("<div class=comments><article><p>" + LONG * 3 + "</article></div>", False),
+    ("<div class=box><div><p>Buy now!</div></div>", False),
+    ("<div class=box><div><p>" + LONG * 2 + "</div></div>", True),
+])
+def test_what_stands_in_an_article(inner, kept):
+    page = "<div class=text><p>" + LONG * 2 + "<p>" + LONG * 3 + inner + "</div>"
+    assert (len(content(page).split("\n")) > 2) == kept
+
+
+def test_threshold_changes_the_result():
+    page = f"<div><p>{LONG * 4}</p><h2>Heading</h2><div><div>Buy now</div></div></div>"
+    kept = [len(content(page, t).split("\n")) for t in (0.0, 0.5, 0.9)]
+    assert kept == [3, 2, 1]
+
+
+HOSTILE = {"unclosed tags": "<a ", "unclosed quotes": '<a "', "both quotes": "<a \"'x",
+           "deep": "<div>x, y", "headings": "<h1>", "stray ends": "<p></div>", "brackets": "<",
+           "comments": "<!--", "inline": "<span><p>", "ids": "<div id='i{}'><p>x, y.</p></div>",
+           "classes": "<div class='{}'>x, y.</div>"}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_time_is_linear_on_hostile_pages(kind):
+    def seconds(chars: int) -> float:
+        part = HOSTILE[kind]
+        page = "".join(part.format("abcdefghij"[i % 10] * (i % 199))
+                       for i in range(chars // len(part)))
+        t = time.process_time()
+        content(page)
+        return time.process_time() - t
+
+    assert seconds(1_000_000) < 20                                  # quadratic: hours
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", "<p>a, b.</p>", "x"), (1, None, "<p>a, b.</p>", None), (None, "v", None, "y"),
             (2, "w", "<p>" + LONG * 20000 + "</p>", "z"), (3, "w", "<" * 5000, "z")]
