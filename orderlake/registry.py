@@ -133,20 +133,32 @@ def _scan_csv(fr: Frames) -> DataFrame:
     return readers.read_csv_source(fr.spark, path, schemas.ORDERS_SCHEMA)
 
 
-@register("scan_json", "SELECT * FROM raw_fx")
-def _scan_json(fr: Frames) -> DataFrame:
+def _json_documents(fr: Frames) -> str:
     """FX feed written as JSON array documents, one per file and at most 10,000
-    sequence numbers each, and read back as such under its schema."""
+    sequence numbers each."""
     path = scratch_path(fr.spark, "json-fx")
     fx = fr.feeds["fx_rates"]
     row = F.to_json(F.struct(*fx.columns))
     documents = fx.groupBy(F.floor(F.col("seq") / 10_000).alias("doc")).agg(
         F.concat(F.lit("["), F.concat_ws(",", F.collect_list(row)), F.lit("]")).alias("value"))
     documents.repartition("doc").write.mode("overwrite").partitionBy("doc").text(path)
-    got = readers.read_json_source(fr.spark, path, schemas.FX_SEQ_SCHEMA, multi_line=True)
+    return path
+
+
+@register("scan_json", "SELECT * FROM raw_fx")
+def _scan_json(fr: Frames) -> DataFrame:
+    """The documents read back whole under their schema."""
+    got = readers.read_json_source(fr.spark, _json_documents(fr), schemas.FX_SEQ_SCHEMA,
+                                   multi_line=True)
     return got.select(*schemas.FX_SEQ_SCHEMA.names)
 
 
+@register("scan_json_array", "SELECT * FROM raw_fx")
+def _scan_json_array(fr: Frames) -> DataFrame:
+    """The documents read back in splits, record by record."""
+    return readers.read_json_array(fr.spark, _json_documents(fr), schemas.FX_SEQ_SCHEMA)
+
+
 @register("scan_table", "SELECT * FROM clean_orders")
 def _scan_table(fr: Frames) -> DataFrame:
     """Bronze orders saved as a catalog table and scanned by name."""

@@ -2,9 +2,9 @@
 
 * CSV: header row skipped, declared schema applied by position (the header
   names are not used), every value kept as text.
-* JSON: JSON Lines by default (splittable, one task per block); a single
-  JSON array document needs ``multi_line=True`` and is read by one task per
-  file, so large feeds should be delivered as JSON Lines.
+* JSON: JSON Lines by default (splittable, one task per block).  A JSON array of
+  flat records is split as well by ``read_json_array``; any other document needs
+  ``multi_line=True`` and is read by one task per file.
 """
 
 from __future__ import annotations
@@ -47,6 +47,52 @@ def read_json_source(spark: SparkSession, path: str, schema: StructType,
             .load(path))
 
 
+#: Between two records, before the first and behind the last of an array.
+_OPENS, _CLOSES = r"^\uFEFF?\s*[\[,]\s*(?=\{)", r"^\uFEFF?\s*\[?\s*\]?\s*$"
+_PACKED = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst", ".xz")
+
+
+def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A JSON array of flat records, read by as many tasks as it has blocks.
+
+    The files are read as text that ends records at ``}``, which Spark splits like
+    lines, and every record is parsed for itself.  A seam that is none (a brace in a
+    text, a nested record), a broken record and a file that does not end its array
+    are errors, never other rows; ``read_json_source(multi_line=True)`` reads valid
+    documents of such kinds.  Compressed files are read that way, as no split is possible.
+    """
+    text = spark.read.option("lineSep", "}").text(path)
+    files = text.inputFiles()
+    if any(f.lower().endswith(_PACKED) for f in files):
+        return read_json_source(spark, path, schema, multi_line=True)
+    for f in files:
+        end = _last_bytes(spark, f, 256).rstrip()
+        if end and not end.endswith(b"]"):
+            raise ValueError(f"{f} is no whole JSON array: it does not end with a bracket")
+    whole = "_broken_record"
+    types = StructType([*schema.fields, StructField(whole, StringType(), True)])
+    record = F.concat(F.regexp_replace("value", _OPENS, ""), F.lit("}"))
+    parsed = F.from_json(record, types, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": whole})
+    broken = F.raise_error(F.concat(F.lit("no flat record of a JSON array: "), "value"))
+    return (text.where(~F.col("value").rlike(_CLOSES))
+            .withColumn("_record", F.when(F.col("value").rlike(_OPENS), parsed))
+            .withColumn("_record", F.when(
+                F.col("_record").isNotNull() & F.col(f"_record.{whole}").isNull(),
+                F.col("_record")).otherwise(broken.cast(types)))
+            .select(*[F.col("_record")[n].alias(n) for n in schema.names]))
+
+
+def _last_bytes(spark: SparkSession, file: str, n: int) -> bytes:
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = fs.open(path)
+    try:
+        stream.seek(max(0, fs.getFileStatus(path).getLen() - n))
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """Scan a catalog table (or temp view) by name."""
     return spark.table(name)
