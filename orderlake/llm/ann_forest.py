@@ -3,7 +3,8 @@
 Maximum inner product becomes nearest distance by one more coordinate, the
 square root of what a vector's norm lacks to the largest norm (0 for queries);
 the mean is taken off both.  A tree hashes a vector to a long string of signs of
-orthogonal random projections, and keeps its rows sorted by that string.
+orthogonal random projections (64, or as many as there are coordinates), and keeps
+its rows sorted by that string.
 
 A query descends in every tree to the rows that share the longest prefix with
 its own string, wherever that ends, and then ascends in all trees together, one
@@ -12,8 +13,8 @@ bit at a time, until the rows found are at least ``share`` of the block (and
 original vectors in double precision.
 
 Rows and queries are dealt into blocks of bounded size; a task holds one block
-of each and the forest over its rows.  Block numbers come from row numbers, so
-copies of a vector are spread like any other rows.
+of each and the forest over its rows.  Block numbers come from a hash of id and
+vector, so reruns agree, and copies of a vector are spread like any other rows.
 
 The strings prune less the more diffuse the data: on vectors whose twentieth
 neighbour is at a cosine of 0.43 close to half of the rows must be seen for a recall
@@ -36,9 +37,11 @@ from pyspark.sql import functions as F
 
 from orderlake.llm.common import materialize
 
-TREES, BITS = 40, 16
+TREES, BITS = 40, 64
 SHARE, LEAST = 0.5, 500
 BLOCK_ROWS, BLOCK_QUERIES = 8_000, 2_000
+#: Queries of a block that descend together.
+TOGETHER = 250
 SEED = 17
 
 
@@ -49,7 +52,7 @@ class Forest:
                  bits: int = BITS, seed: int = SEED):
         rng = np.random.default_rng(seed)
         width = rows.shape[1] + 1
-        bits = min(bits, width)
+        bits = min(bits, width, 64)
         self.bits, self.norm, self.mean = bits, norm, mean
         self.planes = [np.linalg.qr(rng.normal(size=(width, bits)))[0] for _ in range(trees)]
         lack = np.sqrt(np.maximum(norm ** 2 - np.einsum("ij,ij->i", rows, rows), 0))
@@ -63,31 +66,54 @@ class Forest:
         self.n = len(rows)
 
     def _strings(self, points: np.ndarray, plane: np.ndarray) -> np.ndarray:
-        return (points @ plane > 0) @ (1 << np.arange(self.bits - 1, -1, -1))
+        """Sign strings as 64-bit numbers, the first sign on top."""
+        signs = np.packbits(points @ plane > 0, axis=1)
+        full = np.zeros((len(points), 8), np.uint8)
+        full[:, :signs.shape[1]] = signs
+        return full.view(">u8").ravel().astype(np.uint64)
+
+    def _longest(self, t: int, code: np.ndarray) -> np.ndarray:
+        """Length of the longest prefix that each string shares with one of tree ``t``:
+        the neighbours of its place share most."""
+        at = np.searchsorted(self.sorted[t], code)
+        out = np.zeros(len(code), np.int64)
+        for near in (at - 1, at):
+            other = self.sorted[t][np.clip(near, 0, self.n - 1)] ^ code
+            high, low = other >> np.uint64(32), other & np.uint64(0xFFFFFFFF)
+            length = np.where(high > 0, 32 + np.frexp(high.astype(float))[1],
+                              np.frexp(low.astype(float))[1])
+            out = np.maximum(out, 64 - length)
+        return np.minimum(out, self.bits)
 
     def found(self, queries: np.ndarray, want: int) -> list[np.ndarray]:
         """Row numbers for each query, after the synchronous ascent to ``want`` rows."""
+        out = []
+        for i in range(0, len(queries), TOGETHER):
+            out.extend(self._found(queries[i:i + TOGETHER], min(want, self.n)))
+        return out
+
+    def _found(self, queries: np.ndarray, want: int) -> list[np.ndarray]:
         points = np.column_stack([queries, np.zeros(len(queries))]) - self.mean
-        lo = np.empty((len(self.planes), self.bits + 1, len(queries)), np.int64)
+        codes = [self._strings(points, plane) for plane in self.planes]
+        longest = np.max([self._longest(t, c) for t, c in enumerate(codes)], axis=0)
+        lo = np.empty((len(codes), longest.max() + 1, len(queries)), np.int64)
         hi = np.empty_like(lo)
-        for t, plane in enumerate(self.planes):
-            code = self._strings(points, plane)
-            for level in range(self.bits + 1):          # rows that share the first bits
-                drop = self.bits - level
-                first = (code >> drop) << drop
-                lo[t, level] = np.searchsorted(self.sorted[t], first)
-                hi[t, level] = np.searchsorted(self.sorted[t], first + (1 << drop))
+        for level in range(lo.shape[1]):                # rows that share the first bits
+            rest = np.uint64((1 << (64 - level)) - 1)
+            for t, code in enumerate(codes):
+                lo[t, level] = np.searchsorted(self.sorted[t], code & ~rest)
+                hi[t, level] = np.searchsorted(self.sorted[t], code | rest, side="right")
+        many = (hi - lo).sum(axis=0)                    # as if all were different
         out = []
         seen = np.zeros(self.n, bool)
         for q in range(len(queries)):
             seen[:] = False
-            for level in range(self.bits, -1, -1):
-                # a level's rows are too few already if all of them were different
-                if (hi[:, level, q] - lo[:, level, q]).sum() < min(want, self.n) and level:
+            for level in range(longest[q], -1, -1):
+                if many[level, q] < want and level:
                     continue
                 for t, order in enumerate(self.order):
                     seen[order[lo[t, level, q]:hi[t, level, q]]] = True
-                if np.count_nonzero(seen) >= min(want, self.n):
+                if np.count_nonzero(seen) >= want:
                     break
             out.append(np.flatnonzero(seen))
         return out
@@ -104,10 +130,11 @@ def _top(rows: pd.DataFrame, queries: pd.DataFrame, k: int, norm: float, mean: n
         want = max(least, int(np.ceil(share * len(rows))))
         for q, vec, at in zip(queries["vec_id"].to_numpy(), asked, forest.found(asked, want)):
             at = at[ids[at] != q]
-            score = data[at] @ vec
-            if len(at) > 4 * k:
-                near = score >= np.partition(score, len(at) - k)[len(at) - k]
-                at, score = at[near], score[near]
+            if len(at) > 4 * k:                         # a first look, with room for rounding
+                score = data[at] @ vec
+                room = 1e-9 * np.abs(score).max()
+                at = at[score >= np.partition(score, len(at) - k)[len(at) - k] - room]
+            score = (data[at] * vec).sum(axis=1)        # equal for equal rows, wherever they stand
             best = np.lexsort((ids[at], -score))[:k]
             out[0].append(np.full(len(best), q))
             out[1].append(ids[at][best])
@@ -136,6 +163,7 @@ def nearest(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 2
     norm = float(rows.agg(F.max(square)).first()[0]) ** 0.5
     lack = F.sqrt(F.greatest(F.lit(norm ** 2) - square, F.lit(0.0)))
     mean = np.array(rows.agg(*[F.avg(F.col("vec")[i]) for i in range(d)], F.avg(lack)).first())
+    mean = np.round(mean, 9)                            # sums differ by the order of rows
 
     blocks, asked = -(-n // BLOCK_ROWS), rows.where(is_query(F.col("vec_id"))) \
         .groupBy("vec_id").agg(F.min("vec").alias("vec"))
@@ -143,7 +171,7 @@ def nearest(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 2
     groups = max(1, -(-asked.count() // BLOCK_QUERIES))
 
     def deal(df: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
-        number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int")
+        number = F.pmod(F.xxhash64("vec_id", "vec"), F.lit(parts)).cast("int")
         return df.withColumn(own, number).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
 

@@ -75,3 +75,53 @@ def test_forest_takes_whole_levels():
     for found in forest.found(rows[:5], 30):
         assert len(found) >= 30
         assert not 0 < len(set(found) & set(range(100, 300))) < 200
+
+
+def test_descent_finds_the_longest_prefixes():
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(300, 70))
+    asked = np.vstack([rows[:20], rng.normal(size=(20, 70))])
+    forest = ann_forest.Forest(rows, 12.0, np.zeros(71), trees=5)
+    assert forest.bits == 64
+    near = np.column_stack([asked, np.zeros(len(asked))])
+    for t, plane in enumerate(forest.planes):
+        text = [f"{x:064b}" for x in forest._strings(near, plane).tolist()]
+        kept = [f"{x:064b}" for x in forest.sorted[t].tolist()]
+        assert kept == sorted(kept)
+        want = [max(next((i for i in range(64) if a[i] != b[i]), 64) for b in kept) for a in text]
+        assert forest._longest(t, forest._strings(near, plane)).tolist() == want
+    for q, got in zip(range(40), forest.found(asked, 1)):      # no ascent: the deepest level only
+        best, rows_at = -1, set()
+        for t, plane in enumerate(forest.planes):
+            a = f"{forest._strings(near[q:q + 1], plane)[0]:064b}"
+            for place, x in zip(forest.order[t], forest.sorted[t].tolist()):
+                same = next((i for i in range(64) if a[i] != f"{x:064b}"[i]), 64)
+                if same > best:
+                    best, rows_at = same, set()
+                if same == best:
+                    rows_at.add(int(place))
+        assert set(got.tolist()) == rows_at
+
+
+def test_reruns_and_partitions_agree(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=10).tolist()) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    before = ann_forest.BLOCK_ROWS
+    ann_forest.BLOCK_ROWS = 250
+    try:
+        runs = [sorted(map(tuple, ann_forest.nearest(x, lambda i: i % 20 == 0, least=30).collect()))
+                for x in (df, df.repartition(7), df.orderBy(F.desc("vec_id")))]
+    finally:
+        ann_forest.BLOCK_ROWS = before
+    assert runs[0] == runs[1] == runs[2]
+
+
+def test_copies_tie_exactly(spark):
+    rng = np.random.default_rng(6)
+    vec = rng.normal(size=64)
+    rows = [(i, (vec if i % 3 else rng.normal(size=64)).tolist()) for i in range(700)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann_forest.nearest(df, lambda i: i == 20).orderBy("rank").collect()
+    copies = [i for i in range(700) if i % 3 and i != 20][:20]
+    assert [r["vec_id"] for r in got] == copies and len({r["score"] for r in got}) == 1
