@@ -8,6 +8,7 @@ never overlap or miss a row silently (see ``conservation``).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,6 +104,25 @@ def tag_quarantine(classified: DataFrame, source_file: str | Column,
     return out
 
 
+def fitting_lines(df: DataFrame) -> DataFrame:
+    """The rows whose line had the declared columns, without the scan's ``CORRUPT``."""
+    if CORRUPT not in df.columns:
+        return df
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def broken_lines(feeds: dict[str, DataFrame]) -> DataFrame | None:
+    """The other rows of all ``feeds`` whose scan keeps them: feed, the first column as
+    far as it was read, the line and its file; None if no scan does."""
+    parts = [df.where(F.col(CORRUPT).isNotNull()).select(
+                 F.lit(name).alias("feed"), F.col(df.columns[0]).alias("first_field"),
+                 F.col(CORRUPT).alias("line"), F.lit(K.MALFORMED).alias(CODE),
+                 F.col("_source_file") if "_source_file" in df.columns
+                 else F.lit(name).alias("_source_file"))
+             for name, df in feeds.items() if CORRUPT in df.columns]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def clean_rows(classified: DataFrame) -> DataFrame:
     base = [c for c in classified.columns if c not in INTERNAL]
     return classified.filter(F.col(CLEAN)).select(*base)

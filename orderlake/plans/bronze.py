@@ -90,18 +90,22 @@ class Bronze:
     errors: DataFrame
     classified: DataFrame
     split: DataFrame            # both, in one pass
+    broken: DataFrame | None    # lines of the other feeds without the declared columns
 
 
 def build(feeds: dict[str, DataFrame], source_file: str = "raw_orders",
           run_ts: Column | None = None, flag_missing_qty: bool = False) -> Bronze:
     classified = classified_orders(feeds["orders"], flag_missing_qty)
+    others = {name: df for name, df in feeds.items() if name != "orders"}
+    good = {name: quality.fitting_lines(df) for name, df in others.items()}
     return Bronze(
-        customers=latest_customers(feeds["customers"]),
+        customers=latest_customers(good["customers"]),
         orders=clean_orders(classified),
-        products=flag_currency_case(feeds["products"]),
-        categories=feeds["categories"],
-        fx_rates=latest_fx(feeds["fx_rates"]),
+        products=flag_currency_case(good["products"]),
+        categories=good["categories"],
+        fx_rates=latest_fx(good["fx_rates"]),
         errors=quarantined_orders(classified, source_file, run_ts),
         classified=classified,
         split=split_orders(classified, source_file, run_ts),
+        broken=quality.broken_lines(others),
     )

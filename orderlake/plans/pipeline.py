@@ -30,7 +30,7 @@ from orderlake.operators.quality import check_nulls_counts
 from orderlake.plans import bronze, gold, metrics, silver
 from orderlake.session import work_root
 from orderlake.sinks import AuditLog, TableStore, layer_row_counts
-from orderlake.sinks.tables import BRONZE_DDL, ERROR_TABLE_DDL
+from orderlake.sinks.tables import BROKEN_LINES_DDL, BRONZE_DDL, ERROR_TABLE_DDL
 
 # Tables and their labels (fixed values: they appear in the run summary).
 LAYOUT = {
@@ -198,6 +198,10 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], store: TableStore | No
         put("bronze", "cat_tree", lambda: lineage(b.categories, "categories"), stamp=False)
         put("bronze", "fx_rates", lambda: lineage(b.fx_rates, "fx_rates"), stamp=False)
         writes.add("error_tables.err_orders", lambda: None, ["bronze.orders"])
+        if b.broken is not None:                # file feeds: lines that no table can hold
+            store.create_table("error_tables", "err_lines", BROKEN_LINES_DDL,
+                               "lines without the declared columns")
+            put("error_tables", "err_lines", lambda: lineage(b.broken, "files"), stamp=False)
 
         # ---- silver: typed and enriched, from the written bronze tables -
         put("silver", "customer", lambda: silver.customers(rd("bronze", "customer")),

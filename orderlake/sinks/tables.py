@@ -83,6 +83,14 @@ BRONZE_DDL = {
                  "last written rate per date and currency"),
 }
 
+BROKEN_LINES_DDL = """
+    feed STRING COMMENT 'feed the line is from',
+    first_field STRING COMMENT 'first column, as far as it was read',
+    line STRING COMMENT 'the line as received',
+    _error_code STRING COMMENT 'quarantine reason code',
+    _source_file STRING COMMENT 'file the line came from',
+    _ingested_at TIMESTAMP COMMENT 'run timestamp'
+"""
 ERROR_TABLE_DDL = """
     order_id STRING COMMENT 'order id as received',
     cust_id STRING COMMENT 'customer id as received',

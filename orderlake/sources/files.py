@@ -34,7 +34,7 @@ def _with_file(df: DataFrame) -> DataFrame:
 
 def read_feeds(spark: SparkSession, folder: str, fx_multi_line: bool = True,
                fx_split: bool = True) -> dict[str, DataFrame]:
-    """The five feeds.  Order lines that do not have the declared columns keep their
+    """The five feeds.  CSV lines that do not have the declared columns keep their
     text in ``quality.CORRUPT`` and are quarantined.
 
     ``fx_multi_line=False`` reads the FX file as JSON Lines; ``fx_split=False`` reads
@@ -42,8 +42,7 @@ def read_feeds(spark: SparkSession, folder: str, fx_multi_line: bool = True,
     """
     folder = folder.rstrip("/")
     feeds = {name: _with_file(read_csv_source(
-                 spark, f"{folder}/{fname}", schema,
-                 corrupt_column=CORRUPT if name == "orders" else None))
+                 spark, f"{folder}/{fname}", schema, corrupt_column=CORRUPT))
              for name, (fname, schema) in FILES.items()}
     path = f"{folder}/{FX_FILE}"
     fx = read_json_array(spark, path, FX_SCHEMA) if fx_multi_line and fx_split \

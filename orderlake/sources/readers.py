@@ -21,7 +21,9 @@ def read_csv_source(spark: SparkSession, path: str, schema: StructType,
 
     ``corrupt_column`` adds a text column that receives the whole line of a
     malformed record (wrong number of fields) instead of dropping it; the
-    record's other columns are NULL.  Such rows can then be quarantined.
+    record's other columns hold what could be read.  Such rows can then be quarantined.
+    Lines are then parsed whole whatever columns a query reads: a parser that skips
+    columns does not see that there are too few or too many.
     """
     if corrupt_column:
         schema = StructType(schema.fields + [StructField(corrupt_column, StringType(), True)])
@@ -30,7 +32,8 @@ def read_csv_source(spark: SparkSession, path: str, schema: StructType,
               .option("enforceSchema", True)
               .option("mode", "PERMISSIVE"))
     if corrupt_column:
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+        reader = (reader.option("columnNameOfCorruptRecord", corrupt_column)
+                        .option("columnPruning", False))
     if keep_blanks:
         # Leading/trailing blanks are data here (' Shipped', ' ').
         reader = (reader.option("ignoreLeadingWhiteSpace", False)

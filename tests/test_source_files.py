@@ -105,6 +105,37 @@ def test_counts_and_quarantine(result):
     assert src.endswith("/orders.csv")
 
 
+def test_broken_lines_of_every_feed_are_quarantined(spark):
+    from orderlake.session import scratch_path
+    root = scratch_path(spark, "broken")
+    src = root.replace("file:", "") + "/src"
+    os.makedirs(src)
+    bad = {"customer.csv": ["5,1/1/2020", "6,1/1/2020,US,AMERICA,Retail,1,y,more"],
+           "orders.csv": ["A-30,1,3/3/2020 9:00"], "product.csv": ["12,1,cut"],
+           "prod_cat_tree.csv": ["9,too,many,fields"]}
+    for name, text in [("customer.csv", CUSTOMERS), ("orders.csv", ORDERS),
+                       ("product.csv", PRODUCTS), ("prod_cat_tree.csv", CATEGORIES)]:
+        with open(f"{src}/{name}", "w") as f:
+            f.write(text + "\n".join(bad[name]) + "\n")
+    with open(f"{src}/currency_conversion.json", "w") as f:
+        json.dump(FX, f)
+    store = TableStore(spark, root + "/tables", prefix="broken_")
+    res = pipeline.run(spark, read_feeds(spark, src), store, null_gate_mode="raise",
+                       as_of="2020-12-31")
+    c = res.counts
+    assert (c["bronze.customer"], c["bronze.product"], c["bronze.cat_tree"]) == (4, 8, 6)
+    assert c["error_tables.err_orders"] == 4 and c["error_tables.err_lines"] == 4
+    rows = store.read("error_tables", "err_lines").collect()
+    assert sorted((r.feed, r.first_field, r.line) for r in rows) == sorted(
+        (feed, line.split(",")[0], line) for feed, name in (
+            ("customers", "customer.csv"), ("products", "product.csv"),
+            ("categories", "prod_cat_tree.csv")) for line in bad[name])
+    lines = read_feeds(spark, src)["orders"]                # a query that reads few columns
+    few = lines.where("_corrupt_line IS NOT NULL").select("order_id", "_corrupt_line")
+    assert [tuple(r) for r in few.collect()] == [("A-30", "A-30,1,3/3/2020 9:00")]
+    assert all(r._source_file.endswith(".csv") and r._error_code == K.MALFORMED for r in rows)
+
+
 def test_latest_snapshot_and_types(result, spark):
     store, res = result
     cust = {r.cust_id: r for r in store.read("silver", "customer").collect()}
