@@ -11,6 +11,10 @@ from orderlake.session import input_bytes
 # to as rows in memory.
 BROADCAST_MAX_BYTES = 128 << 20
 EXPANSION = 4
+# Bytes of columnar files whose rows one task of a large join sorts and passes on, and
+# the most tasks: what a map and a reduce side keep of each other grows with both.
+TASK_BYTES = 8 << 20
+MAX_TASKS = 100_000
 
 
 def broadcast_if_small(df: DataFrame, rows: int | None,
@@ -29,3 +33,20 @@ def broadcast_if_small(df: DataFrame, rows: int | None,
     size = max(8 * rows * len(df.columns),
                EXPANSION * input_bytes(df.sparkSession, folders))
     return F.broadcast(df) if size <= max_bytes else df
+
+
+def deal_by_size(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                 n_bytes: int, task_bytes: int = TASK_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Both sides of an inner join on keys of one type, dealt by key over as many tasks
+    as their files' ``n_bytes`` need.
+
+    A task's sorted runs and the hash table of an aggregate behind the join then hold
+    as many rows whatever the input size.  Left alone, AQE puts shuffle partitions
+    together until there are as few tasks as cores.  Sides that the cores take in one
+    go stay with the optimizer, which may broadcast one of them; beyond that the keys
+    must be spread, as AQE splits no partition that was asked for.
+    """
+    n = min(-(-n_bytes // task_bytes), MAX_TASKS)
+    if n <= left.sparkSession.sparkContext.defaultParallelism:
+        return left, right
+    return left.repartition(n, left_key), right.repartition(n, right_key)

@@ -53,10 +53,15 @@ def split_orders(classified: DataFrame, source_file: str,
 
 
 def clean_orders(classified: DataFrame) -> DataFrame:
-    """The clean rows of the split, with their lineage if they have one."""
-    split = split_orders(classified, "")
-    names = [c for c in classified.columns if c not in quality.INTERNAL]
-    return split.where(F.col("_class") == quality.CLASSES[0]).select(*names)
+    """The clean rows of the split, with their lineage if they have one.
+
+    All of them have the same code, message and class, so they are equal if their data
+    are: the others are left out before, and the aggregate holds the data alone.
+    """
+    rows = quality.clean_rows(classified)
+    data = [c for c in rows.columns if not c.startswith("_")]
+    files = "_source_file" if "_source_file" in rows.columns else None
+    return dedup.distinct_rows(rows, data, file_col=files).select(*rows.columns)
 
 
 def quarantined_orders(classified: DataFrame, source_file: str,

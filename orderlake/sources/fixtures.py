@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.operators.joins import deal_by_size
+from orderlake.session import input_bytes
 from orderlake.sources.literals import literal_frame
 from orderlake.sources.schemas import CATEGORY_SCHEMA
 
@@ -78,7 +80,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.lit(" Shipped"))
          .when(F.col("o_orderstatus") == "O", F.lit("PAID"))
          .otherwise(F.lit("created ")).alias("status"))
-    lines = li.join(od, li.l_orderkey == od.o_orderkey)
+    li, od = deal_by_size(li, od, "l_orderkey", "o_orderkey", input_bytes(
+        spark, [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("lineitem", "orders")]))
+    lines = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
     whole = F.col("l_quantity").cast("bigint").cast("string")
     copies = F.explode(F.sequence(F.lit(1), F.when(k % 53 == 0, 2).otherwise(1)))
     return (lines

@@ -154,3 +154,32 @@ def test_order_lines_stay_put_when_the_catalog_count_is_small(spark):
         assert {float(r.revenue_usd) for r in counted.select("revenue_usd").collect()} == {5.0}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_order_lines_are_dealt_over_tasks_by_their_bytes(spark, monkeypatch, tmp_root):
+    from orderlake.operators import joins
+    from orderlake.sources import fixtures
+
+    lines = [(i % 40, i, float(i % 5)) for i in range(200)] + [(None, 1, 1.0), (3, None, None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double") \
+        .write.parquet(f"{tmp_root}/lineitem.parquet")
+    spark.createDataFrame([(i // 2, i, "F") for i in range(70)] + [(None, 1, None)],
+                          "o_orderkey long, o_custkey long, o_orderstatus string") \
+        .withColumn("o_orderdate", F.lit("2020-01-01 01:00:00").cast("timestamp_ntz")) \
+        .write.parquet(f"{tmp_root}/orders.parquet")
+    few = fixtures.raw_orders(spark, tmp_root)
+    asked = []
+
+    def size(spark, paths):
+        asked.extend(paths)
+        return 60 * joins.TASK_BYTES - 1
+
+    monkeypatch.setattr(fixtures, "input_bytes", size)
+    many = fixtures.raw_orders(spark, tmp_root)
+    assert [p.rsplit("/", 1)[1] for p in asked] == ["lineitem.parquet", "orders.parquet"]
+    assert many.rdd.getNumPartitions() == 60          # AQE does not put them together again
+    assert many.rdd.getNumPartitions() > few.rdd.getNumPartitions()
+    got = sorted(map(str, many.collect()))
+    assert len(got) > 300 and got == sorted(map(str, few.collect()))
+    a, b = spark.range(5).toDF("x"), spark.range(5).toDF("y")
+    assert joins.deal_by_size(a, b, "x", "y", joins.TASK_BYTES) == (a, b)

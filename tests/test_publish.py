@@ -121,6 +121,22 @@ def test_the_split_scans_the_feed_once(spark):
     assert plan(b.orders).count("lineitem.parquet") + plan(b.errors).count("lineitem.parquet") == 2
 
 
+def test_clean_rows_are_combined_on_their_data_alone(spark):
+    lines = [("A", "1", "1/1/2020 1:00", "5", "1", "x", "f2"), ("A", "1", "1/1/2020 1:00", "5", "1", "x", "f1"),
+             ("A", "1", None, "5", "1", "x", "f3"), ("B", None, None, "5", "1", "x", "f1"),
+             ("C", "1", None, "5", None, "x", "f1")]
+    df = spark.createDataFrame(lines, ", ".join(
+        f"{c} string" for c in [*ORDERS_SCHEMA.names, "_source_file"]))
+    classified = bronze.classified_orders(df)
+    clean = bronze.clean_orders(classified)
+    assert "_error" not in next(x for x in plan(clean).splitlines() if "HashAggregate(keys" in x
+                                or "SortAggregate(key" in x)
+    split = bronze.split_orders(classified, "feed").where("_class = 'clean'")
+    assert sorted(map(str, clean.collect())) == sorted(
+        map(str, split.select(*clean.columns).collect()))
+    assert sorted(r._source_file for r in clean.collect()) == ["f1", "f3"]
+
+
 def test_equal_bad_rows_all_stay_and_counts_come_from_files(spark, tmp_root):
     good, blank = ("A", "1", "1/1/2020 1:00", "5", "1", "x"), ("B", " ", "1/1/2020 1:00", "5", "1", "x")
     odd = ("C", "1", "1/1/2020 1:00", "5", "abc", "x")
