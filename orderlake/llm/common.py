@@ -62,6 +62,7 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
 
         yield from fn(batches)
         try:        # an idle worker gives back what its task has freed
+            pa.default_memory_pool().release_unused()
             ctypes.CDLL("libc.so.6").malloc_trim(0)
         except (OSError, AttributeError):
             pass
@@ -69,11 +70,14 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(run, schema)
 
 
-def worker_state() -> dict:
-    """What a Python worker keeps from one task to the next."""
+def worker_state(owner: str) -> dict:
+    """What a Python worker keeps from one task of ``owner`` to the next.  One owner's
+    things at a time: workers outlive a stage, what it learned is of no use to others."""
     import sys
 
-    return vars(sys).setdefault("_orderlake_state", {})
+    if getattr(sys, "_orderlake_owner", None) != owner:
+        sys._orderlake_owner, sys._orderlake_state = owner, {}
+    return sys._orderlake_state
 
 
 class WordCache(dict):

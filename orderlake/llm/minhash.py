@@ -58,7 +58,7 @@ def _word_hashes() -> WordCache:
     """Hashes of the words met lately, kept by the worker."""
     from xxhash import xxh3_64_intdigest
 
-    cache = worker_state().setdefault("word hashes", WordCache(xxh3_64_intdigest))
+    cache = worker_state("minhash").setdefault("word hashes", WordCache(xxh3_64_intdigest))
     if len(cache) > cache.limit:
         cache.age()
     return cache
@@ -87,7 +87,7 @@ def shingle_set(text: bytes | None, words_of: dict) -> np.ndarray:
 
 def _permutation() -> np.ndarray:
     """The second permutation, extended so that every slice is contiguous."""
-    state = worker_state()
+    state = worker_state("minhash")
     if "pi" not in state:
         pi = np.random.default_rng(SEED).permutation(1 << UNIVERSE_BITS).astype(np.int32)
         state["pi"] = np.lib.stride_tricks.sliding_window_view(

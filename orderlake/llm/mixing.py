@@ -33,6 +33,7 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,8 @@ from orderlake.llm.common import WORD, materialize, rank_in_group
 WINDOW = 1 << 16            # budget that the dynamic program looks at first
 TABLE_WORDS = 1 << 24       # entries of its largest table, some 10 bytes each
 BROADCAST_SOURCES = 50_000  # more sources than this are joined by a shuffle
+PLAN = pa.schema([("_mx_source", pa.string()), ("source_size", pa.int64()), ("target", pa.float64()),
+                  ("_mx_whole", pa.int64()), ("_mx_budget", pa.int64())])
 
 
 def targets(sizes: list[int], weights: list[int], cap: int = 3) -> list[float]:
@@ -151,10 +154,12 @@ def mix_sources(docs: DataFrame, seed: int = 7, cap: int = 3, weights: tuple[int
     names, sizes = [x[0] for x in by_source], [x[1] for x in by_source]
     goal = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], cap)
     spark = docs.sparkSession
-    plan = spark.createDataFrame(
-        [(s, n, float(t), *map(int, divmod(round(t), n) if n else (0, 0)))
-         for s, n, t in zip(names, sizes, goal)],
-        "_mx_source string, source_size long, target double, _mx_whole long, _mx_budget long")
+    rows = [(s, n, float(t), *map(int, divmod(round(t), n) if n else (0, 0)))
+            for s, n, t in zip(names, sizes, goal)]
+    # as an Arrow table the JVM reads it; a list would start other Python workers
+    plan = spark.createDataFrame(pa.Table.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(PLAN), PLAN.types)],
+        schema=PLAN))
 
     if len(names) <= BROADCAST_SOURCES:       # counted just now, some 50 bytes each
         plan = F.broadcast(plan)

@@ -129,9 +129,10 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096,
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_state().get(tokenizer_path)
+        state = worker_state("packing")
+        encoder = state.get(tokenizer_path)
         if encoder is None:
-            encoder = worker_state()[tokenizer_path] = WordEncoder(tokenizer_path, True)
+            encoder = state[tokenizer_path] = WordEncoder(tokenizer_path, True)
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc, ids in zip(batch.column(0).to_pylist(),

@@ -252,10 +252,10 @@ class Aligner:
 
 def aligner(path_a: str, path_b: str) -> Aligner:
     """One aligner for all tasks of a worker."""
-    key = ("align", path_a, path_b)
-    if key not in worker_state():
-        worker_state()[key] = Aligner(path_a, path_b)
-    return worker_state()[key]
+    state, key = worker_state("align"), (path_a, path_b)
+    if key not in state:
+        state[key] = Aligner(path_a, path_b)
+    return state[key]
 
 
 def aligned_groups(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",

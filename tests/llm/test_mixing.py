@@ -111,3 +111,19 @@ def test_odd_documents(spark):
         assert all(0 <= r["copies"] <= 3 and r["taken"] == r["copies"] * r["size"] for r in by[s])
         assert sum(r["taken"] for r in by[s]) <= t + 1
     assert mixing.mix_sources(odd_documents(spark, empty=True)).count() == 0
+
+
+def test_the_plan_of_the_sources_starts_no_other_python_workers(spark):
+    docs = spark.createDataFrame([(i, "a b c " * (i + 1), s) for i, s in enumerate(["x", None, "é", "x"])],
+                                 "doc_id long, text string, source string")
+    plan = mixing.mix_sources(docs)._jdf.queryExecution().optimizedPlan().toString()
+    # a list of rows would be an RDD that workers of another kind unpickle
+    assert not [x for x in plan.splitlines() if "ExistingRDD" in x or "LogicalRDD" in x]
+
+
+def test_a_worker_keeps_the_things_of_one_operator():
+    from orderlake.llm.common import worker_state
+
+    worker_state("one")["cache"] = 1
+    assert worker_state("one") == {"cache": 1}
+    assert worker_state("other") == {} and worker_state("one") == {}
