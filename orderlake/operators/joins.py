@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.session import input_bytes
@@ -46,7 +46,14 @@ def deal_by_size(left: DataFrame, right: DataFrame, left_key: str, right_key: st
     go stay with the optimizer, which may broadcast one of them; beyond that the keys
     must be spread, as AQE splits no partition that was asked for.
     """
-    n = min(-(-n_bytes // task_bytes), MAX_TASKS)
-    if n <= left.sparkSession.sparkContext.defaultParallelism:
+    n = tasks_for(left.sparkSession, n_bytes, task_bytes)
+    if n is None:
         return left, right
     return left.repartition(n, left_key), right.repartition(n, right_key)
+
+
+def tasks_for(spark: SparkSession, n_bytes: int, task_bytes: int = TASK_BYTES) -> int | None:
+    """As many tasks as ``n_bytes`` of columnar files need; None if the cores take them
+    in one go."""
+    n = min(-(-n_bytes // task_bytes), MAX_TASKS)
+    return None if n <= spark.sparkContext.defaultParallelism else n

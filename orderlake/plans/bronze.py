@@ -52,14 +52,19 @@ def split_orders(classified: DataFrame, source_file: str,
     return out
 
 
-def clean_orders(classified: DataFrame) -> DataFrame:
+def clean_orders(classified: DataFrame, tasks: int | None = None) -> DataFrame:
     """The clean rows of the split, with their lineage if they have one.
 
     All of them have the same code, message and class, so they are equal if their data
-    are: the others are left out before, and the aggregate holds the data alone.
+    are: the others are left out before, and the aggregate holds the data alone.  With
+    ``tasks`` (``joins.tasks_for`` the feed) the rows are dealt over so many before, and
+    a task's hash table does not grow with the feed; else Spark combines them in each
+    map task first, and the session's shuffle width says how many meet in one.
     """
     rows = quality.clean_rows(classified)
     data = [c for c in rows.columns if not c.startswith("_")]
+    if tasks:
+        rows = rows.repartition(tasks, *data)
     files = "_source_file" if "_source_file" in rows.columns else None
     return dedup.distinct_rows(rows, data, file_col=files).select(*rows.columns)
 
@@ -99,13 +104,14 @@ class Bronze:
 
 
 def build(feeds: dict[str, DataFrame], source_file: str = "raw_orders",
-          run_ts: Column | None = None, flag_missing_qty: bool = False) -> Bronze:
+          run_ts: Column | None = None, flag_missing_qty: bool = False,
+          order_tasks: int | None = None) -> Bronze:
     classified = classified_orders(feeds["orders"], flag_missing_qty)
     others = {name: df for name, df in feeds.items() if name != "orders"}
     good = {name: quality.fitting_lines(df) for name, df in others.items()}
     return Bronze(
         customers=latest_customers(good["customers"]),
-        orders=clean_orders(classified),
+        orders=clean_orders(classified, order_tasks),
         products=flag_currency_case(good["products"]),
         categories=good["categories"],
         fx_rates=latest_fx(good["fx_rates"]),

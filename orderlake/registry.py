@@ -22,6 +22,7 @@ from orderlake.functions import (
     parse_us_timestamp, round_money, to_bigint, to_double_num, to_whole_int, yes_no_flag)
 from orderlake.operators import dedup, quality, timeseries
 from orderlake.operators.hierarchy import resolve_top_category
+from orderlake.operators.joins import tasks_for
 from orderlake.oracle import sql_for
 from orderlake.plans import bronze, gold, metrics, silver
 from orderlake.session import scratch_path
@@ -42,9 +43,13 @@ class Frames:
     def feeds(self) -> dict[str, DataFrame]:
         return fixtures.sources(self.spark, self.sf_dir)
 
+    @cached_property
+    def order_tasks(self) -> int | None:
+        return tasks_for(self.spark, fixtures.order_bytes(self.spark, self.sf_dir))
+
     @cached_property
     def bronze(self) -> bronze.Bronze:
-        return bronze.build(self.feeds, "raw_orders")
+        return bronze.build(self.feeds, "raw_orders", order_tasks=self.order_tasks)
 
     @cached_property
     def typed_fx(self) -> DataFrame:
@@ -53,7 +58,8 @@ class Frames:
     @cached_property
     def silver(self) -> silver.Silver:
         b = self.bronze
-        return silver.build(b.customers, b.orders, b.products, b.categories, b.fx_rates)
+        return silver.build(b.customers, b.orders, b.products, b.categories, b.fx_rates,
+                            many_lines=self.order_tasks is not None)
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -420,8 +426,9 @@ def _silver_product(fr: Frames) -> DataFrame:
     SELECT o.order_id, o.prod_id, p.prod_name, p.price, p.currency, o.quantity
     FROM silver_orders o JOIN silver_product p ON o.prod_id = p.prod_id""")
 def _join_orders_products(fr: Frames) -> DataFrame:
-    return (fr.silver.orders.join(fr.silver.products, "prod_id", "inner")
-              .select("order_id", "prod_id", "prod_name", "price", "currency", "quantity"))
+    return (silver.known_products(fr.silver.orders, fr.silver.products,
+                                  many_lines=fr.order_tasks is not None)
+                  .select("order_id", "prod_id", "prod_name", "price", "currency", "quantity"))
 
 
 @register("silver_customer", "SELECT * FROM silver_customer")

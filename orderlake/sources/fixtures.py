@@ -58,6 +58,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def order_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Size of the files behind the orders feed."""
+    return input_bytes(spark, [f"{sf_dir.rstrip('/')}/{name}.parquet"
+                               for name in ("lineitem", "orders")])
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text row per order line, as the orders CSV would hold it.
 
@@ -80,8 +86,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.lit(" Shipped"))
          .when(F.col("o_orderstatus") == "O", F.lit("PAID"))
          .otherwise(F.lit("created ")).alias("status"))
-    li, od = deal_by_size(li, od, "l_orderkey", "o_orderkey", input_bytes(
-        spark, [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("lineitem", "orders")]))
+    li, od = deal_by_size(li, od, "l_orderkey", "o_orderkey", order_bytes(spark, sf_dir))
     lines = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
     whole = F.col("l_quantity").cast("bigint").cast("string")
     copies = F.explode(F.sequence(F.lit(1), F.when(k % 53 == 0, 2).otherwise(1)))

@@ -183,3 +183,54 @@ def test_order_lines_are_dealt_over_tasks_by_their_bytes(spark, monkeypatch, tmp
     assert len(got) > 300 and got == sorted(map(str, few.collect()))
     a, b = spark.range(5).toDF("x"), spark.range(5).toDF("y")
     assert joins.deal_by_size(a, b, "x", "y", joins.TASK_BYTES) == (a, b)
+
+
+def test_clean_rows_of_a_large_feed_are_dealt_over_tasks_first(spark):
+    from orderlake.operators import joins
+    from orderlake.plans import bronze
+    from orderlake.sources.schemas import ORDERS_SCHEMA
+
+    lines = [(f"A-{i % 30}", "1", None if i % 4 else "1/1/2020 1:00", str(i % 7), "1", None)
+             for i in range(300)] + [("B", None, None, "1", "1", "x"), (None, "1", None, None, "2", None)] * 3
+    df = spark.createDataFrame(lines, ", ".join(f"{c} string" for c in ORDERS_SCHEMA.names))
+    classified = bronze.classified_orders(df)
+    few = bronze.clean_orders(classified)
+    many = bronze.clean_orders(classified, 37)
+    assert plan_of(many).count("Exchange") == 1   # the aggregate stays in these tasks
+    assert many.rdd.getNumPartitions() == 37      # AQE leaves them
+    got = sorted(map(str, many.collect()))
+    assert len(got) > 50 and got == sorted(map(str, few.collect()))
+    cores = spark.sparkContext.defaultParallelism
+    assert joins.tasks_for(spark, cores * joins.TASK_BYTES) is None
+    assert joins.tasks_for(spark, cores * joins.TASK_BYTES + 1) == cores + 1
+
+
+def test_many_order_lines_are_not_sorted_to_meet_their_products(spark, monkeypatch):
+    from orderlake import registry
+    from orderlake.operators import joins
+    from orderlake.plans import silver
+
+    orders = spark.createDataFrame([(i, None if i % 10 == 0 else i % 13) for i in range(200)],
+                                   "order_id long, prod_id long")
+    products = spark.createDataFrame([(i % 9, f"p{i}") for i in range(12)] + [(None, "none")],
+                                     "prod_id long, prod_name string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = silver.known_products(orders, products)
+        many = silver.known_products(orders, products, many_lines=True)
+        counted = silver.known_products(orders, products, product_rows=13, many_lines=True)
+        assert "SortMergeJoin" in plan_of(few)
+        assert "ShuffledHashJoin" in plan_of(many) and "Sort" not in plan_of(many)
+        assert "BuildRight" in plan_of(many)
+        assert "BroadcastHashJoin" in plan_of(counted)
+        got = [sorted(map(str, x.collect())) for x in (few, many, counted)]
+        assert len(got[0]) > 150 and got[0] == got[1] == got[2]
+        folder = "/root/testdata/sf0.001"
+        queries = ("join_orders_products", "order_items", "fact_orders")
+        assert not [q for q in queries if "ShuffledHashJoin" in plan_of(registry.QUERIES[q](spark, folder))]
+        monkeypatch.setattr(registry.fixtures, "input_bytes", lambda spark, paths: 60 * joins.TASK_BYTES)
+        plans = [plan_of(registry.QUERIES[q](spark, folder)) for q in queries]
+        assert all("ShuffledHashJoin" in p for p in plans)
+        assert plans[0].count(", 60), REPARTITION_BY_NUM") == 3     # lines, orders, clean rows
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
