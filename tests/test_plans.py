@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 from pyspark.sql import functions as F
 
@@ -234,3 +235,24 @@ def test_many_order_lines_are_not_sorted_to_meet_their_products(spark, monkeypat
         assert plans[0].count(", 60), REPARTITION_BY_NUM") == 3     # lines, orders, clean rows
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_many_lines_are_dealt_before_distinct_counts(spark, monkeypatch):
+    from orderlake import registry
+    from orderlake.operators import joins
+
+    fact = spark.createDataFrame(
+        [(None if i % 11 == 0 else i % 5, None if i % 7 == 0 else i % 13,
+          None if i % 17 == 0 else f"A-{i % 60}") for i in range(400)] * 2,
+        "date_key int, cust_key long, order_id string")
+    few, many = (registry.Frames(spark, "unread") for _ in range(2))
+    few.__dict__.update(fact=fact, order_tasks=None)
+    many.__dict__.update(fact=fact, order_tasks=37)
+    dealt = registry._agg_count_distinct(many)
+    assert "REPARTITION_BY_NUM" not in plan_of(registry._agg_count_distinct(few))
+    assert ", 37), REPARTITION_BY_NUM" in plan_of(dealt)
+    got = sorted(map(str, dealt.collect()))
+    assert len(got) == 6 and got == sorted(map(str, registry._agg_count_distinct(few).collect()))
+    monkeypatch.setattr(registry.fixtures, "input_bytes", lambda spark, paths: 60 * joins.TASK_BYTES)
+    plan = plan_of(registry.QUERIES["agg_count_distinct"](spark, "/root/testdata/sf0.001"))
+    assert re.search(r"\(date_key#\d+L?, cust_key#\d+L?, order_id#\d+, 60\), REPARTITION_BY_NUM", plan)
